@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysed application is a single batch run (load, clean, link, gate, statistics);
+it has no stream, watermark or stateful operator, so nothing here is built. The batch
+operators are plain DataFrame transformations and can be called from a
+``foreachBatch`` sink if a caller wants micro-batches.
+"""
