@@ -54,8 +54,8 @@ def normalize_title(c: ColumnOrName) -> Column:
 def release_year(c: ColumnOrName) -> Column:
     """Year of a date, timestamp or ISO date text; unparsable text gives NULL."""
     head = F.substring(_c(c).cast("string"), 1, 10)
-    d = F.coalesce(F.try_to_date(head, F.lit("yyyy-MM-dd")),
-                   F.try_to_date(head, F.lit("yyyy/MM/dd")))
+    d = F.coalesce(F.try_to_date(head, "yyyy-MM-dd"),
+                   F.try_to_date(head, "yyyy/MM/dd"))
     return F.year(d)
 
 
@@ -164,7 +164,8 @@ def round_numeric(df, digits: int = 2):
 # D10 ------------------------------------------------------------------------
 def num_text(c: ColumnOrName, digits: int = 2) -> Column:
     """Number as R pastes it after round(): no trailing '.0'."""
-    s = F.round(_c(c).cast("double"), digits).cast("string")
+    # "+ 0.0" turns a rounded -0.0 into 0.0 so it prints as "0".
+    s = (F.round(_c(c).cast("double"), digits) + F.lit(0.0)).cast("string")
     return F.regexp_replace(s, r"\.0$", "")
 
 
