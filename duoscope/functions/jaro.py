@@ -25,13 +25,24 @@ def jaro_similarity(x: str, y: str, floor: bool = False) -> float:
     if lx == 0 or ly == 0:
         return 0.0
     window = max(0, max(lx, ly) // 2 - 1)
+    # Positions of each character in y, ascending: the greedy rule takes the first
+    # unused position inside the window, so only that character's positions are scanned.
+    where: dict[str, list[int]] = {}
+    for j, ch in enumerate(y):
+        where.setdefault(ch, []).append(j)
     y_used = [False] * ly
     x_hits = []
     for i, ch in enumerate(x):
-        lo = i - window if i > window else 0
-        hi = min(i + window + 1, ly)
-        for j in range(lo, hi):
-            if not y_used[j] and y[j] == ch:
+        cand = where.get(ch)
+        if cand is None:
+            continue
+        lo, hi = i - window, i + window
+        for j in cand:
+            if j < lo:
+                continue
+            if j > hi:
+                break
+            if not y_used[j]:
                 y_used[j] = True
                 x_hits.append(ch)
                 break

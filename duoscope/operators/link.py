@@ -39,9 +39,11 @@ from ..functions.scalars import normalize_title
 MAX_DIST = 0.12
 EXACT, FUZZY = "exact", "fuzzy"
 
-# Character classes of the bag bound; everything else is lumped into one "other" count,
-# which can only raise the bound (the bound stays lossless).
-BAG_ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789 "
+# Character groups of the bag bound: the 20 most frequent English letters and the space
+# alone, rare letters and digits pooled; everything else is one "other" count. Pooling can
+# only raise the bound, so it stays lossless. (23 counts keep the generated join condition
+# small enough for the JIT; one count per character does not.)
+BAG_GROUPS = tuple("etaoinshrdlucmwfgypb") + (" ", "vkjxqz", "0123456789")
 SLACK = 1e-9
 
 
@@ -71,11 +73,27 @@ def unmatched(a: DataFrame, exact: DataFrame, title: str = "title_clean") -> Dat
 
 
 # ------------------------------------------------------------------ features
-def _bag(t: Column) -> Column:
-    chars = F.array(*[F.lit(ch) for ch in BAG_ALPHABET])
-    counts = F.transform(chars, lambda ch: F.length(t) - F.length(F.replace(t, ch, F.lit(""))))
-    known = F.aggregate(counts, F.lit(0), lambda acc, v: acc + v)
-    return F.concat(counts, F.array(F.length(t) - known))
+def _with_bag(df: DataFrame, t: str, prefix: str) -> DataFrame:
+    """Per-title counts per character group as plain int columns, so the pair bound is
+    small arithmetic inside whole-stage codegen."""
+    col = F.col(t)
+    cols = {f"{prefix}{k}": F.length(col) - F.length(F.regexp_replace(col, "[" + g + "]", ""))
+            for k, g in enumerate(BAG_GROUPS)}
+    df = df.withColumns(cols)
+    known = sum((F.col(n) for n in cols), F.lit(0))
+    return df.withColumn(f"{prefix}x", F.length(col) - known)
+
+
+def _bag_overlap(pa: str, pb: str) -> Column:
+    keys = [str(k) for k in range(len(BAG_GROUPS))] + ["x"]
+    return sum((F.least(F.col(pa + k), F.col(pb + k)) for k in keys), F.lit(0))
+
+
+def _jaro_bound(common: Column, la: Column, lb: Column, max_dist: float) -> Column:
+    """True when m <= common matches could still reach similarity 1 - max_dist:
+    (c/la + c/lb + 1)/3 >= 1 - d  <=>  c (la + lb) >= (2 - 3d) la lb  (c used once)."""
+    k = 2.0 - 3.0 * max_dist - 3.0 * SLACK
+    return common.cast("double") * (la + lb) >= F.lit(k) * la * lb
 
 
 def _band(length: Column, max_dist: float) -> Column:
@@ -85,53 +103,73 @@ def _band(length: Column, max_dist: float) -> Column:
     return F.floor(F.log(length.cast("double")) / F.lit(math.log(1.0 / ratio))).cast("int")
 
 
+def _parallelism(spark) -> int:
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(n, spark.sparkContext.defaultParallelism)
+
+
 # ------------------------------------------------------------------ J3
 def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX_DIST,
-                     cell_rows: int = 4096, prune: bool = True) -> DataFrame:
+                     cell_rows: int = 1024, prune: bool = True,
+                     broadcast_rows: int = 200_000) -> DataFrame:
     """Candidate (a_t, b_t) pairs of one block that may be closer than ``max_dist``.
 
     ``u_keys``: (a_t, blk) distinct left titles; ``b_keys``: (b_t, blk, b_ord).
     With ``prune=False`` every pair of the block is returned (test reference).
+
+    Strategy, chosen by a checked size: when the distinct right titles number at most
+    ``broadcast_rows`` they are broadcast and the left titles are hash-partitioned by
+    (a_t, blk), which spreads a hot block evenly and is the partitioning the best-match
+    aggregation needs (no further shuffle). Beyond that, a sort-merge join on
+    (block, band, grid cell): each (block, band) key is cut into ``sa`` x ``sb`` cells
+    of at most ``cell_rows`` titles per side, so no key's pairs land on one task.
     """
+    spark = u_keys.sparkSession
+    c = F.col
     la = u_keys.select("a_t", "blk", F.length("a_t").alias("a_len"))
-    lb = b_keys.select("b_t", "blk", "b_ord", F.length("b_t").alias("b_len"))
+    lb = b_keys.select(c("b_t"), c("blk").alias("r_blk"), "b_ord", F.length("b_t").alias("b_len"))
     if prune:
-        la = la.withColumn("a_bag", _bag(F.col("a_t"))).withColumn("band", _band(F.col("a_len"), max_dist))
-        lb = lb.withColumn("b_bag", _bag(F.col("b_t"))).withColumn("band", _band(F.col("b_len"), max_dist))
-        span = F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1) if max_dist < 1 / 3 \
-            else F.array(F.col("band"))
-        la = la.withColumn("band", F.explode(span))
+        la = _with_bag(la, "a_t", "a_c").withColumn("band", _band(c("a_len"), max_dist))
+        lb = _with_bag(lb, "b_t", "b_c").withColumn("r_band", _band(c("b_len"), max_dist))
+        if max_dist < 1 / 3:
+            la = la.withColumn("band", F.explode(F.array(c("band") - 1, c("band"), c("band") + 1)))
     else:
         la = la.withColumn("band", F.lit(0))
-        lb = lb.withColumn("band", F.lit(0))
+        lb = lb.withColumn("r_band", F.lit(0))
+
+    bound = F.lit(True)
+    if prune and max_dist < 1.0:
+        lo, hi = F.least(c("a_len"), c("b_len")), F.greatest(c("a_len"), c("b_len"))
+        if max_dist < 1 / 3:
+            bound = (lo.cast("double") / hi) >= F.lit(1.0 - 3.0 * max_dist - SLACK)
+        bound = bound & _jaro_bound(_bag_overlap("a_c", "b_c"), c("a_len"), c("b_len"), max_dist)
+    n = _parallelism(spark)
+    keys_eq = (c("blk") == c("r_blk")) & (c("band") == c("r_band"))
+
+    if lb.count() <= broadcast_rows:
+        ls = la.repartition(n, "a_t", "blk")
+        pairs = ls.join(F.broadcast(lb), keys_eq & bound, "inner")
+        return pairs.select("a_t", "blk", "b_t", "b_ord")
 
     # Grid salting of hot keys: sizes per (blk, band) are small aggregates.
     na = la.groupBy("blk", "band").agg(F.count(F.lit(1)).alias("na"))
-    nb = lb.groupBy("blk", "band").agg(F.count(F.lit(1)).alias("nb"))
+    nb = lb.groupBy(c("r_blk").alias("blk"), c("r_band").alias("band")).agg(F.count(F.lit(1)).alias("nb"))
     grid = na.join(nb, ["blk", "band"]).select(
         "blk", "band",
-        F.ceil(F.col("na") / F.lit(cell_rows)).cast("int").alias("sa"),
-        F.ceil(F.col("nb") / F.lit(cell_rows)).cast("int").alias("sb"))
+        F.ceil(c("na") / F.lit(cell_rows)).cast("int").alias("sa"),
+        F.ceil(c("nb") / F.lit(cell_rows)).cast("int").alias("sb"))
     ls = (la.join(grid, ["blk", "band"])
-            .withColumn("i", F.pmod(F.xxhash64("a_t"), F.col("sa")).cast("int"))
-            .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("sb") - 1)))
-            .drop("sa", "sb"))
-    rs = (lb.join(grid, ["blk", "band"])
-            .withColumn("r_j", F.pmod(F.xxhash64("b_t"), F.col("sb")).cast("int"))
-            .withColumn("r_i", F.explode(F.sequence(F.lit(0), F.col("sa") - 1)))
-            .select(F.col("blk").alias("r_blk"), F.col("band").alias("r_band"), "r_i", "r_j",
-                    "b_t", "b_ord", "b_len", *(["b_bag"] if prune else [])))
-    c = F.col
-    cond = (c("blk") == c("r_blk")) & (c("band") == c("r_band")) & (c("i") == c("r_i")) & (c("j") == c("r_j"))
-    if prune and max_dist < 1.0:
-        lo, hi = F.least(c("a_len"), c("b_len")), F.greatest(c("a_len"), c("b_len"))
-        if max_dist < 1 / 3:
-            cond = cond & ((lo.cast("double") / hi) >= F.lit(1.0 - 3.0 * max_dist - SLACK))
-        common = F.aggregate(F.zip_with(c("a_bag"), c("b_bag"), lambda p, q: F.least(p, q)),
-                             F.lit(0), lambda acc, v: acc + v).cast("double")
-        bag_ok = (common / c("a_len") + common / c("b_len") + F.lit(1.0)) / F.lit(3.0) \
-            >= F.lit(1.0 - max_dist - SLACK)
-        cond = cond & bag_ok
+            .withColumn("i", F.pmod(F.xxhash64("a_t"), c("sa")).cast("int"))
+            .withColumn("j", F.explode(F.sequence(F.lit(0), c("sb") - 1)))
+            .drop("sa", "sb")
+            .repartition(n, "blk", "band", "i", "j"))
+    rgrid = grid.select(c("blk").alias("r_blk"), c("band").alias("r_band"), "sa", "sb")
+    rs = (lb.join(rgrid, ["r_blk", "r_band"])
+            .withColumn("r_j", F.pmod(F.xxhash64("b_t"), c("sb")).cast("int"))
+            .withColumn("r_i", F.explode(F.sequence(F.lit(0), c("sa") - 1)))
+            .drop("sa", "sb")
+            .repartition(n, "r_blk", "r_band", "r_i", "r_j"))
+    cond = keys_eq & (c("i") == c("r_i")) & (c("j") == c("r_j")) & bound
     return ls.join(rs, cond, "inner").select("a_t", "blk", "b_t", "b_ord")
 
 
@@ -148,15 +186,15 @@ def best_match(pairs: DataFrame, max_dist: float = MAX_DIST, floor: bool = False
 
 # ------------------------------------------------------------------ J6
 def fuzzy_link(u: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
-               max_dist: float = MAX_DIST, floor: bool = False, cell_rows: int = 4096,
-               prune: bool = True, title: str = "title_clean") -> tuple[DataFrame, DataFrame, DataFrame]:
+               max_dist: float = MAX_DIST, floor: bool = False, cell_rows: int = 1024,
+               prune: bool = True, title: str = "title_clean", broadcast_rows: int = 200_000) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Fuzzy rows for the unmatched left rows. Returns (candidates, best, fuzzy)."""
     valid_a = F.col(title).isNotNull() & (F.col(title) != "") & F.col(a_block).isNotNull()
     valid_b = F.col(title).isNotNull() & (F.col(title) != "") & F.col(b_block).isNotNull()
     u_keys = u.where(valid_a).select(F.col(title).alias("a_t"), F.col(a_block).alias("blk")).distinct()
     b_keys = (b.where(valid_b).groupBy(F.col(title).alias("b_t"), F.col(b_block).alias("blk"))
                .agg(F.min(order_col).alias("b_ord")))
-    cands = block_candidates(u_keys, b_keys, max_dist, cell_rows, prune)
+    cands = block_candidates(u_keys, b_keys, max_dist, cell_rows, prune, broadcast_rows)
     best = best_match(cands, max_dist, floor)
 
     c = F.col
@@ -183,7 +221,7 @@ def prepare_sides(a: DataFrame, b: DataFrame, a_title: str = "title", b_title: s
 
 def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
          b_cols: list[str] | None = None, max_dist: float = MAX_DIST, floor: bool = False,
-         cell_rows: int = 4096, prune: bool = True) -> LinkResult:
+         cell_rows: int = 1024, prune: bool = True, broadcast_rows: int = 200_000) -> LinkResult:
     """Two-stage link of left ``a`` and right ``b``; both need ``title_clean``.
 
     ``b_cols``: right payload columns to carry (C8 projection; default all right
@@ -199,7 +237,8 @@ def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
     rb = b.select("title_clean", b_block, *keep)
     ex = exact_link(a, rb, a_block, b_block)
     un = unmatched(a, ex)
-    cands, best, fz = fuzzy_link(un, rb, a_block, b_block, order_col, max_dist, floor, cell_rows, prune)
+    cands, best, fz = fuzzy_link(un, rb, a_block, b_block, order_col, max_dist, floor, cell_rows, prune,
+                                 broadcast_rows=broadcast_rows)
     linked = ex.unionByName(fz, allowMissingColumns=True)
     # J9: unmatched rows without a fuzzy partner (NULL titles stay unlinked).
     hit = best.select(F.col("a_t").alias("title_clean"), F.col("blk").alias(a_block))
