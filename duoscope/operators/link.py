@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +57,12 @@ class LinkResult:
     fuzzy: DataFrame
     linked: DataFrame
     unlinked: DataFrame
+    persisted: tuple = ()
+
+    def release(self) -> None:
+        """Drop the cached inputs (after the results have been written or collected)."""
+        for df in self.persisted:
+            df.unpersist()
 
 
 # ------------------------------------------------------------------ J1
@@ -146,6 +153,8 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
     n = _parallelism(spark)
     keys_eq = (c("blk") == c("r_blk")) & (c("band") == c("r_band"))
 
+    # The size check materialises the right-side features once; the join reuses them.
+    lb = lb.persist(StorageLevel.MEMORY_AND_DISK)
     if lb.count() <= broadcast_rows:
         ls = la.repartition(n, "a_t", "blk")
         pairs = ls.join(F.broadcast(lb), keys_eq & bound, "inner")
@@ -221,7 +230,8 @@ def prepare_sides(a: DataFrame, b: DataFrame, a_title: str = "title", b_title: s
 
 def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
          b_cols: list[str] | None = None, max_dist: float = MAX_DIST, floor: bool = False,
-         cell_rows: int = 1024, prune: bool = True, broadcast_rows: int = 200_000) -> LinkResult:
+         cell_rows: int = 1024, prune: bool = True, broadcast_rows: int = 200_000,
+         persist_inputs: bool = False) -> LinkResult:
     """Two-stage link of left ``a`` and right ``b``; both need ``title_clean``.
 
     ``b_cols``: right payload columns to carry (C8 projection; default all right
@@ -235,6 +245,13 @@ def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
     if clash:
         raise ValueError(f"right columns also on the left side, rename them first: {sorted(clash)}")
     rb = b.select("title_clean", b_block, *keep)
+    kept = ()
+    if persist_inputs:
+        # Both sides are read three to four times below (exact join, anti-join, keys,
+        # join-back); cache the narrow cleaned projections instead of re-scanning.
+        a = a.persist(StorageLevel.MEMORY_AND_DISK)
+        rb = rb.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = (a, rb)
     ex = exact_link(a, rb, a_block, b_block)
     un = unmatched(a, ex)
     cands, best, fz = fuzzy_link(un, rb, a_block, b_block, order_col, max_dist, floor, cell_rows, prune,
@@ -243,7 +260,7 @@ def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
     # J9: unmatched rows without a fuzzy partner (NULL titles stay unlinked).
     hit = best.select(F.col("a_t").alias("title_clean"), F.col("blk").alias(a_block))
     unl = un.join(hit, on=["title_clean", a_block], how="left_anti")
-    return LinkResult(ex, un, cands, best, fz, linked, unl)
+    return LinkResult(ex, un, cands, best, fz, linked, unl, kept)
 
 
 # ------------------------------------------------------------------ J8

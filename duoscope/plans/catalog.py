@@ -38,7 +38,7 @@ def facts_prepared(spark: SparkSession, d: str) -> DataFrame:
 
 L_CFG = X.RunConfig(a_year_text=None, a_block="block", b_release_date=None, b_block="block",
                     score_c="score_c", order_col="b_id", floor_transpositions=True,
-                    enforce_gate=False, checkpoint=False)
+                    enforce_gate=False)
 
 
 def l_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -47,7 +47,7 @@ def l_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def l_link(spark: SparkSession, d: str) -> J.LinkResult:
     a, b = l_sides(spark, d)
-    return J.link(a, b, "block", "block", "b_id", b_cols=L_CFG.b_cols, floor=True)
+    return J.link(a, b, "block", "block", "b_id", b_cols=L_CFG.b_cols, floor=True, persist_inputs=True)
 
 
 def l_data(spark: SparkSession, d: str) -> DataFrame:

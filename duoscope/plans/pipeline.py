@@ -42,6 +42,7 @@ class RunConfig:
     decade_min_n: int = 48
     enforce_gate: bool = True
     checkpoint: bool = True
+    persist_inputs: bool = True
 
 
 def clean_sides(a_raw: DataFrame, b_raw: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
@@ -61,7 +62,8 @@ def clean_sides(a_raw: DataFrame, b_raw: DataFrame, cfg: RunConfig) -> tuple[Dat
 
 def link_and_derive(a: DataFrame, b: DataFrame, cfg: RunConfig) -> tuple[DataFrame, J.LinkResult]:
     res = J.link(a, b, cfg.a_block, cfg.b_block, cfg.order_col, b_cols=cfg.b_cols,
-                 max_dist=cfg.max_dist, floor=cfg.floor_transpositions)
+                 max_dist=cfg.max_dist, floor=cfg.floor_transpositions,
+                 persist_inputs=cfg.persist_inputs)
     year = cfg.a_block if dict(a.dtypes).get(cfg.a_block) in ("int", "bigint", "smallint") else None
     data = C.derive(res.linked, rating_a=cfg.rating_a, score_b=None, score_c=None, year=year)
     return data, res
