@@ -12,18 +12,30 @@ Two empty strings are identical (distance 0); one empty string gives similarity
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
-def jaro_similarity(x: str, y: str, floor: bool = False) -> float:
+def jaro_similarity(x: str, y: str, floor: bool = False, min_sim: float | None = None) -> float:
+    """Jaro similarity. With ``min_sim``, a pair that provably cannot reach it (too many
+    characters of x left unmatched) returns 0.0 early; values >= ``min_sim`` are exact."""
     if x == y:
         return 1.0
     lx, ly = len(x), len(y)
     if lx == 0 or ly == 0:
         return 0.0
+    misses_allowed = lx
+    if min_sim is not None:
+        # (m/lx + m/ly + 1)/3 >= min_sim needs m >= (3 min_sim - 1) / (1/lx + 1/ly)
+        need = (3.0 * min_sim - 1.0) / (1.0 / lx + 1.0 / ly) - 1e-9
+        misses_allowed = lx - max(0, math.ceil(need))
+        if misses_allowed < 0:
+            return 0.0
+    misses = 0
     window = max(0, max(lx, ly) // 2 - 1)
     # Positions of each character in y, ascending: the greedy rule takes the first
     # unused position inside the window, so only that character's positions are scanned.
@@ -33,19 +45,24 @@ def jaro_similarity(x: str, y: str, floor: bool = False) -> float:
     y_used = [False] * ly
     x_hits = []
     for i, ch in enumerate(x):
+        hit = False
         cand = where.get(ch)
-        if cand is None:
-            continue
-        lo, hi = i - window, i + window
-        for j in cand:
-            if j < lo:
-                continue
-            if j > hi:
-                break
-            if not y_used[j]:
-                y_used[j] = True
-                x_hits.append(ch)
-                break
+        if cand is not None:
+            lo, hi = i - window, i + window
+            for j in cand:
+                if j < lo:
+                    continue
+                if j > hi:
+                    break
+                if not y_used[j]:
+                    y_used[j] = True
+                    x_hits.append(ch)
+                    hit = True
+                    break
+        if not hit:
+            misses += 1
+            if misses > misses_allowed:
+                return 0.0
     m = len(x_hits)
     if m == 0:
         return 0.0
@@ -56,17 +73,20 @@ def jaro_similarity(x: str, y: str, floor: bool = False) -> float:
 
 
 def jaro_distance_value(x: str | None, y: str | None, floor: bool = False,
-                        digits: int | None = 12) -> float | None:
+                        digits: int | None = 12, cutoff: float | None = None) -> float | None:
+    """1 - Jaro similarity. With ``cutoff``, distances that cannot be below it may be
+    reported as 1.0 (callers that only keep ``dist < cutoff`` lose nothing)."""
     if x is None or y is None:
         return None
-    d = 1.0 - jaro_similarity(x, y, floor)
+    min_sim = None if cutoff is None else 1.0 - cutoff
+    d = 1.0 - jaro_similarity(x, y, floor, min_sim)
     return round(d, digits) if digits is not None else d
 
 
-def _make_udf(floor: bool, digits: int | None):
+def _make_udf(floor: bool, digits: int | None, cutoff: float | None):
     @F.pandas_udf(DoubleType())
     def _jaro_dist(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series([jaro_distance_value(x, y, floor, digits) for x, y in zip(xs, ys)],
+        return pd.Series([jaro_distance_value(x, y, floor, digits, cutoff) for x, y in zip(xs, ys)],
                          dtype="float64")
     return _jaro_dist
 
@@ -74,10 +94,12 @@ def _make_udf(floor: bool, digits: int | None):
 _UDFS: dict = {}
 
 
-def jaro_distance(x: Column, y: Column, floor: bool = False, digits: int | None = 12) -> Column:
+def jaro_distance(x: Column, y: Column, floor: bool = False, digits: int | None = 12,
+                  cutoff: float | None = None) -> Column:
     """1 - Jaro similarity as a vectorised (Arrow) UDF column, rounded to ``digits``
-    so float noise cannot flip a threshold test or a tie."""
-    key = (floor, digits)
+    so float noise cannot flip a threshold test or a tie. ``cutoff``: see
+    ``jaro_distance_value`` (exact below the cutoff, early exit above it)."""
+    key = (floor, digits, cutoff)
     if key not in _UDFS:
-        _UDFS[key] = _make_udf(floor, digits)
+        _UDFS[key] = _make_udf(floor, digits, cutoff)
     return _UDFS[key](x, y)

@@ -185,7 +185,8 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
 # ------------------------------------------------------------------ J4 + J5
 def best_match(pairs: DataFrame, max_dist: float = MAX_DIST, floor: bool = False) -> DataFrame:
     """Distance per candidate pair, then the best right title per left (title, block)."""
-    scored = pairs.withColumn("dist", jaro_distance(F.col("a_t"), F.col("b_t"), floor=floor))
+    scored = pairs.withColumn("dist", jaro_distance(F.col("a_t"), F.col("b_t"), floor=floor,
+                                                    cutoff=max_dist))
     under = scored.where(F.col("dist") < F.lit(max_dist))
     return (under.groupBy("a_t", "blk")
             .agg(F.min_by(F.struct("b_t", "b_ord", "dist"), F.struct("dist", "b_ord")).alias("m"))

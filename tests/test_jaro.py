@@ -55,3 +55,14 @@ def test_properties():
 def test_code_points_not_bytes():
     # 'été' vs 'ete': 1 of 3 code points matches -> (1/3 + 1/3 + 1) / 3
     assert jaro_similarity("été", "ete") == pytest.approx(5 / 9)
+
+
+def test_cutoff_is_exact_below_the_threshold():
+    for a, b in _random_pairs(3000, seed=9):
+        for cut in (0.05, 0.12, 0.3):
+            full = jaro_distance_value(a, b, floor=True)
+            fast = jaro_distance_value(a, b, floor=True, cutoff=cut)
+            if full < cut:
+                assert fast == full
+            else:
+                assert fast >= cut
