@@ -118,7 +118,7 @@ def _parallelism(spark) -> int:
 # ------------------------------------------------------------------ J3
 def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX_DIST,
                      cell_rows: int = 1024, prune: bool = True,
-                     broadcast_rows: int = 200_000) -> DataFrame:
+                     broadcast_rows: int = 200_000, cached: list | None = None) -> DataFrame:
     """Candidate (a_t, b_t) pairs of one block that may be closer than ``max_dist``.
 
     ``u_keys``: (a_t, blk) distinct left titles; ``b_keys``: (b_t, blk, b_ord).
@@ -155,6 +155,8 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
 
     # The size check materialises the right-side features once; the join reuses them.
     lb = lb.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached is not None:
+        cached.append(lb)
     if lb.count() <= broadcast_rows:
         ls = la.repartition(n, "a_t", "blk")
         pairs = ls.join(F.broadcast(lb), keys_eq & bound, "inner")
@@ -197,14 +199,15 @@ def best_match(pairs: DataFrame, max_dist: float = MAX_DIST, floor: bool = False
 # ------------------------------------------------------------------ J6
 def fuzzy_link(u: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
                max_dist: float = MAX_DIST, floor: bool = False, cell_rows: int = 1024,
-               prune: bool = True, title: str = "title_clean", broadcast_rows: int = 200_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+               prune: bool = True, title: str = "title_clean", broadcast_rows: int = 200_000,
+               cached: list | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Fuzzy rows for the unmatched left rows. Returns (candidates, best, fuzzy)."""
     valid_a = F.col(title).isNotNull() & (F.col(title) != "") & F.col(a_block).isNotNull()
     valid_b = F.col(title).isNotNull() & (F.col(title) != "") & F.col(b_block).isNotNull()
     u_keys = u.where(valid_a).select(F.col(title).alias("a_t"), F.col(a_block).alias("blk")).distinct()
     b_keys = (b.where(valid_b).groupBy(F.col(title).alias("b_t"), F.col(b_block).alias("blk"))
                .agg(F.min(order_col).alias("b_ord")))
-    cands = block_candidates(u_keys, b_keys, max_dist, cell_rows, prune, broadcast_rows)
+    cands = block_candidates(u_keys, b_keys, max_dist, cell_rows, prune, broadcast_rows, cached)
     best = best_match(cands, max_dist, floor)
 
     c = F.col
@@ -246,22 +249,22 @@ def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
     if clash:
         raise ValueError(f"right columns also on the left side, rename them first: {sorted(clash)}")
     rb = b.select("title_clean", b_block, *keep)
-    kept = ()
+    kept: list = []
     if persist_inputs:
         # Both sides are read three to four times below (exact join, anti-join, keys,
         # join-back); cache the narrow cleaned projections instead of re-scanning.
         a = a.persist(StorageLevel.MEMORY_AND_DISK)
         rb = rb.persist(StorageLevel.MEMORY_AND_DISK)
-        kept = (a, rb)
+        kept += [a, rb]
     ex = exact_link(a, rb, a_block, b_block)
     un = unmatched(a, ex)
     cands, best, fz = fuzzy_link(un, rb, a_block, b_block, order_col, max_dist, floor, cell_rows, prune,
-                                 broadcast_rows=broadcast_rows)
+                                 broadcast_rows=broadcast_rows, cached=kept)
     linked = ex.unionByName(fz, allowMissingColumns=True)
     # J9: unmatched rows without a fuzzy partner (NULL titles stay unlinked).
     hit = best.select(F.col("a_t").alias("title_clean"), F.col("blk").alias(a_block))
     unl = un.join(hit, on=["title_clean", a_block], how="left_anti")
-    return LinkResult(ex, un, cands, best, fz, linked, unl, kept)
+    return LinkResult(ex, un, cands, best, fz, linked, unl, tuple(kept))
 
 
 # ------------------------------------------------------------------ J8

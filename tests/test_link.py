@@ -151,3 +151,38 @@ def test_brute_force_reference(spark):
     res = run_link(spark, left, right)
     assert rows(res.exact, "a_id", "b_id") == sorted(exact)
     assert rows(res.fuzzy, "a_id", "b_id") == sorted(fuzzy)
+
+
+@pytest.mark.parametrize("cell_rows", [3, 50])
+def test_grid_join_path_equals_broadcast_path(spark, cell_rows):
+    """Force the sort-merge grid path (hot keys split into cells) and compare."""
+    rnd = random.Random(23)
+    lt, rt = _random_titles(rnd, 150)
+    left = [(i, t, 2000 + i % 2, 5.0) for i, t in enumerate(lt)]
+    right = [(100 + i, t, 2000 + i % 2, 5.0) for i, t in enumerate(rt + lt[:15])]
+    a = spark.createDataFrame(left, A_SCHEMA)
+    b = spark.createDataFrame(right, B_SCHEMA)
+    kw = dict(b_cols=["b_id", "b_norm"])
+    grid = J.link(a, b, "year", "release_year", "b_id", broadcast_rows=0, cell_rows=cell_rows, **kw)
+    bcast = J.link(a, b, "year", "release_year", "b_id", **kw)
+    assert rows(grid.candidates, "a_t", "b_t") == rows(bcast.candidates, "a_t", "b_t")
+    assert rows(grid.linked, "a_id", "b_id", "match_type") == rows(bcast.linked, "a_id", "b_id", "match_type")
+
+
+def test_result_does_not_depend_on_partition_count(spark):
+    rnd = random.Random(31)
+    lt, rt = _random_titles(rnd, 80)
+    left = [(i, t, 1999, 5.0) for i, t in enumerate(lt)]
+    right = [(100 + i, t, 1999, 5.0) for i, t in enumerate(rt)]
+    out = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            a = spark.createDataFrame(left, A_SCHEMA).repartition(int(n))
+            b = spark.createDataFrame(right, B_SCHEMA).repartition(int(n))
+            res = J.link(a, b, "year", "release_year", "b_id", b_cols=["b_id", "b_norm"])
+            out.append(rows(res.linked, "a_id", "b_id", "match_type"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
