@@ -84,11 +84,14 @@ def _with_bag(df: DataFrame, t: str, prefix: str) -> DataFrame:
     """Per-title counts per character group as plain int columns, so the pair bound is
     small arithmetic inside whole-stage codegen."""
     col = F.col(t)
-    cols = {f"{prefix}{k}": F.length(col) - F.length(F.regexp_replace(col, "[" + g + "]", ""))
+    # coalesce(.., 0) makes the counts non-nullable, which keeps the generated pair
+    # condition small (no null branches), so the JIT compiles it sooner.
+    cols = {f"{prefix}{k}": F.coalesce(F.length(col) - F.length(F.regexp_replace(col, "[" + g + "]", "")),
+                                       F.lit(0))
             for k, g in enumerate(BAG_GROUPS)}
     df = df.withColumns(cols)
     known = sum((F.col(n) for n in cols), F.lit(0))
-    return df.withColumn(f"{prefix}x", F.length(col) - known)
+    return df.withColumn(f"{prefix}x", F.coalesce(F.length(col) - known, F.lit(0)))
 
 
 def _bag_overlap(pa: str, pb: str) -> Column:
@@ -133,8 +136,9 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
     """
     spark = u_keys.sparkSession
     c = F.col
-    la = u_keys.select("a_t", "blk", F.length("a_t").alias("a_len"))
-    lb = b_keys.select(c("b_t"), c("blk").alias("r_blk"), "b_ord", F.length("b_t").alias("b_len"))
+    la = u_keys.select("a_t", "blk", F.coalesce(F.length("a_t"), F.lit(0)).alias("a_len"))
+    lb = b_keys.select(c("b_t"), c("blk").alias("r_blk"), "b_ord",
+                       F.coalesce(F.length("b_t"), F.lit(0)).alias("b_len"))
     if prune:
         la = _with_bag(la, "a_t", "a_c").withColumn("band", _band(c("a_len"), max_dist))
         lb = _with_bag(lb, "b_t", "b_c").withColumn("r_band", _band(c("b_len"), max_dist))
