@@ -66,3 +66,44 @@ def test_cutoff_is_exact_below_the_threshold():
                 assert fast == full
             else:
                 assert fast >= cut
+
+
+def _textbook_jaro(x, y, floor):
+    """Direct transcription of the definition: scan the whole window for each character."""
+    if x == y:
+        return 1.0
+    lx, ly = len(x), len(y)
+    if not lx or not ly:
+        return 0.0
+    w = max(0, max(lx, ly) // 2 - 1)
+    used = [False] * ly
+    xm = []
+    for i in range(lx):
+        for j in range(max(0, i - w), min(ly, i + w + 1)):
+            if not used[j] and x[i] == y[j]:
+                used[j] = True
+                xm.append(x[i])
+                break
+    if not xm:
+        return 0.0
+    ym = [y[j] for j in range(ly) if used[j]]
+    k = sum(a != b for a, b in zip(xm, ym))
+    t = k // 2 if floor else k / 2
+    m = len(xm)
+    return (m / lx + m / ly + (m - t) / m) / 3
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_text = st.text(alphabet="abcé d", max_size=24)
+
+
+@settings(max_examples=400, deadline=None)
+@given(_text, _text, st.booleans())
+def test_kernel_equals_textbook_definition(x, y, floor):
+    assert jaro_similarity(x, y, floor) == pytest.approx(_textbook_jaro(x, y, floor), abs=1e-12)
+    cut = 0.12
+    fast = jaro_distance_value(x, y, floor, cutoff=cut)
+    full = jaro_distance_value(x, y, floor)
+    assert fast == full if full < cut else fast >= cut
