@@ -87,18 +87,42 @@ def t_two_sided_p(t: Column, df: Column) -> Column:
             .otherwise(F.least(_lit(1.0), F.greatest(_lit(0.0), p))))
 
 
-def t_quantile_two_sided(alpha: float, df: Column, iterations: int = 50) -> Column:
-    """q with P(|T| >= q) = alpha, by bisection on [0, 2^k] (q = t_{1-alpha/2, df})."""
+def t_density(t: Column, df: Column) -> Column:
+    """Student-t density."""
+    half = (df + _lit(1.0)) / _lit(2.0)
+    log_c = lgamma(half) - lgamma(df / _lit(2.0)) - _lit(0.5) * F.log(df * _lit(math.pi))
+    return F.exp(log_c - half * F.log1p(t * t / df))
+
+
+def _cornish_fisher(alpha: float, df: Column) -> Column:
+    """Start value for t_{1-alpha/2, df} from the normal quantile (good for df >= 3)."""
+    from statistics import NormalDist
+    z = NormalDist().inv_cdf(1.0 - alpha / 2.0)
+    g1 = (z ** 3 + z) / 4.0
+    g2 = (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96.0
+    g3 = (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384.0
+    g4 = (79 * z ** 9 + 776 * z ** 7 + 1482 * z ** 5 - 1920 * z ** 3 - 945 * z) / 92160.0
+    return _lit(z) + _lit(g1) / df + _lit(g2) / (df * df) + _lit(g3) / (df * df * df) \
+        + _lit(g4) / (df * df * df * df)
+
+
+def t_quantile_two_sided(alpha: float, df: Column, newton_steps: int = 4) -> Column:
+    """q with P(|T| >= q) = alpha (q = t_{1-alpha/2, df}).
+
+    Closed forms for df = 1 and 2; otherwise a Cornish-Fisher start refined by Newton
+    steps on the two-sided p (dp/dq = -2 f(q)), folded with ``aggregate`` so the
+    expression does not grow with the number of steps.
+    """
     df = df.cast("double")
-    hi0 = 1.0e4
-    init = F.struct(_lit(0.0).alias("lo"), _lit(hi0).alias("hi"))
-
-    def step(acc, _k):
-        mid = (acc["lo"] + acc["hi"]) / _lit(2.0)
-        too_small = t_two_sided_p(mid, df) > _lit(alpha)
-        return F.when(too_small, F.struct(mid.alias("lo"), acc["hi"].alias("hi"))) \
-            .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
-
-    res = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), init, step)
-    q = (res["lo"] + res["hi"]) / _lit(2.0)
-    return F.when(df > _lit(0.0), q)
+    one = _lit(1.0 - alpha)
+    q1 = F.tan(_lit(math.pi / 2.0) * one)
+    q2 = one * F.sqrt(_lit(2.0) / (_lit(1.0) - one * one))
+
+    def step(q, _k):
+        return q + (t_two_sided_p(q, df) - _lit(alpha)) / (_lit(2.0) * t_density(q, df))
+
+    newton = F.aggregate(F.sequence(F.lit(1), F.lit(newton_steps)), _cornish_fisher(alpha, df), step)
+    return (F.when(df.isNull() | (df <= _lit(0.0)), F.lit(None).cast("double"))
+            .when(df == _lit(1.0), q1)
+            .when(df == _lit(2.0), q2)
+            .otherwise(newton))

@@ -75,12 +75,13 @@ def ttest_1samp(df: DataFrame, col: str = "rating_diff", mu: float = 0.0,
         "t": F.try_divide(F.col("mean") - F.lit(float(mu)), se),
     })
     if with_p:
-        q = t_quantile_two_sided(1.0 - conf, F.col("df"))
+        # q in its own column: both CI ends read it, the expression is built once.
+        out = out.withColumn("_q", t_quantile_two_sided(1.0 - conf, F.col("df")))
         out = out.withColumns({
             "p_value": t_two_sided_p(F.col("t"), F.col("df")),
-            "ci_lo": F.col("mean") - q * F.col("se"),
-            "ci_hi": F.col("mean") + q * F.col("se"),
-        })
+            "ci_lo": F.col("mean") - F.col("_q") * F.col("se"),
+            "ci_hi": F.col("mean") + F.col("_q") * F.col("se"),
+        }).drop("_q")
     return out
 
 
