@@ -14,11 +14,18 @@ from __future__ import annotations
 
 import math
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+# Ship this module's code with the UDF (pickle by value), so Python workers need no
+# import path to the package: executors only need pandas and pyarrow.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def jaro_similarity(x: str, y: str, floor: bool = False, min_sim: float | None = None) -> float:
     """Jaro similarity. With ``min_sim``, a pair that provably cannot reach it (too many
