@@ -18,9 +18,9 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 # Ship this module's code with the UDF (pickle by value), so Python workers need no
 # import path to the package: executors only need pandas and pyarrow.
@@ -110,3 +110,22 @@ def jaro_distance(x: Column, y: Column, floor: bool = False, digits: int | None
     if key not in _UDFS:
         _UDFS[key] = _make_udf(floor, digits, cutoff)
     return _UDFS[key](x, y)
+
+
+def pairs_under(pairs: DataFrame, a_col: str, b_col: str, max_dist: float,
+                floor: bool = False, digits: int | None = 12) -> DataFrame:
+    """Rows of ``pairs`` whose Jaro distance is below ``max_dist``, with a ``dist`` column.
+
+    One ``mapInPandas`` pass over Arrow batches: the distance is computed once per pair
+    (with the early exit above ``max_dist``) and rejected pairs never return to the JVM.
+    """
+    schema = StructType(list(pairs.schema.fields) + [StructField("dist", DoubleType(), True)])
+
+    def keep_close(batches):
+        for pdf in batches:
+            dist = [jaro_distance_value(x, y, floor, digits, max_dist)
+                    for x, y in zip(pdf[a_col], pdf[b_col])]
+            pdf = pdf.assign(dist=pd.Series(dist, index=pdf.index, dtype="float64"))
+            yield pdf[pdf["dist"] < max_dist]
+
+    return pairs.mapInPandas(keep_close, schema)

@@ -23,7 +23,7 @@ Scale plan:
   codegen'd arithmetic, so only survivors (~10 %) reach the Arrow UDF;
 * join strategy by a checked size: distinct right titles up to ``broadcast_rows`` are
   broadcast and the left titles hash-partitioned by (title, block) - a hot block is
-  spread over all tasks and the best-match aggregation needs no further shuffle;
+  spread over all tasks and only one partial best per left title is shuffled after;
   beyond that a sort-merge join on (block, band, grid cell) where each key is cut into
   ``sa`` x ``sb`` cells of at most ``cell_rows`` titles per side;
 * the best match per left title is a partial (map-side) ``min_by`` aggregation.
@@ -38,7 +38,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jaro import jaro_distance
+from ..functions.jaro import pairs_under
 from ..functions.scalars import normalize_title
 
 # The reference's fuzzy threshold (strict "<") and tags.
@@ -143,8 +143,8 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
 
     Strategy, chosen by a checked size: when the distinct right titles number at most
     ``broadcast_rows`` they are broadcast and the left titles are hash-partitioned by
-    (a_t, blk), which spreads a hot block evenly and is the partitioning the best-match
-    aggregation needs (no further shuffle). Beyond that, a sort-merge join on
+    (a_t, blk), which spreads a hot block evenly over the tasks. Beyond that, a
+    sort-merge join on
     (block, band, grid cell): each (block, band) key is cut into ``sa`` x ``sb`` cells
     of at most ``cell_rows`` titles per side, so no key's pairs land on one task.
     """
@@ -204,11 +204,10 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
 
 # ------------------------------------------------------------------ J4 + J5
 def best_match(pairs: DataFrame, max_dist: float = MAX_DIST, floor: bool = False) -> DataFrame:
-    """Distance per candidate pair, then the best right title per left (title, block)."""
-    scored = pairs.withColumn("dist", jaro_distance(F.col("a_t"), F.col("b_t"), floor=floor,
-                                                    cutoff=max_dist))
-    under = scored.where(F.col("dist") < F.lit(max_dist))
-    return (under.groupBy("a_t", "blk")
+    """Pairs under ``max_dist`` (J4, one Python pass), then the best right title per
+    left (title, block) by (distance, order): a partial (map-side) ``min_by``."""
+    close = pairs_under(pairs, "a_t", "b_t", max_dist, floor)
+    return (close.groupBy("a_t", "blk")
             .agg(F.min_by(F.struct("b_t", "b_ord", "dist"), F.struct("dist", "b_ord")).alias("m"))
             .select("a_t", "blk", F.col("m.b_t").alias("b_t"), F.col("m.b_ord").alias("b_ord"),
                     F.col("m.dist").alias("dist")))

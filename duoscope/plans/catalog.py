@@ -211,8 +211,7 @@ def q_fuzzy_pairs(spark, d):
     The Spark side prunes with the lossless bounds first, so equality with the
     unpruned SQL also checks that no pair was lost."""
     res = l_link(spark, d)
-    scored = res.candidates.withColumn("dist", J.jaro_distance(F.col("a_t"), F.col("b_t"), floor=True))
-    return scored.where(F.col("dist") < F.lit(J.MAX_DIST))
+    return J.pairs_under(res.candidates, "a_t", "b_t", J.MAX_DIST, floor=True)
 
 
 @register("best_match", LINK_CTE + " SELECT * FROM best")

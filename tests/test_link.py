@@ -56,7 +56,6 @@ def test_threshold_is_strict():
     base = (string.ascii_lowercase + string.digits + "ABCDEFGHIJKLMN")[:50]
     assert len(set(base)) == 50
     # 41 of 50 matches, no transpositions -> similarity 0.88 exactly -> distance 0.12
-    assert J.jaro_distance  # noqa: B018 (imported for the UDF path in the next test)
     from duoscope.functions.jaro import jaro_distance_value
     assert jaro_distance_value(base, _with_replacements(base, 9)) == 0.12
     assert jaro_distance_value(base, _with_replacements(base, 8)) < 0.12
