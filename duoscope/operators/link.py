@@ -176,7 +176,10 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
     if cached is not None:
         cached.append(lb)
     if lb.count() <= broadcast_rows:
-        ls = la.repartition(n, "a_t", "blk")
+        # Explicit count on keys that only exist after the band explode: the optimizer
+        # cannot fold it into the upstream distinct's exchange, and AQE cannot coalesce
+        # the fan-out (join + Jaro) stage into a few tasks because its input is small.
+        ls = la.repartition(n, "a_t", "blk", "band")
         pairs = ls.join(F.broadcast(lb), keys_eq & bound, "inner")
         return pairs.select("a_t", "blk", "b_t", "b_ord")
 
