@@ -147,7 +147,6 @@ def fmt_ci(lo: ColumnOrName, hi: ColumnOrName) -> Column:
 
 
 # D9 -------------------------------------------------------------------------
-_NUMERIC = ("double", "float", "decimal", "int", "bigint", "smallint", "tinyint")
 
 
 def round_numeric(df, digits: int = 2):

@@ -2,7 +2,6 @@ import random
 import string
 
 import pytest
-from pyspark.sql import functions as F
 
 from duoscope.operators import link as J
 
