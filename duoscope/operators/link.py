@@ -135,18 +135,19 @@ def _parallelism(spark) -> int:
 # ------------------------------------------------------------------ J3
 def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX_DIST,
                      cell_rows: int = 1024, prune: bool = True,
-                     broadcast_rows: int = 200_000, cached: list | None = None) -> DataFrame:
+                     broadcast_rows: int = 200_000, cached: list | None = None,
+                     broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Candidate (a_t, b_t) pairs of one block that may be closer than ``max_dist``.
 
     ``u_keys``: (a_t, blk) distinct left titles; ``b_keys``: (b_t, blk, b_ord).
     With ``prune=False`` every pair of the block is returned (test reference).
 
     Strategy, chosen by a checked size: when the distinct right titles number at most
-    ``broadcast_rows`` they are broadcast and the left titles are hash-partitioned by
-    (a_t, blk), which spreads a hot block evenly over the tasks. Beyond that, a
-    sort-merge join on
-    (block, band, grid cell): each (block, band) key is cut into ``sa`` x ``sb`` cells
-    of at most ``cell_rows`` titles per side, so no key's pairs land on one task.
+    ``broadcast_rows`` and take at most ``broadcast_bytes`` they are broadcast and the
+    left titles are hash-partitioned by (a_t, blk, band), which spreads a hot block
+    evenly over the tasks. Beyond that, a sort-merge join on (block, band, grid cell):
+    each (block, band) key is cut into ``sa`` x ``sb`` cells of at most ``cell_rows``
+    titles per side, so no key's pairs land on one task.
     """
     spark = u_keys.sparkSession
     c = F.col
@@ -172,10 +173,16 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
     keys_eq = (c("blk") == c("r_blk")) & (c("band") == c("r_band"))
 
     # The size check materialises the right-side features once; the join reuses them.
+    # Broadcast only when both the row count and the approximate bytes (title text plus
+    # the fixed-width features) are measured under their bounds.
     lb = lb.persist(StorageLevel.MEMORY_AND_DISK)
     if cached is not None:
         cached.append(lb)
-    if lb.count() <= broadcast_rows:
+    size = lb.agg(F.count(F.lit(1)).alias("n"),
+                  F.sum(F.octet_length("b_t")).alias("text_bytes")).first()
+    n_rows, text_bytes = size["n"], size["text_bytes"] or 0
+    approx_bytes = text_bytes + n_rows * 8 * (len(BAG_GROUPS) + 6)
+    if n_rows <= broadcast_rows and approx_bytes <= broadcast_bytes:
         # Explicit count on keys that only exist after the band explode: the optimizer
         # cannot fold it into the upstream distinct's exchange, and AQE cannot coalesce
         # the fan-out (join + Jaro) stage into a few tasks because its input is small.
