@@ -243,8 +243,9 @@ def fuzzy_link(u: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col
     picked = best.select(c("a_t").alias("_a_t"), c("blk").alias("_a_blk"),
                          c("b_t").alias("_p_t"), c("b_ord").alias("_p_ord"))
     picked = picked.join(rb, (c("_p_t") == c("_b_t")) & (c("_a_blk") == c("_b_blk"))
-                         & (c("_p_ord") == c(order_col)))
-    picked = picked.select("_a_t", "_a_blk", *right_payload)
+                         & c("_p_ord").eqNullSafe(c(order_col)))
+    # One right row per left title even if the order value repeats (identical rows).
+    picked = picked.select("_a_t", "_a_blk", *right_payload).dropDuplicates(["_a_t", "_a_blk"])
     left_payload = [x for x in u.columns if x != title]
     fz = (u.join(picked, (c(title) == c("_a_t")) & (c(a_block) == c("_a_blk")))
            .select(*left_payload, *right_payload)
@@ -259,17 +260,26 @@ def prepare_sides(a: DataFrame, b: DataFrame, a_title: str = "title", b_title: s
             b.withColumn("title_clean", normalize_title(F.col(b_title))))
 
 
-def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
+AUTO_ORDER = "_b_order"
+
+
+def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str | None,
          b_cols: list[str] | None = None, max_dist: float = MAX_DIST, floor: bool = False,
          cell_rows: int = 1024, prune: bool = True, broadcast_rows: int = 200_000,
          persist_inputs: bool = False) -> LinkResult:
     """Two-stage link of left ``a`` and right ``b``; both need ``title_clean``.
 
     ``b_cols``: right payload columns to carry (C8 projection; default all right
-    columns). ``order_col`` is the right tie-break (file order in the reference);
-    it should be unique per right row.
+    columns). ``order_col`` is the right tie-break (file order in the reference); it
+    should be unique per right row. ``None`` orders by all right columns instead
+    (deterministic; identical right rows are interchangeable, one is kept).
     """
     keep = b_cols if b_cols is not None else [c for c in b.columns if c not in ("title_clean", b_block)]
+    auto = order_col is None
+    if auto:
+        order_col = AUTO_ORDER
+        cols = set(keep) | {"title_clean", b_block}
+        b = b.withColumn(AUTO_ORDER, F.struct(*[F.col(x) for x in b.columns if x in cols]))
     if order_col not in keep:
         keep = [order_col] + list(keep)
     clash = (set(keep) & set(a.columns)) - {"title_clean"}
@@ -287,6 +297,9 @@ def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
     un = unmatched(a, rb, a_block, b_block)
     cands, best, fz = fuzzy_link(un, rb, a_block, b_block, order_col, max_dist, floor, cell_rows, prune,
                                  broadcast_rows=broadcast_rows, cached=kept)
+    if auto:
+        ex, fz = ex.drop(AUTO_ORDER), fz.drop(AUTO_ORDER)
+        best = best.withColumn("b_ord", F.to_json("b_ord"))
     linked = ex.unionByName(fz, allowMissingColumns=True)
     # J9: unmatched rows without a fuzzy partner (NULL titles stay unlinked).
     hit = best.select(F.col("a_t").alias("title_clean"), F.col("blk").alias(a_block))

@@ -184,3 +184,15 @@ def test_result_does_not_depend_on_partition_count(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert out[0] == out[1]
+
+
+def test_without_order_column_ties_are_deterministic(spark):
+    a = spark.createDataFrame([(1, "abcdefghij", 2000, 7.0)], A_SCHEMA)
+    b = spark.createDataFrame([(12, "abcdefghiX", 2000, 5.0), (11, "abcdefghiY", 2000, 6.0),
+                               (11, "abcdefghiY", 2000, 6.0)], B_SCHEMA)
+    res = J.link(a, b, "year", "release_year", None, b_cols=["b_id", "b_norm"])
+    got = rows(res.linked, "a_id", "b_id", "match_type")
+    # both candidates are equally close; ordered by all right columns in frame order
+    # (b_id first), the duplicated row 11 wins once
+    assert got == [(1, 11, "fuzzy")]
+    assert "_b_order" not in res.linked.columns
