@@ -20,7 +20,9 @@ Scale plan:
   band apart; the left side is replicated to the neighbouring bands) and splits hot
   blocks by length;
 * a character-group bag bound on the Jaro similarity runs inside the join condition as
-  codegen'd arithmetic, so only survivors (~10 %) reach the Arrow UDF;
+  codegen'd arithmetic, so only survivors (~10 %) reach the Python kernel
+  (one ``mapInPandas`` pass that computes the distance and drops pairs at or above
+  the threshold);
 * join strategy by a checked size: distinct right titles up to ``broadcast_rows`` are
   broadcast and the left titles hash-partitioned by (title, block) - a hot block is
   spread over all tasks and only one partial best per left title is shuffled after;
