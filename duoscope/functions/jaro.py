@@ -3,8 +3,8 @@
 Spark has no Jaro built-in, so the kernel is a small per-pair Python helper run inside
 Arrow batches (``pairs_under``: one ``mapInPandas`` pass that also drops pairs at
 or above the threshold; ``jaro_distance``: a ``pandas_udf`` column). The operator in
-``operators/link.py`` only sends it candidate
-pairs that survived the lossless length and character-bag bounds.
+``operators/link.py`` only sends it candidate pairs that survived the lossless length
+and character-bag bounds.
 
 Definition: match window ``max(0, max(|x|, |y|) // 2 - 1)``; greedy left-to-right
 matching; ``k`` = matched characters out of order; transpositions ``k / 2``
