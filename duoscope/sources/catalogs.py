@@ -78,7 +78,7 @@ def read_catalog(spark: SparkSession, path: str, columns: Mapping[str, tuple[str
     missing = [src for src, _ in columns.values() if src not in raw.columns]
     if missing:
         raise ValueError(f"{source} catalogue lacks columns {missing}")
-    cols = [_typed(src, t).alias(name) if fmt == "csv" else F.col(f"`{src}`").cast(t).alias(name)
+    cols = [_typed(src, t).alias(name) if fmt == "csv" else F.col(f"`{src}`").try_cast(t).alias(name)
             for name, (src, t) in columns.items()]
     if order_col:
         # Each CSV file is one partition under multiLine, so this id grows in file order.
@@ -98,6 +98,10 @@ def read_catalog_b(spark: SparkSession, path: str, columns=RIGHT_COLUMNS, fmt: s
 
 
 def convert_to_parquet(df: DataFrame, out_path: str, mode: str = "overwrite") -> str:
-    """Write a catalogue once as Parquet (splittable, columnar, predicate pushdown)."""
+    """Write a catalogue once as Parquet (splittable, columnar, predicate pushdown).
+
+    For the right catalogue convert the frame from ``read_catalog_b`` (it already
+    carries the file-order ``b_id``), so the tie-break survives the conversion.
+    """
     df.write.mode(mode).parquet(out_path)
     return out_path

@@ -74,3 +74,13 @@ def test_gate_enforced_raises_on_duplicates(spark, tmp_path):
                      "Heat,1995-02-01,Drama,70,80,20,Rotten,1,1\n")
     with pytest.raises(QualityGateError):
         X.run(S.read_catalog_a(spark, str(left)), S.read_catalog_b(spark, str(right)), X.RunConfig())
+
+
+def test_parquet_round_trip(spark, paths, tmp_path):
+    raw = S._csv_reader(spark).csv(paths[0])
+    out = S.convert_to_parquet(raw, str(tmp_path / "left.parquet"))
+    from_csv = sorted((r.title, r.year_text, r.rating_a) for r in S.read_catalog_a(spark, paths[0]).collect())
+    from_pq = S.read_catalog_a(spark, out, fmt="parquet").collect()
+    assert len(from_pq) == len(from_csv)
+    assert {r.year_text for r in from_pq} >= {"1994", "PG"}
+    assert sum(r.rating_a is None for r in from_pq) == 1  # 'NA' stayed missing, typed by try_cast
