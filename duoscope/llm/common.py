@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 
 from duoscope.session import ensure_checkpoint_dir
@@ -84,3 +85,35 @@ def blocks(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
         yield i, min(j, n)
         i = j
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Of batches whose rows are sorted by ``keys``: the rows of one key at a time.
+
+    Holds one batch and one key's rows.
+    """
+    rest: list[pa.Table] = []
+
+    def key_of(table: pa.Table, i: int) -> tuple:
+        return tuple(table[k][i].as_py() for k in keys)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        if rest and key_of(rest[0], 0) != key_of(table, 0):
+            yield pa.concat_tables(rest)
+            rest = []
+        edge = np.zeros(table.num_rows, bool)
+        for k in keys:
+            column = table[k].combine_chunks()
+            edge[1:] |= np.asarray(pa.compute.not_equal(column[1:], column[:-1]))
+        cuts = [0, *np.flatnonzero(edge).tolist(), table.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if b < table.num_rows:
+                yield pa.concat_tables([*rest, table.slice(a, b - a)])
+                rest = []
+            else:
+                rest.append(table.slice(a, b - a))
+    if rest:
+        yield pa.concat_tables(rest)

@@ -21,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from duoscope.llm.common import prepare, pick

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duoscope.llm import decontaminate, langmix, tokens
+from duoscope.llm import decontaminate, langmix, minhash, mixing, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,15 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.over_limit(tokens.token_counts(_table(spark, sf_dir, "documents"), tokenizer_path()))
 
@@ -66,5 +75,7 @@ FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"
 QUERIES = {
     "op2_language_mixture": (op2_language_mixture, None),
     "op3_decontaminate": (op3_decontaminate, OP3_SQL),
+    "op5_mix_sources": (op5_mix_sources, None),
+    "op8_near_duplicates": (op8_near_duplicates, None),
     "op9_token_counts": (op9_token_counts, None),
 }
