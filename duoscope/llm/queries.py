@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duoscope.llm import decontaminate, langmix, minhash, mixing, tokens
+from duoscope.llm import decontaminate, langmix, linechunks, minhash, mixing, quality, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linechunks.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    return out.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -44,6 +49,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.over_limit(tokens.token_counts(_table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "distance2")
+
+
 #: Windows of ten words of each item, and where they occur. The word pattern's ASCII part is
 #: written out; DuckDB's regular expressions work on characters, as the operator's contract does.
 OP3_SQL = r"""
@@ -72,10 +83,34 @@ SELECT doc_id, CAST(len(w) AS bigint) AS n_words, CAST(coalesce(n_hit, 0) AS big
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
 
+#: Chunks end after a line whose rolling hash (this line's and 31 times the line's before) is 0
+#: modulo 4, and at the end; of equal chunks of two lines or more the first stays.
+OP7_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i, line, n, CAST('0x' || substr(md5(line), 1, 8) AS bigint) % 2147483648 AS h
+  FROM (SELECT doc_id, len(l) AS n, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
+ends AS (
+  SELECT doc_id, i, line, i = n OR (h + coalesce(lag(h) OVER d, 0) * 31 % 2147483648) % 4 = 0 AS last
+  FROM lines WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (
+  SELECT doc_id, i, line, coalesce(sum(CAST(last AS int)) OVER (PARTITION BY doc_id ORDER BY i
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM ends),
+chunks AS (
+  SELECT doc_id, c, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM numbered GROUP BY doc_id, c),
+judged AS (SELECT *, n >= 2 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, c) > 1 AS gone FROM chunks)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(
+         string_agg(chunk, chr(10) ORDER BY c) FILTER (WHERE NOT gone), '') END AS text,
+       CAST(coalesce(sum(n), 0) AS bigint) AS n_lines,
+       CAST(coalesce(sum(n) FILTER (WHERE gone), 0) AS bigint) AS n_removed
+FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id, d.text"""
+
 QUERIES = {
     "op2_language_mixture": (op2_language_mixture, None),
     "op3_decontaminate": (op3_decontaminate, OP3_SQL),
     "op5_mix_sources": (op5_mix_sources, None),
+    "op7_line_chunks": (op7_line_chunks, OP7_SQL),
     "op8_near_duplicates": (op8_near_duplicates, None),
     "op9_token_counts": (op9_token_counts, None),
+    "op10_quality_rules": (op10_quality_rules, None),
 }
