@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from duoscope.session import ensure_checkpoint_dir
 
@@ -55,6 +55,12 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def measured(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """To be broadcast if it is counted to have at most ``rows``; otherwise the join shuffles."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named input columns under internal names: others cannot clash with ours."""
     return df.select(*[df[f"`{name}`"].alias(alias) for alias, name in columns.items()])

@@ -15,11 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from duoscope.llm.common import cut, pick
+from duoscope.llm.common import cut, measured, pick
 
 MEAN, SPAN, MIN_LINES = 4, 2, 2
 _LIMIT = 1 << 31
-BROADCAST_ROWS = 200_000
 
 
 def _line_hash(line: Column) -> Column:
@@ -50,18 +49,12 @@ def chunks() -> Column:
         F.array_join(F.slice("lines", begin(k) + 1, e - begin(k)), "\n").alias("chunk")))
 
 
-def _measured(df: DataFrame) -> DataFrame:
-    """To be broadcast if it is counted to be small; otherwise the join shuffles."""
-    df = cut(df)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def repeats(docs: DataFrame, mean: int = MEAN, span: int = SPAN, min_lines: int = MIN_LINES) -> DataFrame:
     """id, th (hash of text), gone: sorted (place, n) of the chunks to remove, where there are any."""
     d = chunked(docs.where("text IS NOT NULL").withColumn("th", F.xxhash64("text")), mean, span)
     c = (d.select("id", "th", F.explode(chunks()).alias("c")).where(F.col("c.n") >= min_lines)
          .select("id", "th", "c.place", "c.n", "c.chunk", F.xxhash64("c.chunk").alias("ch")))
-    often = _measured(c.groupBy("ch").agg(F.count("*").alias("times")).where("times > 1").select("ch"))
+    often = measured(c.groupBy("ch").agg(F.count("*").alias("times")).where("times > 1").select("ch"))
     c = cut(c.join(often, "ch", "left_semi"))
     at = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "place")
     first = cut(c.groupBy("ch", "chunk").agg(F.min(at).alias("first")))
@@ -81,7 +74,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     removed.
     """
     gone = repeats(pick(docs, id=id_col, text=text_col), mean, span, min_lines)
-    gone = _measured(gone.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("gone").alias("__gone")))
+    gone = measured(gone.select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("gone").alias("__gone")))
     ident, text = docs[f"`{id_col}`"], docs[f"`{text_col}`"]
     d = docs.join(gone, ident.eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__th")), "left")
     d = d.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.split(text, "\n")))

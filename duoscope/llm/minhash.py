@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from duoscope.llm import words as W
-from duoscope.llm.common import blocks, cut, pick, prepare, runs, utf8
+from duoscope.llm.common import blocks, cut, measured, pick, prepare, runs, utf8
 
 SHINGLE, HASHES, ROWS = 3, 128, 4
 PERCENT = 85            # links: 100 * |A and B| >= PERCENT * |A or B|
@@ -213,11 +213,9 @@ def _sets(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> Data
                 "node": batch["node"], "items": pa.array([s.tobytes() for s in sets], pa.binary()),
             }).filter(pa.array(mine, pa.bool_()))
 
-    # measured: a small set of classes is broadcast, a large one shuffled with the texts
-    chosen = cut(chosen)
-    small = chosen.count() <= BROADCAST_ROWS
     # a repeated id can bring texts of other classes (dropped by key) or the same one twice
-    return (docs.join(F.broadcast(chosen) if small else chosen, docs["id"].eqNullSafe(chosen["rep"]))
+    chosen = measured(chosen, BROADCAST_ROWS)
+    return (docs.join(chosen, docs["id"].eqNullSafe(chosen["rep"]))
             .select("node", "key", "text")
             .mapInArrow(run, "node long, items binary").dropDuplicates(["node"]))
 

@@ -25,7 +25,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 KEEP, STEPS, MIN_GROUP = 0.75, 5, 25
 REWEIGHT, CUTOFF = 0.975, 1 - 1e-9
 #: Standard deviations below which a statistic's scatter is not taken seriously.
-FLOORS = (0.06, 0.06, 0.08, 0.06)
+FLOORS = (0.06, 0.06, 0.15, 0.12)
 _WS = r"[\x20\x09-\x0D]+"
 _P = len(FLOORS)
 _X = [f"x{i}" for i in range(_P)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duoscope.llm import decontaminate, langmix, linechunks, minhash, mixing, quality, tokens
+from duoscope.llm import decontaminate, langmix, linechunks, minhash, mixing, pagediff, quality, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagediff.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -108,6 +112,7 @@ FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id, d.
 QUERIES = {
     "op2_language_mixture": (op2_language_mixture, None),
     "op3_decontaminate": (op3_decontaminate, OP3_SQL),
+    "op4_page_differencing": (op4_page_differencing, None),
     "op5_mix_sources": (op5_mix_sources, None),
     "op7_line_chunks": (op7_line_chunks, OP7_SQL),
     "op8_near_duplicates": (op8_near_duplicates, None),
