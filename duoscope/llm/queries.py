@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from duoscope.llm import decontaminate, langmix, linechunks, minhash, mixing, pagediff, quality, tokens
+from duoscope.llm import chaining, decontaminate, langmix, linechunks, minhash, mixing, pagediff, quality, surrogates, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,15 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: Of the registered query only; a caller brings a key of their own.
+PII_KEY = b"key of the registered query"
+
+
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = surrogates.replace_pii(_table(spark, sf_dir, "documents"), PII_KEY)
+    return out.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), "entities")
+
+
 def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = langmix.languages(docs, langmix.train(docs))
@@ -39,6 +48,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linechunks.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
     return out.select("doc_id", "text", "n_lines", "n_removed")
@@ -110,10 +123,12 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(
 FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id, d.text"""
 
 QUERIES = {
+    "op1_pii_surrogates": (op1_pii_surrogates, None),
     "op2_language_mixture": (op2_language_mixture, None),
     "op3_decontaminate": (op3_decontaminate, OP3_SQL),
     "op4_page_differencing": (op4_page_differencing, None),
     "op5_mix_sources": (op5_mix_sources, None),
+    "op6_repeated_passages": (op6_repeated_passages, None),
     "op7_line_chunks": (op7_line_chunks, OP7_SQL),
     "op8_near_duplicates": (op8_near_duplicates, None),
     "op9_token_counts": (op9_token_counts, None),
