@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from duoscope.llm import chaining, decontaminate, langmix, linechunks, minhash, mixing, pagediff, quality, surrogates, tokens
 
 
@@ -133,4 +134,5 @@ QUERIES = {
     "op8_near_duplicates": (op8_near_duplicates, None),
     "op9_token_counts": (op9_token_counts, None),
     "op10_quality_rules": (op10_quality_rules, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

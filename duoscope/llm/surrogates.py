@@ -43,7 +43,9 @@ GIVEN = {
 SYLLABLES = {"Latin": "ba ber can dor el far gan hal ker lin mar nor pel ras sen tor val wen zel mon",
              "Cyrillic": "ба вер гор дан жел зим кар лов мир нов пет рас сол тур фед чер",
              "Greek": "βα γερ δαν καλ λιν μαρ νικ παπ ρασ σταμ τσικ φωτ"}
-ENDINGS = {"Latin": "", "Cyrillic": "ин", "Greek": "ος"}
+#: Endings of family names, masculine and feminine; the real name's last letter tells which.
+ENDINGS = {"Latin": ("", ""), "Cyrillic": ("ин", "ина"), "Greek": ("ος", "ου")}
+_FEMININE = {"Latin": "", "Cyrillic": "ая", "Greek": "αάηήυού"}
 
 _TITLE_GENDER = {t: g for g, names in TITLES.items() for t in names.split()}
 _UPPER = "A-ZÀ-ÖØ-ÞĀ-ŽΑ-ΩΆ-ΏА-ЯЁ"
@@ -207,7 +209,8 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
             names = " ".join(GIVEN[script, g] for g in pools).split()
             return names[s.below(len(names))].casefold()
         parts = SYLLABLES[script].split()
-        return "".join(parts[s.below(len(parts))] for _ in range(2 + attempt // 4 + s.below(2))) + ENDINGS[script]
+        return "".join(parts[s.below(len(parts))] for _ in range(2 + attempt // 4 + s.below(2))) + (
+            ENDINGS[script][norm[-1] in _FEMININE[script]] if kind == "family" else "")
     return "".join(str(s.below(10)) if c.isdigit() else c for c in norm)
 
 
