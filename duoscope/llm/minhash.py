@@ -10,10 +10,12 @@
 3. Each class keeps the link with most common bands; signature agreement (a loose bound), then
    the full shingle sets decide. Components of the confirmed links come from alternating
    large-star and small-star steps.
-4. A bucket whose classes all lie in one component is done. In the others every pair of
-   classes of different components is still compared: bucket members are dealt out in cells
-   of about ``CELL`` x ``CELL``, signatures are compared within a cell, only pairs that may pass
-   are emitted, and the full sets decide. So no link is lost but by banding's 1e-10.
+4. Classes that share any bucket lie in one component of the unconfirmed links. Where such a
+   group holds one component of confirmed links only, it is done. In the others every pair of
+   classes of different components is still compared: members are dealt out in cells of
+   about ``CELL`` x ``CELL`` with their full sets, one pass over a cell's shingles gives a
+   class's intersections with all the others, and a cell emits the links that join components,
+   at most one per class. So no link is lost but by banding's 1e-10.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from duoscope.llm.common import blocks, cut, measured, pick, prepare, runs, utf8
 
 SHINGLE, HASHES, ROWS = 3, 128, 4
 PERCENT = 85            # links: 100 * |A and B| >= PERCENT * |A or B|
-CELL = 128
+CELL = 256
 BROADCAST_ROWS = 100_000       # of about 50 bytes
 SEED = 20240301
 
@@ -184,7 +186,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, hash
     likely = cut(pairs.select("a", "b").join(side["a"], "a").join(side["b"], "b").mapInArrow(may, "a long, b long"))
     if likely.isEmpty():
         return likely
-    sets = _sets(likely, classes, docs, k)
+    sets = _sets(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, docs, k)
     both = (likely.join(sets.withColumnsRenamed({"node": "b", "items": "items_b"}), "b")
             .join(sets.withColumnsRenamed({"node": "a", "items": "items_a"}), "a"))
 
@@ -200,10 +202,9 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, hash
     return both.mapInArrow(sure, "a long, b long")
 
 
-def _sets(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """node, items (sorted hashes) of the classes that occur in pairs, from one text of each."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = classes.join(needed, "node", "left_semi").select("node", "key", "rep")
+def _sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """node, items (sorted hashes) of the classes ``node``, from one text of each."""
+    chosen = classes.join(nodes, "node", "left_semi").select("node", "key", "rep")
 
     def run(batches):
         for batch in batches:
@@ -220,67 +221,76 @@ def _sets(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> Data
             .mapInArrow(run, "node long, items binary").dropDuplicates(["node"]))
 
 
-def rest_pairs(classes: DataFrame, linked: DataFrame, labels: DataFrame, hashes: int, rows: int,
+def rest_links(classes: DataFrame, docs: DataFrame, star: DataFrame, labels: DataFrame, k: int,
                percent: float, cell: int = CELL) -> DataFrame:
-    """Pairs of a common bucket that lie in different components and may pass by signature."""
-    nodes = linked.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    named = (classes.join(nodes, "node", "left_semi").select("node", "n", "sig")
-             .join(labels, "node", "left")
-             .withColumn("label", F.coalesce("root", "node")).drop("root"))
-
-    def banded(batches):
-        for batch in batches:
-            if batch.num_rows:
-                keys = band_hashes(_signatures(batch["sig"], hashes), rows)
-                yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(keys.reshape(-1)),
-                    "node": pa.array(np.repeat(batch["node"].to_numpy(), keys.shape[1])),
-                    "label": pa.array(np.repeat(batch["label"].to_numpy(), keys.shape[1]))})
-
-    member = named.select("node", "label", "sig").mapInArrow(banded, "bucket long, node long, label long")
-    per_label = member.groupBy("bucket", "label").agg(F.count("*").alias("m"))
-    open_ = (per_label.groupBy("bucket").agg(F.sum("m").alias("total"), F.max(F.struct("m", "label")).alias("big"),
-                                             F.count("*").alias("labels"))
+    """Links a, b between components of confirmed links (``labels``) that share a group of ``star``."""
+    groups = components(star)
+    roots = groups.select(F.col("root").alias("node"), "root").distinct()
+    member = (groups.union(roots).withColumnRenamed("root", "grp").join(labels, "node", "left")
+              .select("grp", "node", F.coalesce("root", "node").alias("label")))
+    per_label = member.groupBy("grp", "label").agg(F.count("*").alias("m"))
+    open_ = (per_label.groupBy("grp").agg(F.sum("m").alias("total"), F.max(F.struct("m", "label")).alias("big"),
+                                          F.count("*").alias("labels"))
              .where("labels > 1")
-             .select("bucket", F.col("big.label").alias("big"),
-                     F.ceil(F.col("big.m") / cell).cast("int").alias("nb"),
+             .select("grp", F.col("big.label").alias("big"), F.ceil(F.col("big.m") / cell).cast("int").alias("nb"),
                      F.ceil((F.col("total") - F.col("big.m")) / cell).cast("int").alias("no")))
-    # the largest component of a bucket meets the others' cells, the others also one another
+    member = cut(member.join(open_, "grp"))
+    if member.isEmpty():
+        return member.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    # the largest component of a group meets the others' cells, the others also one another
     part = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
-    dealt = (member.join(open_, "bucket")
+    dealt = (member
              .withColumn("mine", F.when(F.col("label") == F.col("big"), part(F.col("nb"))).otherwise(part(F.col("no"))))
              .withColumn("cells", F.expr("""
                  IF(label = big,
                     transform(sequence(0, no - 1), j -> struct(0 AS kind, mine AS x, j AS y)),
                     concat(transform(sequence(0, nb - 1), i -> struct(0 AS kind, i AS x, mine AS y)),
                            transform(sequence(0, no - 1), j -> struct(1 AS kind, least(j, mine) AS x, greatest(j, mine) AS y))))"""))
-             .select("bucket", "node", "label", F.explode("cells").alias("c"))
-             .select("bucket", "c.kind", "c.x", "c.y", "node"))
-    dealt = dealt.join(named, "node")
-    least = loose(percent, hashes)
+             .select("grp", "node", "label", (F.col("label") == F.col("big")).alias("in_big"), F.explode("cells").alias("c"))
+             .select("grp", "c.kind", "c.x", "c.y", "node", "label", "in_big"))
+    dealt = dealt.join(_sets(member.select("node"), classes, docs, k), "node")
 
     def compare(batches):
-        for group in runs(batches, ["bucket", "kind", "x", "y"]):
-            node, label = group["node"].to_numpy(), group["label"].to_numpy()
-            n = group["n"].to_numpy()
-            sig = _signatures(group["sig"].combine_chunks(), hashes)
-            a, b = [], []
-            for i in range(len(node) - 1):
-                ok = ((sig[i + 1:] == sig[i]).mean(1) >= least) & (label[i + 1:] != label[i])
-                ok &= 100 * np.minimum(n[i + 1:], n[i]) >= percent * np.maximum(n[i + 1:], n[i])
-                other = node[i + 1:][ok]
-                a.append(np.minimum(other, node[i]))
-                b.append(np.maximum(other, node[i]))
-            if a:
-                yield pa.RecordBatch.from_pydict({"a": pa.array(np.concatenate(a), pa.int64()),
-                                                  "b": pa.array(np.concatenate(b), pa.int64())})
+        for group in runs(batches, ["grp", "kind", "x", "y"]):
+            a, b = joining_links(group["node"].to_numpy(), group["label"].to_numpy(),
+                                 np.asarray(group["in_big"]), group["items"].combine_chunks(), percent)
+            if len(a):
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = ["bucket", "kind", "x", "y"]
+    key = ["grp", "kind", "x", "y"]
     return (dealt.repartition(parts, *key).sortWithinPartitions(*key, "node")
             .mapInArrow(compare, "a long, b long").distinct())
 
 
+def joining_links(node: np.ndarray, label: np.ndarray, in_big: np.ndarray, items: pa.Array, percent: float):
+    """Links that join different labels in one cell: every pair is judged until its labels are one.
+
+    Members of the cell's largest component are not compared with one another.
+    """
+    raw, off = utf8(items)
+    _, ids = np.unique(raw.view(np.uint64), return_inverse=True)
+    off = off // 8
+    size = np.diff(off)
+    now = np.unique(label, return_inverse=True)[1]
+    mark = np.zeros(int(ids.max()) + 1, bool)
+    a, b = [], []
+    for i in np.flatnonzero(~in_big).tolist():
+        apart = now != now[i]
+        if not apart.any():
+            break
+        mine = ids[off[i]:off[i + 1]]
+        mark[mine] = True
+        common = np.add.reduceat(mark[ids], off[:-1], dtype=np.int64)
+        mark[mine] = False
+        for j in np.flatnonzero(apart & (100 * common >= percent * (size + size[i] - common))).tolist():
+            if now[j] != now[i]:
+                a.append(int(min(node[i], node[j])))
+                b.append(int(max(node[i], node[j])))
+                now[now == now[j]] = now[i]
+    return a, b
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root of every node with a link; root is the smallest node of its component.
 
@@ -327,8 +337,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (-F.col("x.a")).alias("a"), "b")
     first = cut(verified(best, classes, docs, shingle, hashes, percent))
     labels = components(first)
-    more = rest_pairs(classes, star, labels, hashes, rows, percent)
-    second = verified(more, classes, docs, shingle, hashes, percent)
+    second = rest_links(classes, docs, star, labels, shingle, percent)
     labels = components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
     named = classes.select("node", "key", "rep").join(labels, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
