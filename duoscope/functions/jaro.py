@@ -1,8 +1,10 @@
 """Jaro similarity / distance (plain Jaro: no common-prefix bonus).
 
-Spark has no Jaro built-in, so the kernel is a small per-pair Python helper run inside
-Arrow batches (``pairs_under``: one ``mapInPandas`` pass that also drops pairs at
-or above the threshold; ``jaro_distance``: a ``pandas_udf`` column). The operator in
+Spark has no Jaro built-in, so the kernel runs inside Arrow batches (``pairs_under``: one
+``mapInPandas`` pass that also drops pairs at or above the threshold; ``jaro_distance``: a
+``pandas_udf`` column). ``batch_distance`` handles all pairs of a batch at once: each right
+title is a 64-bit mask of places per character, and the loop runs over character positions,
+not over pairs. Pairs with a title of more than 64 characters go to the per-pair helper. The operator in
 ``operators/link.py`` only sends it candidate pairs that survived the lossless length
 and character-bag bounds.
 
@@ -18,6 +20,7 @@ import math
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -92,26 +95,165 @@ def jaro_distance_value(x: str | None, y: str | None, floor: bool = False,
     return round(d, digits) if digits is not None else d
 
 
-def _make_udf(floor: bool, digits: int | None, cutoff: float | None):
+def _codes(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, one row per text, padded with 0; lengths)."""
+    size = np.array([len(t) for t in texts], np.int64)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    out = np.zeros((len(texts), width), np.uint32)
+    out[np.arange(width) < size[:, None]] = flat
+    return out, size
+
+
+def batch_distance(xs, ys, floor: bool = False, digits: int | None = 12) -> np.ndarray:
+    """1 - Jaro similarity of each pair of titles; NaN where either is missing."""
+    n = len(xs)
+    out = np.full(n, np.nan)
+    some = [i for i in range(n) if isinstance(xs[i], str) and isinstance(ys[i], str)]
+    short = [i for i in some if len(xs[i]) <= 64 and len(ys[i]) <= 64]
+    fits = set(short)
+    for i in some:
+        if i not in fits:
+            out[i] = jaro_distance_value(xs[i], ys[i], floor, digits)
+    for at in range(0, len(short), 4096):
+        rows = short[at:at + 4096]
+        out[rows] = _short_distance([xs[i] for i in rows], [ys[i] for i in rows], floor, digits)
+    return out
+
+
+def _short_distance(xs: list[str], ys: list[str], floor: bool, digits: int | None) -> np.ndarray:
+    width = max(1, max(map(len, xs), default=0), max(map(len, ys), default=0))
+    (x, lx), (y, ly) = _codes(xs, width), _codes(ys, width)
+    # characters numbered from 0 as they occur in this batch
+    seen = np.zeros(max(int(x.max()), int(y.max())) + 1, bool)
+    seen[x], seen[y] = True, True
+    number = np.cumsum(seen) - 1
+    x, y, n_chars = number[x], number[y], int(number[-1]) + 1
+    pairs, one = np.arange(len(xs)), np.uint64(1)
+    # places[p, c]: bit j is set where y[j] is character c
+    places = np.zeros((len(xs), n_chars), np.uint64)
+    for j in range(width):
+        live = j < ly
+        places[pairs[live], y[live, j]] |= one << np.uint64(j)
+    window = np.maximum(0, np.maximum(lx, ly) // 2 - 1)
+    used = np.zeros(len(xs), np.uint64)
+    hit = np.zeros((len(xs), width), bool)
+    for i in range(width):
+        lo, hi = np.maximum(i - window, 0), np.minimum(i + window, 63)
+        # bits lo .. hi, written so that no shift reaches 64
+        reach = ((one << np.minimum(lo, 63).astype(np.uint64)) - one) ^ (((one << hi.astype(np.uint64)) - one) | (one << hi.astype(np.uint64)))
+        free = places[pairs, x[:, i]] & ~used & reach
+        free[(i >= lx) | (lo > 63)] = 0
+        first = free & (~free + one)            # the first free place
+        used |= first
+        hit[:, i] = first != 0
+    m = hit.sum(1)
+    taken = (used[:, None] >> np.arange(width, dtype=np.uint64)) & one == one
+    # the r-th matched character of either side, side by side
+    sides = []
+    for chars, mask in ((x, hit), (y, taken)):
+        p, i = np.nonzero(mask)
+        rank = (np.cumsum(mask, 1) - 1)[p, i]
+        side = np.full((len(xs), width), -1)
+        side[p, rank] = chars[p, i]
+        sides.append(side)
+    k = (sides[0] != sides[1]).sum(1)
+    t = k // 2 if floor else k / 2.0
+    return (m / lx + m / ly + (m - t) / m) / 3.0
+
+
+def jaro_distance_value(x: str | None, y: str | None, floor: bool = False,
+                        digits: int | None = 12, cutoff: float | None = None) -> float | None:
+    """1 - Jaro similarity. With ``cutoff``, distances that cannot be below it may be
+    reported as 1.0 (callers that only keep ``dist < cutoff`` lose nothing)."""
+    if x is None or y is None:
+        return None
+    min_sim = None if cutoff is None else 1.0 - cutoff
+    d = 1.0 - jaro_similarity(x, y, floor, min_sim)
+    return round(d, digits) if digits is not None else d
+
+
+def _codes(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, one row per text, padded with 0; lengths)."""
+    size = np.array([len(t) for t in texts], np.int64)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    out = np.zeros((len(texts), width), np.uint32)
+    out[np.arange(width) < size[:, None]] = flat
+    return out, size
+
+
+def batch_distance(xs, ys, floor: bool = False, digits: int | None = 12) -> np.ndarray:
+    """1 - Jaro similarity of each pair of titles; NaN where either is missing."""
+    n = len(xs)
+    out = np.full(n, np.nan)
+    some = [i for i in range(n) if isinstance(xs[i], str) and isinstance(ys[i], str)]
+    short = [i for i in some if len(xs[i]) <= 64 and len(ys[i]) <= 64]
+    fits = set(short)
+    for i in some:
+        if i not in fits:
+            out[i] = jaro_distance_value(xs[i], ys[i], floor, digits)
+    for at in range(0, len(short), 4096):
+        rows = short[at:at + 4096]
+        out[rows] = _short_distance([xs[i] for i in rows], [ys[i] for i in rows], floor, digits)
+    return out
+
+
+def _short_distance(xs: list[str], ys: list[str], floor: bool, digits: int | None) -> np.ndarray:
+    width = max(1, max(map(len, xs), default=0), max(map(len, ys), default=0))
+    (x, lx), (y, ly) = _codes(xs, width), _codes(ys, width)
+    # characters numbered from 0 as they occur in this batch
+    seen = np.zeros(max(int(x.max()), int(y.max())) + 1, bool)
+    seen[x], seen[y] = True, True
+    number = np.cumsum(seen) - 1
+    x, y, n_chars = number[x], number[y], int(number[-1]) + 1
+    pairs, one = np.arange(len(xs)), np.uint64(1)
+    # places[p, c]: bit j is set where y[j] is character c
+    places = np.zeros((len(xs), n_chars), np.uint64)
+    for j in range(width):
+        live = j < ly
+        places[pairs[live], y[live, j]] |= one << np.uint64(j)
+    window = np.maximum(0, np.maximum(lx, ly) // 2 - 1)
+    used = np.zeros(len(xs), np.uint64)
+    hit = np.zeros((len(xs), width), bool)
+    for i in range(width):
+        lo, hi = np.maximum(i - window, 0), np.minimum(i + window, 63)
+        # bits lo .. hi, written so that no shift reaches 64
+        reach = ((one << np.minimum(lo, 63).astype(np.uint64)) - one) ^ (((one << hi.astype(np.uint64)) - one) | (one << hi.astype(np.uint64)))
+        free = places[pairs, x[:, i]] & ~used & reach
+        free[(i >= lx) | (lo > 63)] = 0
+        first = free & (~free + one)            # the first free place
+        used |= first
+        hit[:, i] = first != 0
+    m = hit.sum(1)
+    taken = (used[:, None] >> np.arange(width, dtype=np.uint64)) & one == one
+    # matched characters of both sides in their order, side by side
+    order_x, order_y = np.argsort(~hit, axis=1, kind="stable"), np.argsort(~taken, axis=1, kind="stable")
+    same = np.take_along_axis(x, order_x, 1) == np.take_along_axis(y, order_y, 1)
+    k = (~same & (np.arange(width) < m[:, None])).sum(1)
+    t = k // 2 if floor else k / 2.0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        sim = (m / lx + m / ly + (m - t) / m) / 3.0
+    sim = np.where(m == 0, 0.0, sim)
+    sim[[a == b for a, b in zip(xs, ys)]] = 1.0
+    return np.round(1.0 - sim, digits) if digits is not None else 1.0 - sim
+
+
+def _make_udf(floor: bool, digits: int | None):
     @F.pandas_udf(DoubleType())
     def _jaro_dist(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series([jaro_distance_value(x, y, floor, digits, cutoff) for x, y in zip(xs, ys)],
-                         dtype="float64")
+        return pd.Series(batch_distance(list(xs), list(ys), floor, digits)).replace({np.nan: None}).astype("float64")
     return _jaro_dist
 
 
 _UDFS: dict = {}
 
 
-def jaro_distance(x: Column, y: Column, floor: bool = False, digits: int | None = 12,
-                  cutoff: float | None = None) -> Column:
+def jaro_distance(x: Column, y: Column, floor: bool = False, digits: int | None = 12) -> Column:
     """1 - Jaro similarity as a vectorised (Arrow) UDF column, rounded to ``digits``
-    so float noise cannot flip a threshold test or a tie. ``cutoff``: see
-    ``jaro_distance_value`` (exact below the cutoff, early exit above it)."""
-    key = (floor, digits, cutoff)
+    so float noise cannot flip a threshold test or a tie. NULL where a title is NULL."""
+    key = (floor, digits)
     if key not in _UDFS:
-        _UDFS[key] = _make_udf(floor, digits, cutoff)
-    return _UDFS[key](x, y)
+        _UDFS[key] = _make_udf(floor, digits)
+    return F.nanvl(_UDFS[key](x, y), F.lit(None).cast("double"))
 
 
 def pairs_under(pairs: DataFrame, a_col: str, b_col: str, max_dist: float,
@@ -119,15 +261,13 @@ def pairs_under(pairs: DataFrame, a_col: str, b_col: str, max_dist: float,
     """Rows of ``pairs`` whose Jaro distance is below ``max_dist``, with a ``dist`` column.
 
     One ``mapInPandas`` pass over Arrow batches: the distance is computed once per pair
-    (with the early exit above ``max_dist``) and rejected pairs never return to the JVM.
+    and rejected pairs never return to the JVM.
     """
     schema = StructType(list(pairs.schema.fields) + [StructField("dist", DoubleType(), True)])
 
     def keep_close(batches):
         for pdf in batches:
-            dist = [jaro_distance_value(x, y, floor, digits, max_dist)
-                    for x, y in zip(pdf[a_col], pdf[b_col])]
-            pdf = pdf.assign(dist=pd.Series(dist, index=pdf.index, dtype="float64"))
+            pdf = pdf.assign(dist=batch_distance(pdf[a_col].tolist(), pdf[b_col].tolist(), floor, digits))
             yield pdf[pdf["dist"] < max_dist]
 
     return pairs.mapInPandas(keep_close, schema)

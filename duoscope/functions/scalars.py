@@ -52,11 +52,10 @@ def normalize_title(c: ColumnOrName) -> Column:
 
 # C5 -------------------------------------------------------------------------
 def release_year(c: ColumnOrName) -> Column:
-    """Year of a date, timestamp or ISO date text; unparsable text gives NULL."""
-    head = F.substring(_c(c).cast("string"), 1, 10)
-    d = F.coalesce(F.try_to_date(head, "yyyy-MM-dd"),
-                   F.try_to_date(head, "yyyy/MM/dd"))
-    return F.year(d)
+    """Year of a date, timestamp or date text (year-month-day or year/month/day, padded or
+    not, trailing text ignored); anything else gives NULL."""
+    head = F.regexp_extract(_c(c).cast("string"), r"^\s*(\d{4}([-/])\d{1,2}\2\d{1,2})", 1)
+    return F.year(F.try_to_date(F.replace(head, F.lit("/"), F.lit("-")), "yyyy-M-d"))
 
 
 # C7 -------------------------------------------------------------------------
@@ -120,7 +119,7 @@ def safe_log10(c: ColumnOrName) -> Column:
 
 
 # D7 -------------------------------------------------------------------------
-# Strength cut points of |r| (strictly below each).
+# Strength cut points of |r| (strictly below each) and their texts.
 CORR_CUTS = (0.2, 0.4, 0.6, 0.8)
 CORR_LABELS = ("very weak correlation", "weak correlation", "moderate correlation",
                "strong correlation", "very strong correlation")
@@ -162,10 +161,9 @@ def round_numeric(df, digits: int = 2):
 
 # D10 ------------------------------------------------------------------------
 def num_text(c: ColumnOrName, digits: int = 2) -> Column:
-    """Number as R pastes it after round(): no trailing '.0'."""
-    # "+ 0.0" turns a rounded -0.0 into 0.0 so it prints as "0".
-    s = (F.round(_c(c).cast("double"), digits) + F.lit(0.0)).cast("string")
-    return F.regexp_replace(s, r"\.0$", "")
+    """Rounded half-even, as plain decimal text: no exponent, no trailing zeros."""
+    s = F.bround(_c(c).cast("double"), digits).cast(f"decimal(38,{max(digits, 1)})").cast("string")
+    return F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
 
 
 def thousands(c: ColumnOrName) -> Column:
@@ -175,9 +173,10 @@ def thousands(c: ColumnOrName) -> Column:
 
 def point_label(title: ColumnOrName, year: ColumnOrName,
                 parts: Sequence[tuple[str, ColumnOrName]], sep: str = " / ") -> Column:
-    """'title (year) / a: x / b: y ...' with each value rounded to 2 digits."""
+    """'title (year) / a: x / b: y ...'; values of named columns rounded to 2 digits, Column
+    values taken as the text they are."""
     head = F.concat(_c(title), F.lit(" ("), _c(year).cast("string"), F.lit(")"))
-    items = [head] + [F.concat(F.lit(f"{name}: "), num_text(v)) for name, v in parts]
+    items = [head] + [F.concat(F.lit(f"{name}: "), num_text(v) if isinstance(v, str) else v) for name, v in parts]
     return F.concat_ws(sep, *items)
 
 

@@ -9,27 +9,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import num_text, point_label, sign_class
+from .stats import quantiles, value_counts
 
 
 # G1 -------------------------------------------------------------------------
 def histogram(df: DataFrame, col: str, bins: int = 15, lo: float = 0.0, hi: float = 10.0) -> DataFrame:
     """Counts in ``bins`` equal bins centred on lo .. hi (width (hi-lo)/(bins-1)),
-    right-closed, values outside [lo, hi] dropped; empty bins reported with 0.
+    right-closed, values outside [lo, hi] dropped; empty bins reported with 0. ``mean`` is
+    the mean of all non-missing values (the chart's line), repeated on each bin.
 
     Binning is one projection + a partial aggregation; the ``range(bins)`` side of the
-    outer join is ``bins`` rows.
+    outer join is ``bins`` rows, the window runs over bins.
     """
     w = (hi - lo) / (bins - 1)
     x = F.col(col).cast("double")
     k = F.least(F.greatest(F.ceil((x - F.lit(lo)) / F.lit(w) - F.lit(0.5)), F.lit(0)), F.lit(bins - 1))
-    inside = x.isNotNull() & ~F.isnan(x) & (x >= F.lit(lo)) & (x <= F.lit(hi))
-    counts = df.where(inside).groupBy(k.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
+    counts = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(F.when(inside, k.cast("long")).alias("b"))
+              .agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("s")))
     grid = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    out = grid.join(counts, "bin", "left").select(
+    every = Window.partitionBy(F.lit(0))
+    out = grid.join(counts, F.col("bin") == F.col("b"), "full").withColumn(
+        "mean", F.sum("s").over(every) / F.sum("n").over(every)).where("bin IS NOT NULL")
+    return out.select(
         "bin",
         (F.lit(lo) + F.col("bin") * F.lit(w)).alias("center"),
-        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("count"))
-    return out.orderBy("bin")
+        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("count"), "mean").orderBy("bin")
 
 
 # G2-G4 ----------------------------------------------------------------------
@@ -40,17 +45,30 @@ def ols(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataFrame:
                  F.regr_r2(y, x).alias("r2"), F.regr_count(y, x).alias("n"))
 
 
-# G5, G11, G12 ---------------------------------------------------------------
+# G4, G5, G11, G12 -----------------------------------------------------------
+def _sampled(df: DataFrame, sample: float | None, seed: int) -> DataFrame:
+    return df if sample is None else df.sample(fraction=sample, seed=seed)
+
+
 def scatter_points(df: DataFrame, x: str, y: str, color: str | None = None,
-                   title: str = "title", year: str = "year",
-                   label_parts: Sequence[tuple[str, str]] | None = None) -> DataFrame:
-    """Non-NULL (x, y) points with a hover label; all rows, as in the reference."""
+                   title: str = "title", year: str = "year", label_parts=None,
+                   sample: float | None = None, seed: int = 1) -> DataFrame:
+    """Non-NULL (x, y) points with a hover label; all rows, as in the reference, unless the
+    caller asks for a ``sample``. ``label_parts``: (name, column name or text Column)."""
     parts = label_parts if label_parts is not None else [(x, x), (y, y)]
     cols = [F.col(x).alias("x"), F.col(y).alias("y")]
     if color:
         cols.append(F.col(color).alias("color"))
-    cols.append(point_label(F.col(title), F.col(year), [(n, F.col(c)) for n, c in parts]).alias("label"))
-    return df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*cols)
+    cols.append(point_label(F.col(title), F.col(year), parts).alias("label"))
+    return _sampled(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*cols), sample, seed)
+
+
+def scatter_panels(df: DataFrame, pairs: Sequence[tuple[str, str]], title: str = "title", year: str = "year",
+                   sample: float | None = None, seed: int = 1) -> DataFrame:
+    """The points of several (x, y) charts from one pass over the rows, tagged ``panel``."""
+    panels = [F.struct(F.lit(f"{a}~{b}").alias("panel"), F.col(b).cast("double").alias("x"), F.col(a).cast("double").alias("y"),
+                       point_label(F.col(title), F.col(year), [(a, a), (b, b)]).alias("label")) for a, b in pairs]
+    return _sampled(df.select(F.inline(F.array(*panels))).where("x IS NOT NULL AND y IS NOT NULL"), sample, seed)
 
 
 # G6, G7 ---------------------------------------------------------------------
@@ -58,30 +76,23 @@ def box_stats(df: DataFrame, by: str, col: str, levels: Sequence[str] | None = N
     """Box-plot summary per group: quartiles (linear, type 7), whiskers at the most
     extreme values within 1.5 IQR of the box, and the outlier count.
 
-    Quartiles come from Spark's exact ``percentile`` (map-side value->count buffers,
-    merged; memory follows distinct values per group, not rows); the whisker pass is
-    a second aggregation joined on the small per-group quartile table.
-    ``levels`` maps the key to a fixed order; values outside become the NULL group.
+    The base rows are read once, into counts of (group, value); quartiles, whiskers and
+    outliers come from those. ``levels`` maps the key to a fixed order; values outside
+    become the NULL group.
     """
-    v = F.col(col)
     key = F.when(F.col(by).isin(list(levels)), F.col(by)) if levels is not None else F.col(by)
-    base = df.select(key.alias("grp"), v.alias("v")).where(F.col("v").isNotNull())
-    q = base.groupBy("grp").agg(
-        F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-        F.count(F.lit(1)).alias("n"))
-    q = q.select(F.col("grp").alias("q_grp"), "n", F.col("q")[0].alias("q1"),
-                 F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    counts = value_counts(df.select(key.alias("grp"), F.col(col).alias("v")), "v", "grp")
+    q = quantiles(counts, (0.25, 0.5, 0.75)).select(
+        F.col("grp").alias("q_grp"), F.col("n").alias("rows"), F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumns({"lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    fences = q.select(F.col("q_grp").alias("f_grp"), "lo_fence", "hi_fence")
-    j = base.join(fences, F.col("grp").eqNullSafe(F.col("f_grp")))
     inside = (F.col("v") >= F.col("lo_fence")) & (F.col("v") <= F.col("hi_fence"))
-    w = j.groupBy(F.col("f_grp").alias("w_grp")).agg(
+    out = counts.join(q, F.col("grp").eqNullSafe(F.col("q_grp"))).groupBy(
+        "q_grp", F.col("rows").alias("n"), "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("v"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_hi"),
-        F.count_if(~inside).alias("n_outliers"))
-    out = q.join(w, F.col("q_grp").eqNullSafe(F.col("w_grp"))).select(
-        F.col("q_grp").alias(by), "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers")
+        F.coalesce(F.sum(F.when(~inside, counts["n"])), F.lit(0)).cast("long").alias("n_outliers"))
+    out = out.withColumnRenamed("q_grp", by)
     if levels is not None:
         pos = F.array_position(F.array(*[F.lit(lv) for lv in levels]), F.col(by)).cast("int")
         out = out.withColumn("level_ord", F.when(pos > 0, pos))

@@ -27,21 +27,26 @@ Scale plan:
   broadcast and the left titles hash-partitioned by (title, block) - a hot block is
   spread over all tasks and only one partial best per left title is shuffled after;
   beyond that a sort-merge join on (block, band, grid cell) where each key is cut into
-  ``sa`` x ``sb`` cells of at most ``cell_rows`` titles per side;
+  ``sa`` x ``sb`` cells of at most ``cell_rows`` titles per side; the cell counts (one row
+  per block and band) are broadcast if counted to be few, so a hot key is salted
+  before its rows are shuffled;
+* the parts of a ``LinkResult`` are built when first asked for: the exact stage never runs
+  the size check of the fuzzy stage. Frames that several parts read are checkpointed in
+  the cluster's shared folder, not cached;
 * the best match per left title is a partial (map-side) ``min_by`` aggregation.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jaro import pairs_under
 from ..functions.scalars import normalize_title
+from ..session import cut_lineage
 
 # The reference's fuzzy threshold (strict "<") and tags.
 MAX_DIST = 0.12
@@ -55,21 +60,50 @@ BAG_GROUPS = tuple("etaoinshrdlucmwfgypb") + (" ", "vkjxqz", "0123456789")
 SLACK = 1e-9
 
 
-@dataclass
 class LinkResult:
-    exact: DataFrame
-    unmatched: DataFrame
-    candidates: DataFrame
-    best: DataFrame
-    fuzzy: DataFrame
-    linked: DataFrame
-    unlinked: DataFrame
-    persisted: tuple = ()
+    """The parts of a two-stage link, each built when first asked for."""
 
-    def release(self) -> None:
-        """Drop the cached inputs (after the results have been written or collected)."""
-        for df in self.persisted:
-            df.unpersist()
+    def __init__(self, a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
+                 hide: tuple[str, ...], **fuzzy):
+        self._a, self._b, self._blocks, self._order, self._hide = a, b, (a_block, b_block), order_col, hide
+        self._options = fuzzy
+
+    @cached_property
+    def exact(self) -> DataFrame:
+        return exact_link(self._a, self._b, *self._blocks).drop(*self._hide)
+
+    @cached_property
+    def unmatched(self) -> DataFrame:
+        return unmatched(self._a, self._b, *self._blocks)
+
+    @cached_property
+    def _fuzzy_parts(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        # candidates, best and unlinked rows all start from the unmatched ones
+        un = cut_lineage(self.unmatched)
+        return (un, *fuzzy_link(un, self._b, *self._blocks, self._order, **self._options))
+
+    @property
+    def candidates(self) -> DataFrame:
+        return self._fuzzy_parts[1]
+
+    @cached_property
+    def best(self) -> DataFrame:
+        best = self._fuzzy_parts[2]
+        return best.withColumn("b_ord", F.to_json("b_ord")) if self._hide else best
+
+    @cached_property
+    def fuzzy(self) -> DataFrame:
+        return self._fuzzy_parts[3].drop(*self._hide)
+
+    @cached_property
+    def linked(self) -> DataFrame:
+        return self.exact.unionByName(self.fuzzy, allowMissingColumns=True)
+
+    @cached_property
+    def unlinked(self) -> DataFrame:
+        """J9: unmatched rows without a fuzzy partner (NULL titles stay unlinked)."""
+        hit = self._fuzzy_parts[2].select(F.col("a_t").alias("title_clean"), F.col("blk").alias(self._blocks[0]))
+        return self._fuzzy_parts[0].join(hit, on=["title_clean", self._blocks[0]], how="left_anti")
 
 
 # ------------------------------------------------------------------ J1
@@ -102,8 +136,7 @@ def _with_bag(df: DataFrame, t: str, prefix: str) -> DataFrame:
     col = F.col(t)
     # coalesce(.., 0) makes the counts non-nullable, which keeps the generated pair
     # condition small (no null branches), so the JIT compiles it sooner.
-    cols = {f"{prefix}{k}": F.coalesce(F.length(col) - F.length(F.regexp_replace(col, "[" + g + "]", "")),
-                                       F.lit(0))
+    cols = {f"{prefix}{k}": F.coalesce(F.length(col) - F.length(F.translate(col, g, "")), F.lit(0))
             for k, g in enumerate(BAG_GROUPS)}
     df = df.withColumns(cols)
     known = sum((F.col(n) for n in cols), F.lit(0))
@@ -137,8 +170,8 @@ def _parallelism(spark) -> int:
 # ------------------------------------------------------------------ J3
 def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX_DIST,
                      cell_rows: int = 1024, prune: bool = True,
-                     broadcast_rows: int = 200_000, cached: list | None = None,
-                     broadcast_bytes: int = 64 << 20) -> DataFrame:
+                     broadcast_rows: int = 200_000, broadcast_bytes: int = 64 << 20,
+                     grid_rows: int = 100_000) -> DataFrame:
     """Candidate (a_t, b_t) pairs of one block that may be closer than ``max_dist``.
 
     ``u_keys``: (a_t, blk) distinct left titles; ``b_keys``: (b_t, blk, b_ord).
@@ -177,9 +210,7 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
     # The size check materialises the right-side features once; the join reuses them.
     # Broadcast only when both the row count and the approximate bytes (title text plus
     # the fixed-width features) are measured under their bounds.
-    lb = lb.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached is not None:
-        cached.append(lb)
+    lb = cut_lineage(lb)
     size = lb.agg(F.count(F.lit(1)).alias("n"),
                   F.sum(F.octet_length("b_t")).alias("text_bytes")).first()
     n_rows, text_bytes = size["n"], size["text_bytes"] or 0
@@ -193,18 +224,25 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
         return pairs.select("a_t", "blk", "b_t", "b_ord")
 
     # Grid salting of hot keys: sizes per (blk, band) are small aggregates.
+    la = cut_lineage(la)
     na = la.groupBy("blk", "band").agg(F.count(F.lit(1)).alias("na"))
     nb = lb.groupBy(c("r_blk").alias("blk"), c("r_band").alias("band")).agg(F.count(F.lit(1)).alias("nb"))
     grid = na.join(nb, ["blk", "band"]).select(
         "blk", "band",
         F.ceil(c("na") / F.lit(cell_rows)).cast("int").alias("sa"),
         F.ceil(c("nb") / F.lit(cell_rows)).cast("int").alias("sb"))
+    # One row per block and band: counted, then broadcast, so no row is shuffled on the bare
+    # key; with very many blocks (no hot ones among so many) the join shuffles.
+    grid = cut_lineage(grid)
+    few = grid.count() <= grid_rows
+    rgrid = grid.select(c("blk").alias("r_blk"), c("band").alias("r_band"), "sa", "sb")
+    if few:
+        grid, rgrid = F.broadcast(grid), F.broadcast(rgrid)
     ls = (la.join(grid, ["blk", "band"])
             .withColumn("i", F.pmod(F.xxhash64("a_t"), c("sa")).cast("int"))
             .withColumn("j", F.explode(F.sequence(F.lit(0), c("sb") - 1)))
             .drop("sa", "sb")
             .repartition(n, "blk", "band", "i", "j"))
-    rgrid = grid.select(c("blk").alias("r_blk"), c("band").alias("r_band"), "sa", "sb")
     rs = (lb.join(rgrid, ["r_blk", "r_band"])
             .withColumn("r_j", F.pmod(F.xxhash64("b_t"), c("sb")).cast("int"))
             .withColumn("r_i", F.explode(F.sequence(F.lit(0), c("sa") - 1)))
@@ -228,15 +266,14 @@ def best_match(pairs: DataFrame, max_dist: float = MAX_DIST, floor: bool = False
 # ------------------------------------------------------------------ J6
 def fuzzy_link(u: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
                max_dist: float = MAX_DIST, floor: bool = False, cell_rows: int = 1024,
-               prune: bool = True, title: str = "title_clean", broadcast_rows: int = 200_000,
-               cached: list | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+               prune: bool = True, title: str = "title_clean", broadcast_rows: int = 200_000) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Fuzzy rows for the unmatched left rows. Returns (candidates, best, fuzzy)."""
     valid_a = F.col(title).isNotNull() & (F.col(title) != "") & F.col(a_block).isNotNull()
     valid_b = F.col(title).isNotNull() & (F.col(title) != "") & F.col(b_block).isNotNull()
     u_keys = u.where(valid_a).select(F.col(title).alias("a_t"), F.col(a_block).alias("blk")).distinct()
     b_keys = (b.where(valid_b).groupBy(F.col(title).alias("b_t"), F.col(b_block).alias("blk"))
                .agg(F.min(order_col).alias("b_ord")))
-    cands = block_candidates(u_keys, b_keys, max_dist, cell_rows, prune, broadcast_rows, cached)
+    cands = block_candidates(u_keys, b_keys, max_dist, cell_rows, prune, broadcast_rows)
     best = best_match(cands, max_dist, floor)
 
     c = F.col
@@ -246,8 +283,9 @@ def fuzzy_link(u: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col
                          c("b_t").alias("_p_t"), c("b_ord").alias("_p_ord"))
     picked = picked.join(rb, (c("_p_t") == c("_b_t")) & (c("_a_blk") == c("_b_blk"))
                          & c("_p_ord").eqNullSafe(c(order_col)))
-    # One right row per left title even if the order value repeats (identical rows).
-    picked = picked.select("_a_t", "_a_blk", *right_payload).dropDuplicates(["_a_t", "_a_blk"])
+    # One right row per left title even if the order value repeats: the smallest by all columns.
+    picked = (picked.groupBy("_a_t", "_a_blk").agg(F.min(F.struct(order_col, *[x for x in right_payload if x != order_col])).alias("_r"))
+              .select("_a_t", "_a_blk", *[F.col("_r")[x].alias(x) for x in right_payload]))
     left_payload = [x for x in u.columns if x != title]
     fz = (u.join(picked, (c(title) == c("_a_t")) & (c(a_block) == c("_a_blk")))
            .select(*left_payload, *right_payload)
@@ -268,18 +306,20 @@ AUTO_ORDER = "_b_order"
 def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str | None,
          b_cols: list[str] | None = None, max_dist: float = MAX_DIST, floor: bool = False,
          cell_rows: int = 1024, prune: bool = True, broadcast_rows: int = 200_000,
-         persist_inputs: bool = False) -> LinkResult:
+         cut_inputs: bool = False, dedupe_right: bool = False) -> LinkResult:
     """Two-stage link of left ``a`` and right ``b``; both need ``title_clean``.
 
     ``b_cols``: right payload columns to carry (C8 projection; default all right
     columns). ``order_col`` is the right tie-break (file order in the reference); it
     should be unique per right row. ``None`` orders by all right columns instead
     (deterministic; identical right rows are interchangeable, one is kept).
+    ``cut_inputs`` checkpoints both narrow inputs, which are read three to four times;
+    ``dedupe_right`` keeps the first right row of each (title, block) only.
     """
     keep = b_cols if b_cols is not None else [c for c in b.columns if c not in ("title_clean", b_block)]
-    auto = order_col is None
-    if auto:
-        order_col = AUTO_ORDER
+    hide: tuple[str, ...] = ()
+    if order_col is None:
+        order_col, hide = AUTO_ORDER, (AUTO_ORDER,)
         cols = set(keep) | {"title_clean", b_block}
         b = b.withColumn(AUTO_ORDER, F.struct(*[F.col(x) for x in b.columns if x in cols]))
     if order_col not in keep:
@@ -288,25 +328,14 @@ def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str
     if clash:
         raise ValueError(f"right columns also on the left side, rename them first: {sorted(clash)}")
     rb = b.select("title_clean", b_block, *keep)
-    kept: list = []
-    if persist_inputs:
-        # Both sides are read three to four times below (exact join, anti-join, keys,
-        # join-back); cache the narrow cleaned projections instead of re-scanning.
-        a = a.persist(StorageLevel.MEMORY_AND_DISK)
-        rb = rb.persist(StorageLevel.MEMORY_AND_DISK)
-        kept += [a, rb]
-    ex = exact_link(a, rb, a_block, b_block)
-    un = unmatched(a, rb, a_block, b_block)
-    cands, best, fz = fuzzy_link(un, rb, a_block, b_block, order_col, max_dist, floor, cell_rows, prune,
-                                 broadcast_rows=broadcast_rows, cached=kept)
-    if auto:
-        ex, fz = ex.drop(AUTO_ORDER), fz.drop(AUTO_ORDER)
-        best = best.withColumn("b_ord", F.to_json("b_ord"))
-    linked = ex.unionByName(fz, allowMissingColumns=True)
-    # J9: unmatched rows without a fuzzy partner (NULL titles stay unlinked).
-    hit = best.select(F.col("a_t").alias("title_clean"), F.col("blk").alias(a_block))
-    unl = un.join(hit, on=["title_clean", a_block], how="left_anti")
-    return LinkResult(ex, un, cands, best, fz, linked, unl, tuple(kept))
+    if dedupe_right:
+        rest = [x for x in keep if x != order_col]
+        rb = (rb.groupBy("title_clean", b_block).agg(F.min(F.struct(order_col, *rest)).alias("_r"))
+              .select("title_clean", b_block, *[F.col("_r")[x].alias(x) for x in keep]))
+    if cut_inputs:
+        a, rb = cut_lineage(a), cut_lineage(rb)
+    return LinkResult(a, rb, a_block, b_block, order_col, hide, max_dist=max_dist, floor=floor,
+                      cell_rows=cell_rows, prune=prune, broadcast_rows=broadcast_rows)
 
 
 # ------------------------------------------------------------------ J8

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..functions.tdist import t_quantile_two_sided, t_two_sided_p
 
 # Normal quantile for a 95 % interval; the reference's three pairs.
@@ -26,7 +27,8 @@ def _grouped(df: DataFrame, by: Sequence[str]):
 # A1-A3 ----------------------------------------------------------------------
 def correlations(df: DataFrame, pairs=DEFAULT_PAIRS, by: Sequence[str] = (),
                  with_p: bool = True) -> DataFrame:
-    """Pearson r over pairwise-complete rows, Fisher-z 95 % CI, t, df and p.
+    """Pearson r over pairwise-complete rows, Fisher-z 95 % CI, t, df and p (NULL where a
+    column is constant or too few pairs are complete).
 
     One aggregation computes every pair; the result is then stacked to one row per
     (group, pair). n is the count of complete pairs (regr_count), not count(*).
@@ -34,7 +36,9 @@ def correlations(df: DataFrame, pairs=DEFAULT_PAIRS, by: Sequence[str] = (),
     by = list(by)
     aggs = []
     for k, (x, y) in enumerate(pairs):
-        aggs += [F.corr(x, y).alias(f"r{k}"), F.regr_count(y, x).alias(f"n{k}")]
+        # corr() itself divides by zero (an error in ANSI mode) where a column is constant
+        spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
+        aggs += [F.try_divide(F.regr_sxy(y, x), spread).alias(f"r{k}"), F.regr_count(y, x).alias(f"n{k}")]
     wide = _grouped(df, by).agg(*aggs)
     rows = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"),
                               F.col(f"r{k}").alias("r"), F.col(f"n{k}").alias("n"))
@@ -149,16 +153,66 @@ def share_at_least(df: DataFrame, col: str = "b_norm", threshold: float = 9.0) -
 
 
 # A13 ------------------------------------------------------------------------
+_BINS = 1024
+
+
+def value_counts(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
+    """grp, v, n: rows of each value (NULL and NaN left out), checkpointed.
+
+    The one pass over the base rows; it is hashed by group and value, so neither a hot
+    group nor a hot value meets in one task unaggregated.
+    """
+    v = F.col(col).cast("double")
+    base = df.select((F.col(by) if by else F.lit(0)).alias("grp"), v.alias("v")).where(v.isNotNull() & ~F.isnan(v))
+    return cut_lineage(base.groupBy("grp", "v").agg(F.count(F.lit(1)).alias("n")))
+
+
+def quantiles(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """grp, n and q0, q1, ...: exact quantiles (linear interpolation, type 7) per group.
+
+    Values are counted in 1,024 bins between each group's ends; running counts over the bins
+    tell which bins hold the wanted ranks, and only the values of those bins are put in order,
+    bin by bin. So no task sorts all the values of a group.
+    """
+    g = counts.groupBy("grp").agg(F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    ends = g.withColumnRenamed("grp", "g")
+    binned = counts.join(ends, F.col("grp").eqNullSafe(F.col("g"))).withColumn("bin", F.when(
+        F.col("hi") > F.col("lo"), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * (_BINS - 1))).otherwise(0))
+    bins = binned.groupBy("grp", "bin").agg(F.sum("n").alias("c"))
+    bins = bins.withColumn("before", F.sum("c").over(Window.partitionBy("grp").orderBy("bin")) - F.col("c"))
+    # the two ranks (from 0) around each quantile
+    at = [(F.col("total") - 1) * float(p) for p in probs]
+    ranks = g.select(F.col("grp").alias("g"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("q"), F.lit(s).alias("side"), (F.floor(x) if s == 0 else F.ceil(x)).cast("long").alias("rank"))
+        for i, x in enumerate(at) for s in (0, 1)])).alias("r")).select("g", "r.*")
+    hit = bins.join(ranks, F.col("grp").eqNullSafe(F.col("g")) & (F.col("rank") >= F.col("before"))
+                    & (F.col("rank") < F.col("before") + F.col("c")))
+    hit = hit.select(F.col("g").alias("h_grp"), F.col("bin").alias("h_bin"), "before", "q", "side", "rank")
+    wanted = hit.select("h_grp", "h_bin", "before").distinct()
+    inside = binned.join(wanted, F.col("grp").eqNullSafe(F.col("h_grp")) & (F.col("bin") == F.col("h_bin")))
+    inside = inside.withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy("grp", "bin").orderBy("v")))
+    inside = inside.select(F.col("grp").alias("i_grp"), F.col("bin").alias("i_bin"), "v", "n", "upto")
+    found = hit.join(inside, F.col("h_grp").eqNullSafe(F.col("i_grp")) & (F.col("h_bin") == F.col("i_bin"))
+                     & (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+    value = lambda i, s: F.max(F.when((F.col("q") == i) & (F.col("side") == s), F.col("v")))
+    wide = found.groupBy("h_grp").agg(*[value(i, s).alias(f"v{i}_{s}") for i in range(len(probs)) for s in (0, 1)])
+    out = g.join(wide, F.col("grp").eqNullSafe(F.col("h_grp")))
+    return out.select("grp", F.col("total").alias("n"), *[
+        (F.col(f"v{i}_0") + (F.col(f"v{i}_1") - F.col(f"v{i}_0")) * (x - F.floor(x))).alias(f"q{i}")
+        for i, x in enumerate(at)])
+
+
 def median_of(df: DataFrame, col: str = "n_reviews", approx: bool = False,
               accuracy: int = 100000) -> DataFrame:
     """Exact median (linear interpolation) and its half-even display value.
 
-    Spark's exact percentile buffers a value->count map per task and merges maps,
-    so memory follows the number of distinct values, not rows. For continuous,
-    high-cardinality columns pass ``approx=True`` (bounded-memory sketch).
+    ``approx=True``: one pass with a bounded sketch instead of ``quantiles``.
     """
-    m = (F.percentile_approx(col, 0.5, accuracy) if approx else F.median(col)).cast("double")
-    return df.agg(m.alias("median")).withColumn("median_display", F.bround("median", 0))
+    if approx:
+        out = df.agg(F.percentile_approx(col, 0.5, accuracy).cast("double").alias("median"))
+    else:
+        out = quantiles(value_counts(df, col), [0.5]).agg(F.max("q0").alias("median"))
+    return out.withColumn("median_display", F.bround("median", 0))
 
 
 # A14 ------------------------------------------------------------------------

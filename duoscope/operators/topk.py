@@ -7,36 +7,37 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_numeric
+from ..functions.scalars import num_text, round_numeric
 
+# Columns of the top-k table.
 TOP_COLUMNS = ("title", "year", "rating_a", "b_norm", "rating_diff")
 
 
 # K1, K2 ---------------------------------------------------------------------
-def kth_value(df: DataFrame, col: str, k: int, largest: bool = True):
-    """The k-th largest (smallest) non-NULL value, or None if there are no values.
+def kth_value(df: DataFrame, col: str, k: int, largest: bool = True) -> DataFrame:
+    """One row: the k-th largest (smallest) value, NULL and NaN left out; the last one if
+    there are fewer than k, NULL if there are none.
 
     ``orderBy(...).limit(k)`` plans as TakeOrderedAndProject: every task keeps its own
-    k best rows and only k rows per task travel, so no global sort or single-partition
-    window is needed. Its result is one scalar on the driver.
+    k best values and only those travel.
     """
     c = F.col(col)
     base = df.where(c.isNotNull() & ~F.isnan(c.cast("double")))
-    rows = base.select(c).orderBy(c.desc() if largest else c.asc()).limit(k).collect()
-    return rows[-1][0] if rows else None
+    rows = base.select(c.alias("v")).orderBy(F.col("v").desc() if largest else F.col("v").asc()).limit(k)
+    return rows.agg((F.min("v") if largest else F.max("v")).alias("v"))
 
 
 def top_k(df: DataFrame, col: str = "rating_diff", k: int = 5, largest: bool = True,
           columns: Sequence[str] | None = TOP_COLUMNS) -> DataFrame:
     """All rows whose value ranks within the top ``k`` — ties kept, so possibly > k rows
-    (``rank() <= k``, not ``limit k``). NULL values never rank."""
-    thr = kth_value(df, col, k, largest)
+    (``rank() <= k``, not ``limit k``). NULL values never rank.
+
+    The threshold is a scalar subquery: nothing runs while the plan is built, and its own
+    scan reads the one column.
+    """
     c = F.col(col)
-    if thr is None:
-        out = df.where(F.lit(False))
-    else:
-        out = df.where(c >= F.lit(thr)) if largest else df.where(c <= F.lit(thr))
-        out = out.where(~F.isnan(c.cast("double")))
+    thr = kth_value(df, col, k, largest).scalar()
+    out = df.where((c >= thr if largest else c <= thr) & ~F.isnan(c.cast("double")))
     if columns is not None:
         out = out.select(*columns)
     return out.orderBy(c.desc() if largest else c.asc())
@@ -64,6 +65,7 @@ def top_table(df: DataFrame, col: str = "rating_diff", k: int = 5, largest: bool
 
 
 # K4 -------------------------------------------------------------------------
+# Columns of the low-review table.
 LOW_COLUMNS = ("title", "year", "rating_a", "score_b", "n_reviews", "rating_diff")
 
 
@@ -81,45 +83,84 @@ def bucket_table(vote_stats: DataFrame, digits: int = 3, display: bool = True) -
 
 
 # K6 -------------------------------------------------------------------------
+# Columns of the full table.
 FULL_COLUMNS = ("title", "year", "primary_genre", "rating_a", "b_norm", "c_norm", "rating_diff",
                 "abs_diff", "n_reviews", "status", "votes")
 
 
-def full_table(df: DataFrame, digits: int = 2, display: bool = True) -> DataFrame:
-    cols = list(FULL_COLUMNS) + (["match_type"] if "match_type" in df.columns else [])
+def full_table(df: DataFrame, digits: int = 2, display: bool = True, keys: Sequence[str] = ()) -> DataFrame:
+    """The display table; ``keys`` are carried along (for a stable sort while browsing)."""
+    cols = list(FULL_COLUMNS) + (["match_type"] if "match_type" in df.columns else []) + list(keys)
     out = round_numeric(df.select(*cols), digits)
     return rename_display(out) if display else out
 
 
 # K7 -------------------------------------------------------------------------
-def browse(df: DataFrame, filters: Mapping[str, object] | None = None, search: str | None = None,
+def _text(df: DataFrame, col: str):
+    """The column as the table shows it: numbers as plain text."""
+    kind = dict(df.dtypes)[col]
+    if kind in ("double", "float") or kind.startswith("decimal"):
+        return num_text(col)
+    return F.col(f"`{col}`").cast("string")
+
+
+def _condition(df: DataFrame, col: str, kind: str, value):
+    c = F.col(f"`{col}`")
+    if kind == "range":
+        lo, hi = value
+        out = F.lit(True)
+        if lo is not None:
+            out = out & (c >= F.lit(lo))
+        return out & (c <= F.lit(hi)) if hi is not None else out
+    if kind == "in":
+        if isinstance(value, str):
+            raise ValueError(f"filter on {col}: 'in' takes a list of values, not one text")
+        return c.isin(list(value))
+    if kind == "contains":
+        return F.contains(F.lower(_text(df, col)), F.lit(str(value).lower()))
+    raise ValueError(f"filter on {col}: unknown kind {kind!r} (range, in, contains)")
+
+
+def browse(df: DataFrame, filters: Mapping[str, tuple[str, object]] | None = None, search: str | None = None,
            order_by: Sequence[str] = (), tie_break: Sequence[str] = (), page: int = 1,
-           size: int = 15, ascending: bool = True) -> DataFrame:
-    """Column filters (``(lo, hi)`` range or list of values), a case-insensitive global
-    search over text columns, a stable sort and one page (``offset`` + ``limit``)."""
+           size: int = 15, ascending: bool = True, hidden: Sequence[str] = (),
+           after: Sequence | None = None) -> DataFrame:
+    """One page of a table: column filters, a global search, a stable sort.
+
+    ``filters``: column -> ("range", (lo, hi)), ("in", values) or ("contains", text).
+    ``search``: case-insensitive text looked for in all displayed columns, numbers as shown;
+    ``hidden`` columns (sort keys, say) are neither searched nor returned.
+    ``page`` skips (page - 1) * size rows, which costs more the further it goes; ``after``
+    continues instead behind the sort and tie-break values of the last row seen, at the same
+    cost for any page (the keys must then have no missing values).
+    """
     out = df
-    for col, cond in (filters or {}).items():
-        c = F.col(col)
-        if isinstance(cond, tuple) and len(cond) == 2:
-            lo, hi = cond
-            if lo is not None:
-                out = out.where(c >= F.lit(lo))
-            if hi is not None:
-                out = out.where(c <= F.lit(hi))
-        elif cond:
-            out = out.where(c.isin(list(cond)))
+    for col, (kind, value) in (filters or {}).items():
+        out = out.where(_condition(df, col, kind, value))
+    shown = [c for c in df.columns if c not in hidden]
     if search:
-        needle = search.lower()
-        texts = [n for n, t in df.dtypes if t == "string"]
+        needle = F.lit(search.lower())
         hit = F.lit(False)
-        for n in texts:
-            hit = hit | F.coalesce(F.lower(F.col(n)).contains(needle), F.lit(False))
+        for n in shown:
+            hit = hit | F.coalesce(F.contains(F.lower(_text(df, n)), needle), F.lit(False))
         out = out.where(hit)
     keys = list(order_by) + [k for k in tie_break if k not in order_by]
+    if after is not None:
+        if len(after) != len(keys):
+            raise ValueError("after needs one value for each sort and tie-break column")
+        behind = F.lit(False)
+        for i, (k, v) in enumerate(zip(keys, after)):
+            same = F.lit(True)
+            for k0, v0 in zip(keys[:i], after[:i]):
+                same = same & (F.col(k0) == F.lit(v0))
+            behind = behind | (same & (F.col(k) > F.lit(v) if ascending else F.col(k) < F.lit(v)))
+        out = out.where(behind)
     if keys:
         out = out.orderBy(*[F.col(k).asc_nulls_first() if ascending else F.col(k).desc_nulls_last()
                             for k in keys])
-    return out.offset((page - 1) * size).limit(size)
+    if after is None and page > 1:
+        out = out.offset((page - 1) * size)
+    return out.limit(size).select(*[F.col(f"`{c}`") for c in shown])
 
 
 # K8 -------------------------------------------------------------------------

@@ -1,9 +1,9 @@
 """Registered queries: one Spark builder per operator, each paired with DuckDB SQL.
 
-Inputs are the fixture adapters over the given tables (F: facts, L: linkage); every
-query runs over whole tables. Oracles are written independently in SQL (window
-``row_number`` for the best match, ``rank`` for top-k, ``quantile_cont`` for boxes).
-Entries whose oracle is ``None`` have no SQL form (p-values need the t distribution).
+Inputs are the fixture adapters over the given tables (F: facts, L: linkage of page
+titles, T: whole texts); every query runs over whole tables and whole titles. Oracles are
+written independently in SQL (window ``row_number`` for the best match, ``rank`` for top-k,
+``quantile_cont`` for boxes, Simpson's rule on the density for the t distribution).
 """
 
 from __future__ import annotations
@@ -36,9 +36,8 @@ def facts_prepared(spark: SparkSession, d: str) -> DataFrame:
     return C.derive(C.clean_a(fx.facts(spark, d)))
 
 
-L_CFG = X.RunConfig(a_year_text=None, a_block="block", b_release_date=None, b_block="block",
-                    score_c="score_c", order_col="b_id", floor_transpositions=True,
-                    enforce_gate=False)
+# DuckDB's Jaro uses the floored transposition count.
+L_CFG = X.RunConfig(floor_transpositions=True, decade_min_n=5, enforce_gate=False)
 
 
 def l_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -47,7 +46,7 @@ def l_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def l_link(spark: SparkSession, d: str) -> J.LinkResult:
     a, b = l_sides(spark, d)
-    return J.link(a, b, "block", "block", "b_id", b_cols=L_CFG.b_cols, floor=True, persist_inputs=True)
+    return J.link(a, b, L_CFG.a_block, L_CFG.b_block, L_CFG.order_col, b_cols=L_CFG.b_cols, floor=True)
 
 
 def l_data(spark: SparkSession, d: str) -> DataFrame:
@@ -55,6 +54,17 @@ def l_data(spark: SparkSession, d: str) -> DataFrame:
     return X.link_and_derive(a, b, L_CFG)[0]
 
 
+def l_run(spark: SparkSession, d: str) -> dict:
+    """X1 over L with one row per title on either side: the gate is enforced and passes."""
+    left = fx.unique_titles(fx.link_left(spark, d), "a_id")
+    right = fx.unique_titles(fx.link_right(spark, d), "b_id")
+    return X.run(left, right, X.RunConfig(floor_transpositions=True, decade_min_n=5))
+
+
+def t_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return J.prepare_sides(fx.text_left(spark, d), fx.text_right(spark, d))
+
+
 F_RAW_SQL = fx.F_SQL
 YEAR_SQL = "try_cast(trunc(try_cast(year_text AS double)) AS integer)"
 FP_BASE_SQL = f"""
@@ -64,33 +74,49 @@ WHERE {YEAR_SQL} IS NOT NULL AND NOT (rating_a IS NULL OR isnan(rating_a))
 """
 FP_SQL = C.derive_sql(FP_BASE_SQL)
 
-LA_SQL = f"SELECT *, lower(trim(title)) AS title_clean FROM ({fx.L_LEFT_SQL}) l"
-LB_SQL = (f"SELECT *, lower(trim(title)) AS title_clean, score_b / 10.0 AS b_norm, "
-          f"score_c / 10.0 AS c_norm FROM ({fx.L_RIGHT_SQL}) r")
-A_COLS = "a.a_id, a.title, a.block, a.rating_a, a.votes, a.genre_list"
+def clean_title_sql(col: str) -> str:
+    return f"lower(regexp_replace({col}, '^\\s+|\\s+$', '', 'g'))"
+
+
+# DuckDB's jaro_similarity compares bytes: each non-ASCII letter of the titles becomes one
+# byte that lower-case titles do not use. Jaro needs equality only.
+def one_byte_sql(col: str) -> str:
+    return f"translate({col}, 'äçèéêíñóöüß', 'ABCDEFGHIJK')"
+
+
+A_COLS = "a.a_id, a.title, a.year, a.rating_a, a.votes, a.genre_list"
 B_COLS = "b.b_id, b.b_norm, b.c_norm, b.score_b, b.n_reviews, b.status"
-LINK_CTE = f"""
-WITH a AS ({LA_SQL}), b AS ({LB_SQL}),
+
+
+def link_cte(left: str, right: str) -> str:
+    return f"""
+WITH a AS (SELECT * EXCLUDE (year_text), {YEAR_SQL} AS year, {clean_title_sql('title')} AS title_clean
+           FROM ({left}) l WHERE {YEAR_SQL} IS NOT NULL AND rating_a IS NOT NULL),
+b AS (SELECT *, CAST(regexp_extract(release_date, '^(\\d+)-', 1) AS integer) AS release_year,
+             {clean_title_sql('title')} AS title_clean, score_b / 10.0 AS b_norm, score_c / 10.0 AS c_norm
+      FROM ({right}) r WHERE score_b IS NOT NULL AND title IS NOT NULL),
 ex AS (SELECT {A_COLS}, a.title_clean, {B_COLS}, 'exact' AS match_type
-       FROM a JOIN b ON a.title_clean = b.title_clean AND a.block = b.block),
+       FROM a JOIN b ON a.title_clean = b.title_clean AND a.year = b.release_year),
 u AS (SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.title_clean = a.title_clean)),
-uk AS (SELECT DISTINCT title_clean AS a_t, block AS blk FROM u),
-bk AS (SELECT title_clean AS b_t, block AS blk, min(b_id) AS b_ord FROM b GROUP BY 1, 2),
+uk AS (SELECT DISTINCT title_clean AS a_t, year AS blk FROM u WHERE title_clean <> ''),
+bk AS (SELECT title_clean AS b_t, release_year AS blk, min(b_id) AS b_ord FROM b WHERE title_clean <> '' GROUP BY 1, 2),
 pairs AS (SELECT uk.a_t, uk.blk, bk.b_t, bk.b_ord,
-                 round(1 - jaro_similarity(uk.a_t, bk.b_t), 12) AS dist
+                 round(1 - jaro_similarity({one_byte_sql('uk.a_t')}, {one_byte_sql('bk.b_t')}), 12) AS dist
           FROM uk JOIN bk ON uk.blk = bk.blk),
 best AS (SELECT a_t, blk, b_t, b_ord, dist FROM (
            SELECT *, row_number() OVER (PARTITION BY a_t, blk ORDER BY dist, b_ord) AS rn
            FROM pairs WHERE dist < 0.12) w WHERE rn = 1),
 fz AS (SELECT {A_COLS.replace('a.', 'u.')}, CAST(NULL AS varchar) AS title_clean, {B_COLS}, 'fuzzy' AS match_type
-       FROM u JOIN best ON u.title_clean = best.a_t AND u.block = best.blk
-              JOIN b ON b.title_clean = best.b_t AND b.block = best.blk AND b.b_id = best.b_ord),
+       FROM u JOIN best ON u.title_clean = best.a_t AND u.year = best.blk
+              JOIN b ON b.title_clean = best.b_t AND b.release_year = best.blk AND b.b_id = best.b_ord),
 linked AS (SELECT * FROM ex UNION ALL SELECT * FROM fz)
 """
-L_DATA_SQL = LINK_CTE + """, d0 AS (
+
+
+DERIVED_SQL = """, d0 AS (
 SELECT *, rating_a - b_norm AS rating_diff, abs(rating_a - b_norm) AS abs_diff,
   trim(split_part(genre_list, ',', 1)) AS primary_genre,
-  CAST(NULL AS integer) AS decade,
+  CAST(floor(year / 10) * 10 AS integer) AS decade,
   n_reviews < 20 AS low_count,
   CASE WHEN votes >= 0 AND votes <= 100000 THEN '<100k'
        WHEN votes > 100000 AND votes <= 500000 THEN '100k–500k'
@@ -102,6 +128,9 @@ SELECT *, rating_a - b_norm AS rating_diff, abs(rating_a - b_norm) AS abs_diff,
        WHEN votes > 1000000 AND votes <= 5000000 THEN 4 END AS vote_bucket_ord,
   CASE WHEN votes > 0 THEN log10(votes) END AS votes_log10
 FROM linked) """
+LINK_CTE = link_cte(fx.L_LEFT_SQL, fx.L_RIGHT_SQL)
+RUN_CTE = link_cte(fx.unique_sql(fx.L_LEFT_SQL, "a_id"),
+                   fx.unique_sql(fx.L_RIGHT_SQL, "b_id")) + DERIVED_SQL
 
 
 def fp(sql_tail: str) -> str:
@@ -111,7 +140,12 @@ def fp(sql_tail: str) -> str:
 
 def ld(sql_tail: str) -> str:
     """SQL over the derived linked view ``d0`` of adapter L."""
-    return f"{L_DATA_SQL} {sql_tail}"
+    return f"{LINK_CTE}{DERIVED_SQL} {sql_tail}"
+
+
+def rd(sql_tail: str) -> str:
+    """SQL over the linked table of the whole run (``d0``, under the name ``fp`` too)."""
+    return f"{RUN_CTE}, fp AS (SELECT * FROM d0) {sql_tail}"
 
 
 CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -144,13 +178,10 @@ def q_tolerant_int(spark, d):
     return facts_raw(spark, d).select(*KEYS, "year_text", S.tolerant_int("year_text").alias("year"))
 
 
-@register("normalize_title", """
-SELECT doc_id, lower(trim(regexp_replace(left(text, 60), '[^ -~]', '', 'g'))) AS title_clean
-FROM documents""")
+@register("normalize_title", f"SELECT doc_id, {clean_title_sql('text')} AS title_clean FROM documents")
 def q_normalize_title(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    raw = F.regexp_replace(F.substring("text", 1, 60), "[^ -~]", "")
-    return docs.select("doc_id", S.normalize_title(raw).alias("title_clean"))
+    return docs.select("doc_id", S.normalize_title("text").alias("title_clean"))
 
 
 @register("clean_a", f"SELECT * FROM ({FP_BASE_SQL}) c")
@@ -194,15 +225,31 @@ def q_rescale(spark, d):
                                       S.rescale("score_c").alias("c_norm"))
 
 
-# ============================================================== J: linkage (adapter L)
-@register("exact_link", LINK_CTE + " SELECT * FROM ex")
+# ============================================================== J: linkage
+# Exact stage on whole texts (adapter T); both stages on whole page titles (adapter L).
+TEXT_CTE = f"""
+WITH a AS (SELECT *, {clean_title_sql('title')} AS title_clean FROM ({fx.T_LEFT_SQL}) l),
+b AS (SELECT * EXCLUDE (title), {clean_title_sql('title')} AS title_clean FROM ({fx.T_RIGHT_SQL}) r)"""
+
+
+@register("exact_link", TEXT_CTE + """
+SELECT a.a_id, a.title, a.block, a.source, a.title_clean, b.b_id, b.n_chars, 'exact' AS match_type
+FROM a JOIN b ON a.title_clean = b.title_clean AND a.block = b.block""")
 def q_exact_link(spark, d):
-    return l_link(spark, d).exact
+    a, b = t_sides(spark, d)
+    return J.exact_link(a, b.drop("title"), "block", "block")
 
 
-@register("unmatched", LINK_CTE + " SELECT * FROM u")
+@register("unmatched", TEXT_CTE + """
+SELECT * FROM a WHERE title_clean IS NULL OR title_clean NOT IN (
+  SELECT a.title_clean FROM a JOIN b ON a.title_clean = b.title_clean AND a.block = b.block)""")
 def q_unmatched(spark, d):
-    return l_link(spark, d).unmatched
+    return J.unmatched(*t_sides(spark, d), "block", "block")
+
+
+@register("exact_link_titles", LINK_CTE + " SELECT * FROM ex")
+def q_exact_link_titles(spark, d):
+    return l_link(spark, d).exact
 
 
 @register("fuzzy_pairs", LINK_CTE + " SELECT a_t, blk, b_t, b_ord, dist FROM pairs WHERE dist < 0.12")
@@ -239,7 +286,7 @@ def q_link_report(spark, d):
 
 
 @register("unlinked", LINK_CTE + """
-SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM best WHERE best.a_t = u.title_clean AND best.blk = u.block)""")
+SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM best WHERE best.a_t = u.title_clean AND best.blk = u.year)""")
 def q_unlinked(spark, d):
     return l_link(spark, d).unlinked
 
@@ -301,7 +348,8 @@ def q_round_numeric(spark, d):
     return S.round_numeric(A.genre_stats(facts_prepared(spark, d)), 2)
 
 
-NUM_TXT = "regexp_replace(CAST(round({x}, 2) + 0.0 AS VARCHAR), '\\.0$', '')"
+NUM_TXT = ("regexp_replace(regexp_replace(CAST(CAST(round_even(CAST({x} AS DOUBLE), 2) AS DECIMAL(38, 2)) AS VARCHAR), "
+           "'(\\.\\d*?)0+$', '\\1'), '\\.$', '')")
 
 
 def _num_sql(x: str) -> str:
@@ -309,7 +357,7 @@ def _num_sql(x: str) -> str:
 
 
 @register("point_label", fp(f"""
-SELECT l_orderkey, l_linenumber,
+SELECT l_orderkey, l_linenumber, {_num_sql('votes')} AS votes_plain, {_num_sql('n_reviews / 8')} AS eighths,
   title || ' (' || CAST(year AS VARCHAR) || ')' || ' / a: ' || {_num_sql('rating_a')}
     || ' / b: ' || {_num_sql('b_norm')} || ' / diff: ' || {_num_sql('rating_diff')} AS label,
   format('{{:,}}', CAST(round_even(votes, 0) AS BIGINT)) AS votes_text
@@ -317,7 +365,8 @@ FROM fp"""))
 def q_point_label(spark, d):
     df = facts_prepared(spark, d)
     lab = S.point_label("title", "year", [("a", "rating_a"), ("b", "b_norm"), ("diff", "rating_diff")])
-    return df.select(*KEYS, lab.alias("label"), S.thousands("votes").alias("votes_text"))
+    return df.select(*KEYS, S.num_text("votes").alias("votes_plain"), S.num_text(F.col("n_reviews") / 8).alias("eighths"),
+                     lab.alias("label"), S.thousands("votes").alias("votes_text"))
 
 
 # ============================================================== Q: quality
@@ -409,10 +458,31 @@ def q_correlations_by_decade(spark, d):
     return A.correlations(facts_prepared(spark, d), by=["decade"], with_p=False)
 
 
-@register("corr_pvalues", None)
+def p_sql(t: str, df: str) -> str:
+    """Two-sided p of a t value: Simpson's rule on the density over 0 .. |t| (40 at most)."""
+    n = 2000
+    top = f"least(abs({t}), 40.0)"
+    dens = (f"exp(lgamma(({df} + 1) / 2.0) - lgamma({df} / 2.0)) / sqrt({df} * pi()) "
+            f"* pow(1 + pow({top} * i / {n}, 2) / {df}, -({df} + 1) / 2.0)")
+    weight = f"CASE WHEN i = 0 OR i = {n} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return (f"(1 - 2 * {top} / {n} / 3 * list_sum(list_transform(range({n + 1}), "
+            f"lambda i: ({weight}) * {dens})))")
+
+
+P_TEXT_SQL = "CASE WHEN p_value < 0.001 THEN '< 0.001' WHEN p_value IS NOT NULL THEN printf('%.3f', p_value) END"
+# Pairs with p far from 0 (independent columns) and one with p near 0.
+P_PAIRS = (("rating_a", "n_reviews"), ("c_norm", "n_reviews"), ("n_reviews", "votes_log10"), ("rating_a", "b_norm"))
+
+
+@register("corr_pvalues", fp(", w AS (" + " UNION ALL ".join(
+    f"SELECT decade, '{x}' AS x, '{y}' AS y, "
+    f"CASE WHEN regr_sxx({y}, {x}) > 0 AND regr_syy({y}, {x}) > 0 THEN corr({x}, {y}) END AS r, CAST(regr_count({y}, {x}) AS BIGINT) AS n FROM fp GROUP BY decade"
+    for x, y in P_PAIRS) + f"""),
+p AS (SELECT *, {p_sql('t', 'df')} AS p_value FROM (SELECT *, {CORR_COLS_SQL} FROM w) c)
+SELECT decade, x, y, r, n, p_value, {P_TEXT_SQL} AS p_text FROM p"""))
 def q_corr_pvalues(spark, d):
-    """Two-sided p of r (t distribution, native expression); no SQL form."""
-    return A.correlations(facts_prepared(spark, d), by=["decade"]).select(
+    """Two-sided p of r (t distribution, native expression) by decade."""
+    return A.correlations(facts_prepared(spark, d), P_PAIRS, by=["decade"]).select(
         "decade", "x", "y", "r", "n", "p_value", S.fmt_p("p_value").alias("p_text"))
 
 
@@ -425,9 +495,28 @@ def q_ttest(spark, d):
     return A.ttest_1samp(facts_prepared(spark, d), "rating_diff", with_p=False)
 
 
-@register("ttest_by_genre_pvalue", None)
+# The t test per genre of column v, with p and the 95 % interval of the mean; the quantile by
+# bisection of p(q) = 0.05.
+def ttest_sql(col: str, group: str) -> str:
+    return f"""
+, g AS (SELECT {group}, avg({col}) AS mean, stddev_samp({col}) AS sd, CAST(count({col}) AS BIGINT) AS n,
+               stddev_samp({col}) / sqrt(count({col})) AS se,
+               CASE WHEN count({col}) > 1 THEN CAST(count({col}) - 1 AS BIGINT) END AS df FROM fp GROUP BY {group}),
+dfs AS (SELECT DISTINCT CAST(df AS double) AS v FROM g WHERE df > 2),
+bis(v, k, lo, hi) AS (
+  SELECT v, 0, CAST(0 AS double), CAST(8 AS double) FROM dfs
+  UNION ALL
+  SELECT v, k + 1, CASE WHEN {p_sql('((lo + hi) / 2)', 'v')} > 0.05 THEN (lo + hi) / 2 ELSE lo END,
+         CASE WHEN {p_sql('((lo + hi) / 2)', 'v')} > 0.05 THEN hi ELSE (lo + hi) / 2 END
+  FROM bis WHERE k < 40)
+SELECT {group}, mean, sd, n, se, df, mean / nullif(se, 0) AS t, {p_sql('(mean / nullif(se, 0))', 'df')} AS p_value,
+       mean - (lo + hi) / 2 * se AS ci_lo, mean + (lo + hi) / 2 * se AS ci_hi
+FROM g LEFT JOIN bis ON k = 40 AND v = df"""
+
+
+@register("ttest_by_genre_pvalue", fp(ttest_sql("rating_diff", "primary_genre")).replace("WITH fp", "WITH RECURSIVE fp", 1))
 def q_ttest_pvalue(spark, d):
-    """t-test per genre with p and CI of the mean (t distribution); no SQL form."""
+    """t-test per genre with p and CI of the mean (t distribution)."""
     return A.ttest_1samp(facts_prepared(spark, d), "rating_diff", by=["primary_genre"])
 
 
@@ -575,19 +664,35 @@ def q_full_table(spark, d):
     return K.full_table(facts_prepared(spark, d))
 
 
-BROWSE_ARGS = dict(filters={"decade": (1960, 1990), "status": ["fresh", "rotten"]}, search="red",
-                   order_by=["rating_diff"], tie_break=["l_orderkey", "l_linenumber"], page=3, size=15)
+BROWSE_KEYS = ["l_orderkey", "l_linenumber"]
+BROWSE = dict(filters={"Year": ("range", (1960, 1990)), "Status": ("in", ["fresh", "rotten"]), "Title": ("contains", "RE")},
+              search="1.5", order_by=["Difference"], tie_break=BROWSE_KEYS, size=15, hidden=BROWSE_KEYS)
+SHOWN_SQL = {"Title": '"Title"', "Year": 'CAST("Year" AS VARCHAR)', "Genre": '"Genre"', "Status": '"Status"',
+             "Reviews": 'CAST("Reviews" AS VARCHAR)'} | {
+    c: _num_sql(f'"{c}"') for c in ("Rating A", "Score B", "Score C", "Difference", "|Difference|", "Votes")}
+# (the facts are materialised in the SQL: DuckDB fails on dictionary columns otherwise)
+BROWSE_SQL = f"""
+SELECT * FROM (
+  SELECT l_orderkey, l_linenumber, title AS "Title", year AS "Year", primary_genre AS "Genre", round_even(rating_a, 2) AS "Rating A",
+       round_even(b_norm, 2) AS "Score B", round_even(c_norm, 2) AS "Score C",
+       round_even(rating_diff, 2) AS "Difference", round_even(abs_diff, 2) AS "|Difference|",
+       n_reviews AS "Reviews", status AS "Status", round_even(votes, 2) AS "Votes" FROM fp) s
+WHERE "Year" BETWEEN 1960 AND 1990 AND "Status" IN ('fresh', 'rotten') AND contains(lower("Title"), 're')
+  AND ({" OR ".join(f"coalesce(contains(lower({x}), '1.5'), false)" for x in SHOWN_SQL.values())})"""
 
 
-@register("browse", fp("""
-SELECT * FROM fp WHERE decade >= 1960 AND decade <= 1990 AND status IN ('fresh', 'rotten')
-  AND (coalesce(contains(lower(title), 'red'), false) OR coalesce(contains(lower(genre_list), 'red'), false)
-       OR coalesce(contains(lower(status), 'red'), false) OR coalesce(contains(lower(title_clean), 'red'), false)
-       OR coalesce(contains(lower(primary_genre), 'red'), false) OR coalesce(contains(lower(vote_bucket), 'red'), false))
-ORDER BY rating_diff ASC NULLS FIRST, l_orderkey ASC NULLS FIRST, l_linenumber ASC NULLS FIRST
-LIMIT 15 OFFSET 30"""))
+@register("browse", fp(f"""SELECT * EXCLUDE (l_orderkey, l_linenumber) FROM ({BROWSE_SQL}) t
+ORDER BY "Difference" ASC NULLS FIRST, l_orderkey, l_linenumber LIMIT 15 OFFSET 30""").replace("fp AS (", "fp AS MATERIALIZED (", 1))
 def q_browse(spark, d):
-    return K.browse(facts_prepared(spark, d), **BROWSE_ARGS)
+    return K.browse(K.full_table(facts_prepared(spark, d), keys=BROWSE_KEYS), page=3, **BROWSE)
+
+
+@register("browse_after", fp(f"""SELECT * EXCLUDE (l_orderkey, l_linenumber) FROM ({BROWSE_SQL}) t
+WHERE "Difference" > 1.5 OR ("Difference" = 1.5 AND (l_orderkey > 1000 OR (l_orderkey = 1000 AND l_linenumber > 2)))
+ORDER BY "Difference" ASC NULLS FIRST, l_orderkey, l_linenumber LIMIT 15""").replace("fp AS (", "fp AS MATERIALIZED (", 1))
+def q_browse_after(spark, d):
+    """The page behind a given last row (seek paging)."""
+    return K.browse(K.full_table(facts_prepared(spark, d), keys=BROWSE_KEYS), after=[1.5, 1000, 2], **BROWSE)
 
 
 @register("genre_choices", fp(GENRE_SQL.format(n=5).replace(
@@ -612,7 +717,8 @@ HIST_SQL = """
 , h AS (SELECT CAST(least(greatest(ceil(({col} - 0.0) / (10.0 / 14) - 0.5), 0), 14) AS BIGINT) AS bin,
                count(*) AS n
         FROM fp WHERE {col} IS NOT NULL AND NOT isnan({col}) AND {col} >= 0 AND {col} <= 10 GROUP BY 1)
-SELECT g.bin, 0.0 + g.bin * (10.0 / 14) AS center, CAST(coalesce(h.n, 0) AS BIGINT) AS count
+SELECT g.bin, 0.0 + g.bin * (10.0 / 14) AS center, CAST(coalesce(h.n, 0) AS BIGINT) AS count,
+       (SELECT avg({col}) FROM fp WHERE NOT isnan({col})) AS mean
 FROM (SELECT range AS bin FROM range(15)) g LEFT JOIN h ON g.bin = h.bin"""
 
 
@@ -660,13 +766,7 @@ THREE_PANELS = [("rating_a", "b_norm"), ("rating_a", "c_norm"), ("b_norm", "c_no
     f"SELECT '{x}~{y}' AS panel, * FROM ({_scatter_sql(y, x, None, [(x, x), (y, y)])}) p{i}"
     for i, (x, y) in enumerate(THREE_PANELS)))
 def q_scatter_three_panels(spark, d):
-    df = facts_prepared(spark, d)
-    parts = [G.scatter_points(df, y, x, label_parts=[(x, x), (y, y)])
-             .select(F.lit(f"{x}~{y}").alias("panel"), "*") for x, y in THREE_PANELS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return G.scatter_panels(facts_prepared(spark, d), THREE_PANELS)
 
 
 @register("box_diff_by_bucket", fp("""
@@ -736,18 +836,73 @@ def q_scatter_reviews_score(spark, d):
                             label_parts=[("reviews", "n_reviews"), ("score", "score_b")])
 
 
-@register("scatter_votes_diff", _scatter_sql("votes_log10", "rating_diff", "rating_a",
-                                             [("a", "rating_a"), ("log10 votes", "votes_log10"),
-                                              ("diff", "rating_diff")]))
+@register("scatter_reviews_absdiff", _scatter_sql("n_reviews", "abs_diff", None,
+                                                  [("reviews", "n_reviews"), ("diff", "abs_diff")]))
+def q_scatter_reviews_absdiff(spark, d):
+    return G.scatter_points(facts_prepared(spark, d), "n_reviews", "abs_diff",
+                            label_parts=[("reviews", "n_reviews"), ("diff", "abs_diff")])
+
+
+VOTES_TEXT_SQL = "format('{:,}', CAST(round_even(votes, 0) AS BIGINT))"
+
+
+@register("scatter_votes_diff", fp(f"""
+SELECT votes_log10 AS x, rating_diff AS y, rating_a AS color,
+       title || ' (' || CAST(year AS VARCHAR) || ')' || ' / a: ' || {_num_sql('rating_a')}
+       || ' / votes: ' || {VOTES_TEXT_SQL} || ' / diff: ' || {_num_sql('rating_diff')} AS label
+FROM fp WHERE votes_log10 IS NOT NULL AND rating_diff IS NOT NULL"""))
 def q_scatter_votes_diff(spark, d):
     return G.scatter_points(facts_prepared(spark, d), "votes_log10", "rating_diff", color="rating_a",
-                            label_parts=[("a", "rating_a"), ("log10 votes", "votes_log10"),
-                                         ("diff", "rating_diff")])
+                            label_parts=[("a", "rating_a"), ("votes", S.thousands("votes")), ("diff", "rating_diff")])
 
 
 # ============================================================== X1: composite (L)
-@register("run_pipeline", ld("SELECT * FROM d0"))
+@register("run_pipeline", rd("SELECT * FROM d0"))
 def q_run_pipeline(spark, d):
-    """Full run over adapter L (gate reported, not enforced: L has duplicate keys)."""
-    res = X.run(fx.link_left(spark, d), fx.link_right(spark, d), L_CFG)
-    return res["data"]
+    """Full run over unique titles of L: the gate is enforced and passes."""
+    return l_run(spark, d)["data"]
+
+
+@register("quality_gate", ld("""
+SELECT CAST(count_if(rating_a IS NULL) AS BIGINT) AS null_rating_a, CAST(count_if(b_norm IS NULL) AS BIGINT) AS null_b_norm,
+       CAST(count(*) - count(DISTINCT struct_pack(title, year)) AS BIGINT) AS duplicates,
+       min(rating_a) AS min_rating_a, max(rating_a) AS max_rating_a, min(b_norm) AS min_b_norm, max(b_norm) AS max_b_norm,
+       CAST(count_if(low_count) AS BIGINT) AS n_low_count,
+       count(*) = count(DISTINCT struct_pack(title, year)) AND count(rating_a) = count(*) AND count(b_norm) = count(*) AS passed
+FROM d0"""))
+def q_quality_gate(spark, d):
+    """The gate over all of L, whose repeated titles make it fail."""
+    return Q.gate_report(l_data(spark, d))
+
+
+def _run_stat(name: str):
+    def q(spark, d):
+        return l_run(spark, d)["stats"][name]
+    q.__name__ = f"q_run_{name}"
+    return q
+
+
+RUN_STATS = {
+    "correlations": f""", w AS (SELECT corr(rating_a, b_norm) AS r0, CAST(regr_count(b_norm, rating_a) AS BIGINT) AS n0,
+  corr(rating_a, c_norm) AS r1, CAST(regr_count(c_norm, rating_a) AS BIGINT) AS n1,
+  corr(b_norm, c_norm) AS r2, CAST(regr_count(c_norm, b_norm) AS BIGINT) AS n2 FROM fp),
+l AS (SELECT 'rating_a' AS x, 'b_norm' AS y, r0 AS r, n0 AS n FROM w
+  UNION ALL SELECT 'rating_a', 'c_norm', r1, n1 FROM w UNION ALL SELECT 'b_norm', 'c_norm', r2, n2 FROM w)
+SELECT *, {p_sql('t', 'df')} AS p_value FROM (SELECT x, y, r, n, {CORR_COLS_SQL} FROM l) c""",
+    "cohens_d": "SELECT avg(rating_diff) / stddev_samp(rating_diff) AS cohens_d FROM fp",
+    "genre_stats": GENRE_SQL.format(n=5),
+    "decade_stats": DECADE_SQL.format(n=5),
+    "vote_stats": """SELECT vote_bucket, vote_bucket_ord, avg(rating_a) AS avg_a, avg(rating_diff) AS avg_diff,
+       CAST(count(*) AS BIGINT) AS count FROM fp GROUP BY 1, 2""",
+    "status_stats": """SELECT status, avg(rating_a) AS avg_a, avg(rating_diff) AS avg_diff, CAST(count(*) AS BIGINT) AS count
+FROM fp GROUP BY 1""",
+    "link_report": """SELECT CAST(count_if(match_type = 'exact') AS BIGINT) AS n_exact,
+       CAST(count_if(match_type = 'fuzzy') AS BIGINT) AS n_fuzzy,
+       CAST(count(*) AS BIGINT) AS n_total, avg(rating_a) AS avg_rating_a, avg(b_norm) AS avg_b_norm FROM fp""",
+    "top_largest": TOP_SQL.format(dir="DESC"),
+    "top_smallest": TOP_SQL.format(dir="ASC"),
+}
+for _name, _sql in RUN_STATS.items():
+    register(f"run_{_name}", rd(_sql))(_run_stat(_name))
+register("run_ttest", rd(ttest_sql("rating_diff", "one").replace("FROM fp GROUP BY", "FROM (SELECT *, 1 AS one FROM fp) f GROUP BY")
+                         .replace("SELECT one, mean, sd", "SELECT mean, sd")).replace("WITH a AS", "WITH RECURSIVE a AS", 1))(_run_stat("ttest"))

@@ -4,6 +4,7 @@ doubles rounded to 6 decimal places on both sides."""
 from __future__ import annotations
 
 import os
+import warnings
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,25 +24,26 @@ def round_result(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def wrap_oracles(sqls: dict[str, str], digits: int = DIGITS) -> dict[str, str]:
     """Wrap each SQL so its DOUBLE columns are rounded like ``round_result``.
 
-    Column types are read with DuckDB ``DESCRIBE`` on the small tables; if that is not
-    possible the SQL is returned unwrapped.
+    Column types are read with DuckDB ``DESCRIBE`` on the small tables of
+    ``DUOSCOPE_ORACLE_DIR``; without DuckDB or those tables a warning says so and the SQL is
+    returned unwrapped. SQL that does not bind is an error.
     """
     try:
         import duckdb
-        con = duckdb.connect()
-        for t in _TABLES:
-            path = f"{_DESCRIBE_DIR}/{t}.parquet"
-            if os.path.exists(path):
-                con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
-    except Exception:  # pragma: no cover - no DuckDB or no tables
+    except ModuleNotFoundError:
+        warnings.warn("no DuckDB: oracle SQL is not rounded")
         return dict(sqls)
+    paths = {t: f"{_DESCRIBE_DIR}/{t}.parquet" for t in _TABLES}
+    lacking = [t for t, p in paths.items() if not os.path.exists(p)]
+    if lacking:
+        warnings.warn(f"oracle SQL is not rounded: no {', '.join(lacking)} in {_DESCRIBE_DIR}")
+        return dict(sqls)
+    con = duckdb.connect()
+    for t, path in paths.items():
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     out = {}
     for name, sql in sqls.items():
-        try:
-            desc = con.execute(f"DESCRIBE {sql}").fetchall()
-        except Exception:
-            out[name] = sql
-            continue
+        desc = con.execute(f"DESCRIBE {sql}").fetchall()
         doubles = [row[0] for row in desc if row[1] in ("DOUBLE", "FLOAT")]
         if doubles:
             repl = ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in doubles)

@@ -25,11 +25,11 @@ from ..session import cut_lineage
 class RunConfig:
     """Column mapping of the two catalogues (generic names by default)."""
     a_title: str = "title"
-    a_year_text: str | None = "year_text"   # parsed with tolerant_int (C1) when set
-    a_block: str = "year"
+    a_year_text: str = "year_text"           # parsed with tolerant_int (C1)
+    a_block: str = "year"                    # a whole number; decades follow from it
     rating_a: str = "rating_a"
     b_title: str = "title"
-    b_release_date: str | None = "release_date"  # release year (C5) when set
+    b_release_date: str = "release_date"     # release year (C5)
     b_block: str = "release_year"
     score_b: str = "score_b"
     score_c: str | None = "score_c"
@@ -42,31 +42,20 @@ class RunConfig:
     decade_min_n: int = 48
     enforce_gate: bool = True
     checkpoint: bool = True
-    persist_inputs: bool = True
+    cut_inputs: bool = True
 
 
 def clean_sides(a_raw: DataFrame, b_raw: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
-    a = a_raw
-    if cfg.a_year_text:
-        a = a.withColumn(cfg.a_block, S.tolerant_int(F.col(cfg.a_year_text)))
-    a = (a.withColumn("title_clean", S.normalize_title(F.col(cfg.a_title)))
-          .where(F.col(cfg.a_block).isNotNull() & ~S.is_missing(cfg.rating_a)))
-    b = b_raw.where(~S.is_missing(cfg.score_b) & F.col(cfg.b_title).isNotNull())
-    if cfg.b_release_date:
-        b = b.withColumn(cfg.b_block, S.release_year(F.col(cfg.b_release_date)))
-    b = b.withColumn("title_clean", S.normalize_title(F.col(cfg.b_title)))
+    a = C.clean_a(a_raw, cfg.a_year_text, cfg.a_block, cfg.a_title, cfg.rating_a)
+    b = C.clean_b(b_raw, cfg.score_b, cfg.b_title, cfg.b_release_date, cfg.b_block)
     b = b.withColumn("b_norm", S.rescale(F.col(cfg.score_b)))
-    b = b.withColumn("c_norm", S.rescale(F.col(cfg.score_c)) if cfg.score_c else F.lit(None).cast("double"))
-    return a, b
+    return a, b.withColumn("c_norm", S.rescale(F.col(cfg.score_c)) if cfg.score_c else F.lit(None).cast("double"))
 
 
 def link_and_derive(a: DataFrame, b: DataFrame, cfg: RunConfig) -> tuple[DataFrame, J.LinkResult]:
     res = J.link(a, b, cfg.a_block, cfg.b_block, cfg.order_col, b_cols=cfg.b_cols,
-                 max_dist=cfg.max_dist, floor=cfg.floor_transpositions,
-                 persist_inputs=cfg.persist_inputs)
-    year = cfg.a_block if dict(a.dtypes).get(cfg.a_block) in ("int", "bigint", "smallint") else None
-    data = C.derive(res.linked, rating_a=cfg.rating_a, score_b=None, score_c=None, year=year)
-    return data, res
+                 max_dist=cfg.max_dist, floor=cfg.floor_transpositions, cut_inputs=cfg.cut_inputs)
+    return C.derive(res.linked, rating_a=cfg.rating_a, score_b=None, score_c=None, year=cfg.a_block), res
 
 
 def run(a_raw: DataFrame, b_raw: DataFrame, cfg: RunConfig | None = None) -> dict:

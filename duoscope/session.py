@@ -62,9 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
 
-    Falls back to ``persist`` when no checkpoint folder is configured.
+    A cluster that names no folder in ``spark.checkpoint.dir`` is an error: nothing else
+    would keep the rows when an executor is lost.
     """
-    spark = df.sparkSession
-    if ensure_checkpoint_dir(spark):
-        return df.checkpoint(eager=eager)
-    return df.persist()
+    if not ensure_checkpoint_dir(df.sparkSession):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return df.checkpoint(eager=eager)

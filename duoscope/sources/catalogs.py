@@ -6,12 +6,14 @@ is read as text (no inference pass) and typed afterwards with ``try_cast``, so d
 values become NULL instead of failing the job.
 
 ``multiLine`` parsing makes a CSV file unsplittable (one task per file); at scale call
-``convert_to_parquet`` once and run the jobs on the Parquet copy.
+``convert_to_parquet`` once and run the jobs on the Parquet copy, or pass
+``multi_line=False`` for files known to have no line break inside quotes.
+
+Paths go to Spark as they are (globs, folders, URIs, the cluster's default filesystem).
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -44,8 +46,8 @@ class SourceNotFoundError(FileNotFoundError):
     """A catalogue path does not exist; the message names the source."""
 
 
-def _csv_reader(spark: SparkSession):
-    return (spark.read.option("header", True).option("multiLine", True)
+def _csv_reader(spark: SparkSession, multi_line: bool = True):
+    return (spark.read.option("header", True).option("multiLine", multi_line)
             .option("quote", '"').option("escape", '"').option("nullValue", "NA")
             .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
             .option("inferSchema", False).option("mode", "PERMISSIVE"))
@@ -60,41 +62,68 @@ def _typed(c: str, dtype: str):
     return text.try_cast(dtype)
 
 
+#: Bits of the order column that number the rows of one file (of up to 8,192 partitions).
+_ROW_BITS = 46
+
+
+def _file_order(raw: DataFrame) -> DataFrame:
+    """``raw`` with ``_order``: rank of the row's file by path, then the row's place in it.
+
+    Spark packs files into partitions by size, so partition order is not path order. A file's
+    rows stay in order inside the partitions that read it. The file list is the one that the
+    driver made to plan the scan.
+    """
+    files = raw.sparkSession.createDataFrame(
+        [(p, i) for i, p in enumerate(sorted(raw.inputFiles()))], "_path string, _rank long")
+    placed = raw.select("*", F.col("_metadata.file_path").alias("_file"),
+                        F.monotonically_increasing_id().alias("_at"))
+    # a splittable file spans several partitions: number its rows from the first one's id
+    starts = placed.groupBy("_file").agg(F.min("_at").alias("_start"))
+    starts = starts.join(files, F.col("_file") == F.col("_path")).select("_file", "_start", "_rank")
+    return (placed.join(starts, "_file")
+            .withColumn("_order", F.shiftleft(F.col("_rank"), _ROW_BITS) + F.col("_at") - F.col("_start"))
+            .drop("_file", "_at", "_start", "_rank"))
+
+
 def read_catalog(spark: SparkSession, path: str, columns: Mapping[str, tuple[str, str]],
-                 source: str, fmt: str = "csv", order_col: str | None = None) -> DataFrame:
+                 source: str, fmt: str = "csv", order_col: str | None = None,
+                 multi_line: bool = True) -> DataFrame:
     """Read ``columns`` (generic name -> (source column, type)) from a CSV or Parquet path.
 
-    ``order_col`` adds the row's position in file order (per file, files in path
-    order): the tie-break for 'first row wins' rules.
+    A Parquet copy may hold the source names or the generic ones. ``order_col`` is the row's
+    position in file order (files in path order): the tie-break for 'first row wins' rules; a
+    stored column of that name is kept.
     """
-    if "://" not in path and not os.path.exists(path):
-        raise SourceNotFoundError(f"{source} catalogue not found: '{path}'")
     try:
-        raw = _csv_reader(spark).csv(path) if fmt == "csv" else spark.read.parquet(path)
+        raw = _csv_reader(spark, multi_line).csv(path) if fmt == "csv" else spark.read.parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise SourceNotFoundError(f"{source} catalogue not found: '{path}'") from e
         raise
-    missing = [src for src, _ in columns.values() if src not in raw.columns]
+    found = {name: src if src in raw.columns else name for name, (src, _) in columns.items()}
+    missing = [columns[name][0] for name, src in found.items() if src not in raw.columns]
     if missing:
         raise ValueError(f"{source} catalogue lacks columns {missing}")
-    cols = [_typed(src, t).alias(name) if fmt == "csv" else F.col(f"`{src}`").try_cast(t).alias(name)
-            for name, (src, t) in columns.items()]
+    stored = fmt != "csv" and order_col in raw.columns
+    if order_col and not stored:
+        raw = _file_order(raw)
+    cols = [_typed(found[name], t).alias(name) if fmt == "csv" else F.col(f"`{found[name]}`").try_cast(t).alias(name)
+            for name, (_, t) in columns.items()]
     if order_col:
-        # Each CSV file is one partition under multiLine, so this id grows in file order.
-        cols.append(F.monotonically_increasing_id().alias(order_col))
+        cols.append(F.col(order_col if stored else "_order").cast("long").alias(order_col))
     return raw.select(*cols)
 
 
 # S1 -------------------------------------------------------------------------
-def read_catalog_a(spark: SparkSession, path: str, columns=LEFT_COLUMNS, fmt: str = "csv") -> DataFrame:
-    return read_catalog(spark, path, columns, "left", fmt)
+def read_catalog_a(spark: SparkSession, path: str, columns=LEFT_COLUMNS, fmt: str = "csv",
+                   multi_line: bool = True) -> DataFrame:
+    return read_catalog(spark, path, columns, "left", fmt, multi_line=multi_line)
 
 
 # S2 -------------------------------------------------------------------------
 def read_catalog_b(spark: SparkSession, path: str, columns=RIGHT_COLUMNS, fmt: str = "csv",
-                   order_col: str = "b_id") -> DataFrame:
-    return read_catalog(spark, path, columns, "right", fmt, order_col)
+                   order_col: str = "b_id", multi_line: bool = True) -> DataFrame:
+    return read_catalog(spark, path, columns, "right", fmt, order_col, multi_line)
 
 
 def convert_to_parquet(df: DataFrame, out_path: str, mode: str = "overwrite") -> str:

@@ -2,8 +2,12 @@
 
 * Adapter F ("facts"): lineitem x orders x part shaped like a linked catalogue table,
   with dirty year text, NULL scores and an out-of-range vote value.
-* Adapter L ("linkage"): ``documents`` split by doc_id parity into a left and a right
-  catalogue; the block is ``lang`` and the title is the first 60 characters of text.
+* Adapter L ("linkage"): ``pages`` split by page_id parity into a left and a right
+  catalogue. The title is the whole <title> element; the year follows from the page's
+  language, as dirty year text on the left and as release-date text (partly unpadded) on
+  the right. Every third right title has one character replaced, so fuzzy matches exist.
+* Adapter T ("texts"): ``documents`` split by doc_id parity; the title is the whole text,
+  the block the language (exact stage only).
 
 Each adapter exists twice, as a Spark DataFrame builder and as DuckDB SQL for the
 oracle, and both must stay the same query.
@@ -64,57 +68,94 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_
 
 
 # ---------------------------------------------------------------- adapter L
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Languages of the pages and the year that stands for each.
+LANG_YEARS = {"en": 1964, "fr": 1972, "de": 1988, "es": 2003}
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
-    d = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    title = F.trim(F.lower(F.regexp_replace(F.substring(c("text"), 1, 60), "[^ -~]", "")))
-    return d.select(
-        c("doc_id"),
-        c("lang").alias("block"),
-        title.alias("title"),
-        ((c("n_chars") % 101) / 10.0).alias("rating_a"),
-        (c("n_chars") * 997.0).alias("votes"),
-        c("source").alias("genre_list"),
-        ((c("doc_id") * 7 + c("n_chars")) % 101).cast("double").alias("score_b"),
-        F.nullif((c("n_chars") * 3) % 101, F.lit(50)).cast("double").alias("score_c"),
-        F.nullif(c("n_chars") % 40, F.lit(7)).cast("int").alias("n_reviews"),
-        F.when(c("n_chars") % 3 == 0, "certified").when(c("n_chars") % 3 == 1, "fresh")
-         .otherwise("rotten").alias("status"),
-    ).where(c("title") != "")
+    p = _read(spark, sf_dir, "pages").select(
+        "page_id", F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("title"),
+        F.regexp_extract("html", r"<html lang=\"([^\"]*)\"", 1).alias("lang"),
+        F.length("html").cast("long").alias("size"))
+    year = F.coalesce(*[F.when(c("lang") == lang, F.lit(y)) for lang, y in LANG_YEARS.items()])
+    return p.withColumn("year", year)
 
 
 def link_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Left catalogue of L: even doc_id."""
-    return (_docs(spark, sf_dir).where(F.col("doc_id") % 2 == 0)
-            .select(F.col("doc_id").alias("a_id"), "title", "block", "rating_a", "votes", "genre_list"))
+    """Left catalogue of L: even page_id; every 97th year text is bad."""
+    c = F.col
+    return _pages(spark, sf_dir).where(c("page_id") % 2 == 0).select(
+        c("page_id").alias("a_id"), "title",
+        F.when(c("page_id") % 97 == 0, "PG").otherwise(c("year").cast("string")).alias("year_text"),
+        ((c("size") % 101) / 10.0).alias("rating_a"),
+        (c("size") * 997.0).alias("votes"),
+        F.concat(F.lit("g"), (c("page_id") / 2).cast("long") % 6, F.lit(", "), c("lang")).alias("genre_list"))
 
 
 def link_right(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Right catalogue of L: odd doc_id."""
-    return (_docs(spark, sf_dir).where(F.col("doc_id") % 2 == 1)
-            .select(F.col("doc_id").alias("b_id"), "title", "block", "score_b", "score_c",
-                    "n_reviews", "status"))
-
-
-_DOCS_SQL = """
-SELECT doc_id, lang AS block,
-       trim(lower(regexp_replace(left(text, 60), '[^ -~]', '', 'g'))) AS title,
-       CAST(n_chars % 101 AS double) / 10 AS rating_a,
-       CAST(n_chars AS double) * 997 AS votes,
-       source AS genre_list,
-       CAST((doc_id * 7 + n_chars) % 101 AS double) AS score_b,
-       CAST(nullif((n_chars * 3) % 101, 50) AS double) AS score_c,
-       CAST(nullif(n_chars % 40, 7) AS integer) AS n_reviews,
-       CASE n_chars % 3 WHEN 0 THEN 'certified' WHEN 1 THEN 'fresh' ELSE 'rotten' END AS status
-FROM documents
+    """Right catalogue of L: odd page_id; every third title has its fourth character replaced."""
+    c = F.col
+    edited = F.when(c("page_id") % 3 == 0, F.regexp_replace("title", r"(?s)^(.{3}).", "$1x")).otherwise(c("title"))
+    return _pages(spark, sf_dir).where(c("page_id") % 2 == 1).select(
+        c("page_id").alias("b_id"), edited.alias("title"),
+        F.concat(c("year").cast("string"), F.when(c("page_id") % 5 == 0, "-5-7").otherwise("-05-17")).alias("release_date"),
+        ((c("page_id") * 7 + c("size")) % 101).cast("double").alias("score_b"),
+        F.nullif((c("size") * 3) % 101, F.lit(50)).cast("double").alias("score_c"),
+        F.nullif(c("size") % 40, F.lit(7)).cast("int").alias("n_reviews"),
+        F.when(c("size") % 3 == 0, "certified").when(c("size") % 3 == 1, "fresh").otherwise("rotten").alias("status"))
+
+
+def unique_titles(df: DataFrame, id_col: str) -> DataFrame:
+    """The row with the smallest id of each title, whatever its case (a catalogue that passes
+    the duplicate gate)."""
+    rest = [x for x in df.columns if x != id_col]
+    return (df.groupBy(F.lower(F.trim("title")).alias("_t")).agg(F.min(F.struct(id_col, *rest)).alias("row"))
+            .select("row.*").select(*df.columns))
+
+
+_PAGES_SQL = """
+SELECT *, CASE lang WHEN 'en' THEN 1964 WHEN 'fr' THEN 1972 WHEN 'de' THEN 1988 WHEN 'es' THEN 2003 END AS year
+FROM (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1, 's') AS title,
+             regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, CAST(length(html) AS bigint) AS size FROM pages) p0
 """
 
 L_LEFT_SQL = f"""
-SELECT doc_id AS a_id, title, block, rating_a, votes, genre_list
-FROM ({_DOCS_SQL}) d WHERE doc_id % 2 = 0 AND title <> ''
+SELECT page_id AS a_id, title,
+       CASE WHEN page_id % 97 = 0 THEN 'PG' ELSE CAST(year AS varchar) END AS year_text,
+       CAST(size % 101 AS double) / 10 AS rating_a, CAST(size AS double) * 997 AS votes,
+       'g' || CAST((page_id // 2) % 6 AS varchar) || ', ' || lang AS genre_list
+FROM ({_PAGES_SQL}) p WHERE page_id % 2 = 0
 """
 
 L_RIGHT_SQL = f"""
-SELECT doc_id AS b_id, title, block, score_b, score_c, n_reviews, status
-FROM ({_DOCS_SQL}) d WHERE doc_id % 2 = 1 AND title <> ''
+SELECT page_id AS b_id,
+       CASE WHEN page_id % 3 = 0 THEN regexp_replace(title, '^(...).', '\\1x', 's') ELSE title END AS title,
+       CAST(year AS varchar) || CASE WHEN page_id % 5 = 0 THEN '-5-7' ELSE '-05-17' END AS release_date,
+       CAST((page_id * 7 + size) % 101 AS double) AS score_b,
+       CAST(nullif((size * 3) % 101, 50) AS double) AS score_c,
+       CAST(nullif(size % 40, 7) AS integer) AS n_reviews,
+       CASE size % 3 WHEN 0 THEN 'certified' WHEN 1 THEN 'fresh' ELSE 'rotten' END AS status
+FROM ({_PAGES_SQL}) p WHERE page_id % 2 = 1
 """
+
+
+def unique_sql(sql: str, id_col: str) -> str:
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(title)) "
+            f"ORDER BY {id_col}) AS rn FROM ({sql}) u0) u1 WHERE rn = 1")
+
+
+# ---------------------------------------------------------------- adapter T
+def text_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even doc_id: the whole text as title, whatever its length or script."""
+    d = _read(spark, sf_dir, "documents").where(F.col("doc_id") % 2 == 0)
+    return d.select(F.col("doc_id").alias("a_id"), F.col("text").alias("title"), F.col("lang").alias("block"), "source")
+
+
+def text_right(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _read(spark, sf_dir, "documents").where(F.col("doc_id") % 2 == 1)
+    return d.select(F.col("doc_id").alias("b_id"), F.col("text").alias("title"), F.col("lang").alias("block"), "n_chars")
+
+
+T_LEFT_SQL = "SELECT doc_id AS a_id, text AS title, lang AS block, source FROM documents WHERE doc_id % 2 = 0"
+T_RIGHT_SQL = "SELECT doc_id AS b_id, text AS title, lang AS block, n_chars FROM documents WHERE doc_id % 2 = 1"

@@ -107,3 +107,22 @@ def test_kernel_equals_textbook_definition(x, y, floor):
     fast = jaro_distance_value(x, y, floor, cutoff=cut)
     full = jaro_distance_value(x, y, floor)
     assert fast == full if full < cut else fast >= cut
+
+
+_long = st.text(alphabet="abcé d", min_size=55, max_size=75)
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.tuples(st.one_of(_text, _long, st.none()), st.one_of(_text, _long, st.none())), max_size=12), st.booleans())
+def test_batch_kernel_equals_the_pair_helper(pairs, floor):
+    from duoscope.functions.jaro import batch_distance
+    got = batch_distance([x for x, _ in pairs], [y for _, y in pairs], floor)
+    want = [jaro_distance_value(x, y, floor) for x, y in pairs]
+    assert [None if g != g else g for g in got.tolist()] == want
+
+
+def test_batch_kernel_beyond_ascii_and_at_the_word_size():
+    from duoscope.functions.jaro import batch_distance
+    xs = ["a" * 64, "ab" * 32, "😀été", "", "日本語", "x" * 64]
+    ys = ["a" * 64, "ba" * 32, "ete😀", "", "日本", "x" * 63 + "y"]
+    assert batch_distance(xs, ys).tolist() == [jaro_distance_value(x, y) for x, y in zip(xs, ys)]

@@ -196,3 +196,45 @@ def test_without_order_column_ties_are_deterministic(spark):
     # (b_id first), the duplicated row 11 wins once
     assert got == [(1, 11, "fuzzy")]
     assert "_b_order" not in res.linked.columns
+
+
+def test_repeated_order_value_picks_the_smallest_row(spark):
+    a = spark.createDataFrame([(1, "abcdefghij", 2000, 7.0)], A_SCHEMA)
+    rows = [(11, "abcdefghiY", 2000, 9.0), (11, "abcdefghiY", 2000, 6.0), (11, "abcdefghiY", 2000, 8.0)]
+    for part in (1, 3):
+        b = spark.createDataFrame(rows, B_SCHEMA).repartition(part)
+        res = J.link(a, b, "year", "release_year", "b_id", b_cols=["b_id", "b_norm"])
+        assert [r.b_norm for r in res.linked.collect()] == [6.0]
+
+
+def test_dedupe_right_keeps_the_first_of_each_title(spark):
+    left = [(1, "heat", 1995, 8.3), (2, "heap", 1995, 8.3)]
+    right = [(12, "heat", 1995, 1.0), (11, "heat", 1995, 2.0)]
+    res = run_link(spark, left, right, dedupe_right=True)
+    assert rows(res.exact, "a_id", "b_id") == [(1, 11)]
+
+
+def test_exact_stage_does_not_touch_the_fuzzy_one(spark, monkeypatch):
+    def no(*a, **k):
+        raise AssertionError("fuzzy stage was built")
+    monkeypatch.setattr(J, "fuzzy_link", no)
+    res = run_link(spark, [(1, "heat", 1995, 8.3)], [(10, "heat", 1995, 8.6)])
+    assert res.exact.count() == 1 and res.unmatched.count() == 0
+
+
+def test_nothing_stays_cached(spark):
+    res = run_link(spark, [(1, "the godfather", 1972, 9.2), (2, "the godfathers", 1972, 9.0)], [(10, "the godfather", 1972, 9.7)])
+    assert res.linked.count() == 2 and res.unlinked.count() == 0
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_grid_plan_shuffles_no_row_on_the_bare_key(spark):
+    rnd = random.Random(3)
+    lt, rt = _random_titles(rnd, 40)
+    a = spark.createDataFrame([(i, t, 2000, 5.0) for i, t in enumerate(lt)], A_SCHEMA)
+    b = spark.createDataFrame([(i, t, 2000, 5.0) for i, t in enumerate(rt)], B_SCHEMA)
+    res = J.link(a, b, "year", "release_year", "b_id", b_cols=["b_id"], broadcast_rows=0, cell_rows=4)
+    plan = res.candidates._jdf.queryExecution().executedPlan().toString()
+    import re
+    keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"hashpartitioning\(([^)]*?), \d+\)", plan)]
+    assert keys and all("i" in k.split(", ") or "r_i" in k.split(", ") for k in keys), keys

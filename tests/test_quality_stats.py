@@ -135,8 +135,52 @@ def test_browse_pages_are_stable(spark):
     pages = [K.browse(df, order_by=["v"], tie_break=["id"], page=p, size=7).collect() for p in range(1, 7)]
     ids = [r.id for page in pages for r in page]
     assert sorted(ids) == list(range(40)) and len(ids) == 40
-    found = K.browse(df, filters={"v": (1, 2)}, search="T1", size=100).collect()
+    found = K.browse(df, filters={"v": ("range", (1, 2))}, search="T1", size=100).collect()
     assert {r.id % 3 for r in found} == {1} and all(1 <= r.v <= 2 for r in found)
+    # seek paging gives the same pages
+    last = pages[1][-1]
+    again = K.browse(df, order_by=["v"], tie_break=["id"], size=7, after=[last.v, last.id]).collect()
+    assert again == pages[2]
+
+
+def test_browse_filter_kinds(spark):
+    df = spark.createDataFrame([(1, "fresh", 1994, 7.25), (2, "rotten", 1995, 8.0), (3, None, 2000, 19.94)],
+                               "id int, status string, year int, v double")
+    ids = lambda **kw: sorted(r.id for r in K.browse(df, size=9, order_by=["id"], **kw).collect())
+    assert ids(filters={"status": ("in", ["fresh"])}) == [1]
+    assert ids(filters={"status": ("contains", "OTT")}) == [2]
+    assert ids(filters={"year": ("contains", "199")}) == [1, 2]
+    assert ids(filters={"year": ("range", (None, 1995))}) == [1, 2]
+    assert ids(search="1994") == [1] and ids(search="19.94") == [3] and ids(search="7.25") == [1]
+    assert K.browse(df, search="1994", hidden=["year"], size=9).columns == ["id", "status", "v"]
+    assert K.browse(df, search="1994", hidden=["year"], size=9).count() == 0
+    with pytest.raises(ValueError, match="not one text"):
+        K.browse(df, filters={"status": ("in", "fresh")})
+    with pytest.raises(ValueError, match="unknown kind"):
+        K.browse(df, filters={"status": ("like", "fresh")})
+
+
+def test_constant_columns_have_no_correlation(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (1.0, 4.0)], "a double, b double")
+    r = A.correlations(df, [("a", "b")]).first()
+    assert r.r is None and r.p_value is None and r.n == 3
+
+
+def test_quantiles_equal_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    rows = [(g, float(v)) for g, vs in {"x": rng.normal(size=4000), "y": rng.integers(0, 4, 500), "z": [7.5] * 3, None: [1.0, 2.0]}.items() for v in vs]
+    df = spark.createDataFrame(rows + [("x", None), ("x", float("nan"))], "g string, v double")
+    got = {r.grp: r for r in A.quantiles(A.value_counts(df, "v", "g"), (0.0, 0.25, 0.5, 0.9, 1.0)).collect()}
+    for g in ("x", "y", "z", None):
+        vs = [v for h, v in rows if h == g]
+        assert got[g].n == len(vs)
+        assert [got[g][f"q{i}"] for i in range(5)] == pytest.approx(np.quantile(vs, (0.0, 0.25, 0.5, 0.9, 1.0)))
+
+
+def test_top_k_runs_nothing_while_it_is_planned(spark):
+    df = spark.createDataFrame([(i, None) for i in range(3)], "id int, rating_diff double")
+    assert K.top_k(df, "rating_diff", 2, True, columns=["id"]).count() == 0
 
 
 def test_histogram_bins(spark):
@@ -144,6 +188,8 @@ def test_histogram_bins(spark):
     h = {r.bin: r["count"] for r in G.histogram(df, "x").collect()}
     assert len(h) == 15 and sum(h.values()) == 4
     assert h[0] == 2 and h[1] == 1 and h[14] == 1  # width 10/14: bin 0 ends at 0.357...
+    means = {r["mean"] for r in G.histogram(df, "x").collect()}
+    assert len(means) == 1 and means.pop() == pytest.approx((0.35 + 0.36 + 10 + 11) / 5)
 
 
 def test_box_stats_type7_and_levels(spark):

@@ -21,9 +21,9 @@ def test_normalize_title_unicode_whitespace(spark):
 
 
 def test_release_year(spark):
-    got = col_values(spark, ["1994-10-14", "2001/02/03", "bad", "", None, "1999-01-01 00:00:00"],
-                     S.release_year)
-    assert got == [1994, 2001, None, None, None, 1999]
+    got = col_values(spark, ["1994-10-14", "2001/02/03", "bad", "", None, "1999-01-01 00:00:00", "1994-1-5",
+                             "1987/3/09 noon", "1987-3/09", "1987-13-01", "03-02-1987"], S.release_year)
+    assert got == [1994, 2001, None, None, None, 1999, 1994, 1987, None, None, None]
 
 
 def test_primary_item(spark):
@@ -71,6 +71,11 @@ def test_point_label_and_thousands(spark):
     assert row[1] == "1,234,567"
 
 
+def test_numbers_as_plain_text(spark):
+    got = col_values(spark, [0.125, 0.375, 15000000.0, 1.5e-9, -0.001, 2.5, 100.0, None], S.num_text, "double")
+    assert got == ["0.12", "0.38", "15000000", "0", "0", "2.5", "100", None]
+
+
 def test_round_numeric_half_even(spark):
     df = spark.createDataFrame([(0.125, 2.5, 3)], "a double, b double, c int")
     r = S.round_numeric(df, 2).first()

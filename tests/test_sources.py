@@ -76,6 +76,37 @@ def test_gate_enforced_raises_on_duplicates(spark, tmp_path):
         X.run(S.read_catalog_a(spark, str(left)), S.read_catalog_b(spark, str(right)), X.RunConfig())
 
 
+def test_rows_of_several_files_keep_path_order(spark, tmp_path):
+    """Spark packs files by size; the order column follows paths all the same."""
+    head = RIGHT_CSV.splitlines()[0]
+    for name, n in (("a1", 1), ("a2", 400), ("a 3%", 30)):
+        body = "".join(f"Heat,1995-01-01,Drama,{i % 100},80,20,{name}-{i},1,1\n" for i in range(n))
+        (tmp_path / f"{name}.csv").write_text(head + "\n" + body)
+    want = [f"{n}-{i}" for n, k in (("a 3%", 30), ("a1", 1), ("a2", 400)) for i in range(k)]
+    for path in (str(tmp_path), f"{tmp_path}/*.csv", f"file:{tmp_path}"):
+        rows = S.read_catalog_b(spark, path).orderBy("b_id").collect()
+        assert [r.status for r in rows] == want
+    rows = S.read_catalog_b(spark, str(tmp_path), multi_line=False).orderBy("b_id").collect()
+    assert [r.status for r in rows] == want
+
+
+def test_the_first_row_of_the_first_file_wins_a_tie_before_and_after_conversion(spark, tmp_path):
+    head = RIGHT_CSV.splitlines()[0]
+    for name, n in (("a1", 1), ("a2", 300), ("a3", 20)):
+        body = "".join(f"Heat{'XYZ'[i % 3]},1995-01-01,Drama,{i % 100},80,20,{name},1,1\n" for i in range(n))
+        (tmp_path / f"{name}.csv").write_text(head + "\n" + body)
+    left = tmp_path / "left.csv"
+    left.write_text(LEFT_CSV.splitlines()[0] + "\nHeatQ,1995,Drama,8.0,500000,NA,x\n")
+    a = S.read_catalog_a(spark, str(left))
+    b = S.read_catalog_b(spark, f"{tmp_path}/a*.csv")
+    pq = S.convert_to_parquet(b, str(tmp_path / "right.parquet"))
+    cfg = X.RunConfig(max_dist=0.3)
+    from_csv = X.run(a, b, cfg)["data"].collect()
+    from_pq = X.run(a, S.read_catalog_b(spark, pq, fmt="parquet"), cfg)["data"].collect()
+    assert [r.status for r in from_csv] == ["a1"]
+    assert sorted(map(str, from_csv)) == sorted(map(str, from_pq))
+
+
 def test_parquet_round_trip(spark, paths, tmp_path):
     raw = S._csv_reader(spark).csv(paths[0])
     out = S.convert_to_parquet(raw, str(tmp_path / "left.parquet"))
