@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Column names of the two source catalogues and their types.
@@ -70,16 +70,14 @@ def _file_order(raw: DataFrame) -> DataFrame:
     """``raw`` with ``_order``: rank of the row's file by path, then the row's place in it.
 
     Spark packs files into partitions by size, so partition order is not path order. A file's
-    rows stay in order inside the partitions that read it. The file list is the one that the
-    driver made to plan the scan.
+    rows stay in order inside the partitions that read it. The ranks are taken over one row
+    per file (as many as the driver lists to plan the scan).
     """
-    files = raw.sparkSession.createDataFrame(
-        [(p, i) for i, p in enumerate(sorted(raw.inputFiles()))], "_path string, _rank long")
     placed = raw.select("*", F.col("_metadata.file_path").alias("_file"),
                         F.monotonically_increasing_id().alias("_at"))
     # a splittable file spans several partitions: number its rows from the first one's id
     starts = placed.groupBy("_file").agg(F.min("_at").alias("_start"))
-    starts = starts.join(files, F.col("_file") == F.col("_path")).select("_file", "_start", "_rank")
+    starts = starts.withColumn("_rank", F.row_number().over(Window.orderBy("_file")).cast("long"))
     return (placed.join(starts, "_file")
             .withColumn("_order", F.shiftleft(F.col("_rank"), _ROW_BITS) + F.col("_at") - F.col("_start"))
             .drop("_file", "_at", "_start", "_rank"))
