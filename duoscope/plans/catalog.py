@@ -461,7 +461,7 @@ def q_correlations_by_decade(spark, d):
 def p_sql(t: str, df: str) -> str:
     """Two-sided p of a t value: Simpson's rule on the density over 0 .. |t| (40 at most)."""
     n = 2000
-    top = f"least(abs({t}), 40.0)"
+    top = f"(CASE WHEN {t} IS NOT NULL THEN least(abs({t}), 40.0) END)"
     dens = (f"exp(lgamma(({df} + 1) / 2.0) - lgamma({df} / 2.0)) / sqrt({df} * pi()) "
             f"* pow(1 + pow({top} * i / {n}, 2) / {df}, -({df} + 1) / 2.0)")
     weight = f"CASE WHEN i = 0 OR i = {n} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
