@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from duoscope.llm.common import cut, pick, prepare
 
 WEIGHTS = (1, 2, 3)
-BLOCK, SHARD_BLOCKS, MAX_REPEAT, SEED = 256, 1 << 16, 3, 20240229
+BLOCK, SHARD_BLOCKS, MAX_REPEAT, SEED = 128, 1 << 16, 3, 20240229
 MAX_SOURCES = 100_000
 _BUCKETS = 1 << 12
 _WORD = r"[^\x20\x09-\x0D]+"

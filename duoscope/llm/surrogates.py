@@ -60,7 +60,7 @@ _PATTERN = re.compile("|".join([
     r"(?P<ipv4>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))",
     r"(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))",
     r"(?P<card>(?<![\d.+-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\d-]))",
-    r"(?P<phone>(?<![\w+.(])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|(?:00\d{1,3}[ .-])?\(\d{2,5}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w]))",
+    r"(?P<phone>(?<![\w+.(])(?:\+\d{1,3}[^\w\n]{1,6}\(\d{1,4}\)[^\w\n]{1,6}\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|(?:00\d{1,3}[ .-])?\(\d{2,5}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w]))",
     rf"(?P<person>\b(?:{'|'.join(sorted(map(re.escape, _TITLE_GENDER), key=len, reverse=True))})\.?[  ]{_NAME}(?:[  ]{_NAME}){{0,2}})",
 ]))
 _VALUE = re.compile(r"[:=]\s*[\"']?([^\"']+)")
