@@ -71,6 +71,8 @@ def test_documents(spark, monkeypatch):
         assert len(found) == len(r.entities) and (found or r.text == text[r.doc_id])
         for (a, b, kind, norm), e in zip(found, r.entities):
             new = r.text[e["start"]:e["end"]]
+            if kind == "phone":             # one number in two notations
+                new = re.sub(r"[^0-9+]", "", new)
             mapped.setdefault((kind, norm), set()).add(new.lower())
             back.setdefault((kind, new.lower()), set()).add(norm)
     assert all(len(v) == 1 for v in mapped.values()) and all(len(v) == 1 for v in back.values())
