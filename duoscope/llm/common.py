@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -55,6 +56,16 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that nothing refers to any more.
+
+    Its cleaner waits for the driver's garbage collector, which a long chain of small jobs may
+    not wake for half an hour; until then every shuffle stays on the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def measured(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """To be broadcast if it is counted to have at most ``rows``; otherwise the join shuffles."""
     df = cut(df)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from duoscope.llm import words as W
-from duoscope.llm.common import blocks, cut, measured, pick, prepare, runs, utf8
+from duoscope.llm.common import blocks, cut, measured, pick, prepare, release, runs, utf8
 
 SHINGLE, HASHES, ROWS = 3, 128, 4
 PERCENT = 85            # links: 100 * |A and B| >= PERCENT * |A or B|
@@ -308,12 +308,14 @@ def components(links: DataFrame) -> DataFrame:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = large.where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             low.select("u", F.col("m").alias("v")))
         e = cut(small.where("u <> v").distinct())
+        del both, low, large, small
+        release(e.sparkSession)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -336,6 +338,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     best = star.groupBy("b").agg(F.max(F.struct(F.col("bands"), (-F.col("a")).alias("a"))).alias("x")).select(
         (-F.col("x.a")).alias("a"), "b")
     first = cut(verified(best, classes, docs, shingle, hashes, percent))
+    release(docs.sparkSession)
     labels = components(first)
     second = rest_links(classes, docs, star, labels, shingle, percent)
     labels = components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
