@@ -8,7 +8,9 @@ The same entity gets the same surrogate in every document (coreference).
 
 Distinctness is checked over the whole corpus: the distinct entities and their surrogates are
 compared with one another and with all real entities; an entity that collides moves on to its
-next attempt until none does. Entities of attempt 0 need no table, so only the moved ones (in
+next attempt until none does. The first ``FORMED`` attempts keep the form; each later one is a
+character longer (``_wide``), so the choices outgrow the entities of any form and the search ends
+however few values a form has. Entities of attempt 0 need no table, so only the moved ones (in
 blocks of ``BLOCK`` entries, one block broadcast per pass) are looked up when texts are rewritten.
 """
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import ipaddress
+import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from duoscope.llm.common import cut, pick, prepare
 
-BLOCK, MAX_ATTEMPTS = 200_000, 32
+BLOCK, FORMED = 200_000, 8
 #: Titles by the gender they imply, and given names to choose from.
 TITLES = {
     "m": "Mr Mister Sir Herr Herrn Monsieur Señor Don Господин г-н Κύριος κ",
@@ -66,8 +69,8 @@ _KINDS = [
 _PATTERN = re.compile("|".join(_KINDS))
 _PERSON = re.compile(_KINDS[-1])
 #: Every kind but persons has one of these; no entity crosses a line end.
-_TRIGGER = re.compile("[0-9@:=]")
-_VALUE = re.compile(r"[:=]\s*[\"']?([^\"']+)")
+_TRIGGER = re.compile(r"[\d@:=]")
+_VALUE = re.compile(r"[:=][ \t]*([\"']?)(.+)\1$")
 
 
 def _script(c: str) -> str:
@@ -75,6 +78,11 @@ def _script(c: str) -> str:
     return next((s for s in ("Greek", "Cyrillic") if name.startswith(s.upper())), "Latin")
 
 
+def _ascii(text: str) -> str:
+    """Digits of all scripts as 0-9."""
+    return "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
+
+
 def _luhn(digits: str) -> bool:
     odd = sum(int(d) for d in digits[-1::-2])
     return (odd + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])) % 10 == 0
@@ -112,8 +120,10 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             continue
         if kind == "secret":
             v = _VALUE.search(got)
-            a, b = a + v.start(1), a + v.end(1)
+            a, b = a + v.start(2), a + v.end(2)
             kind, norm = "secret", text[a:b]
+            if not any(c.isalnum() for c in norm):      # masked already
+                continue
         elif kind == "hex":
             kind, norm = "secret", got
         elif kind == "email":
@@ -131,7 +141,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         elif kind in ("ipv4", "mac"):
             norm = got.lower()
         else:
-            norm = re.sub(r"[^0-9A-Za-z+]", "", got).upper()
+            norm = re.sub(r"[^0-9A-Za-z+]", "", got if got.isascii() else _ascii(got)).upper()
             if kind == "phone" and not 7 <= sum(c.isdigit() for c in norm) <= 15:
                 continue
         out.append((a, b, kind, norm))
@@ -168,8 +178,8 @@ def _letters(text: str, s: _Stream, hexed: bool = False) -> str:
     """Digits by digits, letters by letters of the same case and script; the rest stays."""
     out = []
     for c in text:
-        if c.isascii() and c.isdigit():
-            out.append("0123456789"[s.below(10)])
+        if c.isdecimal():
+            out.append(chr(ord(c) - unicodedata.decimal(c) + s.below(10)))
         elif hexed and c in "abcdef":
             out.append("abcdef"[s.below(6)])
         elif hexed and c in "ABCDEF":
@@ -189,8 +199,39 @@ def _letters(text: str, s: _Stream, hexed: bool = False) -> str:
     return "".join(out)
 
 
+def _wide(key: bytes, kind: str, norm: str, attempt: int) -> str:
+    """A surrogate for values whose form has too few others: longer by a character per attempt."""
+    s, more = _Stream(key, kind, norm, str(attempt)), attempt - FORMED + 1
+
+    def some(n: int, of: str) -> str:
+        return "".join(of[s.below(len(of))] for _ in range(n))
+
+    new = surrogate(key, kind, norm, 0)
+    if kind == "email":
+        local, _, domain = new.rpartition("@")
+        return f"{_letters(local, s)}{some(more, 'abcdefghijklmnopqrstuvwxyz')}@{domain}"
+    if kind == "secret":        # also what _letters cannot change
+        return some(len(norm) + more, "abcdefghijklmnopqrstuvwxyz0123456789")
+    if kind == "ipv4":          # private addresses become 10.x first, then any, then IPv6
+        if more <= 8:
+            return ".".join(["10" if more <= 4 and re.match(r"10\.|192\.168\.|127\.", norm) else str(1 + s.below(223)),
+                             *(str(1 + s.below(254)) for _ in range(3))])
+        return "fd" + some(2, "123456789abcdef") + "".join(":" + some(4, "123456789abcdef") for _ in range(7))
+    if kind == "ipv6":
+        return ":".join(some(4, "123456789abcdef") for _ in range(8))
+    if kind == "mac":
+        return ":".join(some(2, "123456789abcdef") for _ in range(6 + more))
+    if kind == "card":
+        new = some(1, "123456789") + some(len(norm) - 2 + more, "0123456789")
+        return new + next(d for d in "0123456789" if _luhn(new + d) or not _luhn(norm))
+    head = 2 if kind == "iban" or new[0] == "+" else 0
+    return new[:head] + _letters(new[head:], s) + some(more, "0123456789")
+
+
 def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
     """The surrogate's normal form."""
+    if attempt >= FORMED and kind != "family" and not kind.startswith("given"):
+        return _wide(key, kind, norm, attempt)
     s = _Stream(key, kind, norm, str(attempt))
     if kind == "email":
         local, _, domain = norm.rpartition("@")
@@ -237,8 +278,14 @@ def form(kind: str, found: str, norm: str, new: str) -> str:
         return new.upper() if kind == "mac" and found.isupper() else new
     if kind == "family" or kind.startswith("given"):
         return new.upper() if found.isupper() and len(found) > 1 else "-".join(p.capitalize() for p in new.split("-"))
-    chars = iter(new)
-    return "".join(next(chars) if c.isascii() and c.isalnum() or c == "+" else c for c in found)
+    chars, out = iter(new), []
+    for c in found:
+        if c.isascii() and c.isalnum() or c == "+":
+            c = next(chars)
+        elif c.isdecimal():
+            c = chr(ord(c) - unicodedata.decimal(c) + int(next(chars)))
+        out.append(c)
+    return "".join(out) + "".join(chars)
 
 
 def entities(docs: DataFrame) -> DataFrame:
@@ -269,11 +316,12 @@ def resolve(real: DataFrame, key: bytes) -> DataFrame:
     """kind, norm, attempt, new: distinct surrogates, none of them a real entity of its kind.
 
     Names of different kinds (given, family) may coincide; given names of few choices move on
-    to made-up ones where the corpus has more names than there are choices.
+    to made-up ones where the corpus has more names than there are choices. Names gain syllables and
+    all else gains characters from attempt to attempt, so there is no last attempt.
     """
     state = cut(_named(real.withColumn("attempt", F.lit(0)), key))
     taken = real.select("kind", F.col("norm").alias("new"))
-    for _ in range(MAX_ATTEMPTS):
+    for _ in itertools.count():
         first = state.groupBy("kind", "new").agg(F.min(F.struct("attempt", "norm")).alias("x"), F.count("*").alias("n"))
         twice = first.where("n > 1").select("kind", "new", (F.col("x.norm")).alias("stays"))
         moved = state.join(twice, ["kind", "new"]).where("norm <> stays").select("kind", "norm").union(
@@ -283,7 +331,6 @@ def resolve(real: DataFrame, key: bytes) -> DataFrame:
             return state
         again = state.join(moved, ["kind", "norm"], "left_semi").withColumn("attempt", F.col("attempt") + 1)
         state = cut(state.join(moved, ["kind", "norm"], "left_anti").unionByName(_named(again, key)))
-    raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} attempts")
 
 
 def _blocks(moved: DataFrame) -> Iterator[dict[tuple[str, str], int]]:

@@ -98,3 +98,56 @@ def test_many_moved_entities_over_several_blocks(spark, monkeypatch):
     got = S.replace_pii(frame(spark, rows), KEY).collect()
     given = {r.text[e["start"]:e["end"]] for r in got for e in r.entities if e["kind"] == "given-m"}
     assert len(given) == 150
+
+
+MASKED = ['password: "******"', "Password: ........", "token = ----------", "pwd='______'", "password=\"''\""]
+
+
+def test_masked_values_are_no_entities():
+    for text in MASKED:
+        assert S.find(text) == [], text
+    for text, value in [("password: \"it's'mine\"", "it's'mine"), ("token='a\"b\"c\"d'", 'a"b"c"d')]:
+        (a, b, kind, norm), = S.find(text)
+        assert kind == "secret" and text[a:b] == norm == value
+
+
+def test_digits_of_other_scripts_are_replaced():
+    arabic = str.maketrans("0123456789", "".join(chr(0x660 + i) for i in range(10)))
+    for plain, kind in [("123-45-6789", "ssn"), ("4111 1111 1111 1111", "card"), ("+1 (017) 555-7713", "phone")]:
+        text = plain.translate(arabic)
+        (_, _, k, norm), = S.find(text)
+        assert k == kind and [(k, norm)] == [x[2:] for x in S.find(plain)]
+        new, _ = S._rewrite(text, S.find(text), [0], KEY)
+        assert new != text and S._ascii(new) == S._rewrite(plain, S.find(plain), [0], KEY)[0]
+
+
+def test_small_forms_end(spark):
+    """Masked values, ::1 to ::f, all one-letter mailboxes, a full private net and unchangeable secrets."""
+    rows = [*MASKED, *(f"v6 ::{c} x" for c in "123456789abcdef"), *(f"mail {c}@mail.example.com" for c in "abcdefghijklmnopqrstuvwxyz"),
+            'password: "****1*"', 'password: "****2*"', 'password: "\u00aa\u00aa\u00aa\u00aa\u00aa\u00aa"', "mail %%@x.com", "mail %%@y.com"]
+    rows.append("\n".join(f"at 192.168.{i}.{j}, x" for i in range(150) for j in range(256)))
+    got = S.replace_pii(frame(spark, [(i, t, "en", "s") for i, t in enumerate(rows)]), KEY).collect()
+    assert len(got) == len(rows)
+    real, new = set(), []
+    for r in got:
+        found = S.find(rows[r.doc_id])
+        assert len(found) == len(r.entities)
+        real |= {(k, n) for _, _, k, n in found}
+        new += [(e["kind"], r.text[e["start"]:e["end"]]) for e in r.entities]
+    assert {r.text for r in got if r.doc_id < len(MASKED)} == set(MASKED)
+    # ::a to ::f hold no digit and are no entities
+    assert len(new) == len(set(new)) == len(real) and len(new) >= 150 * 256 + 9 + 26 + 5 and not set(new) & real
+
+
+@pytest.mark.parametrize("kind, norm, found", [
+    ("ssn", "123456789", "123-45-6789"), ("card", "4111111111111111", "4111 1111 1111 1111"), ("card", "4111111111112", "4111111111112"),
+    ("phone", "+4912345", "+49 123 45"), ("iban", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"),
+    ("mac", "00:1a:2b:3c:4d:5e", "00:1A:2B:3C:4D:5E"), ("ipv4", "192.168.1.2", "192.168.1.2"), ("ipv4", "8.8.8.8", "8.8.8.8")])
+def test_later_attempts_are_longer_and_complete(kind, norm, found):
+    seen = {S.surrogate(KEY, kind, norm, n) for n in range(20)}
+    assert len(seen) == 20 and norm not in seen
+    for n in (S.FORMED, 19):
+        new = S.surrogate(KEY, kind, norm, n)
+        assert re.sub(r"[^0-9a-zA-Z+]", "", S.form(kind, found, norm, new)).lower() == re.sub(r"[^0-9a-zA-Z+]", "", new).lower()
+        if kind == "card":
+            assert S._luhn(new) == S._luhn(norm)
