@@ -1,9 +1,10 @@
 """Quality rules: counts per text, hard limits, and robust multivariate outliers.
 
 DataFrame functions only. Texts that pass the hard limits get a vector of transformed
-statistics (log mean word length; square roots of the shares of symbols, repeated lines and
-repeated words; all shrunk for short texts). For every language and source the minimum
-covariance determinant estimate of centre and scatter is found by concentration steps: take the
+statistics (log mean word length; square roots of symbols a word, of the odds of repeated lines, and
+of repeated words to what the hard limit leaves; all shrunk for short texts, none with an upper bound,
+so each alone can reach the cutoff). For every language and source (sources of fewer than
+``MIN_GROUP`` texts: for all texts of the language) the minimum covariance determinant estimate of centre and scatter is found by concentration steps: take the
 share ``KEEP`` of vectors nearest to the present estimate, re-estimate from them, repeat; the start
 with the smallest determinant wins, and one reweighting step follows. Texts whose squared
 Mahalanobis distance exceeds the chi-square quantile ``CUTOFF`` are rejected.
@@ -25,7 +26,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 KEEP, STEPS, MIN_GROUP = 0.75, 5, 25
 REWEIGHT, CUTOFF = 0.975, 1 - 1e-9
 #: Standard deviations below which a statistic's scatter is not taken seriously.
-FLOORS = (0.06, 0.06, 0.15, 0.12)
+FLOORS = (0.06, 0.06, 0.1, 0.2)
 _WS = r"[\x20\x09-\x0D]+"
 _P = len(FLOORS)
 _X = [f"x{i}" for i in range(_P)]
@@ -68,7 +69,9 @@ def vector() -> list[Column]:
     """Transformed statistics; adding 50 ordinary words shrinks what short texts cannot show."""
     more = F.col("n_words") + 50
     return [F.log((F.col("word_chars") + 250) / more), F.sqrt(F.col("n_symbols") / more),
-            F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + 5)), F.sqrt(F.col("n_repeat_words") / more)]
+            F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + 5 - F.col("n_dup_lines"))),
+            # base_failed texts have no distance; they only must not divide by zero
+            F.sqrt(F.col("n_repeat_words") / F.greatest(more * MAX_REPEAT_PERCENT / 100 - F.col("n_repeat_words"), F.lit(1.0)))]
 
 
 def chi2_cdf(x: float, even: int) -> float:
@@ -133,9 +136,8 @@ def _nearest(rows: DataFrame, by: list[str], share: float) -> DataFrame:
     return _with(rows, limit, by=by).where("bin <= limit")
 
 
-def _first(rows: DataFrame) -> DataFrame:
+def _first(rows: DataFrame, by: list[str]) -> DataFrame:
     """Two starts for each group: all vectors (0), and medians with interquartile scatter (1)."""
-    by = ["lang", "source"]
     whole = _estimates(rows, by, 1.0).withColumn("start", F.lit(0))
     long = rows.select(*by, F.posexplode(F.array(*[F.floor(F.col(x) / (f / 8)).cast("long") for x, f in zip(_X, FLOORS)]))
                        .alias("dim", "bin"))
@@ -156,21 +158,37 @@ def _first(rows: DataFrame) -> DataFrame:
 
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
-    """lang, source, m0.., l_i_j, of every group of MIN_GROUP vectors or more."""
-    by = ["lang", "source"]
-    big = cut(rows.groupBy(*by).agg(F.count("*").alias("size")).where(F.col("size") >= MIN_GROUP).select(*by))
-    rows = _with(rows, big)
+    """lang, source, m0.., l_i_j of every group of a language of MIN_GROUP vectors or more.
+
+    A group that is smaller itself has the estimate of its language.
+    """
+    total = F.sum("size").over(Window.partitionBy("lang"))
+    sizes = cut(rows.groupBy("lang", "source").agg(F.count("*").alias("size")).withColumn("total", total))
+    big = sizes.where(F.col("size") >= MIN_GROUP).select("lang", "source")
+    small = sizes.where((F.col("size") < MIN_GROUP) & (F.col("total") >= MIN_GROUP)).select("lang", "source")
+    pooled = not small.isEmpty()
+    all_rows, rows = rows, _with(rows, big).withColumn("pooled", F.lit(False))
+    if pooled:
+        whole = _with(all_rows, small.select("lang").distinct(), by=["lang"]).withColumn("pooled", F.lit(True))
+        rows = rows.unionByName(whole.withColumn("source", F.lit(None).cast(all_rows.schema["source"].dataType)))
+    by = ["lang", "source", "pooled"]
     alpha = chi2_quantile(KEEP, _P)
     factor = KEEP / chi2_cdf(alpha, _P + 2)
-    est = cut(_first(rows))
+    est = cut(_first(rows, by))
     for _ in range(STEPS):
-        near = _nearest(_with(rows, est).withColumn("d2", _distance2()).select(*by, "start", *_X, "d2"), [*by, "start"], KEEP)
+        near = _nearest(_with(rows, est, by=by).withColumn("d2", _distance2()).select(*by, "start", *_X, "d2"), [*by, "start"], KEEP)
         est = cut(_estimates(near, [*by, "start"], factor))
     best = Window.partitionBy(*by).orderBy("logdet", "start")
     est = cut(est.withColumn("rank", F.row_number().over(best)).where("rank = 1").drop("rank", "start"))
     q = chi2_quantile(REWEIGHT, _P)
-    inside = _with(rows, est).withColumn("d2", _distance2()).where(F.col("d2") <= q).select(*by, *_X)
-    return _estimates(inside, by, REWEIGHT / chi2_cdf(q, _P + 2))
+    inside = _with(rows, est, by=by).withColumn("d2", _distance2()).where(F.col("d2") <= q).select(*by, *_X)
+    est = _estimates(inside, by, REWEIGHT / chi2_cdf(q, _P + 2))
+    out = est.where("NOT pooled").drop("pooled")
+    if pooled:
+        est = cut(est)
+        out = est.where("NOT pooled").drop("pooled").unionByName(
+            _with(small, est.where("pooled").drop("source", "pooled"), by=["lang"]))
+    return out
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -178,7 +196,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """One row per row: id, the counts, base_failed, distance2 and kept.
 
     Null and empty texts have no words and fail the base. Null languages and sources are groups
-    like others. In a group of fewer than MIN_GROUP texts that pass the base, and for texts that
+    like others. In a language of fewer than MIN_GROUP texts that pass the base, and for texts that
     fail it, there is no distance (null); the base alone decides. Repeated rows are judged
     alike. Other columns are not read.
     """

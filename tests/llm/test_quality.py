@@ -88,3 +88,23 @@ def test_no_python_and_empty(spark):
     plan = Q.base_counts(docs.select(F.col("doc_id").alias("id"), "text"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert Q.quality(docs.limit(0)).count() == 0
+
+
+def test_each_statistic_alone_decides_and_small_sources_use_their_language(spark):
+    rng = random.Random(6)
+    lined = lambda w: [" ".join(w[j:j + 12]) for j in range(0, len(w), 12)]
+    rows = [(i, "\n".join(lined(prose(rng, rng.randrange(30, 300), 3000))), "en", "a") for i in range(150)]
+    w = prose(rng, 910, 10**6)
+    bad = {1000: " ".join("x" * 30 + x for x in prose(rng, 200, 3000)),
+           1001: "\n".join(lined([x + "#" for x in prose(rng, 200, 3000)])),
+           1002: "\n".join(f"{x}\nRead more" for x in lined(prose(rng, 480, 3000))),
+           1003: " ".join(w + w[300:390])}
+    rows += [(i, t, "en", "a") for i, t in bad.items()]
+    rows += [(2000 + i, t, "en", "tiny") for i, t in enumerate([*bad.values(), rows[0][1], rows[1][1]])]
+    rows += [(3000, bad[1001], "de", "tiny")]
+    got = {r.doc_id: r for r in Q.quality(frame(spark, rows)).collect()}
+    assert len(got) == len(rows) and not any(r.base_failed for r in got.values())
+    assert all(got[i].kept for i in range(150))
+    assert not any(got[i].kept for i in bad)
+    assert [got[2000 + i].kept for i in range(6)] == [False] * 4 + [True] * 2
+    assert got[2004].distance2 is not None and got[3000].distance2 is None and got[3000].kept
