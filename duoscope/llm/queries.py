@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from duoscope.llm import chaining, decontaminate, langmix, linechunks, minhash, mixing, pagediff, quality, surrogates, tokens
+from duoscope.llm import bpe, chaining, decontaminate, langmix, linechunks, minhash, mixing, pagediff, quality, surrogates, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "distance2")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    out = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    ids = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
+    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                      F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 #: Windows of ten words of each item, and where they occur. The word pattern's ASCII part is
 #: written out; DuckDB's regular expressions work on characters, as the operator's contract does.
 OP3_SQL = r"""
@@ -134,5 +142,6 @@ QUERIES = {
     "op8_near_duplicates": (op8_near_duplicates, None),
     "op9_token_counts": (op9_token_counts, None),
     "op10_quality_rules": (op10_quality_rules, None),
+    "op11_byte_bpe": (op11_byte_bpe, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
