@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from duoscope.llm import bpe, chaining, decontaminate, langmix, linechunks, minhash, mixing, pagediff, quality, surrogates, tokens
+from duoscope.llm import bpe, chaining, decontaminate, langmix, linechunks, merkle, minhash, mixing, pagediff, quality, surrogates, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,19 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head, doc = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], F.col("doc_id").cast("string")
+    leaf = merkle.leaf(*head, "text")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(doc) % 5 == 0, merkle.leaf(*head, lower)).otherwise(leaf)
+    out = merkle.manifest(_table(spark, sf_dir, "documents"), leaf, F.col("source"), F.col("doc_id"),
+                          doc_id=F.col("doc_id"), tampered=tampered)
+    return (out.withColumn("proof_sha256", F.sha2(merkle.proof_text(F.col("path")), 256))
+            .withColumn("folded_root", merkle.fold(F.col("tampered"), F.col("path")))
+            .select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                    (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
 #: Windows of ten words of each item, and where they occur. The word pattern's ASCII part is
 #: written out; DuckDB's regular expressions work on characters, as the operator's contract does.
 OP3_SQL = r"""
@@ -131,6 +144,65 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(
        CAST(coalesce(sum(n) FILTER (WHERE gone), 0) AS bigint) AS n_removed
 FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id, d.text"""
 
+
+
+def _op12_sql(depth: int = 7, groups_depth: int = 4) -> str:
+    """Each level by its own window and aggregation; enough levels for 16**7 rows of 16**4 sources."""
+    def tree(name: str, key: str, levels: int) -> str:
+        out = ""
+        for i in range(levels):
+            run = f"(PARTITION BY {key}, place // 16 ORDER BY place ROWS BETWEEN"
+            out += f""",
+{name}_s{i} AS (
+  SELECT {key}, place, coalesce(string_agg(hash, '') OVER {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(hash, '') OVER {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{i} WHERE n > 1),
+{name}{i + 1} AS (
+  SELECT {key}, place // 16 AS place, (n + 15) // 16 AS n, sha256(string_agg(hash, '' ORDER BY place)) AS hash
+  FROM {name}{i} WHERE n > 1 GROUP BY {key}, n, place // 16)"""
+        tops = " UNION ALL ".join(f"SELECT {key}, hash FROM {name}{i} WHERE n = 1" for i in range(levels + 1))
+        return out + f""",
+{name}_top AS ({tops})"""
+
+    def walk(first: str, name: str, key: str, at: str, levels: int, start: int) -> str:
+        out, last = "", first
+        for i in range(levels):
+            out += f""",
+f{start + i} AS (
+  SELECT f.* EXCLUDE (fold, proof), proof || coalesce(l || r, '') AS proof,
+         CASE WHEN l IS NULL THEN fold ELSE sha256(l || fold || r) END AS fold
+  FROM {last} f LEFT JOIN {name}_s{i} s ON f.{key} IS NOT DISTINCT FROM s.{key} AND f.{at} // {16 ** i} = s.place)"""
+            last = f"f{start + i}"
+        return out
+
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS varchar)) || ':' || CAST({c} AS varchar) END"
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH coded AS (
+  SELECT doc_id, source, sha256({head} || {field("text")}) AS leaf, sha256({head} || {field(lower)}) AS lowered,
+         xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS bigint), list_transform(
+             string_split(CAST(doc_id AS varchar), ''), lambda c: CAST(ord(c) AS bigint))),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z:
+             CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, source, leaf, CASE WHEN crc % 5 = 0 THEN lowered ELSE leaf END AS fold,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY source) AS n FROM coded),
+t0 AS (SELECT source, place, n, leaf AS hash FROM leaves){tree("t", "source", depth)},
+g0 AS (SELECT 0 AS one, source, hash, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+              count(*) OVER () AS n FROM t_top){tree("g", "one", groups_depth)},
+f0 AS (SELECT v.*, '' AS proof, g.place AS gplace, 0 AS one, g.hash AS subroot, g_top.hash AS root
+       FROM leaves v JOIN g0 g ON v.source IS NOT DISTINCT FROM g.source, g_top){walk("f0", "t", "source", "place", depth, 1)}{walk(f"f{depth}", "g", "one", "gplace", groups_depth, depth + 1)}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = root AS verified
+FROM f{depth + groups_depth}"""
+
+
+OP12_SQL = _op12_sql()
+
 QUERIES = {
     "op1_pii_surrogates": (op1_pii_surrogates, None),
     "op2_language_mixture": (op2_language_mixture, None),
@@ -143,5 +215,6 @@ QUERIES = {
     "op9_token_counts": (op9_token_counts, None),
     "op10_quality_rules": (op10_quality_rules, None),
     "op11_byte_bpe": (op11_byte_bpe, None),
+    "op12_merkle_manifest": (op12_merkle_manifest, OP12_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
