@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from duoscope.llm import bpe, chaining, decontaminate, langmix, linechunks, merkle, minhash, mixing, pagediff, quality, surrogates, tokens
+from duoscope.llm import (bpe, chaining, conversations, decontaminate, langmix, linechunks, merkle, minhash, mixing, pagediff,
+                          quality, surrogates, tokens)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +95,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("folded_root") == F.col("root")).alias("verified")))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = _table(spark, sf_dir, "conversations")
+    return conversations.report(convs, conversations.damaged(convs))
+
+
 #: Windows of ten words of each item, and where they occur. The word pattern's ASCII part is
 #: written out; DuckDB's regular expressions work on characters, as the operator's contract does.
 OP3_SQL = r"""
@@ -146,6 +152,14 @@ FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id, d.
 
 
 
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of ASCII text, bit by bit."""
+    return f"""xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS bigint), list_transform(
+             string_split({text}, ''), lambda c: CAST(ord(c) AS bigint))),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z:
+             CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
 def _op12_sql(depth: int = 7, groups_depth: int = 4) -> str:
     """Each level by its own window and aggregation; enough levels for 16**7 rows of 16**4 sources."""
     def tree(name: str, key: str, levels: int) -> str:
@@ -183,10 +197,7 @@ f{start + i} AS (
     return f"""
 WITH coded AS (
   SELECT doc_id, source, sha256({head} || {field("text")}) AS leaf, sha256({head} || {field(lower)}) AS lowered,
-         xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS bigint), list_transform(
-             string_split(CAST(doc_id AS varchar), ''), lambda c: CAST(ord(c) AS bigint))),
-           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z:
-             CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS crc
+         {_crc32_sql("CAST(doc_id AS varchar)")} AS crc
   FROM documents),
 leaves AS (
   SELECT doc_id, source, leaf, CASE WHEN crc % 5 = 0 THEN lowered ELSE leaf END AS fold,
@@ -203,6 +214,69 @@ FROM f{depth + groups_depth}"""
 
 OP12_SQL = _op12_sql()
 
+#: Every state's cheapest edits, the least by ASCII of equal ones, row by row; whole strings are kept.
+OP13_SQL = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32_sql("coalesce(CAST(conv_id AS varchar), ' ') || ':' || coalesce(CAST(turn AS varchar), ' ')")} % 20 AS k
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM keyed WHERE k <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+  FROM damaged),
+seen AS (
+  SELECT *, last = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS following
+  FROM placed),
+rows_ AS (
+  SELECT *, again AND NOT blank AS dup, NOT blank AND NOT again AND last NOT IN ('.', '!', '?') AS cut,
+         blank OR again AS gone, following IS NOT NULL AND left(role, 1) || following NOT IN ('su', 'ua', 'au') AS bad
+  FROM seen),
+fills(s, m, ins, lines) AS (VALUES
+  (0, 0, '', ''), (0, 2, 'I', chr(10) || 'user:'), (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 1, '', ''), (1, 2, 'I', chr(10) || 'user:'), (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (2, 2, '', ''), (2, 3, 'I', chr(10) || 'assistant:'), (3, 3, '', ''), (3, 2, 'I', chr(10) || 'user:')),
+moves(m, edit, need, t) AS (VALUES (0, 'D', '', 0), (1, 'D', '', 1), (2, 'D', '', 2), (3, 'D', '', 3),
+  (0, 'K', 's', 1), (0, 'K', 'u', 2), (1, 'K', 'u', 2), (3, 'K', 'u', 2), (2, 'K', 'a', 3),
+  (0, 'R', '', 2), (1, 'R', '', 2), (3, 'R', '', 2), (2, 'R', '', 3)),
+dp AS (
+  SELECT DISTINCT conv_id, 0 AS i, 0 AS s, 0 AS cost, '' AS audit, '' AS out FROM damaged
+  UNION ALL
+  SELECT conv_id, i, s, cost, audit, out FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, s ORDER BY cost, audit) AS best FROM (
+      SELECT d.conv_id, d.i + 1 AS i, v.t AS s,
+             d.cost + 3 * length(f.ins) + CASE v.edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+               + CASE WHEN r.cut AND v.edit <> 'D' THEN 3 ELSE 0 END AS cost,
+             d.audit || f.ins || v.edit AS audit,
+             d.out || f.lines || CASE v.edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || r.role || ':' || r.text
+               ELSE chr(10) || CASE v.t WHEN 2 THEN 'user:' ELSE 'assistant:' END || r.text END AS out
+      FROM dp d JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM d.conv_id AND r.i = d.i + 1
+      JOIN fills f ON f.s = d.s
+      JOIN moves v ON v.m = f.m AND (v.edit = 'D' OR NOT r.gone) AND (v.need = '' OR v.need = left(r.role, 1))))
+  WHERE best = 1),
+told AS (
+  SELECT conv_id, count(*) AS n, sum(CAST(blank AS int)) AS blank, sum(CAST(dup AS int)) AS duplicate,
+         sum(CAST(cut AS int)) AS truncated, sum(CAST(bad AS int)) AS illegal,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM rows_ GROUP BY conv_id),
+ends AS (
+  SELECT d.conv_id, cost + 3 * length(f.ins) AS cost, audit || f.ins AS audit, out || f.lines AS out,
+         row_number() OVER (PARTITION BY d.conv_id ORDER BY cost + 3 * length(f.ins), audit || f.ins) AS best
+  FROM dp d JOIN told t ON t.conv_id IS NOT DISTINCT FROM d.conv_id AND d.i = t.n
+  JOIN fills f ON f.s = d.s AND (f.m = 3 OR f.m = 0))
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS bigint) AS gaps, CAST(coalesce(blank, 0) AS bigint) AS blank,
+       CAST(coalesce(duplicate, 0) AS bigint) AS duplicate, CAST(coalesce(truncated, 0) AS bigint) AS truncated,
+       CAST(coalesce(illegal, 0) AS bigint) AS illegal, CAST(coalesce(cost, 0) AS bigint) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(substr(out, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id AND e.best = 1"""
+
 QUERIES = {
     "op1_pii_surrogates": (op1_pii_surrogates, None),
     "op2_language_mixture": (op2_language_mixture, None),
@@ -216,5 +290,6 @@ QUERIES = {
     "op10_quality_rules": (op10_quality_rules, None),
     "op11_byte_bpe": (op11_byte_bpe, None),
     "op12_merkle_manifest": (op12_merkle_manifest, OP12_SQL),
+    "op13_conversation_repair": (op13_conversation_repair, OP13_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
