@@ -3,10 +3,10 @@
 Spark has no Jaro built-in, so the kernel runs inside Arrow batches (``pairs_under``: one
 ``mapInPandas`` pass that also drops pairs at or above the threshold; ``jaro_distance``: a
 ``pandas_udf`` column). ``batch_distance`` handles all pairs of a batch at once: each right
-title is a 64-bit mask of places per character, and the loop runs over character positions,
-not over pairs. Pairs with a title of more than 64 characters go to the per-pair helper. The operator in
-``operators/link.py`` only sends it candidate pairs that survived the lossless length
-and character-bag bounds.
+title is a mask of places per character, of as many 64-bit words as its length needs, and the loop
+runs over character positions, not over pairs. ``jaro_similarity`` is the plain definition for one pair.
+The operator in ``operators/link.py`` only sends candidate pairs that survived the lossless
+length and character-bag bounds.
 
 Definition: match window ``max(0, max(|x|, |y|) // 2 - 1)``; greedy left-to-right
 matching; ``k`` = matched characters out of order; transpositions ``k / 2``
@@ -104,137 +104,206 @@ def _codes(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
-def batch_distance(xs, ys, floor: bool = False, digits: int | None = 12) -> np.ndarray:
-    """1 - Jaro similarity of each pair of titles; NaN where either is missing."""
-    n = len(xs)
-    out = np.full(n, np.nan)
-    some = [i for i in range(n) if isinstance(xs[i], str) and isinstance(ys[i], str)]
-    short = [i for i in some if len(xs[i]) <= 64 and len(ys[i]) <= 64]
-    fits = set(short)
-    for i in some:
-        if i not in fits:
-            out[i] = jaro_distance_value(xs[i], ys[i], floor, digits)
-    for at in range(0, len(short), 4096):
-        rows = short[at:at + 4096]
-        out[rows] = _short_distance([xs[i] for i in rows], [ys[i] for i in rows], floor, digits)
-    return out
+#: Titles of a batch are handled together by their length: up to 64, 256, 1,024, ... characters.
+_WORD, _STEP = 64, 4
+#: Words of place masks held at once; longer titles go in smaller groups (one pair at least).
+_MASK_WORDS = 1 << 21
+_SLACK = 1e-9
+#: _ONES[k]: the k lowest bits.
+_ONES = np.array([(1 << k) - 1 for k in range(_WORD + 1)], np.uint64)
 
 
-def _short_distance(xs: list[str], ys: list[str], floor: bool, digits: int | None) -> np.ndarray:
-    width = max(1, max(map(len, xs), default=0), max(map(len, ys), default=0))
+def batch_distance(xs, ys, floor: bool = False, digits: int | None = 12) -> np.ndarray:
+    """1 - Jaro similarity of each pair of titles; NaN where either is missing."""
+    out = np.full(len(xs), np.nan)
+    some = [i for i in range(len(xs)) if isinstance(xs[i], str) and isinstance(ys[i], str)]
+    longest = {i: max(len(xs[i]), len(ys[i])) for i in some}
+    top = _WORD
+    while some:
+        rows = [i for i in some if longest[i] <= top]
+        some = [i for i in some if longest[i] > top]
+        at = 0
+        while at < len(rows):
+            found = rows[at:at + 4096]
+            d, n = _distances([xs[i] for i in found], [ys[i] for i in found], floor)
+            out[found[:n]] = d
+            at += n
+        top *= _STEP
+    return np.round(out, digits) if digits is not None else out
+
+
+def _numbered(xs: list[str], ys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Characters of both sides numbered from 0 as they occur, padded; lengths; how many there are."""
+    width = max(1, max(map(len, xs)), max(map(len, ys)))
     (x, lx), (y, ly) = _codes(xs, width), _codes(ys, width)
-    # characters numbered from 0 as they occur in this batch
     seen = np.zeros(max(int(x.max()), int(y.max())) + 1, bool)
     seen[x], seen[y] = True, True
     number = np.cumsum(seen) - 1
-    x, y, n_chars = number[x], number[y], int(number[-1]) + 1
-    pairs, one = np.arange(len(xs)), np.uint64(1)
-    # places[p, c]: bit j is set where y[j] is character c
-    places = np.zeros((len(xs), n_chars), np.uint64)
+    return number[x], lx, number[y], ly, int(number[-1]) + 1
+
+
+def _places(y: np.ndarray, ly: np.ndarray, n_chars: int) -> np.ndarray:
+    """[title, character, word]: bit j of a title's words is set where y[j] is the character."""
+    n, width = y.shape
+    out = np.zeros((n, n_chars, -(-width // _WORD)), np.uint64)
+    rows = np.arange(n)
     for j in range(width):
         live = j < ly
-        places[pairs[live], y[live, j]] |= one << np.uint64(j)
-    window = np.maximum(0, np.maximum(lx, ly) // 2 - 1)
-    used = np.zeros(len(xs), np.uint64)
-    hit = np.zeros((len(xs), width), bool)
-    for i in range(width):
-        lo, hi = np.maximum(i - window, 0), np.minimum(i + window, 63)
-        # bits lo .. hi, written so that no shift reaches 64
-        reach = ((one << np.minimum(lo, 63).astype(np.uint64)) - one) ^ (((one << hi.astype(np.uint64)) - one) | (one << hi.astype(np.uint64)))
-        free = places[pairs, x[:, i]] & ~used & reach
-        free[(i >= lx) | (lo > 63)] = 0
-        first = free & (~free + one)            # the first free place
-        used |= first
+        out[rows[live], y[live, j], j // _WORD] |= np.uint64(1 << (j % _WORD))
+    return out
+
+
+def _similar(x, lx, y, ly, places, ia, ib, floor: bool, least: float = 0.0) -> np.ndarray:
+    """Similarity of the pairs (x[ia], y[ib]); 0 for some that can't reach ``least``.
+
+    The loop runs over the places of the left titles, all pairs at once.
+    """
+    width, words = x.shape[1], places.shape[2]
+    x, a, b = x[ia], lx[ia], ly[ib]
+    one, window = np.uint64(1), np.maximum(0, np.maximum(a, b) // 2 - 1)
+    used = np.zeros((len(ia), words), np.uint64)
+    hit = np.zeros((len(ia), width), bool)
+    first_bit, pairs = np.arange(words) * _WORD, np.arange(len(ia))
+    if words == 1:   # reach_at[i, window]: the places that may match place i
+        w = np.arange(_WORD)
+        i = np.arange(width)[:, None]
+        reach_at = _ONES[np.clip(i + w + 1, 0, _WORD)] & ~_ONES[np.clip(i - w, 0, _WORD)]
+        places = places[:, :, 0]
+    for i in range(int(a.max(initial=0))):
+        if words == 1:
+            free = places[ib, x[:, i]] & ~used[:, 0] & reach_at[i][window]
+            free[i >= a] = 0
+            first = free & (~free + one)        # the first free place
+            used[:, 0] |= first
+        else:
+            lo, hi = np.maximum(i - window, 0), i + window + 1
+            reach = (_ONES[np.clip(hi[:, None] - first_bit, 0, _WORD)]
+                     & ~_ONES[np.clip(lo[:, None] - first_bit, 0, _WORD)])
+            free = places[ib, x[:, i]] & ~used & reach
+            free[i >= a] = 0
+            word = (free != 0).argmax(1)
+            at = free[pairs, word]
+            first = at & (~at + one)
+            used[pairs, word] |= first
         hit[:, i] = first != 0
     m = hit.sum(1)
-    taken = (used[:, None] >> np.arange(width, dtype=np.uint64)) & one == one
-    # the r-th matched character of either side, side by side
-    sides = []
-    for chars, mask in ((x, hit), (y, taken)):
-        p, i = np.nonzero(mask)
-        rank = (np.cumsum(mask, 1) - 1)[p, i]
-        side = np.full((len(xs), width), -1)
-        side[p, rank] = chars[p, i]
-        sides.append(side)
-    k = (sides[0] != sides[1]).sum(1)
+    out = np.zeros(len(ia))
+    # without any transposition a pair has (m / |x| + m / |y| + 1) / 3
+    live = np.flatnonzero((m > 0) & (m * (a + b) >= (3.0 * least - 1.0 - _SLACK) * a * b))
+    x, a, b, m, used, hit = x[live], a[live], b[live], m[live], used[live], hit[live]
+    place = np.arange(width)
+    taken = (used[:, place // _WORD] >> (place % _WORD).astype(np.uint64)) & one == one
+    # matched characters of both sides in their order, side by side
+    order_x, order_y = np.argsort(~hit, axis=1, kind="stable"), np.argsort(~taken, axis=1, kind="stable")
+    same = np.take_along_axis(x, order_x, 1) == np.take_along_axis(y[ib[live]], order_y, 1)
+    k = (~same & (place < m[:, None])).sum(1)
     t = k // 2 if floor else k / 2.0
-    return (m / lx + m / ly + (m - t) / m) / 3.0
+    out[live] = (m / a + m / b + (m - t) / m) / 3.0
+    return out
 
 
-def jaro_distance_value(x: str | None, y: str | None, floor: bool = False,
-                        digits: int | None = 12, cutoff: float | None = None) -> float | None:
-    """1 - Jaro similarity. With ``cutoff``, distances that cannot be below it may be
-    reported as 1.0 (callers that only keep ``dist < cutoff`` lose nothing)."""
-    if x is None or y is None:
-        return None
-    min_sim = None if cutoff is None else 1.0 - cutoff
-    d = 1.0 - jaro_similarity(x, y, floor, min_sim)
-    return round(d, digits) if digits is not None else d
+def _distances(xs: list[str], ys: list[str], floor: bool) -> tuple[np.ndarray, int]:
+    """Distances of the first pairs, as many as the masks have room for, and their number."""
+    words = -(-max(1, max(map(len, xs)), max(map(len, ys))) // _WORD)
+    n = max(1, min(len(xs), _MASK_WORDS // (words * (len(set().union(*xs, *ys)) + 1))))
+    xs, ys = xs[:n], ys[:n]
+    x, lx, y, ly, n_chars = _numbered(xs, ys)
+    both = np.arange(n)
+    sim = _similar(x, lx, y, ly, _places(y, ly, n_chars), both, both, floor)
+    sim[[a == b for a, b in zip(xs, ys)]] = 1.0
+    return 1.0 - sim, n
 
 
-def _codes(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(code points, one row per text, padded with 0; lengths)."""
-    size = np.array([len(t) for t in texts], np.int64)
-    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    out = np.zeros((len(texts), width), np.uint32)
-    out[np.arange(width) < size[:, None]] = flat
-    return out, size
+def _tokens(texts: list[str], number: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, token) of every character: token = (character, how many of it up to here), numbered."""
+    code = np.array([number[c] for t in texts for c in t], np.int64)
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    order = np.lexsort((code, text))
+    code, text = code[order], text[order]
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (text[1:] != text[:-1])
+    start = np.maximum.accumulate(np.where(new, np.arange(len(code)), 0))
+    return text, (np.arange(len(code)) - start) * len(number) + code
 
 
-def batch_distance(xs, ys, floor: bool = False, digits: int | None = 12) -> np.ndarray:
-    """1 - Jaro similarity of each pair of titles; NaN where either is missing."""
-    n = len(xs)
-    out = np.full(n, np.nan)
-    some = [i for i in range(n) if isinstance(xs[i], str) and isinstance(ys[i], str)]
-    short = [i for i in some if len(xs[i]) <= 64 and len(ys[i]) <= 64]
-    fits = set(short)
-    for i in some:
-        if i not in fits:
-            out[i] = jaro_distance_value(xs[i], ys[i], floor, digits)
-    for at in range(0, len(short), 4096):
-        rows = short[at:at + 4096]
-        out[rows] = _short_distance([xs[i] for i in rows], [ys[i] for i in rows], floor, digits)
-    return out
+def _bits(text: np.ndarray, token: np.ndarray, n: int, n_tokens: int) -> np.ndarray:
+    """One bit per token of each text, in 64-bit words: (words, texts)."""
+    out = np.zeros((n, max(1, -(-n_tokens // 64)) * 8), np.uint8)
+    np.bitwise_or.at(out, (text, token // 8), (1 << (token % 8)).astype(np.uint8))
+    return np.ascontiguousarray(out.view(np.uint64).T)
 
 
-def _short_distance(xs: list[str], ys: list[str], floor: bool, digits: int | None) -> np.ndarray:
-    width = max(1, max(map(len, xs), default=0), max(map(len, ys), default=0))
-    (x, lx), (y, ly) = _codes(xs, width), _codes(ys, width)
-    # characters numbered from 0 as they occur in this batch
-    seen = np.zeros(max(int(x.max()), int(y.max())) + 1, bool)
-    seen[x], seen[y] = True, True
-    number = np.cumsum(seen) - 1
-    x, y, n_chars = number[x], number[y], int(number[-1]) + 1
-    pairs, one = np.arange(len(xs)), np.uint64(1)
-    # places[p, c]: bit j is set where y[j] is character c
-    places = np.zeros((len(xs), n_chars), np.uint64)
-    for j in range(width):
-        live = j < ly
-        places[pairs[live], y[live, j]] |= one << np.uint64(j)
-    window = np.maximum(0, np.maximum(lx, ly) // 2 - 1)
-    used = np.zeros(len(xs), np.uint64)
-    hit = np.zeros((len(xs), width), bool)
-    for i in range(width):
-        lo, hi = np.maximum(i - window, 0), np.minimum(i + window, 63)
-        # bits lo .. hi, written so that no shift reaches 64
-        reach = ((one << np.minimum(lo, 63).astype(np.uint64)) - one) ^ (((one << hi.astype(np.uint64)) - one) | (one << hi.astype(np.uint64)))
-        free = places[pairs, x[:, i]] & ~used & reach
-        free[(i >= lx) | (lo > 63)] = 0
-        first = free & (~free + one)            # the first free place
-        used |= first
-        hit[:, i] = first != 0
-    m = hit.sum(1)
-    taken = (used[:, None] >> np.arange(width, dtype=np.uint64)) & one == one
-    # matched characters of both sides in their order, side by side
-    order_x, order_y = np.argsort(~hit, axis=1, kind="stable"), np.argsort(~taken, axis=1, kind="stable")
-    same = np.take_along_axis(x, order_x, 1) == np.take_along_axis(y, order_y, 1)
-    k = (~same & (np.arange(width) < m[:, None])).sum(1)
-    t = k // 2 if floor else k / 2.0
-    with np.errstate(divide="ignore", invalid="ignore"):
-        sim = (m / lx + m / ly + (m - t) / m) / 3.0
-    sim = np.where(m == 0, 0.0, sim)
-    sim[[a == b for a, b in zip(xs, ys)]] = 1.0
-    return np.round(1.0 - sim, digits) if digits is not None else 1.0 - sim
+#: So many pairs of a cell are compared at once.
+_PAIRS = 1 << 22
+
+
+def close_in_cell(xs: list[str], ys: list[str], max_dist: float, floor: bool = False,
+                  digits: int | None = 12) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in xs, place in ys, distance) of all pairs of two lists under ``max_dist``.
+
+    A similarity of 1 - d needs c (|x| + |y|) >= (2 - 3 d) |x| |y| common characters. A title is a
+    set of (character, occurrence) tokens; the common characters of a pair are the common bits,
+    counted for whole stretches of titles of one length at once. The rest goes to the kernel.
+    """
+    none = np.zeros(0, np.int64)
+    if not xs or not ys:
+        return none, none, np.zeros(0)
+    number = {c: i for i, c in enumerate(sorted(set().union(*xs, *ys)))}
+    (xt, xk), (yt, yk) = _tokens(xs, number), _tokens(ys, number)
+    # Only common tokens can match; numbered without gaps.
+    common = np.intersect1d(xk, yk)
+    sides = []
+    for t, k, n in ((xt, xk, len(xs)), (yt, yk, len(ys))):
+        at = np.searchsorted(common, k)
+        known = at < len(common)
+        known[known] = common[at[known]] == k[known]
+        sides.append(_bits(t[known], at[known], n, len(common)))
+    x_len, y_len = (np.array([len(t) for t in side], np.int64) for side in (xs, ys))
+    by_len = np.argsort(y_len, kind="stable")
+    y_bits, y_sorted = np.ascontiguousarray(sides[1][:, by_len]), y_len[by_len]
+    k = 2.0 - 3.0 * max_dist - 3.0 * _SLACK
+    ia, ib = [], []
+    for size in np.unique(x_len):
+        # c can't exceed the shorter title, which bounds the other's length
+        ratio = max(k - 1.0, 0.0)
+        lo = np.searchsorted(y_sorted, ratio * size - _SLACK, "left")
+        hi = np.searchsorted(y_sorted, size / ratio + _SLACK, "right") if ratio > 0 else len(ys)
+        if lo >= hi:
+            continue
+        total = np.maximum(size + y_sorted[lo:hi], 1)
+        need = np.ceil(np.maximum(k, 0.0) * size * y_sorted[lo:hi] / total - _SLACK).astype(np.int64)
+        rows = np.flatnonzero(x_len == size)
+        step = max(1, _PAIRS // (hi - lo))
+        for at in range(0, len(rows), step):
+            some = rows[at:at + step]
+            c = np.zeros((len(some), hi - lo), np.uint16)
+            for w in range(len(y_bits)):
+                c += np.bitwise_count(sides[0][w, some][:, None] & y_bits[w, lo:hi])
+            a, b = np.nonzero(c >= need)
+            ia.append(some[a])
+            ib.append(by_len[lo + b])
+    ia, ib = np.concatenate([none, *ia]), np.concatenate([none, *ib])
+    x, lx, y, ly, n_chars = _numbered(xs, ys)
+    kernel = None
+    if len(ys) * n_chars * -(-x.shape[1] // _WORD) <= 4 * _MASK_WORDS:
+        # the masks of the right titles serve all their pairs
+        masks = _places(y, ly, n_chars)
+        names = {t: i for i, t in enumerate({*xs, *ys})}
+        x_name, y_name = (np.array([names[t] for t in side]) for side in (xs, ys))
+
+        def kernel(a, b):
+            sim = _similar(x, lx, y, ly, masks, a, b, floor, 1.0 - max_dist)
+            sim[x_name[a] == y_name[b]] = 1.0
+            return np.round(1.0 - sim, digits) if digits is not None else 1.0 - sim
+    keep, dist = [], []
+    for at in range(0, len(ia), 1 << 15):
+        a, b = ia[at:at + (1 << 15)], ib[at:at + (1 << 15)]
+        d = kernel(a, b) if kernel else batch_distance([xs[i] for i in a], [ys[i] for i in b], floor, digits)
+        near = d < max_dist
+        keep.append(at + np.flatnonzero(near))
+        dist.append(d[near])
+    keep = np.concatenate([none, *keep])
+    return ia[keep], ib[keep], np.concatenate([np.zeros(0), *dist])
 
 
 def _make_udf(floor: bool, digits: int | None):

@@ -15,21 +15,15 @@ Scale plan:
 * the best match depends only on (title, block), so both sides are reduced to distinct
   titles per block first (right side keeps ``min(order_col)``: equal titles have equal
   distances, so the smallest order wins among them);
-* candidate pairs come from an equi-join on (block, length band): the band is lossless
-  for Jaro thresholds below 1/3 (a pair within length ratio 1-3*theta is at most one
-  band apart; the left side is replicated to the neighbouring bands) and splits hot
-  blocks by length;
-* a character-group bag bound on the Jaro similarity runs inside the join condition as
-  codegen'd arithmetic, so only survivors (~10 %) reach the Python kernel
-  (one ``mapInPandas`` pass that computes the distance and drops pairs at or above
-  the threshold);
-* join strategy by a checked size: distinct right titles up to ``broadcast_rows`` are
-  broadcast and the left titles hash-partitioned by (title, block) - a hot block is
-  spread over all tasks and only one partial best per left title is shuffled after;
-  beyond that a sort-merge join on (block, band, grid cell) where each key is cut into
-  ``sa`` x ``sb`` cells of at most ``cell_rows`` titles per side; the cell counts (one row
-  per block and band) are broadcast if counted to be few, so a hot key is salted
-  before its rows are shuffled;
+* pairs come from a grid over (block, length band): the band is lossless for Jaro thresholds below
+  1/3 (a pair within length ratio 1-3*theta is at most one band apart; the left side is
+  replicated to the neighbouring bands), and every band is cut into ``sa`` x ``sb`` cells of at
+  most ``cell_rows`` titles per side, so a hot block is many cells. The cell counts (one row per
+  block and band) are broadcast if counted to be few: rows are salted before they are shuffled;
+* in a cell (one call of an Arrow cogroup, bounded in size) the common characters of all pairs are
+  counted on bit sets of (character, occurrence) tokens, which bounds the similarity; what can be
+  close goes through the batch kernel, and only pairs under the threshold leave the task.
+  ``block_candidates`` is the same bound as a join of the JVM, for inspection and tests;
 * the parts of a ``LinkResult`` are built when first asked for: the exact stage never runs
   the size check of the fuzzy stage. Frames that several parts read are checkpointed in
   the cluster's shared folder, not cached;
@@ -41,10 +35,13 @@ from __future__ import annotations
 import math
 from functools import cached_property
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ..functions.jaro import pairs_under
+from ..functions.jaro import close_in_cell, pairs_under
 from ..functions.scalars import normalize_title
 from ..session import cut_lineage
 
@@ -83,9 +80,17 @@ class LinkResult:
         return (un, *fuzzy_link(un, self._b, *self._blocks, self._order, **self._options))
 
     @property
-    def candidates(self) -> DataFrame:
+    def close(self) -> DataFrame:
+        """(a_t, blk, b_t, b_ord, dist): all pairs of unmatched titles under the threshold."""
         return self._fuzzy_parts[1]
 
+    @cached_property
+    def candidates(self) -> DataFrame:
+        """The pairs that pass the bounds, for inspection; ``close`` does not go through them."""
+        o = self._options
+        keys = title_keys(self._fuzzy_parts[0], self._b, *self._blocks, self._order)
+        return block_candidates(*keys, o["max_dist"], o["cell_rows"], o["prune"], o["broadcast_rows"])
+
     @cached_property
     def best(self) -> DataFrame:
         best = self._fuzzy_parts[2]
@@ -252,11 +257,78 @@ def block_candidates(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX
     return ls.join(rs, cond, "inner").select("a_t", "blk", "b_t", "b_ord")
 
 
-# ------------------------------------------------------------------ J4 + J5
+# ------------------------------------------------------------------ J3 + J4 by cells
+def close_pairs(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX_DIST, floor: bool = False,
+                cell_rows: int = 4096, grid_rows: int = 100_000) -> DataFrame:
+    """(a_t, blk, b_t, b_ord, dist): all pairs of one block closer than ``max_dist``.
+
+    Titles of a (block, length band) are dealt out by hash in a grid of cells of about ``cell_rows``
+    titles a side, so a hot block is many cells and a task holds a few of them. In a cell the
+    common characters of all pairs are counted on bit sets (``close_in_cell``), and only pairs that
+    can be close enough are compared; nothing but close pairs leaves the task. Small cells
+    share a task's group, so many small blocks cost no call each.
+    """
+    c = F.col
+    n = _parallelism(u_keys.sparkSession)
+    la = u_keys.select("a_t", "blk", _band(F.length("a_t"), max_dist).alias("band"))
+    if max_dist < 1 / 3:
+        la = la.withColumn("band", F.explode(F.array(c("band") - 1, c("band"), c("band") + 1)))
+    lb = b_keys.select("b_t", "blk", "b_ord", _band(F.length("b_t"), max_dist).alias("band"))
+    la, lb = cut_lineage(la), cut_lineage(lb)
+    na = la.groupBy("blk", "band").agg(F.count(F.lit(1)).alias("na"))
+    nb = lb.groupBy("blk", "band").agg(F.count(F.lit(1)).alias("nb"))
+    grid = cut_lineage(na.join(nb, ["blk", "band"]).select(
+        "blk", "band", F.ceil(c("na") / cell_rows).cast("int").alias("sa"),
+        F.ceil(c("nb") / cell_rows).cast("int").alias("sb"),
+        (c("na") * F.ceil(c("nb") / cell_rows) + c("nb") * F.ceil(c("na") / cell_rows)).alias("rows")))
+    known = grid.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).first()
+    groups = max(4 * n, -(-(known["rows"] or 0) // (2 * cell_rows)))
+
+    def celled(side: DataFrame, own: str, mine: str, other: str, t: str) -> DataFrame:
+        cells = grid.select(c("blk").alias("g_blk"), c("band").alias("g_band"), "sa", "sb")
+        if known["n"] <= grid_rows:
+            cells = F.broadcast(cells)
+        dealt = (side.join(cells, (c("blk") == c("g_blk")) & (c("band") == c("g_band")))
+                 .withColumn(own, F.pmod(F.xxhash64(t), c(mine)).cast("int"))
+                 .withColumn("j" if own == "i" else "i", F.explode(F.sequence(F.lit(0), c(other) - 1))))
+        cell = F.pmod(F.xxhash64("blk", "band", "i", "j"), F.lit(groups))
+        return dealt.select(*[c(x).alias(x) for x in (*side.columns, "i", "j")], cell.alias("cell"))
+
+    left = celled(la, "i", "sa", "sb", "a_t")
+    right = celled(lb, "j", "sb", "sa", "b_t")
+    schema = StructType([u_keys.schema["a_t"], u_keys.schema["blk"], b_keys.schema["b_t"], b_keys.schema["b_ord"],
+                         StructField("dist", DoubleType())])
+    keys = ["blk", "band", "i", "j"]
+
+    def match(ls: pa.Table, rs: pa.Table) -> pa.Table:
+        def places(table):
+            found: dict[tuple, list[int]] = {}
+            for at, key in enumerate(zip(*[table[k].to_pylist() for k in keys])):
+                found.setdefault(key, []).append(at)
+            return found
+
+        mine, theirs = places(ls), places(rs)
+        xs, ys = ls["a_t"].to_pylist(), rs["b_t"].to_pylist()
+        ia, ib, dist = [], [], []
+        for key, rows in mine.items():
+            if key in theirs:
+                a, b, d = close_in_cell([xs[i] for i in rows], [ys[i] for i in theirs[key]], max_dist, floor)
+                ia.append(np.array(rows)[a])
+                ib.append(np.array(theirs[key])[b])
+                dist.append(d)
+        none = np.zeros(0, np.int64)
+        ia, ib = pa.array(np.concatenate([none, *ia])), pa.array(np.concatenate([none, *ib]))
+        return pa.table({"a_t": ls["a_t"].take(ia), "blk": ls["blk"].take(ia), "b_t": rs["b_t"].take(ib),
+                         "b_ord": rs["b_ord"].take(ib), "dist": np.concatenate([np.zeros(0), *dist])})
+
+    return left.groupBy("cell").cogroup(right.groupBy("cell")).applyInArrow(match, schema)
+
+
+# ------------------------------------------------------------------ J5
 def best_match(pairs: DataFrame, max_dist: float = MAX_DIST, floor: bool = False) -> DataFrame:
-    """Pairs under ``max_dist`` (J4, one Python pass), then the best right title per
-    left (title, block) by (distance, order): a partial (map-side) ``min_by``."""
-    close = pairs_under(pairs, "a_t", "b_t", max_dist, floor)
+    """Pairs under ``max_dist`` (J4, one Python pass, unless ``dist`` is there already), then the
+    best right title per left (title, block) by (distance, order): a partial (map-side) ``min_by``."""
+    close = pairs if "dist" in pairs.columns else pairs_under(pairs, "a_t", "b_t", max_dist, floor)
     return (close.groupBy("a_t", "blk")
             .agg(F.min_by(F.struct("b_t", "b_ord", "dist"), F.struct("dist", "b_ord")).alias("m"))
             .select("a_t", "blk", F.col("m.b_t").alias("b_t"), F.col("m.b_ord").alias("b_ord"),
@@ -264,17 +336,31 @@ def best_match(pairs: DataFrame, max_dist: float = MAX_DIST, floor: bool = False
 
 
 # ------------------------------------------------------------------ J6
-def fuzzy_link(u: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
-               max_dist: float = MAX_DIST, floor: bool = False, cell_rows: int = 1024,
-               prune: bool = True, title: str = "title_clean", broadcast_rows: int = 200_000) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fuzzy rows for the unmatched left rows. Returns (candidates, best, fuzzy)."""
+def title_keys(u: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
+               title: str = "title_clean") -> tuple[DataFrame, DataFrame]:
+    """Distinct (a_t, blk) of the left rows; (b_t, blk, b_ord) of the right ones."""
     valid_a = F.col(title).isNotNull() & (F.col(title) != "") & F.col(a_block).isNotNull()
     valid_b = F.col(title).isNotNull() & (F.col(title) != "") & F.col(b_block).isNotNull()
     u_keys = u.where(valid_a).select(F.col(title).alias("a_t"), F.col(a_block).alias("blk")).distinct()
     b_keys = (b.where(valid_b).groupBy(F.col(title).alias("b_t"), F.col(b_block).alias("blk"))
                .agg(F.min(order_col).alias("b_ord")))
-    cands = block_candidates(u_keys, b_keys, max_dist, cell_rows, prune, broadcast_rows)
-    best = best_match(cands, max_dist, floor)
+    return u_keys, b_keys
+
+
+def fuzzy_link(u: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str,
+               max_dist: float = MAX_DIST, floor: bool = False, cell_rows: int = 4096,
+               prune: bool = True, title: str = "title_clean", broadcast_rows: int = 200_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fuzzy rows for the unmatched left rows. Returns (close pairs, best, fuzzy).
+
+    ``prune=False`` compares every pair of a block (test reference).
+    """
+    u_keys, b_keys = title_keys(u, b, a_block, b_block, order_col, title)
+    if prune:
+        close = close_pairs(u_keys, b_keys, max_dist, floor, cell_rows)
+    else:
+        close = pairs_under(block_candidates(u_keys, b_keys, max_dist, cell_rows, False, broadcast_rows),
+                            "a_t", "b_t", max_dist, floor)
+    best = best_match(close, max_dist, floor)
 
     c = F.col
     right_payload = [x for x in b.columns if x not in (title, b_block)]
@@ -290,7 +376,7 @@ def fuzzy_link(u: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col
     fz = (u.join(picked, (c(title) == c("_a_t")) & (c(a_block) == c("_a_blk")))
            .select(*left_payload, *right_payload)
            .withColumn("match_type", F.lit(FUZZY)))
-    return cands, best, fz
+    return close, best, fz
 
 
 # ------------------------------------------------------------------ J7
@@ -305,7 +391,7 @@ AUTO_ORDER = "_b_order"
 
 def link(a: DataFrame, b: DataFrame, a_block: str, b_block: str, order_col: str | None,
          b_cols: list[str] | None = None, max_dist: float = MAX_DIST, floor: bool = False,
-         cell_rows: int = 1024, prune: bool = True, broadcast_rows: int = 200_000,
+         cell_rows: int = 4096, prune: bool = True, broadcast_rows: int = 200_000,
          cut_inputs: bool = False, dedupe_right: bool = False) -> LinkResult:
     """Two-stage link of left ``a`` and right ``b``; both need ``title_clean``.
 

@@ -257,8 +257,7 @@ def q_fuzzy_pairs(spark, d):
     """J3 + J4: every same-block pair under the threshold, with its Jaro distance.
     The Spark side prunes with the lossless bounds first, so equality with the
     unpruned SQL also checks that no pair was lost."""
-    res = l_link(spark, d)
-    return J.pairs_under(res.candidates, "a_t", "b_t", J.MAX_DIST, floor=True)
+    return l_link(spark, d).close
 
 
 @register("best_match", LINK_CTE + " SELECT * FROM best")

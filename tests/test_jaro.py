@@ -126,3 +126,61 @@ def test_batch_kernel_beyond_ascii_and_at_the_word_size():
     xs = ["a" * 64, "ab" * 32, "😀été", "", "日本語", "x" * 64]
     ys = ["a" * 64, "ba" * 32, "ete😀", "", "日本", "x" * 63 + "y"]
     assert batch_distance(xs, ys).tolist() == [jaro_distance_value(x, y) for x, y in zip(xs, ys)]
+
+
+def test_long_titles_stay_in_the_batch(monkeypatch):
+    """Several words a title: equal to the pair helper, which is never called."""
+    import random
+
+    from duoscope.functions import jaro
+    rng = random.Random(4)
+    xs, ys = [], []
+    for size in (64, 65, 127, 128, 129, 191, 256, 257, 700, 1024, 1025, 3000):
+        for _ in range(5):
+            x = "".join(rng.choice("abcdefg éß中😀") for _ in range(size + rng.randint(-2, 2)))
+            y = list(x[rng.randrange(9):])
+            for _ in range(size // 5):
+                y[rng.randrange(len(y))] = rng.choice("abcxyz")
+            if rng.random() < 0.4:
+                rng.shuffle(y)
+            xs += [x, x]
+            ys += ["".join(y), ""]
+    for floor in (False, True):
+        want = [jaro.jaro_distance_value(x, y, floor) for x, y in zip(xs, ys)]
+        with monkeypatch.context() as m:
+            m.setattr(jaro, "jaro_similarity", lambda *a, **k: pytest.fail("per-pair helper"))
+            assert jaro.batch_distance(xs, ys, floor).tolist() == want
+            m.setattr(jaro, "_MASK_WORDS", 64)   # pairs then go in groups of one or a few
+            assert jaro.batch_distance(xs[:40], ys[:40], floor).tolist() == want[:40]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(_text, _long), max_size=10), st.lists(st.one_of(_text, _long), max_size=10),
+       st.sampled_from([0.05, 0.12, 0.3, 0.5, 0.9, 1.5]), st.booleans())
+def test_a_cell_loses_no_pair(xs, ys, max_dist, floor):
+    """Pruned by bits = all pairs compared one by one."""
+    from duoscope.functions.jaro import close_in_cell
+    a, b, d = close_in_cell(xs, ys, max_dist, floor)
+    want = {(i, j): jaro_distance_value(x, y, floor) for i, x in enumerate(xs) for j, y in enumerate(ys)}
+    assert {(i, j): v for i, j, v in zip(a.tolist(), b.tolist(), d.tolist())} == {
+        k: v for k, v in want.items() if v < max_dist}
+
+
+def test_a_cell_of_edited_titles(monkeypatch):
+    import random
+
+    from duoscope.functions import jaro
+    rng = random.Random(8)
+    xs = ["".join(rng.choice("abcdefghij klmnop") for _ in range(rng.randrange(3, 90))) for _ in range(150)]
+    ys = []
+    for x in xs + xs[:20]:
+        y = list(x)
+        for _ in range(rng.randrange(4)):
+            y[rng.randrange(len(y))] = rng.choice("abcxyz😀")
+        ys.append("".join(y))
+    want = {(i, j) for i, x in enumerate(xs) for j, y in enumerate(ys) if jaro.jaro_distance_value(x, y) < 0.12}
+    for pairs, words in ((1 << 22, 1 << 21), (100, 8)):
+        monkeypatch.setattr(jaro, "_PAIRS", pairs)
+        monkeypatch.setattr(jaro, "_MASK_WORDS", words)
+        a, b, _ = jaro.close_in_cell(xs, ys, 0.12)
+        assert set(zip(a.tolist(), b.tolist())) == want and len(a) == len(want) > 100

@@ -238,3 +238,26 @@ def test_grid_plan_shuffles_no_row_on_the_bare_key(spark):
     import re
     keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"hashpartitioning\(([^)]*?), \d+\)", plan)]
     assert keys and all("i" in k.split(", ") or "r_i" in k.split(", ") for k in keys), keys
+
+
+def test_a_hot_block_is_many_cells(spark):
+    """Cells bound what a task's group holds: no group key without the grid cell, whatever the block."""
+    rnd = random.Random(9)
+    lt, rt = _random_titles(rnd, 200)
+    u = spark.createDataFrame([(t, 2000) for t in set(lt)], "a_t string, blk int")
+    b = spark.createDataFrame([(t, 2000, i) for i, t in enumerate(sorted(set(rt)))], "b_t string, blk int, b_ord int")
+    got = J.close_pairs(u, b, cell_rows=10)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    import re
+    keys = {re.sub(r"#\d+L?", "", k) for k in re.findall(r"hashpartitioning\(([^)]*?), \d+\)", plan)}
+    assert keys == {"cell"}, keys
+    whole = J.close_pairs(u, b)
+    assert rows(got, "a_t", "b_t", "dist") == rows(whole, "a_t", "b_t", "dist")
+    from duoscope.functions.jaro import jaro_distance_value
+    assert rows(got, "a_t", "b_t") == sorted((x, y) for x in set(lt) for y in set(rt) if jaro_distance_value(x, y) < 0.12)
+
+
+def test_empty_sides(spark):
+    u = spark.createDataFrame([], "a_t string, blk int")
+    b = spark.createDataFrame([("abc", 1, 2)], "b_t string, blk int, b_ord int")
+    assert J.close_pairs(u, b).count() == 0 and J.close_pairs(u.union(spark.createDataFrame([("abd", 2)], u.schema)), b).count() == 0
