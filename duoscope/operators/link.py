@@ -10,6 +10,7 @@ Semantics (kept from the reference analysis):
 * fuzzy rows carry no ``title_clean`` (NULL after the union).
 
 Scale plan:
+* keys with very many rows are found by a frequent-items sketch and salted in the exact join;
 * the matched titles for the anti-join come from a semi-join against the distinct
   right keys (linear), not from the many-to-many exact output;
 * the best match depends only on (title, block), so both sides are reduced to distinct
@@ -112,11 +113,55 @@ class LinkResult:
 
 
 # ------------------------------------------------------------------ J1
+#: Keys a sketch may return, items it tracks, and rows of a hot key per cell side.
+HOT_KEYS, TRACKED, HOT_ROWS = 1_000, 50_000, 4_096
+
+
+def hot_keys(a: DataFrame, b: DataFrame, rows: int = HOT_ROWS) -> DataFrame:
+    """(h, sa, sb): into how many parts the rows of hot keys of either side are dealt.
+
+    ``a`` and ``b`` hold the key's hash ``h``. A mergeable frequent-items sketch of bounded size per
+    side (built before the shuffle, merged after) finds the keys; at most ``2 * HOT_KEYS`` rows.
+    A key it misses has few rows; the join's result never depends on it.
+    """
+    def counted(df: DataFrame, mine: str, other: str) -> DataFrame:
+        top = df.where("h IS NOT NULL").agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {TRACKED})").alias("t"))
+        return top.select(F.inline("t")).select(F.col("item").alias("h"), F.col("count").alias(mine),
+                                                F.lit(0).cast("long").alias(other))
+
+    both = counted(a, "na", "nb").unionByName(counted(b, "nb", "na"))
+    both = both.groupBy("h").agg(F.max("na").alias("na"), F.max("nb").alias("nb"))
+
+    def parts(n: str) -> Column:
+        return F.greatest(F.lit(1), F.ceil(F.col(n) / rows)).cast("int")
+
+    return both.where((F.col("na") > rows) | (F.col("nb") > rows)).select("h", parts("na").alias("sa"), parts("nb").alias("sb"))
+
+
 def exact_link(a: DataFrame, b: DataFrame, a_block: str, b_block: str,
-               title: str = "title_clean") -> DataFrame:
-    """Inner equi-join on (title, block), many-to-many, tagged ``exact``."""
+               title: str = "title_clean", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner equi-join on (title, block), many-to-many, tagged ``exact``.
+
+    Rows of a hot key go to a grid of cells: each side's rows are dealt out over its own parts (by a
+    hash of the whole row) and repeated for the other side's parts, so a cell joins about
+    ``hot_rows`` rows of either side. All other rows have one cell and are not repeated.
+    """
     rb = b.withColumnRenamed(b_block, a_block)
-    return a.join(rb, on=[title, a_block], how="inner").withColumn("match_type", F.lit(EXACT))
+    key = F.when(F.col(title).isNotNull() & F.col(a_block).isNotNull(), F.xxhash64(title, a_block))
+    left, right = a.withColumn("_h", key), rb.withColumn("_h", key)
+    hot = hot_keys(left.select(F.col("_h").alias("h")), right.select(F.col("_h").alias("h")), hot_rows)
+
+    def dealt(df: DataFrame, columns: list[str], own: str, mine: str, other_at: str, other: str) -> DataFrame:
+        # nothing but the salt depends on the sketch; its few rows are broadcast
+        known = df.join(F.broadcast(hot), F.col("_h") == F.col("h"), "left")
+        place = F.pmod(F.xxhash64(*columns), F.coalesce(mine, F.lit(1))).cast("int")
+        return (known.withColumn(own, place)
+                .withColumn(other_at, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
+                .drop("_h", "h", "sa", "sb"))
+
+    ls = dealt(left, a.columns, "_i", F.col("sa"), "_j", F.col("sb"))
+    rs = dealt(right, rb.columns, "_j", F.col("sb"), "_i", F.col("sa"))
+    return ls.join(rs, on=[title, a_block, "_i", "_j"], how="inner").drop("_i", "_j").withColumn("match_type", F.lit(EXACT))
 
 
 # ------------------------------------------------------------------ J2
@@ -129,7 +174,7 @@ def unmatched(a: DataFrame, b: DataFrame, a_block: str, b_block: str,
     hot (title, block) key makes quadratic.
     """
     keys_b = b.select(title, F.col(b_block).alias(a_block)).distinct()
-    hit = (a.select(title, a_block).join(keys_b, on=[title, a_block], how="left_semi")
+    hit = (a.select(title, a_block).distinct().join(keys_b, on=[title, a_block], how="left_semi")
             .select(title).distinct())
     return a.join(hit, on=title, how="left_anti")
 

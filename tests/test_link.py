@@ -261,3 +261,22 @@ def test_empty_sides(spark):
     u = spark.createDataFrame([], "a_t string, blk int")
     b = spark.createDataFrame([("abc", 1, 2)], "b_t string, blk int, b_ord int")
     assert J.close_pairs(u, b).count() == 0 and J.close_pairs(u.union(spark.createDataFrame([("abd", 2)], u.schema)), b).count() == 0
+
+
+def test_a_hot_exact_key_is_dealt_over_cells(spark):
+    """One key with half of all rows of either side: result as before, in more than one cell."""
+    left = [(i, "hot" if i % 2 else f"t{i % 40}", 2000, 5.0) for i in range(120)] + [(500, None, 2000, 1.0)]
+    left += [(501, "hot", None, 1.0), (502, "twin", 2000, 1.0), (502, "twin", 2000, 1.0)]
+    right = [(i, "hot" if i % 2 else f"t{i % 30}", 2000, 5.0) for i in range(90)] + [(600, None, 2000, 1.0), (601, "twin", 2000, 2.0)]
+    a, b = spark.createDataFrame(left, A_SCHEMA), spark.createDataFrame(right, B_SCHEMA)
+    got = J.exact_link(a, b, "year", "release_year", hot_rows=7)
+    want = sorted((x[0], y[0]) for x in left for y in right if x[1] is not None and x[1:3] == y[1:3])
+    assert rows(got, "a_id", "b_id") == want and got.columns == J.exact_link(a, b, "year", "release_year").columns
+    key = J.F.xxhash64("title_clean", "k").alias("h")
+    hot = J.hot_keys(a.withColumnRenamed("year", "k").select(key), b.withColumnRenamed("release_year", "k").select(key), 7)
+    (one,) = hot.collect()
+    assert (one.sa, one.sb) == (9, 7)   # 61 rows (its other block has its own key) and 45 rows of 7 each
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_i" in plan.split("Join Inner")[1].split("\n")[0] and "approx_top_k" in plan
+    none = spark.createDataFrame([], A_SCHEMA)
+    assert J.exact_link(none, b, "year", "release_year").count() == 0
