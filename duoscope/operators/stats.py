@@ -39,7 +39,11 @@ def correlations(df: DataFrame, pairs=DEFAULT_PAIRS, by: Sequence[str] = (),
         # corr() itself divides by zero (an error in ANSI mode) where a column is constant
         spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
         aggs += [F.try_divide(F.regr_sxy(y, x), spread).alias(f"r{k}"), F.regr_count(y, x).alias(f"n{k}")]
-    wide = _grouped(df, by).agg(*aggs)
+    return correlation_rows(_grouped(df, by).agg(*aggs), pairs, by, with_p)
+
+
+def correlation_rows(wide: DataFrame, pairs, by: Sequence[str], with_p: bool = True) -> DataFrame:
+    """(group, r0, n0, r1, n1, ...) to one row per (group, pair) with interval, t, df and p."""
     rows = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"),
                               F.col(f"r{k}").alias("r"), F.col(f"n{k}").alias("n"))
                      for k, (x, y) in enumerate(pairs)])
@@ -72,6 +76,11 @@ def ttest_1samp(df: DataFrame, col: str = "rating_diff", mu: float = 0.0,
     by = list(by)
     agg = _grouped(df, by).agg(F.avg(col).alias("mean"), F.stddev_samp(col).alias("sd"),
                                F.count(col).alias("n"))
+    return ttest_rows(agg, mu, with_p, conf)
+
+
+def ttest_rows(agg: DataFrame, mu: float = 0.0, with_p: bool = True, conf: float = 0.95) -> DataFrame:
+    """mean, sd, n (per group) to the whole test."""
     se = F.col("sd") / F.sqrt(F.col("n").cast("double"))
     out = agg.withColumns({
         "se": se,

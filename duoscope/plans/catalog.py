@@ -17,6 +17,7 @@ from ..functions import scalars as S
 from ..operators import clean as C
 from ..operators import feeds as G
 from ..operators import link as J
+from ..operators import moments as M
 from ..operators import quality as Q
 from ..operators import stats as A
 from ..operators import topk as K
@@ -855,6 +856,42 @@ def q_scatter_votes_diff(spark, d):
                             label_parts=[("a", "rating_a"), ("votes", S.thousands("votes")), ("diff", "rating_diff")])
 
 
+# ============================================================== statistics from one state (F)
+def facts_state(spark: SparkSession, d: str, rows=None) -> DataFrame:
+    """Counts, means and co-moments of the facts at the grain of genre, decade, bucket and status."""
+    df = facts_prepared(spark, d)
+    return M.moment_state(df if rows is None else df.where(rows), M.GRAIN, M.LINKED)
+
+
+STATE_QUERIES = {
+    "correlations": lambda s: M.correlations(s, M.LINKED, with_p=False),
+    "correlations_by_decade": lambda s: M.correlations(s, M.LINKED, by=["decade"], with_p=False),
+    "ttest_by_genre_pvalue": lambda s: M.ttest_1samp(s, M.LINKED, "rating_diff", by=["primary_genre"]),
+    "genre_stats": lambda s: M.group_stats(s, M.LINKED, "primary_genre", A.GENRE_METRICS, 5, ["avg_diff"]),
+    "overall_summary": lambda s: M.overall_summary(s, M.LINKED),
+    "pair_mean_diffs": lambda s: M.pair_mean_diffs(s, M.LINKED),
+    "ols_diff_votes": lambda s: M.ols(s, M.LINKED, "rating_diff", "votes_log10"),
+}
+
+
+def _state_query(name: str, stat):
+    def q(spark, d):
+        return stat(facts_state(spark, d))
+    q.__name__ = f"q_state_{name}"
+    return q
+
+
+for _name, _stat in STATE_QUERIES.items():
+    register(f"state_{_name}", CATALOG[_name][1])(_state_query(_name, _stat))
+
+
+@register("merged_correlations_by_decade", CATALOG["correlations_by_decade"][1])
+def q_merged_correlations_by_decade(spark, d):
+    """The state of the first line of each order merged with that of all others."""
+    parts = [facts_state(spark, d, F.col("l_linenumber") == 1), facts_state(spark, d, F.col("l_linenumber") > 1)]
+    return M.correlations(M.merge(parts, M.GRAIN, M.LINKED), M.LINKED, by=["decade"], with_p=False)
+
+
 # ============================================================== X1: composite (L)
 @register("run_pipeline", rd("SELECT * FROM d0"))
 def q_run_pipeline(spark, d):

@@ -1,8 +1,9 @@
 """X1: the whole run - load, clean, link, derive, gate, statistics - as DataFrame jobs.
 
 The linked table is cut from its lineage once (reliable checkpoint into the cluster's
-``spark.checkpoint.dir``) because about twenty statistics read it; a lost executor
-then re-reads the checkpoint instead of re-running the fuzzy join.
+``spark.checkpoint.dir``); a lost executor then re-reads the checkpoint instead of re-running
+the fuzzy join. The gate reads it, the ranked lists do, and ``moment_state`` does once for all
+other statistics, which are roll-ups of that state.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import clean as C
 from ..operators import link as J
+from ..operators import moments as M
 from ..operators import quality as Q
 from ..operators import stats as A
 from ..operators import topk as K
@@ -59,7 +61,7 @@ def link_and_derive(a: DataFrame, b: DataFrame, cfg: RunConfig) -> tuple[DataFra
 
 
 def run(a_raw: DataFrame, b_raw: DataFrame, cfg: RunConfig | None = None) -> dict:
-    """Returns ``{"data": DataFrame, "stats": {name: DataFrame}, "checks": dict}``.
+    """Returns ``{"data": DataFrame, "stats": {name: DataFrame}, "state": DataFrame, "checks": dict, "link": ...}``.
 
     Raises ``QualityGateError`` when the gate fails and ``cfg.enforce_gate``.
     """
@@ -73,19 +75,24 @@ def run(a_raw: DataFrame, b_raw: DataFrame, cfg: RunConfig | None = None) -> dic
         checks = Q.assert_quality(data, **names)
     else:
         checks = Q.quality_report(data, **names).first().asDict()
+    # The one scan for all statistics but the ranked lists: every other is a roll-up of it.
+    m = M.Moments((cfg.rating_a, "b_norm", "c_norm", "rating_diff"), A.DEFAULT_PAIRS,
+                  {"low_count": "low_count", "exact": "match_type = 'exact'", "fuzzy": "match_type = 'fuzzy'"})
+    state = M.moment_state(data, M.GRAIN, m)
+    if cfg.checkpoint:
+        state = cut_lineage(state)
+    ranked = [cfg.a_title, cfg.a_block, cfg.rating_a, "b_norm", "rating_diff"]
     stats = {
-        "correlations": A.correlations(data),
-        "ttest": A.ttest_1samp(data, "rating_diff"),
-        "cohens_d": A.cohens_d(data, "rating_diff"),
-        "genre_stats": A.genre_stats(data, cfg.genre_min_n),
-        "decade_stats": A.decade_stats(data, cfg.decade_min_n),
-        "vote_stats": A.vote_stats(data),
-        "status_stats": A.status_stats(data),
-        "overall": A.overall_summary(data),
-        "link_report": J.link_report(data, cfg.rating_a),
-        "top_largest": K.top_k(data, "rating_diff", 5, True,
-                               [cfg.a_title, cfg.a_block, cfg.rating_a, "b_norm", "rating_diff"]),
-        "top_smallest": K.top_k(data, "rating_diff", 5, False,
-                                [cfg.a_title, cfg.a_block, cfg.rating_a, "b_norm", "rating_diff"]),
+        "correlations": M.correlations(state, m),
+        "ttest": M.ttest_1samp(state, m, "rating_diff"),
+        "cohens_d": M.cohens_d(state, m, "rating_diff"),
+        "genre_stats": M.group_stats(state, m, "primary_genre", A.GENRE_METRICS, cfg.genre_min_n, ["avg_diff"]),
+        "decade_stats": M.group_stats(state, m, "decade", A.DECADE_METRICS, cfg.decade_min_n),
+        "vote_stats": M.group_stats(state, m, ["vote_bucket", "vote_bucket_ord"], A.BUCKET_METRICS, None, ["vote_bucket_ord"]),
+        "status_stats": M.group_stats(state, m, "status", A.BUCKET_METRICS),
+        "overall": M.overall_summary(state, m),
+        "link_report": M.link_report(state, m, cfg.rating_a),
+        "top_largest": K.top_k(data, "rating_diff", 5, True, ranked),
+        "top_smallest": K.top_k(data, "rating_diff", 5, False, ranked),
     }
-    return {"data": data, "stats": stats, "checks": checks, "link": res}
+    return {"data": data, "stats": stats, "state": state, "checks": checks, "link": res}
