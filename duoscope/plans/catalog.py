@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -21,6 +21,8 @@ from ..operators import moments as M
 from ..operators import quality as Q
 from ..operators import stats as A
 from ..operators import topk as K
+from ..session import cut_lineage
+from ..sources import catalogs as R
 from ..sources import fixtures as fx
 from . import pipeline as X
 
@@ -899,6 +901,75 @@ def q_run_pipeline(spark, d):
     return l_run(spark, d)["data"]
 
 
+# S1-S3 and the run from files: L written as CSV (titles trimmed, empty ones missing), read in byte ranges
+def file_sql(sql: str) -> str:
+    return f"SELECT * REPLACE (nullif(trim(title), '') AS title) FROM ({sql}) f0"
+
+
+LEFT_FILE_SQL, RIGHT_FILE_SQL = file_sql(fx.L_LEFT_SQL), file_sql(fx.L_RIGHT_SQL)
+
+
+@register("read_catalog_a", f"""
+SELECT title, year_text, genre_list, rating_a, votes, CAST(NULL AS double) AS meta_score FROM ({LEFT_FILE_SQL}) f""")
+def q_read_catalog_a(spark, d):
+    with fx.link_files(spark, d) as (left, _):
+        return cut_lineage(R.read_catalog_a(spark, left))
+
+
+_READ_B = """title, release_date, CAST(NULL AS varchar) AS genres, score_b, score_c, n_reviews, status,
+       CAST(NULL AS integer) AS fresh_count, CAST(NULL AS integer) AS rotten_count"""
+
+
+def _numbered(right: DataFrame) -> DataFrame:
+    """File order as the number of rows before the row: per file its rows, then the rows of earlier files."""
+    file = F.shiftright("b_id", R._ROW_BITS)
+    sizes = right.groupBy(file.alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select(F.col("file").alias("f"), (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
+    place = F.col("b_id").bitwiseAND((1 << R._ROW_BITS) - 1)
+    return right.join(F.broadcast(before), file == F.col("f")).withColumn("b_id", place + F.col("before")).drop("f", "before")
+
+
+@register("read_catalog_b", f"""
+SELECT {_READ_B}, row_number() OVER (ORDER BY b_id) - 1 AS b_id FROM ({RIGHT_FILE_SQL}) f""")
+def q_read_catalog_b(spark, d):
+    """S2 with the file order, here as the number of rows before."""
+    with fx.link_files(spark, d) as (_, right):
+        return _numbered(cut_lineage(R.read_catalog_b(spark, right)))
+
+
+@register("read_catalog_b_parquet", f"""
+SELECT {_READ_B}, row_number() OVER (ORDER BY b_id) - 1 AS b_id FROM ({RIGHT_FILE_SQL}) f""")
+def q_read_catalog_b_parquet(spark, d):
+    """S3: the Parquet copy, which keeps the file order of the CSV."""
+    with fx.link_files(spark, d) as (_, right):
+        copy = R.convert_to_parquet(R.read_catalog_b(spark, right), f"{right}-parquet")
+        return _numbered(cut_lineage(R.read_catalog_b(spark, copy, fmt="parquet")))
+
+
+def files_run(spark: SparkSession, d: str, **options) -> dict:
+    """X1 from CSV to statistics, repeated titles included (so the gate is not enforced)."""
+    cfg = X.RunConfig(floor_transpositions=True, decade_min_n=5, enforce_gate=False, **options)
+    with fx.link_files(spark, d) as (left, right):
+        return X.run(R.read_catalog_a(spark, left).drop("meta_score"), R.read_catalog_b(spark, right), cfg)
+
+
+FILES_CTE = link_cte(LEFT_FILE_SQL, RIGHT_FILE_SQL) + DERIVED_SQL
+FILES_FIRST_CTE = link_cte(LEFT_FILE_SQL, f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY {clean_title_sql('title')}, regexp_extract(release_date, '^([0-9]+)-', 1) ORDER BY b_id) AS rn
+  FROM ({RIGHT_FILE_SQL}) r0 WHERE score_b IS NOT NULL AND title IS NOT NULL) r1 WHERE rn = 1""") + DERIVED_SQL
+
+
+@register("run_from_files", f"{FILES_CTE} SELECT * EXCLUDE (a_id, b_id) FROM d0")
+def q_run_from_files(spark, d):
+    return files_run(spark, d)["data"].drop("b_id")
+
+
+@register("run_from_files_first", f"{FILES_FIRST_CTE} SELECT * EXCLUDE (a_id, b_id) FROM d0")
+def q_run_from_files_first(spark, d):
+    """Of the right rows that repeat a title in a year only the first counts."""
+    return files_run(spark, d, dedupe_right=True)["data"].drop("b_id")
+
+
 @register("quality_gate", ld("""
 SELECT CAST(count_if(rating_a IS NULL) AS BIGINT) AS null_rating_a, CAST(count_if(b_norm IS NULL) AS BIGINT) AS null_b_norm,
        CAST(count(*) - count(DISTINCT struct_pack(title, year)) AS BIGINT) AS duplicates,
@@ -940,5 +1011,15 @@ FROM fp GROUP BY 1""",
 }
 for _name, _sql in RUN_STATS.items():
     register(f"run_{_name}", rd(_sql))(_run_stat(_name))
+
+
+@register("run_from_files_correlations", f"{FILES_CTE}, fp AS (SELECT * FROM d0) {RUN_STATS['correlations']}")
+def q_run_from_files_correlations(spark, d):
+    return files_run(spark, d)["stats"]["correlations"]
+
+
+@register("run_from_files_genre_stats", f"{FILES_CTE}, fp AS (SELECT * FROM d0) {RUN_STATS['genre_stats']}")
+def q_run_from_files_genre_stats(spark, d):
+    return files_run(spark, d)["stats"]["genre_stats"]
 register("run_ttest", rd(ttest_sql("rating_diff", "one").replace("FROM fp GROUP BY", "FROM (SELECT *, 1 AS one FROM fp) f GROUP BY")
                          .replace("SELECT one, mean, sd", "SELECT mean, sd")).replace("WITH a AS", "WITH RECURSIVE a AS", 1))(_run_stat("ttest"))

@@ -45,6 +45,7 @@ class RunConfig:
     enforce_gate: bool = True
     checkpoint: bool = True
     cut_inputs: bool = True
+    dedupe_right: bool = False               # one right row per (title, block), the first
 
 
 def clean_sides(a_raw: DataFrame, b_raw: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
@@ -56,7 +57,8 @@ def clean_sides(a_raw: DataFrame, b_raw: DataFrame, cfg: RunConfig) -> tuple[Dat
 
 def link_and_derive(a: DataFrame, b: DataFrame, cfg: RunConfig) -> tuple[DataFrame, J.LinkResult]:
     res = J.link(a, b, cfg.a_block, cfg.b_block, cfg.order_col, b_cols=cfg.b_cols,
-                 max_dist=cfg.max_dist, floor=cfg.floor_transpositions, cut_inputs=cfg.cut_inputs)
+                 max_dist=cfg.max_dist, floor=cfg.floor_transpositions, cut_inputs=cfg.cut_inputs,
+                 dedupe_right=cfg.dedupe_right)
     return C.derive(res.linked, rating_a=cfg.rating_a, score_b=None, score_c=None, year=cfg.a_block), res
 
 

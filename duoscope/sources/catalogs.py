@@ -5,9 +5,8 @@ quotes), ``NA`` / empty / quoted empty are missing, outer blanks trimmed. Every
 is read as text (no inference pass) and typed afterwards with ``try_cast``, so dirty
 values become NULL instead of failing the job.
 
-``multiLine`` parsing makes a CSV file unsplittable (one task per file); at scale call
-``convert_to_parquet`` once and run the jobs on the Parquet copy, or pass
-``multi_line=False`` for files known to have no line break inside quotes.
+Files are read in byte ranges although records may span lines (``sources.quoted``). For jobs that
+read a catalogue often, ``convert_to_parquet`` once.
 
 Paths go to Spark as they are (globs, folders, URIs, the cluster's default filesystem).
 """
@@ -20,6 +19,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .quoted import read_quoted_csv
+
 # Column names of the two source catalogues and their types.
 LEFT_COLUMNS = {
     "title": ("Series_Title", "string"),
@@ -46,11 +47,12 @@ class SourceNotFoundError(FileNotFoundError):
     """A catalogue path does not exist; the message names the source."""
 
 
+_CSV = {"quote": '"', "escape": '"', "nullValue": "NA", "ignoreLeadingWhiteSpace": "true",
+        "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
+
+
 def _csv_reader(spark: SparkSession, multi_line: bool = True):
-    return (spark.read.option("header", True).option("multiLine", multi_line)
-            .option("quote", '"').option("escape", '"').option("nullValue", "NA")
-            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-            .option("inferSchema", False).option("mode", "PERMISSIVE"))
+    return spark.read.options(header=True, multiLine=multi_line, inferSchema=False, **_CSV)
 
 
 def _typed(c: str, dtype: str):
@@ -78,22 +80,32 @@ def _file_order(raw: DataFrame) -> DataFrame:
     # a splittable file spans several partitions: number its rows from the first one's id
     starts = placed.groupBy("_file").agg(F.min("_at").alias("_start"))
     starts = starts.withColumn("_rank", F.row_number().over(Window.orderBy("_file")).cast("long"))
-    return (placed.join(starts, "_file")
-            .withColumn("_order", F.shiftleft(F.col("_rank"), _ROW_BITS) + F.col("_at") - F.col("_start"))
-            .drop("_file", "_at", "_start", "_rank"))
+    placed = placed.join(starts, "_file").withColumn("_place", F.col("_at") - F.col("_start"))
+    return _ordered(placed.drop("_file", "_at", "_start"))
+
+
+def _ordered(placed: DataFrame) -> DataFrame:
+    """``_order`` of rows with ``_rank`` and ``_place``."""
+    order = F.shiftleft(F.col("_rank"), _ROW_BITS) + F.col("_place")
+    return placed.withColumn("_order", order).drop("_rank", "_place")
 
 
 def read_catalog(spark: SparkSession, path: str, columns: Mapping[str, tuple[str, str]],
                  source: str, fmt: str = "csv", order_col: str | None = None,
-                 multi_line: bool = True) -> DataFrame:
+                 multi_line: bool | str = "split") -> DataFrame:
     """Read ``columns`` (generic name -> (source column, type)) from a CSV or Parquet path.
 
     A Parquet copy may hold the source names or the generic ones. ``order_col`` is the row's
     position in file order (files in path order): the tie-break for 'first row wins' rules; a
     stored column of that name is kept.
+
+    ``multi_line``: ``"split"`` reads quoted line breaks in byte ranges (``sources.quoted``),
+    ``True`` with Spark's own reader (one task per file, any quoting), ``False`` takes every line
+    for a record.
     """
+    split = fmt == "csv" and multi_line == "split"
     try:
-        raw = _csv_reader(spark, multi_line).csv(path) if fmt == "csv" else spark.read.parquet(path)
+        raw = _csv_reader(spark, bool(multi_line)).csv(path) if fmt == "csv" else spark.read.parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise SourceNotFoundError(f"{source} catalogue not found: '{path}'") from e
@@ -103,7 +115,10 @@ def read_catalog(spark: SparkSession, path: str, columns: Mapping[str, tuple[str
     if missing:
         raise ValueError(f"{source} catalogue lacks columns {missing}")
     stored = fmt != "csv" and order_col in raw.columns
-    if order_col and not stored:
+    if split:
+        raw = read_quoted_csv(spark, path, raw.columns, _CSV | {"multiLine": "true"})
+        raw = _ordered(raw)
+    elif order_col and not stored:
         raw = _file_order(raw)
     cols = [_typed(found[name], t).alias(name) if fmt == "csv" else F.col(f"`{found[name]}`").try_cast(t).alias(name)
             for name, (_, t) in columns.items()]
@@ -114,13 +129,13 @@ def read_catalog(spark: SparkSession, path: str, columns: Mapping[str, tuple[str
 
 # S1 -------------------------------------------------------------------------
 def read_catalog_a(spark: SparkSession, path: str, columns=LEFT_COLUMNS, fmt: str = "csv",
-                   multi_line: bool = True) -> DataFrame:
+                   multi_line: bool | str = "split") -> DataFrame:
     return read_catalog(spark, path, columns, "left", fmt, multi_line=multi_line)
 
 
 # S2 -------------------------------------------------------------------------
 def read_catalog_b(spark: SparkSession, path: str, columns=RIGHT_COLUMNS, fmt: str = "csv",
-                   order_col: str = "b_id", multi_line: bool = True) -> DataFrame:
+                   order_col: str = "b_id", multi_line: bool | str = "split") -> DataFrame:
     return read_catalog(spark, path, columns, "right", fmt, order_col, multi_line)
 
 

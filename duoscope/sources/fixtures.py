@@ -15,9 +15,15 @@ oracle, and both must stay the same query.
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+from .catalogs import LEFT_COLUMNS, RIGHT_COLUMNS
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -145,6 +151,31 @@ def unique_sql(sql: str, id_col: str) -> str:
             f"ORDER BY {id_col}) AS rn FROM ({sql}) u0) u1 WHERE rn = 1")
 
 
+# ---------------------------------------------------------------- adapter L as files
+@contextmanager
+def link_files(spark: SparkSession, sf_dir: str):
+    """Paths of the two catalogues of L as CSV folders under their source names, in the shared folder.
+
+    The right rows are written in the order of page_id, which is then their file order. The folders go
+    when the block ends: what is read from them must be cut from its lineage before.
+    """
+    shared = ensure_checkpoint_dir(spark)
+    if not shared:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = f"{shared}/catalogues-{uuid.uuid4().hex}"
+    right = link_right(spark, sf_dir).orderBy("b_id").drop("b_id")
+    try:
+        for name, df, columns in (("left", link_left(spark, sf_dir), LEFT_COLUMNS), ("right", right, RIGHT_COLUMNS)):
+            known = df.columns
+            df.select(*[(F.col(c) if c in known else F.lit(None)).cast("string").alias(source)
+                        for c, (source, _) in columns.items()]
+                      ).write.options(header=True, quote='"', escape='"').csv(f"{folder}/{name}")
+        yield f"{folder}/left", f"{folder}/right"
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # ---------------------------------------------------------------- adapter T
 def text_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even doc_id: the whole text as title, whatever its length or script."""

@@ -115,3 +115,55 @@ def test_parquet_round_trip(spark, paths, tmp_path):
     assert len(from_pq) == len(from_csv)
     assert {r.year_text for r in from_pq} >= {"1994", "PG"}
     assert sum(r.rating_a is None for r in from_pq) == 1  # 'NA' stayed missing, typed by try_cast
+
+
+def _awkward_csv(rng, n, newline="\n"):
+    """Records with quotes, commas, line breaks and blank lines inside quotes; blank lines between."""
+    rows = ["id,text,other column"]
+    for i in range(n):
+        kind = rng.randrange(9)
+        text = {0: f"plain {i}", 1: f'"a, b {i}"', 2: f'"line {i}{newline}next, ""said"" he{newline}{newline}end"',
+                3: '""', 4: "NA", 5: f'"{newline}"', 6: f'"""{i}"""', 7: f"  padded {i} ",
+                8: '"' + newline.join(f"row {j}" for j in range(rng.randrange(40))) + '"'}[kind]
+        rows.append(f"{i},{text},{rng.choice(['', 'x', '“é”', 'z' * 200])}")
+        if rng.random() < 0.1:
+            rows.append("")
+    return newline.join(rows) + rng.choice(["", newline])
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_byte_ranges_read_what_one_task_reads(spark, tmp_path, newline):
+    import random
+    rng = random.Random(len(newline))
+    (tmp_path / "d").mkdir()
+    for name, n in (("b.csv", 3000), ("a.csv", 40), ("c.csv", 1)):
+        (tmp_path / "d" / name).write_bytes(_awkward_csv(rng, n, newline).encode())
+    # one field over several ranges
+    (tmp_path / "d" / "e.csv").write_bytes(newline.join(
+        ["id,text,other column", '7,"' + newline.join(["long, line"] * 9000) + '",x', "8,after,y"]).encode())
+    columns = {"id": ("id", "string"), "text": ("text", "string"), "other": ("other column", "string")}
+    path = str(tmp_path / "d")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        want = S.read_catalog(spark, path, columns, "x", order_col="o", multi_line=True).orderBy("o").collect()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        got = S.read_catalog(spark, path, columns, "x", order_col="o")
+        assert sorted(got.collect(), key=lambda r: r.o) == want and len(want) > 3000
+        from duoscope.sources.quoted import _lines
+        one = _lines(spark, str(tmp_path / "d" / "b.csv"))
+        assert one.rdd.getNumPartitions() >= 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_file_without_an_end_is_named(spark, tmp_path):
+    (tmp_path / "odd.csv").write_text('id,text\n1,"open\n2,x\n')
+    with pytest.raises(ValueError, match="odd number of quotes in .*odd.csv"):
+        S.read_catalog(spark, str(tmp_path / "odd.csv"), {"id": ("id", "string")}, "x")
+
+
+def test_header_only(spark, tmp_path):
+    (tmp_path / "h.csv").write_text("id,text\n")
+    assert S.read_catalog(spark, str(tmp_path / "h.csv"), {"id": ("id", "string")}, "x", order_col="o").count() == 0
