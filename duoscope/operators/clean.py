@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -40,6 +42,19 @@ def cleaning_report(raw: DataFrame, keep_condition, source: str) -> DataFrame:
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
+def observed(raw: DataFrame, keep_condition, source: str) -> tuple[DataFrame, Observation]:
+    """``raw`` with its accounting attached: rows before and after cleaning, counted by the job that
+    cleans it. ``accounting`` reads the numbers once that job has run."""
+    seen = Observation(f"cleaning {source} {uuid.uuid4().hex[:8]}")
+    return raw.observe(seen, F.count(F.lit(1)).alias("rows_before"), F.count_if(keep_condition).alias("rows_after")), seen
+
+
+def accounting(seen: dict[str, Observation]) -> list[dict]:
+    """source, rows_before, rows_after, rows_removed of each observation; waits for their jobs."""
+    return [{"source": source, **o.get, "rows_removed": o.get["rows_before"] - o.get["rows_after"]}
+            for source, o in seen.items()]
+
+
 def keep_condition_a(year_text: str = "year_text", rating: str = "rating_a"):
     return S.tolerant_int(F.col(year_text)).isNotNull() & ~S.is_missing(rating)
 

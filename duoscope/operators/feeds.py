@@ -3,13 +3,14 @@ point sets and the small long-form feeds built from grouped statistics."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import num_text, point_label, sign_class
-from .stats import quantiles, value_counts
+from .stats import kll_quantiles, quantiles, value_counts
 
 
 # G1 -------------------------------------------------------------------------
@@ -50,39 +51,117 @@ def _sampled(df: DataFrame, sample: float | None, seed: int) -> DataFrame:
     return df if sample is None else df.sample(fraction=sample, seed=seed)
 
 
+#: Points that a cell of a bounded point set holds at most.
+_PER_CELL = 4
+
+
+def limited_points(df: DataFrame, limit: int, key: Sequence[str], x: str = "x", y: str = "y",
+                   by: Sequence[str] = ()) -> DataFrame:
+    """``limit`` of the points (of each ``by`` group; all if there are no more), spread over the chart.
+
+    The range of x and y is cut into square cells. Each cell's points of smallest MD5 of the key come
+    first, up to half of the limit in all, so sparse regions and outliers stay; then the smallest
+    of all others. The result depends on the points alone, whatever their order or
+    partitioning, and both lists are mergeable: Spark cuts them per task before the shuffle.
+    ``key`` identifies a point; points of one key count once.
+    """
+    if limit < 1:
+        raise ValueError("limit: at least 1")
+    bins = max(1, math.isqrt(limit // (2 * _PER_CELL)))
+    per_cell = limit // (2 * bins ** 2)
+    by = list(by)
+    px, py = (F.col(c).cast("double") for c in (x, y))
+    ends = df.groupBy(*[F.col(c).alias(f"_e_{c}") for c in by]).agg(
+        F.min(px).alias("_x0"), F.max(px).alias("_x1"), F.min(py).alias("_y0"), F.max(py).alias("_y1"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_e_{c}"))
+
+    def cell(v, lo: str, hi: str):
+        place = F.floor((v - F.col(lo)) / (F.col(hi) - F.col(lo)) * bins)
+        return F.when(F.col(hi) > F.col(lo), F.least(place, F.lit(bins - 1))).otherwise(F.lit(0))
+
+    hashed = df.withColumn("_h", F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in key]).cast("binary")))
+    placed = hashed.join(F.broadcast(ends), same).withColumns({
+        "_cx": cell(px, "_x0", "_x1"), "_cy": cell(py, "_y0", "_y1")})
+    order = [F.col("_h"), *[F.col(k) for k in key]]
+
+    def first(rows: DataFrame, n: int, *parts: str) -> DataFrame:
+        if not parts:
+            return rows.orderBy(*order).limit(n)
+        w = Window.partitionBy(*parts).orderBy(*order)
+        return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
+
+    columns = [*df.columns, "_h"]
+    spread = first(placed, per_cell, *by, "_cx", "_cy").select(*columns, F.lit(0).alias("_rest"))
+    even = first(hashed, limit, *by).select(*columns, F.lit(1).alias("_rest"))
+    # at most 1.5 limits of rows from here on
+    both = spread.unionByName(even)
+    once = Window.partitionBy(*by, *key).orderBy("_rest")
+    both = both.withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")
+    order = [F.col("_rest"), *order]
+    return first(both, limit, *by).select(*df.columns)
+
+
 def scatter_points(df: DataFrame, x: str, y: str, color: str | None = None,
                    title: str = "title", year: str = "year", label_parts=None,
-                   sample: float | None = None, seed: int = 1) -> DataFrame:
+                   sample: float | None = None, seed: int = 1, limit: int | None = None,
+                   key: Sequence[str] = ()) -> DataFrame:
     """Non-NULL (x, y) points with a hover label; all rows, as in the reference, unless the
-    caller asks for a ``sample``. ``label_parts``: (name, column name or text Column)."""
+    caller asks for a ``sample`` or for ``limit`` points at most (``limited_points``, by the MD5 of
+    the ``key`` columns; default: title and year). ``label_parts``: (name, column name or text Column)."""
     parts = label_parts if label_parts is not None else [(x, x), (y, y)]
     cols = [F.col(x).alias("x"), F.col(y).alias("y")]
     if color:
         cols.append(F.col(color).alias("color"))
     cols.append(point_label(F.col(title), F.col(year), parts).alias("label"))
-    return _sampled(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*cols), sample, seed)
+    out = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    if limit is None:
+        return _sampled(out.select(*cols), sample, seed)
+    key = list(key) or [title, year]
+    # labels are made for the points that stay
+    narrow = out.withColumns({"_px": F.col(x), "_py": F.col(y)})
+    return _sampled(limited_points(narrow, limit, key, "_px", "_py"), sample, seed).select(*cols)
 
 
 def scatter_panels(df: DataFrame, pairs: Sequence[tuple[str, str]], title: str = "title", year: str = "year",
-                   sample: float | None = None, seed: int = 1) -> DataFrame:
-    """The points of several (x, y) charts from one pass over the rows, tagged ``panel``."""
+                   sample: float | None = None, seed: int = 1, limit: int | None = None,
+                   key: Sequence[str] = ()) -> DataFrame:
+    """The points of several (x, y) charts from one pass over the rows, tagged ``panel``; with
+    ``limit`` so many at most of each panel."""
+    key = list(key) or [title, year]
+    carried = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key)] if limit is not None else []
     panels = [F.struct(F.lit(f"{a}~{b}").alias("panel"), F.col(b).cast("double").alias("x"), F.col(a).cast("double").alias("y"),
-                       point_label(F.col(title), F.col(year), [(a, a), (b, b)]).alias("label")) for a, b in pairs]
-    return _sampled(df.select(F.inline(F.array(*panels))).where("x IS NOT NULL AND y IS NOT NULL"), sample, seed)
+                       point_label(F.col(title), F.col(year), [(a, a), (b, b)]).alias("label"), *carried) for a, b in pairs]
+    out = df.select(F.inline(F.array(*panels))).where("x IS NOT NULL AND y IS NOT NULL")
+    if limit is not None:
+        names = [f"_k{i}" for i in range(len(key))]
+        out = limited_points(out, limit, names, by=["panel"]).drop(*names)
+    return _sampled(out, sample, seed)
 
 
 # G6, G7 ---------------------------------------------------------------------
-def box_stats(df: DataFrame, by: str, col: str, levels: Sequence[str] | None = None) -> DataFrame:
+def box_stats(df: DataFrame, by: str, col: str, levels: Sequence[str] | None = None,
+              approx: int | None = None) -> DataFrame:
     """Box-plot summary per group: quartiles (linear, type 7), whiskers at the most
     extreme values within 1.5 IQR of the box, and the outlier count.
 
+    ``approx=k`` takes the quartiles from a KLL sketch of size k per group (``stats.kll_quantiles``): for
+    groups with nearly as many values as rows. Whiskers and outliers are exact for its fences.
+
     The base rows are read once, into counts of (group, value); quartiles, whiskers and
     outliers come from those. ``levels`` maps the key to a fixed order; values outside
     become the NULL group.
     """
     key = F.when(F.col(by).isin(list(levels)), F.col(by)) if levels is not None else F.col(by)
-    counts = value_counts(df.select(key.alias("grp"), F.col(col).alias("v")), "v", "grp")
-    q = quantiles(counts, (0.25, 0.5, 0.75)).select(
+    if approx is None:
+        counts = value_counts(df.select(key.alias("grp"), F.col(col).alias("v")), "v", "grp")
+        found = quantiles(counts, (0.25, 0.5, 0.75))
+    else:
+        v = F.col(col).cast("double")
+        counts = df.select(key.alias("grp"), v.alias("v"), F.lit(1).cast("long").alias("n")).where(v.isNotNull() & ~F.isnan(v))
+        found = kll_quantiles(counts, (0.25, 0.5, 0.75), approx)
+    q = found.select(
         F.col("grp").alias("q_grp"), F.col("n").alias("rows"), F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumns({"lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})

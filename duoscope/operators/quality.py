@@ -72,6 +72,23 @@ def assert_quality(df: DataFrame, **names) -> dict:
     return row
 
 
+def gated(df: DataFrame, title: str = "title", year: str = "year", rating_a: str = "rating_a",
+          b_norm: str = "b_norm") -> DataFrame:
+    """``df`` behind the gate: whatever writes or reads it fails inside its own job if a rating is
+    NULL or a (title, year) repeats. No row reaches the driver, and nothing runs beforehand.
+
+    NULL ratings fail the row's task; repeats are counted by an aggregation over (title, year) that is
+    a scalar subquery of the plan, so the message has their number.
+    """
+    dtypes = dict(df.dtypes)
+    repeats = df.groupBy(F.col(title).alias("t"), F.col(year).alias("y")).agg((F.count(F.lit(1)) - 1).alias("n"))
+    repeats = repeats.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
+    fails = F.when(repeats > 0, F.raise_error(F.concat(F.lit("duplicate (title, year) rows: "), repeats.cast("string"))))
+    for c in (rating_a, b_norm):
+        fails = fails.when(is_missing_typed(c, dtypes[c]), F.raise_error(F.lit(f"NULL values in {c}")))
+    return df.where(fails.otherwise(F.lit(True)).cast("boolean"))
+
+
 def gate_report(df: DataFrame, **names) -> DataFrame:
     """The one-row report with ``passed``: no NULL ratings and no duplicates."""
     bad = F.col("null_rating_a") + F.col("null_b_norm") + F.col("duplicates")

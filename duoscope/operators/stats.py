@@ -211,6 +211,18 @@ def quantiles(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
         for i, x in enumerate(at)])
 
 
+def kll_quantiles(rows: DataFrame, probs: Sequence[float], k: int = 200) -> DataFrame:
+    """grp, n and q0, q1, ...: quantiles of (grp, v) rows from a mergeable KLL sketch per group.
+
+    One aggregation whose buffers are a few times ``k`` values, however many a group has. The rank
+    of an answer is off by less than 2.3 n / k**0.9 with 99 % probability (1.95 % of the rows
+    at k = 200, 0.29 % at 1,600); up to k values are kept whole.
+    """
+    sketch = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("v", k).alias("s"))
+    return sketch.select("grp", "n", *[F.kll_sketch_get_quantile_double("s", F.lit(float(p))).alias(f"q{i}")
+                                       for i, p in enumerate(probs)])
+
+
 def median_of(df: DataFrame, col: str = "n_reviews", approx: bool = False,
               accuracy: int = 100000) -> DataFrame:
     """Exact median (linear interpolation) and its half-even display value.

@@ -858,6 +858,57 @@ def q_scatter_votes_diff(spark, d):
                             label_parts=[("a", "rating_a"), ("votes", S.thousands("votes")), ("diff", "rating_diff")])
 
 
+# G5, G11, G12 with a bound: the points of smallest MD5 of their key, first of each cell
+def _limit_sql(rows: str, limit: int, by: str = "NULL") -> str:
+    """``rows``: SQL with x, y and the keys; the ends are those of each ``by`` group."""
+    bins = max(1, int((limit // 8) ** 0.5))
+    cell = lambda v: (f"CASE WHEN {v}1 > {v}0 THEN least(floor(({v} - {v}0) / ({v}1 - {v}0) * {bins}), {bins - 1}) ELSE 0 END")
+    order = f"md5(concat_ws(':', {POINT_KEY_SQL}))"
+    return f"""
+, p AS ({rows}),
+e AS (SELECT *, CAST(min(x) OVER g AS double) AS x0, CAST(max(x) OVER g AS double) AS x1,
+             CAST(min(y) OVER g AS double) AS y0, CAST(max(y) OVER g AS double) AS y1 FROM p WINDOW g AS (PARTITION BY {by})),
+k AS (SELECT *, row_number() OVER (PARTITION BY {by}, {cell('x')}, {cell('y')} ORDER BY {order}) > {limit // (2 * bins ** 2)} AS rest FROM e),
+r AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY rest, {order}) AS rn FROM k)
+SELECT * EXCLUDE (l_orderkey, l_linenumber, title, kq, kv, ks, x0, x1, y0, y1, rest, rn) FROM r WHERE rn <= {limit}"""
+
+
+# (order and line alone repeat in these tables)
+POINT_KEY = {"kq": "rating_a * 5", "kv": "votes", "ks": "score_b"}
+POINT_KEY_SQL = "CAST(l_orderkey AS varchar), CAST(l_linenumber AS varchar), title, kq, kv, ks"
+POINTS = 400
+LIMITED = dict(limit=POINTS, key=[*KEYS, "title", *POINT_KEY])
+
+
+def _keyed(scatter: str) -> str:
+    """The inner SELECT of a scatter query with the row's key."""
+    key = ", ".join(f"CAST(CAST(round({x}) AS bigint) AS varchar) AS {k}" for k, x in POINT_KEY.items())
+    return f"SELECT l_orderkey, l_linenumber, title, {key}, " + scatter.split(") SELECT ", 1)[1]
+
+
+def keyed_facts(spark: SparkSession, d: str) -> DataFrame:
+    return facts_prepared(spark, d).withColumns({k: F.expr(f"CAST(round({x}) AS bigint)") for k, x in POINT_KEY.items()})
+
+
+@register("scatter_reviews_score_limit", fp(_limit_sql(_keyed(CATALOG["scatter_reviews_score"][1]), POINTS)))
+def q_scatter_reviews_score_limit(spark, d):
+    return G.scatter_points(keyed_facts(spark, d), "n_reviews", "score_b", color="status",
+                            label_parts=[("reviews", "n_reviews"), ("score", "score_b")], **LIMITED)
+
+
+@register("scatter_reviews_absdiff_limit", fp(_limit_sql(_keyed(CATALOG["scatter_reviews_absdiff"][1]), POINTS)))
+def q_scatter_reviews_absdiff_limit(spark, d):
+    return G.scatter_points(keyed_facts(spark, d), "n_reviews", "abs_diff",
+                            label_parts=[("reviews", "n_reviews"), ("diff", "abs_diff")], **LIMITED)
+
+
+@register("scatter_three_panels_limit", fp(_limit_sql(" UNION ALL ".join(
+    _keyed(_scatter_sql(y, x, None, [(x, x), (y, y)])).replace(" AS ks, ", f" AS ks, '{x}~{y}' AS panel, ")
+    for x, y in THREE_PANELS), POINTS, "panel")))
+def q_scatter_three_panels_limit(spark, d):
+    return G.scatter_panels(keyed_facts(spark, d), THREE_PANELS, **LIMITED)
+
+
 # ============================================================== statistics from one state (F)
 def facts_state(spark: SparkSession, d: str, rows=None) -> DataFrame:
     """Counts, means and co-moments of the facts at the grain of genre, decade, bucket and status."""
@@ -895,20 +946,40 @@ def q_merged_correlations_by_decade(spark, d):
 
 
 # ============================================================== X1: composite (L)
+def file_sql(sql: str) -> str:
+    return f"SELECT * REPLACE (nullif(trim(title), '') AS title) FROM ({sql}) f0"
+
+
+LEFT_FILE_SQL, RIGHT_FILE_SQL = file_sql(fx.L_LEFT_SQL), file_sql(fx.L_RIGHT_SQL)
+
+
 @register("run_pipeline", rd("SELECT * FROM d0"))
 def q_run_pipeline(spark, d):
     """Full run over unique titles of L: the gate is enforced and passes."""
     return l_run(spark, d)["data"]
 
 
-# S1-S3 and the run from files: L written as CSV (titles trimmed, empty ones missing), read in byte ranges
-def file_sql(sql: str) -> str:
-    return f"SELECT * REPLACE (nullif(trim(title), '') AS title) FROM ({sql}) f0"
+@register("run_gated", rd("SELECT * FROM d0"))
+def q_run_gated(spark, d):
+    """Q5 in the plan: the linked table behind the gate, which its own job evaluates."""
+    return Q.gated(l_run(spark, d)["data"])
 
 
-LEFT_FILE_SQL, RIGHT_FILE_SQL = file_sql(fx.L_LEFT_SQL), file_sql(fx.L_RIGHT_SQL)
+@register("run_accounting", f"""
+SELECT 'a' AS source, CAST(count(*) AS BIGINT) AS rows_before,
+       CAST(count_if({YEAR_SQL} IS NOT NULL AND rating_a IS NOT NULL) AS BIGINT) AS rows_after,
+       CAST(count_if({YEAR_SQL} IS NULL OR rating_a IS NULL) AS BIGINT) AS rows_removed FROM ({LEFT_FILE_SQL}) l
+UNION ALL
+SELECT 'b', CAST(count(*) AS BIGINT), CAST(count_if(score_b IS NOT NULL AND title IS NOT NULL) AS BIGINT),
+       CAST(count_if(score_b IS NULL OR title IS NULL) AS BIGINT) FROM ({RIGHT_FILE_SQL}) r""")
+def q_run_accounting(spark, d):
+    """C6 from the run itself: rows before and after, counted by the jobs that cleaned them."""
+    rows = files_run(spark, d)["accounting"]()
+    return spark.createDataFrame([tuple(r[c] for c in ("source", "rows_before", "rows_after", "rows_removed")) for r in rows],
+                                 "source string, rows_before long, rows_after long, rows_removed long")
 
 
+# S1-S3 and the run from files: L written as CSV (titles trimmed, empty ones missing), read in byte ranges
 @register("read_catalog_a", f"""
 SELECT title, year_text, genre_list, rating_a, votes, CAST(NULL AS double) AS meta_score FROM ({LEFT_FILE_SQL}) f""")
 def q_read_catalog_a(spark, d):

@@ -63,11 +63,14 @@ def link_and_derive(a: DataFrame, b: DataFrame, cfg: RunConfig) -> tuple[DataFra
 
 
 def run(a_raw: DataFrame, b_raw: DataFrame, cfg: RunConfig | None = None) -> dict:
-    """Returns ``{"data": DataFrame, "stats": {name: DataFrame}, "state": DataFrame, "checks": dict, "link": ...}``.
+    """Returns ``{"data": DataFrame, "stats": {name: DataFrame}, "state": DataFrame, "checks": dict, "link": ...,
+    "accounting": callable}``; the last gives the rows before and after cleaning, counted on the way.
 
     Raises ``QualityGateError`` when the gate fails and ``cfg.enforce_gate``.
     """
     cfg = cfg or RunConfig()
+    a_raw, seen_a = C.observed(a_raw, C.keep_condition_a(cfg.a_year_text, cfg.rating_a), "a")
+    b_raw, seen_b = C.observed(b_raw, C.keep_condition_b(cfg.score_b, cfg.b_title), "b")
     a, b = clean_sides(a_raw, b_raw, cfg)
     data, res = link_and_derive(a, b, cfg)
     if cfg.checkpoint:
@@ -97,4 +100,5 @@ def run(a_raw: DataFrame, b_raw: DataFrame, cfg: RunConfig | None = None) -> dic
         "top_largest": K.top_k(data, "rating_diff", 5, True, ranked),
         "top_smallest": K.top_k(data, "rating_diff", 5, False, ranked),
     }
-    return {"data": data, "stats": stats, "state": state, "checks": checks, "link": res}
+    return {"data": data, "stats": stats, "state": state,
+            "accounting": lambda: C.accounting({"a": seen_a, "b": seen_b}), "checks": checks, "link": res}
