@@ -18,6 +18,7 @@ from ..operators import clean as C
 from ..operators import feeds as G
 from ..operators import link as J
 from ..operators import moments as M
+from ..operators import pages as P
 from ..operators import quality as Q
 from ..operators import stats as A
 from ..operators import topk as K
@@ -697,6 +698,33 @@ def q_browse_after(spark, d):
     return K.browse(K.full_table(facts_prepared(spark, d), keys=BROWSE_KEYS), after=[1.5, 1000, 2], **BROWSE)
 
 
+# (all columns as sort keys: order and line repeat in these tables, and equal rows may stand in any order)
+PAGE_SORT = ["Difference", *BROWSE_KEYS, "Title", "Votes", "Score B", "Score C", "Rating A"]
+PAGE_SQL_ORDER = ", ".join(f'"{c}" ASC NULLS FIRST' for c in PAGE_SORT)
+FULL_SQL = BROWSE_SQL.split("WHERE \"Year\" BETWEEN")[0]
+
+
+def _directory(spark: SparkSession, d: str) -> P.PageDirectory:
+    return P.PageDirectory(K.full_table(facts_prepared(spark, d), keys=BROWSE_KEYS), PAGE_SORT, hidden=BROWSE_KEYS)
+
+
+@register("browse_deep", fp(f"""SELECT * EXCLUDE (l_orderkey, l_linenumber) FROM ({FULL_SQL}) t
+ORDER BY {PAGE_SQL_ORDER} LIMIT 15 OFFSET 29985""").replace("fp AS (", "fp AS MATERIALIZED (", 1))
+def q_browse_deep(spark, d):
+    """Page 2,000 from the page directory."""
+    with _directory(spark, d) as pages:
+        return cut_lineage(pages.page(2000))
+
+
+@register("browse_search", fp(f"""SELECT * EXCLUDE (l_orderkey, l_linenumber) FROM ({FULL_SQL}) t
+WHERE {" OR ".join(f"coalesce(contains(lower({x}), '2.5'), false)" for x in SHOWN_SQL.values())}
+ORDER BY {PAGE_SQL_ORDER} LIMIT 15 OFFSET 15""").replace("fp AS (", "fp AS MATERIALIZED (", 1))
+def q_browse_search(spark, d):
+    """The second page of a search through the trigram postings."""
+    with _directory(spark, d) as pages:
+        return cut_lineage(pages.search("2.5", page=2))
+
+
 @register("genre_choices", fp(GENRE_SQL.format(n=5).replace(
     "SELECT primary_genre, avg(rating_a)", "SELECT DISTINCT primary_genre FROM (SELECT primary_genre, avg(rating_a)")
     + ") g WHERE primary_genre IS NOT NULL"))
