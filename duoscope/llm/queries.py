@@ -128,28 +128,47 @@ SELECT doc_id, CAST(len(w) AS bigint) AS n_words, CAST(coalesce(n_hit, 0) AS big
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
 
-#: Chunks end after a line whose rolling hash (this line's and 31 times the line's before) is 0
-#: modulo 4, and at the end; of equal chunks of two lines or more the first stays.
+#: Three sets of chunks, which end where another binary digit of a line's rolling hash (this line's and 31 times
+#: the line's before) is 0. Line by line: what stands in a repeat, or beside it and beside the first occurrence
+#: alike, in two lines or more, goes.
 OP7_SQL = r"""
 WITH lines AS (
   SELECT doc_id, i, line, n, CAST('0x' || substr(md5(line), 1, 8) AS bigint) % 2147483648 AS h
   FROM (SELECT doc_id, len(l) AS n, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line
         FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
+rolled AS (
+  SELECT *, h + coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * 31 % 2147483648 AS r FROM lines),
 ends AS (
-  SELECT doc_id, i, line, i = n OR (h + coalesce(lag(h) OVER d, 0) * 31 % 2147483648) % 4 = 0 AS last
-  FROM lines WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+  SELECT doc_id, i, line, s, CAST(i = n OR (r // CAST(pow(2, s) AS bigint)) % 2 = 0 AS int) AS last
+  FROM rolled, (SELECT unnest(range(3)) AS s)),
 numbered AS (
-  SELECT doc_id, i, line, coalesce(sum(CAST(last AS int)) OVER (PARTITION BY doc_id ORDER BY i
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM ends),
+  SELECT *, coalesce(sum(last) OVER (PARTITION BY doc_id, s ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
+  FROM ends),
+cut AS (
+  SELECT doc_id, s, c, min(i) - 1 AS place, list(line ORDER BY i) AS own FROM numbered GROUP BY doc_id, s, c),
 chunks AS (
-  SELECT doc_id, c, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM numbered GROUP BY doc_id, c),
-judged AS (SELECT *, n >= 2 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, c) > 1 AS gone FROM chunks)
+  SELECT doc_id, place, own, coalesce(lag(own) OVER d, []) AS before, coalesce(lead(own) OVER d, []) AS after
+  FROM cut WINDOW d AS (PARTITION BY doc_id, s ORDER BY c)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY own ORDER BY doc_id NULLS LAST, place, -len(before) - len(after), before, after) AS rank
+  FROM chunks WHERE len(own) > 1 OR trim(own[1]) <> ''),
+met AS (
+  SELECT x.doc_id, x.place, x.place + len(x.own) AS stop, list_reverse(x.before) AS up, list_reverse(f.before) AS f_up,
+         x.after AS down, f.after AS f_down
+  FROM ranked x JOIN ranked f ON f.own = x.own AND f.rank = 1
+  WHERE (x.doc_id, x.place) IS DISTINCT FROM (f.doc_id, f.place)),
+agreed AS (
+  SELECT doc_id, place, stop, list_transform(range(1, least(len(up), len(f_up)) + 1), lambda j: up[j] = f_up[j]) AS u,
+         list_transform(range(1, least(len(down), len(f_down)) + 1), lambda j: down[j] = f_down[j]) AS d FROM met),
+ranges AS (
+  SELECT doc_id, place - CASE WHEN coalesce(list_position(u, false), 0) > 0 THEN list_position(u, false) - 1 ELSE len(u) END AS lo,
+         stop + CASE WHEN coalesce(list_position(d, false), 0) > 0 THEN list_position(d, false) - 1 ELSE len(d) END AS hi FROM agreed),
+gone AS (SELECT DISTINCT doc_id, unnest(range(lo + 1, hi + 1)) AS i FROM ranges WHERE hi - lo >= 2),
+judged AS (SELECT l.*, g.i IS NOT NULL AS out FROM lines l LEFT JOIN gone g ON g.doc_id IS NOT DISTINCT FROM l.doc_id AND g.i = l.i)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(
-         string_agg(chunk, chr(10) ORDER BY c) FILTER (WHERE NOT gone), '') END AS text,
-       CAST(coalesce(sum(n), 0) AS bigint) AS n_lines,
-       CAST(coalesce(sum(n) FILTER (WHERE gone), 0) AS bigint) AS n_removed
-FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id, d.text"""
-
+         string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT out), '') END AS text,
+       CAST(count(i) AS bigint) AS n_lines, CAST(coalesce(sum(CAST(out AS int)), 0) AS bigint) AS n_removed
+FROM documents d LEFT JOIN judged j ON d.doc_id IS NOT DISTINCT FROM j.doc_id GROUP BY d.doc_id, d.text"""
 
 
 def _crc32_sql(text: str) -> str:
