@@ -8,8 +8,9 @@ other digits of the rolling hash, since a short passage often holds no whole chu
 Chunks are first counted by a 64-bit hash, with map-side aggregation; only those of repeated
 hashes are then grouped by their very bytes, so equality is a byte comparison. The first occurrence
 (smallest document, then place) stays. Every other is extended to both sides line by line, over the
-chunk before and the one after, as long as the lines equal those beside the first occurrence; what
-has ``min_lines`` lines or more is removed. A removed line equals one that stands earlier (in a
+chunk before and the one after, as long as the lines equal (by their 128-bit MD5, so that no
+neighbour's text is moved about) those beside the first occurrence; what has ``min_lines`` lines or
+more is removed. A removed line equals one that stands earlier (in a
 smaller document or further up), which stays or is removed for one earlier still, so nothing
 vanishes altogether.
 
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from duoscope.llm.common import cut, measured, pick
 
-MEAN, SPAN, MIN_LINES, SETS = 2, 2, 2, 3
+MEAN, SPAN, MIN_LINES, SETS = 2, 2, 2, 2
 _LIMIT = 1 << 31
 
 
@@ -57,11 +58,11 @@ def chunked(docs: DataFrame, mean: int = MEAN, span: int = SPAN, sets: int = SET
 
 def chunks(ends: Column) -> Column:
     """Array of (place, n, lines, before, after) of one set: first line (from 0), how many, the lines,
-    those of the chunk before and of the chunk after."""
+    the MD5 of those of the chunk before and of the chunk after."""
     at = lambda k: F.when(k > 0, F.get(ends, k - 1)).otherwise(F.lit(0))
-    part = lambda lo, hi: F.slice("lines", lo + 1, hi - lo)
+    part = lambda lo, hi, of="digests": F.slice(of, lo + 1, hi - lo)
     return F.transform(ends, lambda e, k: F.struct(
-        at(k).alias("place"), (e - at(k)).alias("n"), part(at(k), e).alias("own"),
+        at(k).alias("place"), (e - at(k)).alias("n"), part(at(k), e, "lines").alias("own"),
         part(at(k - 1), at(k)).alias("before"), part(e, F.coalesce(F.get(ends, k + 1), e)).alias("after")))
 
 
@@ -75,6 +76,7 @@ def repeats(docs: DataFrame, mean: int = MEAN, span: int = SPAN, min_lines: int
             sets: int = SETS) -> DataFrame:
     """id, th (hash of text), gone: sorted (place, n) of the lines to remove, apart, where there are any."""
     d = chunked(docs.where("text IS NOT NULL").withColumn("th", F.xxhash64("text")), mean, span, sets)
+    d = d.withColumn("digests", F.transform("lines", lambda x: F.unhex(F.md5(x))))
     every = F.flatten(F.transform("cuts", chunks))
     c = d.select("id", "th", F.explode(every).alias("c")).select(
         "id", "th", "c.place", "c.n", F.array_join("c.own", "\n").alias("chunk"), "c.before", "c.after")

@@ -128,7 +128,7 @@ SELECT doc_id, CAST(len(w) AS bigint) AS n_words, CAST(coalesce(n_hit, 0) AS big
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
 
-#: Three sets of chunks, which end where another binary digit of a line's rolling hash (this line's and 31 times
+#: Two sets of chunks, which end where another binary digit of a line's rolling hash (this line's and 31 times
 #: the line's before) is 0. Line by line: what stands in a repeat, or beside it and beside the first occurrence
 #: alike, in two lines or more, goes.
 OP7_SQL = r"""
@@ -140,7 +140,7 @@ rolled AS (
   SELECT *, h + coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * 31 % 2147483648 AS r FROM lines),
 ends AS (
   SELECT doc_id, i, line, s, CAST(i = n OR (r // CAST(pow(2, s) AS bigint)) % 2 = 0 AS int) AS last
-  FROM rolled, (SELECT unnest(range(3)) AS s)),
+  FROM rolled, (SELECT unnest(range(2)) AS s)),
 numbered AS (
   SELECT *, coalesce(sum(last) OVER (PARTITION BY doc_id, s ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
   FROM ends),
@@ -150,7 +150,8 @@ chunks AS (
   SELECT doc_id, place, own, coalesce(lag(own) OVER d, []) AS before, coalesce(lead(own) OVER d, []) AS after
   FROM cut WINDOW d AS (PARTITION BY doc_id, s ORDER BY c)),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY own ORDER BY doc_id NULLS LAST, place, -len(before) - len(after), before, after) AS rank
+  SELECT *, row_number() OVER (PARTITION BY own ORDER BY doc_id NULLS LAST, place, -len(before) - len(after),
+    list_transform(before, lambda x: md5(x)), list_transform(after, lambda x: md5(x))) AS rank
   FROM chunks WHERE len(own) > 1 OR trim(own[1]) <> ''),
 met AS (
   SELECT x.doc_id, x.place, x.place + len(x.own) AS stop, list_reverse(x.before) AS up, list_reverse(f.before) AS f_up,

@@ -40,7 +40,8 @@ def brute(rows, hashed=lambda t: 0):
     first = {}
     for i, t in {(r[0], r[1]) for r in rows if r[1] is not None}:
         for place, own, before, after in neighbours(t):
-            found = ((i is None, i or 0, hashed(t), place), -len(before) - len(after), before, after)
+            digests = [[hashlib.md5(x.encode()).digest() for x in side] for side in (before, after)]
+            found = ((i is None, i or 0, hashed(t), place), -len(before) - len(after), digests, before, after)
             key = tuple(own)
             first[key] = min(first.get(key, found), found)
     out = []
@@ -50,7 +51,7 @@ def brute(rows, hashed=lambda t: 0):
             continue
         lines, gone = t.split("\n"), set()
         for place, own, before, after in neighbours(t):
-            at, _, f_before, f_after = first[tuple(own)]
+            at, _, _, f_before, f_after = first[tuple(own)]
             if at != (i is None, i or 0, hashed(t), place):
                 lo = place - agreeing(before[::-1], f_before[::-1])
                 hi = place + len(own) + agreeing(after, f_after)
