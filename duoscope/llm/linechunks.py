@@ -29,6 +29,8 @@ from duoscope.llm.common import cut, measured, pick
 
 MEAN, SPAN, MIN_LINES, SETS = 2, 2, 2, 2
 _LIMIT = 1 << 31
+#: Repeated hashes (eight bytes each) that are broadcast; with more, the join shuffles the chunks.
+OFTEN_ROWS = 2_000_000
 
 
 def _line_hash(line: Column) -> Column:
@@ -82,8 +84,9 @@ def repeats(docs: DataFrame, mean: int = MEAN, span: int = SPAN, min_lines: int
         "id", "th", "c.place", "c.n", F.array_join("c.own", "\n").alias("chunk"), "c.before", "c.after")
     # a blank line alone says nothing about its neighbours
     c = c.where((F.col("n") > 1) | (F.trim("chunk") != "")).withColumn("ch", F.xxhash64("chunk", "n"))
-    often = measured(c.groupBy("ch").agg(F.count("*").alias("times")).where("times > 1").select("ch"))
-    c = cut(c.join(often, "ch", "left_semi"))
+    often = measured(c.groupBy("ch").agg(F.count("*").alias("times")).where("times > 1").select("ch"), OFTEN_ROWS)
+    # read twice; cutting texts again costs less than writing all that repeats
+    c = c.join(often, "ch", "left_semi")
     # sets may cut the same chunk with other neighbours: the longest of these count
     at = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "place")
     beside = F.struct(at.alias("at"), (-F.size("before") - F.size("after")).alias("less"),
