@@ -70,3 +70,23 @@ def test_empty_documents(spark, tmp_path):
     docs.write.parquet(f"{folder}/none/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{folder}/none/benchmark.parquet")
     assert P.run(spark, f"{folder}/none").count() == 0
+
+
+def test_near_duplicates_are_judged_by_row(spark):
+    """Null and repeated ids: one row of each group, no clean text lost with a copy."""
+    rng = random.Random(5)
+    a, b, c = (" ".join(prose(rng, 60, 9999)) for _ in range(3))
+    near = a.replace(a.split()[30], "changed", 1)
+    rows = [(None, a, "en", "s"), (None, a, "en", "t"), (5, a, "en", "s"), (6, near, "en", "s"),        # one group
+            (7, b, "en", "s"), (7, b, "en", "s"), (7, b, "en", "r"),                                   # equal in id and text
+            (9, a, "en", "s"), (9, c, "en", "s"),                                                      # one copy, one clean
+            (1, "", "en", "s"), (1, "", "en", "s"), (None, None, "en", "s"), (None, "  ", "en", "s")]
+    for parts in (1, 5):
+        docs = frame(spark, rows).repartition(parts)
+        out = P.drop_near_duplicates(spark, docs, "")
+        assert out.columns == docs.columns
+        got = sorted(((r.doc_id, r.text, r.source) for r in out.collect()), key=str)
+        assert got == sorted([(5, a, "s"), (7, b, "r"), (9, c, "s"), (1, "", "s"), (1, "", "s"), (None, None, "s"),
+                              (None, "  ", "s")], key=str)
+    only_null = frame(spark, [(None, b, "en", "s"), (None, b + " more", "en", "s"), (None, c, "en", "s")])
+    assert P.drop_near_duplicates(spark, only_null, "").count() == 2
