@@ -28,7 +28,8 @@ from duoscope.llm.common import prepare, pick
 
 BUCKETS = 1 << 17
 TRAIN_DOCS = 2000       # labelled texts per language, about
-MAX_LANGUAGES = 64
+#: Languages that have all buckets; with more, buckets are folded, so that the model stays as large.
+FULL_LANGUAGES = 64
 TEMPER = 0.5
 UNDETERMINED = "und"
 SPACE = 32
@@ -77,19 +78,29 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     languages: list[str]
-    logp: np.ndarray        # [BUCKETS, languages], tempered log probabilities
+    logp: np.ndarray        # [BUCKETS >> shift, languages], tempered log probabilities
+    shift: int = 0
 
     def word_scores(self, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(self.logp[grams], first, axis=0)
+        return np.add.reduceat(self.logp[grams >> self.shift], first, axis=0)
 
 
-def model_of(counts: dict[str, np.ndarray]) -> Model:
+def folded(n_languages: int) -> int:
+    """Bits that the buckets of so many languages lose (512 buckets are always left)."""
+    shift = 0
+    while n_languages > FULL_LANGUAGES << shift and BUCKETS >> shift > 512:
+        shift += 1
+    return shift
+
+
+def model_of(counts: dict[str, np.ndarray], shift: int = 0) -> Model:
+    """``counts``: trigrams of each language by bucket (``BUCKETS >> shift`` of them)."""
     languages = sorted(counts)
-    c = np.array([counts[x] for x in languages], np.float64).reshape(len(languages), BUCKETS)
-    base = (c.sum(0) + 0.1) / (c.sum() + 0.1 * BUCKETS)
+    c = np.array([counts[x] for x in languages], np.float64).reshape(len(languages), BUCKETS >> shift)
+    base = (c.sum(0) + 0.1) / (c.sum() + 0.1 * c.shape[1])
     prior = 500.0
     p = (c + prior * base) / (c.sum(1, keepdims=True) + prior)
-    return Model(languages, (TEMPER * np.log(p.T)).astype(np.float32).copy())
+    return Model(languages, (TEMPER * np.log(p.T)).astype(np.float32).copy(), shift)
 
 
 def mixture(scores: np.ndarray) -> tuple[np.ndarray, float]:
@@ -132,6 +143,18 @@ def mixture(scores: np.ndarray) -> tuple[np.ndarray, float]:
     return share, float(posterior)
 
 
+def _slices(text: str):
+    """A text in pieces of about ``_SLICE`` characters, cut where no word is."""
+    at = 0
+    while len(text) - at > _SLICE:
+        stop = at + _SLICE
+        while stop < len(text) and _letters()[ord(text[stop])] != SPACE:
+            stop += 1
+        yield text[at:stop]
+        at = stop
+    yield text[at:]
+
+
 def predict(model: Model, texts: list[str | None]):
     """Per text: (language, score, languages of the mixture, their shares)."""
     i = 0
@@ -140,8 +163,14 @@ def predict(model: Model, texts: list[str | None]):
         while j < len(texts) and (j == i or size + len(texts[j] or "") <= _SLICE):
             size += len(texts[j] or "")
             j += 1
-        grams, first, of = _words([t or "" for t in texts[i:j]])
-        scores = model.word_scores(grams, first) if len(first) and model.languages else None
+        if j == i + 1 and size > _SLICE:        # one long text: of its pieces only the words' scores are kept
+            cut = (_words([piece]) for piece in _slices(texts[i]))
+            found = [model.word_scores(grams, first) for grams, first, _ in cut if len(first) and model.languages]
+            scores = np.concatenate(found) if found else None
+            of = [0, len(scores) if found else 0]
+        else:
+            grams, first, of = _words([t or "" for t in texts[i:j]])
+            scores = model.word_scores(grams, first) if len(first) and model.languages else None
         for d in range(j - i):
             a, b = of[d], of[d + 1]
             if a == b or scores is None:
@@ -160,27 +189,28 @@ def held_out(id_col) -> F.Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          train_docs: int = TRAIN_DOCS, max_languages: int = MAX_LANGUAGES) -> Model:
+          train_docs: int = TRAIN_DOCS) -> Model:
     """Counts from about ``train_docs`` texts of each language, none of them held out.
 
-    The sample is chosen by a hash of the id, so reruns agree. More than ``max_languages``
-    distinct labels are an error (the model, at most max_languages x BUCKETS numbers, is held
-    by the driver and broadcast).
+    The sample is chosen by a hash of the id, so reruns agree. The model, at most about
+    FULL_LANGUAGES x BUCKETS numbers for any number of languages up to 16,384, is held by the driver
+    and broadcast; more labels than that are learned too, with 512 buckets each.
     """
     spark = docs.sparkSession
     prepare(spark)
     df = pick(docs, id=id_col, text=text_col, lang=lang_col)
-    usable = df.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    sizes = [(r.lang, r["n"]) for r in usable.where(F.col("text").isNotNull()).groupBy("lang")
-             .agg(F.count("*").alias("n")).limit(max_languages + 1).collect()]
-    if len(sizes) > max_languages:
-        raise ValueError(f"more than {max_languages} language labels")
+    usable = df.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull()
+                      & ~held_out(F.col("id")))
+    # one row per label
+    sizes = [(r.lang, r["n"]) for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()]
+    shift = folded(len(sizes))
+    buckets = BUCKETS >> shift
     if not sizes:
-        return Model([], np.zeros((BUCKETS, 0), np.float32))
-    keep = F.lit(False)
+        return Model([], np.zeros((buckets, 0), np.float32), shift)
+    share = spark.createDataFrame([(lang, int((1 << 30) * min(1.0, train_docs / n))) for lang, n in sizes],
+                                  "label string, upto long")
     part = F.pmod(F.xxhash64(F.lit("train"), "id"), F.lit(1 << 30))
-    for lang, n in sizes:
-        keep = keep | ((F.col("lang") == lang) & (part <= int((1 << 30) * min(1.0, train_docs / n))))
+    chosen = usable.join(F.broadcast(share), (F.col("lang") == F.col("label")) & (part <= F.col("upto")), "left_semi")
 
     def count(batches):
         seen: dict[str, np.ndarray] = {}
@@ -188,22 +218,27 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
                 for at in range(0, len(text), _SLICE):
                     grams, _, _ = _words([text[at:at + _SLICE]])
-                    seen.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                    seen[lang] += np.bincount(grams, minlength=BUCKETS)
+                    if lang not in seen:
+                        seen[lang] = np.zeros(buckets, np.int64)
+                    seen[lang] += np.bincount(grams >> shift, minlength=buckets)
         for lang, c in seen.items():
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_pydict({
                 "lang": pa.array([lang] * len(at), pa.string()), "bucket": pa.array(at, pa.int32()),
                 "n": pa.array(c[at], pa.int64())})
 
-    rows = (usable.where(keep & F.col("text").isNotNull()).select("lang", "text")
+    rows = (chosen.select("lang", "text")
             .mapInArrow(count, "lang string, bucket int, n bigint")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
-    counts = {lang: np.zeros(BUCKETS, np.int64) for lang, _ in sizes}
-    for lang in counts:
-        mine = rows.filter(pa.compute.equal(rows["lang"], lang))
-        counts[lang][mine["bucket"].to_numpy()] = mine["n"].to_numpy()
-    return model_of({x: c for x, c in counts.items() if c.any()})
+    order = np.argsort(np.asarray(rows["lang"].combine_chunks().to_pylist(), object), kind="stable")
+    names = np.asarray(rows["lang"].combine_chunks().to_pylist(), object)[order]
+    at, n = rows["bucket"].to_numpy()[order], rows["n"].to_numpy()[order]
+    counts = {}
+    for lang in sorted(set(names.tolist())):
+        i, j = np.searchsorted(names, lang, "left"), np.searchsorted(names, lang, "right")
+        counts[lang] = np.zeros(buckets, np.int64)
+        counts[lang][at[i:j]] = n[i:j]
+    return model_of(counts, shift)
 
 
 def languages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

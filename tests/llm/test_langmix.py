@@ -1,6 +1,8 @@
 import random
 import zlib
 
+import numpy as np
+
 from duoscope.llm import langmix as L
 from tests.llm.util import ODD, frame
 
@@ -81,3 +83,33 @@ def test_empty_and_unlabelled_tables(spark):
     assert L.languages(docs.limit(0), model).count() == 0
     kept = L.keep_identified(docs, L.train(docs))
     assert kept.columns == docs.columns and kept.where("text IS NULL").count() == 0
+
+
+def test_many_labels_fold_the_buckets(spark):
+    """Two hundred labels: a smaller table each, and still the right one."""
+    rng = random.Random(4)
+    alphabets = ["".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 6)) for _ in range(200)]
+    text = lambda a, n: " ".join("".join(rng.choice(a) for _ in range(6)) for _ in range(n))
+    rows = [(i, text(alphabets[i % 200], 60), f"l{i % 200:03}", "s") for i in range(1200)]
+    docs = frame(spark, rows)
+    model = L.train(docs)
+    assert len(model.languages) == 200 and model.shift == 2 and model.logp.shape == (L.BUCKETS >> 2, 200)
+    got = L.languages(docs, model).select("doc_id", "lang_pred").collect()
+    assert sum(r.lang_pred == f"l{r.doc_id % 200:03}" for r in got) >= 1190
+    assert [L.folded(n) for n in (1, 64, 65, 128, 129, 10**6)] == [0, 0, 1, 1, 2, 8]
+
+
+def test_a_very_long_text_is_scored_in_pieces(spark):
+    rng = random.Random(1)
+    rows = [(i, " ".join("".join(rng.choice(a) for _ in range(5)) for _ in range(80)), n, "s")
+            for i, (a, n) in enumerate([("abcde", "x"), ("vwxyz", "y")] * 40)]
+    model = L.train(frame(spark, rows))
+    long = (rows[0][1] + " ") * 3000 + (rows[1][1] + "\n") * 1000 + "q" * (L._SLICE + 50)
+    assert "".join(L._slices(long)) == long and len(long) > 2 * L._SLICE
+    (one,) = L.predict(model, [long])
+    pieces = [L._words([p]) for p in L._slices(long)]
+    grams, first, _ = L._words([long])
+    scores = model.word_scores(grams, first)
+    assert (np.concatenate([model.word_scores(g, f) for g, f, _ in pieces]) == scores).all()
+    assert one[0] == "x" and one[2] == ["x", "y"] and abs(one[3][0] - 0.75) < 0.05
+    assert [r[0] for r in L.predict(model, ["1" * (2 * L._SLICE), "\n" * 10])] == ["und", "und"]
