@@ -72,6 +72,16 @@ def measured(df: DataFrame, rows: int = 200_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def with_last(items: Iterator) -> Iterator[tuple]:
+    """(item, whether it is the last), one item ahead."""
+    items = iter(items)
+    for now in items:
+        for following in items:
+            yield now, False
+            now = following
+        yield now, True
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named input columns under internal names: others cannot clash with ours."""
     return df.select(*[df[f"`{name}`"].alias(alias) for alias, name in columns.items()])

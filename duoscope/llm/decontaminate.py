@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from duoscope.llm import words as W
-from duoscope.llm.common import blocks, prepare, pick, utf8
+from duoscope.llm.common import blocks, cut, pick, prepare, utf8, with_last
 
 WINDOW, K = 10, 5
 BLOCK_BYTES = 16 << 20
@@ -171,10 +171,8 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     id_type = df.schema["id"].dataType
     carried = T.StructType([T.StructField("id", id_type), T.StructField("text", T.StringType()),
                             *_RESULT.fields])
-    indexes = [spark.sparkContext.broadcast(ItemIndex(items, window, k))
-               for items in item_blocks(bench, item_col, item_text_col, block_bytes)]
-    for n, shared in enumerate(indexes):
-        last = n == len(indexes) - 1
+    for items, last in with_last(item_blocks(bench, item_col, item_text_col, block_bytes)):
+        shared = spark.sparkContext.broadcast(ItemIndex(items, window, k))
 
         def run(batches, shared=shared, last=last):
             for batch in batches:
@@ -190,6 +188,9 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
 
         schema = T.StructType([f for f in carried if not (last and f.name == "text")])
         df = df.mapInArrow(run, schema)
+        if not last:        # one block at a time in a worker's memory
+            df = cut(df)
+            shared.destroy()
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return df.select(F.col("id").alias(id_col), "n_words", "spans",
                      F.array_sort("items").alias("items"), n_hit.alias("n_hit"))
@@ -201,8 +202,8 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text",
     """The document rows, with all their columns, that hold no window of any test item."""
     spark = docs.sparkSession
     prepare(spark)
-    for items in item_blocks(bench, names.get("item_col", "item_id"),
-                             names.get("item_text_col", "text"), block_bytes):
+    for items, last in with_last(item_blocks(bench, names.get("item_col", "item_id"),
+                                             names.get("item_text_col", "text"), block_bytes)):
         shared = spark.sparkContext.broadcast(ItemIndex(items, window, k))
 
         def run(batches, shared=shared):
@@ -211,4 +212,7 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, text_col: str = "text",
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if not last:
+            docs = cut(docs)
+            shared.destroy()
     return docs

@@ -1,9 +1,11 @@
 """PII surrogates: detected entities are replaced by keyed fakes of the same kind and form.
 
 A surrogate is a function of (key, kind, normalised entity, attempt): an HMAC stream picks its
-digits, letters and names. It keeps length, separators, letter case, script (Latin, Greek,
+digits, letters and names. Of all but names it keeps length, separators and letter case; script (Latin, Greek,
 Cyrillic or other letters stay in their script's alphabet), the country code of a phone number,
-whether a card number has a valid check digit, and the gender that a person's title implies.
+whether a card number has a valid check digit and an IBAN valid check digits, and the gender that a
+person's title (or, after a title without one, a known given name) implies. Names keep their capitals
+as a whole word does and have a length of their own.
 The same entity gets the same surrogate in every document (coreference).
 
 Distinctness is checked over the whole corpus: the distinct entities and their surrogates are
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from duoscope.llm.common import cut, pick, prepare
+from duoscope.llm.common import cut, pick, prepare, with_last
 
 BLOCK, FORMED = 200_000, 8
 #: Titles by the gender they imply, and given names to choose from.
@@ -50,9 +52,14 @@ SYLLABLES = {"Latin": "ba ber can dor el far gan hal ker lin mar nor pel ras sen
 ENDINGS = {"Latin": ("", ""), "Cyrillic": ("ин", "ина"), "Greek": ("ος", "ου")}
 _FEMININE = {"Latin": "", "Cyrillic": "ая", "Greek": "αάηήυού"}
 
+#: Country calling codes of one and two digits (ITU E.164); all others have three.
+SHORT_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
+_CODE = re.compile(rf"\+(?:{'|'.join(sorted(SHORT_CODES.split(), key=len, reverse=True))}|\d{{1,3}})")
+
 _TITLE_GENDER = {t: g for g, names in TITLES.items() for t in names.split()}
 _UPPER = "A-ZÀ-ÖØ-ÞĀ-ŽΑ-ΩΆ-ΏА-ЯЁ"
-_NAME = rf"[{_UPPER}][^\W\d_]+(?:['’-][{_UPPER}][^\W\d_]+)*"
+_NAME = rf"(?:[{_UPPER}]['’])?[{_UPPER}][^\W\d_]+(?:['’-][{_UPPER}][^\W\d_]+)*"
+_GIVEN_GENDER = {n.casefold(): g for (_, g), names in GIVEN.items() for n in names.split()}
 _KINDS = [
     r"(?P<email>(?<![\w.%+-])[\w.%+-]+@[A-Za-z0-9][A-Za-z0-9-]{0,62}(?:\.[A-Za-z0-9][A-Za-z0-9-]{0,62})*\.[A-Za-z]{2,24}\b)",
     r"(?P<secret>(?:(?<=[\s\"'(\[{,;|])|(?<![\s\S]))(?i:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|token|passw(?:or)?d|pwd)\"?[ \t]*[:=][ \t]*(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|[A-Za-z0-9+/_=.-]{8,}))",
@@ -88,6 +95,11 @@ def _luhn(digits: str) -> bool:
     return (odd + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])) % 10 == 0
 
 
+def _mod97(text: str) -> int:
+    """Of an IBAN's characters, letters as 10 to 35."""
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
 def _matches(text: str):
     """Matches in order; the slow pattern runs over the lines that a trigger marks only."""
     at, m = 0, _TRIGGER.search(text)
@@ -102,8 +114,12 @@ def _matches(text: str):
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, normalised entity) of the entities of a text, in order, apart."""
-    out, families = [], {}
+    """(start, end, kind, normalised entity) of the entities of a text, in order, apart.
+
+    A given name has one gender in a text: that of the titles before it, if one tells, else that of
+    a known name; so "Mr James" and "Dr James" are one entity.
+    """
+    out, families, told = [], {}, {}
     for m in _matches(text):
         kind, (a, b) = m.lastgroup, m.span()
         got = text[a:b]
@@ -112,8 +128,10 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             gender = _TITLE_GENDER[title.rstrip(".")]
             at = a + len(title) + 1
             for i, name in enumerate(names):
-                what = "given-" + gender if i < len(names) - 1 else "family"
+                what = "given" if i < len(names) - 1 else "family"
                 out.append((at, at + len(name), what, name.casefold()))
+                if what == "given" and gender != "n":
+                    told.setdefault(name.casefold(), gender)
                 if what == "family":
                     families[name] = out[-1]
                 at += len(name) + 1
@@ -145,6 +163,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             if kind == "phone" and not 7 <= sum(c.isdigit() for c in norm) <= 15:
                 continue
         out.append((a, b, kind, norm))
+    out = [(a, b, f"given-{told.get(n) or _GIVEN_GENDER.get(n, 'n')}" if kind == "given" else kind, n) for a, b, kind, n in out]
     if families:        # a family name known from a title is the same person elsewhere in the text
         taken = [(s, e) for s, e, _, _ in out]
         names = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(families, key=len, reverse=True))) + r")(?!\w)")
@@ -253,11 +272,13 @@ def surrogate(key: bytes, kind: str, norm: str, attempt: int) -> str:
         ends = [d for d in "0123456789" if _luhn(new + d) == _luhn(norm)]
         return new + (ends[s.below(len(ends))] if ends else last)
     if kind == "phone":
-        code = re.match(r"\+\d", norm)
+        code = _CODE.match(norm)
         head = code.group() if code else ""
         return head + "".join(c if c == "+" else str(s.below(10)) for c in norm[len(head):])
     if kind == "iban":
-        return norm[:2] + _letters(norm[2:], s)
+        body = _letters(norm[4:], s)
+        check = f"{98 - _mod97(body + norm[:2] + '00'):02}" if _mod97(norm[4:] + norm[:4]) == 1 else _letters(norm[2:4], s)
+        return norm[:2] + check + body
     if kind == "secret":
         return _letters(norm, s, hexed=re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", norm) is not None)
     if kind.startswith("given") or kind == "family":
@@ -353,15 +374,14 @@ def replace_pii(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: s
     df = pick(docs, id=id_col, text=text_col)
     real = cut(entities(df).distinct())
     moved = cut(resolve(real, key).where("attempt > 0").select("kind", "norm", "attempt"))
-    shared = [spark.sparkContext.broadcast(b) for b in _blocks(moved)]
     ident = df.schema["id"]
     found = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
                                       T.StructField("end", T.LongType())]))
     tries = T.ArrayType(T.IntegerType())
     arrow_found = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
-    for n, block in enumerate(shared):
-        last = n == len(shared) - 1
+    for entries, last in with_last(_blocks(moved)):
+        block = spark.sparkContext.broadcast(entries)
 
         def run(batches, block=block, last=last):
             for batch in batches:
@@ -386,6 +406,9 @@ def replace_pii(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: s
 
         df = df.mapInArrow(run, T.StructType([ident, T.StructField("text", T.StringType()),
                                               T.StructField("entities", found) if last else T.StructField("tries", tries)]))
+        if not last:        # one block at a time in a worker's memory
+            df = cut(df)
+            block.destroy()
     return df.withColumnsRenamed({"id": id_col, "text": text_col})
 
 

@@ -74,3 +74,18 @@ def test_digest_of_the_query(spark, tmp_path):
     want = {(i, hashlib.sha256(",".join(f).encode()).hexdigest(), len(f)) for i, _, _, f in brute(rows, items)}
     got = op3_decontaminate(spark, str(tmp_path)).collect()
     assert {(r.doc_id, r.items_sha256, r.n_items) for r in got} == want
+
+
+def test_a_pass_holds_one_block(spark):
+    """Many blocks of items: the same result, and one pass over the texts in the plan that is left."""
+    rng = random.Random(8)
+    items = [(f"i{n}", " ".join(prose(rng, 30, 9999))) for n in range(40)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    docs = frame(spark, [(n, " ".join(prose(rng, 20, 9999)) + " " + items[n][1], "en", "s") for n in range(0, 40, 3)]
+                 + [(100, None, None, None), (101, "none", "en", "s")])
+    one, many = D.contamination(docs, bench), D.contamination(docs, bench, block_bytes=400)
+    assert many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+    clean = D.drop_contaminated(docs, bench, block_bytes=400)
+    assert clean._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r.doc_id for r in clean.collect()) == [100, 101]

@@ -151,3 +151,39 @@ def test_later_attempts_are_longer_and_complete(kind, norm, found):
         assert re.sub(r"[^0-9a-zA-Z+]", "", S.form(kind, found, norm, new)).lower() == re.sub(r"[^0-9a-zA-Z+]", "", new).lower()
         if kind == "card":
             assert S._luhn(new) == S._luhn(norm)
+
+
+def test_one_gender_per_given_name_in_a_text():
+    text = "Mr James Smith and Dr James Smith met Prof Xandra Lee; Frau Xandra Lee and Dr Quillon Ray left. Dr Mary Roe."
+    spans = S.find(text)
+    kinds = {norm: kind for _, _, kind, norm in spans if kind.startswith("given")}
+    assert kinds == {"james": "given-m", "xandra": "given-f", "quillon": "given-n", "mary": "given-f"}
+    new, marks = S._rewrite(text, spans, [0] * 99, KEY)
+    names = [(norm, new[m["start"]:m["end"]]) for (_, _, _, norm), m in zip(spans, marks)]
+    assert all(len({v for n, v in names if n == norm}) == 1 for norm, _ in names)
+
+
+def test_names_with_one_letter_before_the_apostrophe():
+    for text, names in (("Mr O'Brien came", ["O'Brien"]), ("Mme Anne D’Arcy came", ["Anne", "D’Arcy"])):
+        assert [text[a:b] for a, b, _, _ in S.find(text)] == names
+
+
+def test_country_codes_and_check_digits_stay_valid():
+    for number, code in (("+44 20 7946 0958", "+44"), ("+1 212 555 0199", "+1"), ("+353 1 555 0199", "+353"), ("+7 495 555 01 99", "+7")):
+        got = [S.surrogate(KEY, "phone", re.sub(r"[^0-9+]", "", number), a) for a in range(5)]
+        assert all(x.startswith(code) and len(x) == len(re.sub(r"[^0-9+]", "", number)) for x in got)
+    good, bad = "DE89370400440532013000", "DE00370400440532013000"
+    assert S._mod97(good[4:] + good[:4]) == 1
+    for attempt in range(5):
+        new = S.surrogate(KEY, "iban", good, attempt)
+        assert S._mod97(new[4:] + new[:4]) == 1 and new != good and new[:2] == "DE" and len(new) == len(good)
+        assert len(S.surrogate(KEY, "iban", bad, attempt)) == len(bad)
+
+
+def test_a_pass_holds_one_block(spark, monkeypatch):
+    """However many blocks of moved entities there are, the plan has one pass over the texts."""
+    docs = frame(spark, [(i, f"card {4111111111110000 + i} ip 10.0.0.{i}", "en", "s") for i in range(40)]
+                 + [(99, " ".join(f"::{i:x}" for i in range(1, 10)), "en", "s")])
+    monkeypatch.setattr(S, "BLOCK", 1)
+    plan = S.replace_pii(docs, KEY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
