@@ -6,16 +6,22 @@
 2. The minima are cut into ``HASHES / ROWS`` bands. Two sets of similarity 0.85 agree in no
    band with probability (1 - 0.85^4)^32 < 1e-10. Each task links the classes of a bucket to
    one of them and sends one row per bucket onwards, so a bucket's shuffled rows are bounded
-   by the number of tasks; the same is done across tasks. Pairs thus grow in proportion to rows.
+   by the number of tasks; the same is done across tasks. These pairs grow in proportion to rows.
 3. Each class keeps the link with most common bands; signature agreement (a loose bound), then
    the full shingle sets decide. Components of the confirmed links come from alternating
    large-star and small-star steps.
 4. Classes that share any bucket lie in one component of the unconfirmed links. Where such a
-   group holds one component of confirmed links only, it is done. In the others every pair of
-   classes of different components is still compared: members are dealt out in cells of
-   about ``CELL`` x ``CELL`` with their full sets, one pass over a cell's shingles gives a
-   class's intersections with all the others, and a cell emits the links that join components,
-   at most one per class. So no link is lost but by banding's 1e-10.
+   group holds one component of confirmed links only, it is done. In the others a class of which
+   more than the rest of its set occurs in its own component only can have no link outside and goes
+   (``linkable``: one aggregation over the sets' items), so texts that share a template, but not
+   enough of it, are never paired. Every pair of the classes left, of different components, is
+   compared: members are dealt out in cells of about ``CELL`` x ``CELL`` with their full sets, one
+   pass over a cell's shingles gives a class's intersections with all the others, and a cell emits
+   the links that join components, at most one per class. So no link is lost but by banding's
+   1e-10. Those last pairs grow with the square of a group whose members are nearly all alike enough.
+
+Null texts and texts without words have empty sets; very long texts are read whole, in batches bounded by
+bytes; ties of similarity and of id cannot change a component; repeated rows are one class.
 """
 
 from __future__ import annotations
@@ -221,6 +227,42 @@ def _sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> Data
             .mapInArrow(run, "node long, items binary").dropDuplicates(["node"]))
 
 
+def _open(member: DataFrame, cell: int) -> DataFrame:
+    """The groups with more than one component: grp, its largest (big), cells of it (nb), of the others (no)."""
+    per_label = member.groupBy("grp", "label").agg(F.count("*").alias("m"))
+    return (per_label.groupBy("grp").agg(F.sum("m").alias("total"), F.max(F.struct("m", "label")).alias("big"),
+                                         F.count("*").alias("labels"))
+            .where("labels > 1")
+            .select("grp", F.col("big.label").alias("big"), F.ceil(F.col("big.m") / cell).cast("int").alias("nb"),
+                    F.ceil((F.col("total") - F.col("big.m")) / cell).cast("int").alias("no")))
+
+
+def linkable(member: DataFrame, sets: DataFrame, percent: float) -> DataFrame:
+    """The rows of ``member`` whose set can link to another component of their group.
+
+    A link needs a common part of at least ``percent`` of the set. A member is left out if more of its
+    set than the rest occurs in its own component only (the prefix filter for tokens of frequency
+    one): texts that share a template, but not enough of it, go here, before any pair is made.
+    """
+    def items(batches):
+        for batch in batches:
+            raw, off = utf8(batch["items"])
+            n = np.diff(off) // 8
+            yield pa.RecordBatch.from_pydict({
+                "grp": pa.array(np.repeat(batch["grp"].to_numpy(), n)), "label": pa.array(np.repeat(batch["label"].to_numpy(), n)),
+                "node": pa.array(np.repeat(batch["node"].to_numpy(), n)), "n": pa.array(np.repeat(n, n)),
+                "item": pa.array(raw.view(np.int64))})
+
+    schema = "grp long, label long, node long, n long, item long"
+    every = member.select("grp", "label", "node").join(sets, "node").select("grp", "label", "node", "items").mapInArrow(items, schema)
+    alone = every.groupBy("grp", "item").agg(F.min("label").alias("least"), F.max("label").alias("most")).where(
+        "least = most").select("grp", "item")
+    own = (every.join(alone, ["grp", "item"]).groupBy("grp", "node")
+           .agg(F.count("*").alias("own"), F.max("n").alias("n")))
+    apart = own.where(F.col("n") - F.col("own") < F.ceil(F.col("n") * percent / 100.0 - 1e-9)).select("grp", "node")
+    return member.join(apart, ["grp", "node"], "left_anti")
+
+
 def rest_links(classes: DataFrame, docs: DataFrame, star: DataFrame, labels: DataFrame, k: int,
                percent: float, cell: int = CELL) -> DataFrame:
     """Links a, b between components of confirmed links (``labels``) that share a group of ``star``."""
@@ -228,15 +270,12 @@ def rest_links(classes: DataFrame, docs: DataFrame, star: DataFrame, labels: Dat
     roots = groups.select(F.col("root").alias("node"), "root").distinct()
     member = (groups.union(roots).withColumnRenamed("root", "grp").join(labels, "node", "left")
               .select("grp", "node", F.coalesce("root", "node").alias("label")))
-    per_label = member.groupBy("grp", "label").agg(F.count("*").alias("m"))
-    open_ = (per_label.groupBy("grp").agg(F.sum("m").alias("total"), F.max(F.struct("m", "label")).alias("big"),
-                                          F.count("*").alias("labels"))
-             .where("labels > 1")
-             .select("grp", F.col("big.label").alias("big"), F.ceil(F.col("big.m") / cell).cast("int").alias("nb"),
-                     F.ceil((F.col("total") - F.col("big.m")) / cell).cast("int").alias("no")))
-    member = cut(member.join(open_, "grp"))
+    member = cut(member.join(_open(member, cell).select("grp"), "grp"))
     if member.isEmpty():
         return member.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    sets = cut(_sets(member.select("node"), classes, docs, k))
+    member = cut(linkable(member, sets, percent))
+    member = member.join(_open(member, cell), "grp")
     # the largest component of a group meets the others' cells, the others also one another
     part = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     dealt = (member
@@ -248,7 +287,7 @@ def rest_links(classes: DataFrame, docs: DataFrame, star: DataFrame, labels: Dat
                            transform(sequence(0, no - 1), j -> struct(1 AS kind, least(j, mine) AS x, greatest(j, mine) AS y))))"""))
              .select("grp", "node", "label", (F.col("label") == F.col("big")).alias("in_big"), F.explode("cells").alias("c"))
              .select("grp", "c.kind", "c.x", "c.y", "node", "label", "in_big"))
-    dealt = dealt.join(_sets(member.select("node"), classes, docs, k), "node")
+    dealt = dealt.join(sets, "node")
 
     def compare(batches):
         for group in runs(batches, ["grp", "kind", "x", "y"]):

@@ -83,6 +83,29 @@ def test_star_alone_is_not_relied_on(spark):
     assert len({c for _, _, c in got}) > 1
 
 
+def test_templates_are_left_out_before_pairs(spark):
+    """A shared template of three quarters: same result, and no member is left to be paired."""
+    rng = random.Random(3)
+    template, rows = prose(rng, 150, 10**6), []
+    for _ in range(60):
+        own = prose(rng, 50, 10**6)
+        rows.append((len(rows), " ".join(template + own), "en", "s"))
+        if rng.random() < 0.3:
+            own[20] = "edited"
+            rows.append((len(rows), " ".join(template + own), "en", "s"))
+    docs = frame(spark, rows)
+    got = sorted(tuple(r) for r in M.near_duplicates(docs).collect())
+    assert got == sorted(brute(rows, 3, 85)) and 55 < len({c for _, _, c in got}) < len(rows)
+    label = {i: c for i, _, c in got}
+    member = spark.createDataFrame([(0, i, label[i]) for i in label], "grp long, node long, label long")
+    items = [(i, np.unique([hash(x) & (2**62 - 1) for x in s]).astype(np.uint64).tobytes()) for (i, *_), s in zip(rows, sets(rows, 3))]
+    full = spark.createDataFrame(items, "node long, items binary")
+    assert M.linkable(member, full, 85).count() == 0
+    alike = spark.createDataFrame([(0, i, i) for i in label], "grp long, node long, label long")    # as if no link were known
+    left = {r.node for r in M.linkable(alike, full, 85).collect()}
+    assert {i for i, c in label.items() if sum(x == c for x in label.values()) > 1} <= left
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 9)] + [(200, 201), (201, 202), (202, 200)] + [(300, 301)]
     got = {r.node: r.root for r in M.components(spark.createDataFrame(edges, "a long, b long")).collect()}
