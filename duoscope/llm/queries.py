@@ -172,6 +172,28 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(
 FROM documents d LEFT JOIN judged j ON d.doc_id IS NOT DISTINCT FROM j.doc_id GROUP BY d.doc_id, d.text"""
 
 
+#: All pairs that share a shingle are counted; components by reachability.
+OP8_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON l.a = r.other)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS bigint) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id"""
+
+
 def _crc32_sql(text: str) -> str:
     """Unsigned CRC-32 of ASCII text, bit by bit."""
     return f"""xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS bigint), list_transform(
@@ -305,7 +327,7 @@ QUERIES = {
     "op5_mix_sources": (op5_mix_sources, None),
     "op6_repeated_passages": (op6_repeated_passages, None),
     "op7_line_chunks": (op7_line_chunks, OP7_SQL),
-    "op8_near_duplicates": (op8_near_duplicates, None),
+    "op8_near_duplicates": (op8_near_duplicates, OP8_SQL),
     "op9_token_counts": (op9_token_counts, None),
     "op10_quality_rules": (op10_quality_rules, None),
     "op11_byte_bpe": (op11_byte_bpe, None),
