@@ -17,7 +17,7 @@ def points(spark):
     rng = random.Random(1)
     rows = [(i, f"t{i}", 1990 + i % 5, rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(3000)]
     rows += [(9000, "far", 2000, 50.0, -40.0), (9001, "none", 2000, None, 1.0), (9002, None, None, 0.0, 0.0)]
-    return spark.createDataFrame(rows, "id long, title string, year int, x double, y double").cache()
+    return spark.createDataFrame(rows, "id long, title string, year int, x double, y double")
 
 
 @pytest.mark.parametrize("limit", [1, 3, 40, 400, 100_000])
