@@ -161,7 +161,8 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
                   k: int = K, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document row: id, n_words, spans of hit words [start, end), items, n_hit.
 
-    Null or empty texts have no words and no hits; repeated rows are judged alike; an empty
+    Null or empty texts have no words and no hits; very long ones are read whole (a text with its words and
+    hashes must fit a worker); windows that several items share count for each; repeated rows are judged alike; an empty
     benchmark hits nothing; a null item id counts as the id ''. Other columns of either table
     are not read, so they may have any name.
     """

@@ -9,7 +9,8 @@ penalised likelihood (one ``log n`` per language, as in the Bayesian information
 improves. Because the likelihood is concave in the shares, ``n log max D`` bounds what any further
 language can add (D: mean ratio of likelihoods); texts under the bound need no EM.
 
-Prediction reads the whole text, in bounded Arrow batches, without a shuffle.
+Prediction reads the whole text, in bounded Arrow batches, without a shuffle; of a very long text only its
+words' scores are held. Languages of equal likelihood or share rank by name.
 """
 
 from __future__ import annotations

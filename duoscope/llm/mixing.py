@@ -187,7 +187,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
     """Mix and count: one row per input row.
 
     A null text has size 0 and is never taken; a null source is a source of its own, the last.
-    Rows that repeat an id are documents of their own. An empty table gives an empty result.
+    Rows that repeat an id are documents of their own. An empty table gives an empty result. A very long text
+    spans many blocks, each counted by itself; documents of one bucket stand by id, then by size.
     Columns other than id, text and source are not read. Reruns on the same rows agree.
     """
     return Mix(docs, id_col=id_col, **options).taken().withColumnRenamed("id", id_col)

@@ -9,6 +9,9 @@ share ``KEEP`` of vectors nearest to the present estimate, re-estimate from them
 with the smallest determinant wins, and one reweighting step follows. Texts whose squared
 Mahalanobis distance exceeds the chi-square quantile ``CUTOFF`` are rejected.
 
+Null and empty texts have no words and fail the hard limits; very long texts are counted whole, in their row;
+vectors of one distance fall into one bin and are taken together, so repeated rows are judged alike.
+
 Each step is two aggregations with map-side partial sums (a histogram of log distances, which
 gives the nearest share, and sums of products), so a source may hold any part of the rows. What
 is carried between the steps is one row per group.
