@@ -129,15 +129,22 @@ def scatter_panels(df: DataFrame, pairs: Sequence[tuple[str, str]], title: str =
                    key: Sequence[str] = ()) -> DataFrame:
     """The points of several (x, y) charts from one pass over the rows, tagged ``panel``; with
     ``limit`` so many at most of each panel."""
+    def label(a: str, b: str, y: str, x: str):
+        return point_label(F.col(title), F.col(year), [(a, y), (b, x)])
+
+    def tag(a: str, b: str):
+        return [F.lit(f"{a}~{b}").alias("panel"), F.col(b).cast("double").alias("x"), F.col(a).cast("double").alias("y")]
+
+    if limit is None:
+        panels = [F.struct(*tag(a, b), label(a, b, a, b).alias("label")) for a, b in pairs]
+        return _sampled(df.select(F.inline(F.array(*panels))).where("x IS NOT NULL AND y IS NOT NULL"), sample, seed)
+    # labels are made for the points that stay
     key = list(key) or [title, year]
-    carried = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key)] if limit is not None else []
-    panels = [F.struct(F.lit(f"{a}~{b}").alias("panel"), F.col(b).cast("double").alias("x"), F.col(a).cast("double").alias("y"),
-                       point_label(F.col(title), F.col(year), [(a, a), (b, b)]).alias("label"), *carried) for a, b in pairs]
-    out = df.select(F.inline(F.array(*panels))).where("x IS NOT NULL AND y IS NOT NULL")
-    if limit is not None:
-        names = [f"_k{i}" for i in range(len(key))]
-        out = limited_points(out, limit, names, by=["panel"]).drop(*names)
-    return _sampled(out, sample, seed)
+    carried = list(dict.fromkeys([title, year, *key]))
+    out = df.select(*[F.col(c) for c in carried], F.inline(F.array(*[F.struct(*tag(a, b)) for a, b in pairs])))
+    out = limited_points(out.where("x IS NOT NULL AND y IS NOT NULL"), limit, key, by=["panel"])
+    text = F.coalesce(*[F.when(F.col("panel") == f"{a}~{b}", label(a, b, "y", "x")) for a, b in pairs])
+    return _sampled(out.select("panel", "x", "y", text.alias("label")), sample, seed)
 
 
 # G6, G7 ---------------------------------------------------------------------
