@@ -12,8 +12,8 @@ characters stand in lines of their own (equal rows, http and https, ``?utm=`` tw
 share the article too. Shared open lines are template and are deleted, and so are lines of a
 marked article that are mostly links and that any neighbour has. Other lines of a marked article stay. A page
 with a marked article consists of that article; without one, of the open lines that no neighbour
-shares. A task holds two pages and the copies between them; a page with no other page in its run but
-copies loses nothing.
+shares. A task holds two pages and all copies between them, at most those of a run; a page with no other page
+in its run but copies loses nothing.
 
 Equal lines of one page are told apart by their running number, which makes the alignment a
 longest increasing sequence: n log n whatever repeats.
@@ -336,7 +336,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     def difference(batches):
         ids = _arrow(kind["id"])
-        waiting: list[_Page] = []       # copies of one another that have not met another page yet
+        waiting: list[_Page] = []       # copies of one another that have not met another page yet (of one run at most)
         before: _Page | None = None     # the nearest page before them that is no copy
 
         def out(done):
@@ -374,8 +374,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                         done += waiting
                         before, waiting = last, []
                 waiting.append(now)
-                if len(waiting) > MOST:             # copies of copies: the first ones have their neighbour before
-                    done.append(waiting.pop(0))
             done = [p for p in done if p.role != COPY]
             if done:
                 yield out(done)
@@ -394,10 +392,6 @@ def _arrow(field: T.StructField) -> pa.DataType:
     return to_arrow_type(field.dataType)
 
 
-#: Near copies in a row that a task holds while it looks for the page after them.
-MOST = 1024
-
-
 class _Page:
     def __init__(self, group: tuple, role: int, id_, url: str, lines: list[tuple[str, str, bool]]):
         self.group, self.role, self.id, self.url, self.lines = group, role, id_, url, lines

@@ -143,3 +143,14 @@ def test_template_goes_although_copies_lie_between(spark):
     for r in P.extract(page(spark, rows), part=1000).collect():
         assert r.text == "\n".join(f"Own sentence {r.page_id // 10} {k} of this very page." for k in range(5))
         assert r.n_template == 2
+
+
+def test_all_of_many_copies_meet_the_page_after_them(spark):
+    """1,500 near copies in a row: the first ones too lose what the next other page shares."""
+    story = "<p>Only the next page has this line too.</p>" + STORY
+    rows = [(i, f"http://x.example/a/1?v={i:05}", story) for i in range(1500)]
+    rows.append((5000, "http://x.example/a/2", "<p>Only the next page has this line too.</p>" + OTHER))
+    got = P.extract(page(spark, rows), part=4000).select("page_id", "text", "n_template").collect()
+    want = "\n".join(t for t, _, _ in P.lines_of(STORY))
+    assert len(got) == 1501
+    assert {(r.text, r.n_template) for r in got if r.page_id < 5000} == {(want, 1)}
