@@ -163,7 +163,8 @@ def round_numeric(df, digits: int = 2):
 def num_text(c: ColumnOrName, digits: int = 2) -> Column:
     """Rounded half-even, as plain decimal text: no exponent, no trailing zeros."""
     s = F.bround(_c(c).cast("double"), digits).cast(f"decimal(38,{max(digits, 1)})").cast("string")
-    return F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    # a decimal has a point: no zero before it goes
+    return F.rtrim(F.rtrim(s, F.lit("0")), F.lit("."))
 
 
 def thousands(c: ColumnOrName) -> Column:

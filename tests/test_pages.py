@@ -48,3 +48,16 @@ def test_files_go_and_empty_tables_have_no_page(spark, table, tmp_path):
         assert pages.size == 0 and pages.page(1).count() == 0 and pages.search("heat").count() == 0
         assert list(tmp_path.iterdir())
     assert not list(tmp_path.iterdir())
+
+
+def test_postings_are_lists_made_where_the_rows_lie(spark, table):
+    """One row per trigram and batch of a part, not one per trigram and row; nothing but rows is shuffled."""
+    with PageDirectory(table, ["score"], ["id"], parts=3) as pages:
+        found = spark.read.parquet(f"{pages._root}/postings")
+        lists = found.groupBy("tri", "_part").count()
+        assert found.count() == lists.count()
+        rows = table.where("title LIKE 'Unique 7%'").count()
+        assert found.where("tri = 'e 7'").selectExpr("sum(size(places)) AS n").first().n == rows
+        plan = pages.search("e 7")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "HashAggregate" not in plan
+        same(pages.search("E 7", 2, 4), K.browse(table, search="e 7", order_by=["score"], tie_break=["id"], page=2, size=4))

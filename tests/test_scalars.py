@@ -81,3 +81,8 @@ def test_round_numeric_half_even(spark):
     r = S.round_numeric(df, 2).first()
     assert r.a == 0.12 and r.b == 2.5 and r.c == 3
     assert math.isclose(S.round_numeric(df, 0).first().b, 2.0)
+
+
+def test_num_text_keeps_whole_zeros(spark):
+    df = spark.createDataFrame([(100.0,), (0.0,), (-0.5,), (10.10,), (1e15,), (0.004,), (None,)], "x double")
+    assert [r[0] for r in df.select(S.num_text("x"), "x").collect()] == ["100", "0", "-0.5", "10.1", "1000000000000000", "0", None]
