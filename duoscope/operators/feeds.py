@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import num_text, point_label, sign_class
+from ..session import cut_lineage
 from .stats import kll_quantiles, quantiles, value_counts
 
 
@@ -51,8 +52,8 @@ def _sampled(df: DataFrame, sample: float | None, seed: int) -> DataFrame:
     return df if sample is None else df.sample(fraction=sample, seed=seed)
 
 
-#: Points that a cell of a bounded point set holds at most.
-_PER_CELL = 4
+#: Points that a cell of a bounded point set holds at most; hex digits by which points are counted.
+_PER_CELL, _DIGITS = 4, 2
 
 
 def limited_points(df: DataFrame, limit: int, key: Sequence[str], x: str = "x", y: str = "y",
@@ -62,8 +63,10 @@ def limited_points(df: DataFrame, limit: int, key: Sequence[str], x: str = "x",
     The range of x and y is cut into square cells. Each cell's points of smallest MD5 of the key come
     first, up to half of the limit in all, so sparse regions and outliers stay; then the smallest
     of all others. The result depends on the points alone, whatever their order or
-    partitioning, and both lists are mergeable: Spark cuts them per task before the shuffle.
-    ``key`` identifies a point; points of one key count once.
+    partitioning. Points are not sorted: they are counted by cell and first digits of the MD5, which
+    tells from where on a cell and a group need no more; only points before that are kept and
+    ranked (about two in 256, and all of sparse cells). ``key`` identifies a point; points of one key
+    count once.
     """
     if limit < 1:
         raise ValueError("limit: at least 1")
@@ -83,7 +86,25 @@ def limited_points(df: DataFrame, limit: int, key: Sequence[str], x: str = "x",
 
     hashed = df.withColumn("_h", F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in key]).cast("binary")))
     placed = hashed.join(F.broadcast(ends), same).withColumns({
-        "_cx": cell(px, "_x0", "_x1"), "_cy": cell(py, "_y0", "_y1")})
+        "_cx": cell(px, "_x0", "_x1"), "_cy": cell(py, "_y0", "_y1"), "_b": F.substring("_h", 1, _DIGITS)})
+    placed = placed.select(*df.columns, "_h", "_cx", "_cy", "_b")
+    counts = placed.groupBy(*by, "_cx", "_cy", "_b").agg(F.count(F.lit(1)).alias("n"))
+
+    def enough(n: int, name: str, *parts: str) -> DataFrame:
+        """The first digits up to which each part has n points; parts with fewer are left out."""
+        upto = F.sum("n").over(Window.partitionBy(*(parts or [F.lit(0)])).orderBy("_b"))
+        found = counts.groupBy(*parts, "_b").agg(F.sum("n").alias("n")).withColumn("n", upto).where(F.col("n") >= n)
+        return F.broadcast(found.groupBy(*parts).agg(F.min("_b").alias(name)).withColumnsRenamed({c: f"{name}{c}" for c in parts}))
+
+    for name, n, parts in (("_s", per_cell, [*by, "_cx", "_cy"]), ("_a", limit, by)):
+        told = enough(n, name, *parts)
+        match = F.lit(True)
+        for c in parts:
+            match = match & F.col(c).eqNullSafe(F.col(f"{name}{c}"))
+        placed = placed.join(told, match, "left").drop(*[f"{name}{c}" for c in parts])
+    reach = F.greatest(*[F.coalesce(F.col(c), F.lit("g")) for c in ("_s", "_a")])    # "g": behind all digits
+    # read twice, for both lists
+    placed = cut_lineage(placed.where(F.col("_b") <= reach).drop("_s", "_a", "_b"))
     order = [F.col("_h"), *[F.col(k) for k in key]]
 
     def first(rows: DataFrame, n: int, *parts: str) -> DataFrame:
@@ -94,7 +115,7 @@ def limited_points(df: DataFrame, limit: int, key: Sequence[str], x: str = "x",
 
     columns = [*df.columns, "_h"]
     spread = first(placed, per_cell, *by, "_cx", "_cy").select(*columns, F.lit(0).alias("_rest"))
-    even = first(hashed, limit, *by).select(*columns, F.lit(1).alias("_rest"))
+    even = first(placed, limit, *by).select(*columns, F.lit(1).alias("_rest"))
     # at most 1.5 limits of rows from here on
     both = spread.unionByName(even)
     once = Window.partitionBy(*by, *key).orderBy("_rest")

@@ -1,6 +1,7 @@
 """Bounded point sets, sketches, the gate inside a plan, accounting on the way."""
 
 import bisect
+import hashlib
 import random
 
 import pytest
@@ -95,3 +96,21 @@ def test_accounting_comes_from_the_cleaning_job(spark):
     (told,) = C.accounting({"a": seen})
     (want,) = C.cleaning_report(raw, C.keep_condition_a(), "a").collect()
     assert told == want.asDict() and cleaned.count() == told["rows_after"] == 2
+
+
+def test_few_points_are_ranked_and_they_are_the_right_ones(spark, monkeypatch):
+    kept, cut = [], G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", lambda df: kept.append(df.count()) or cut(df))
+    df = spark.range(30_000).selectExpr("id", "concat('t', id) AS title", "2000 AS year", "CAST(id % 10 AS double) AS x",
+                                        "CAST(id % 7 AS double) AS y", "id % 3 AS grp")
+    got = G.limited_points(df, 8 * 9, ["id"], by=["grp"])
+    want = []
+    for grp in range(3):        # three by three cells of four points, then the smallest of all
+        rows = sorted((hashlib.md5(str(i).encode()).hexdigest(), i) for i in range(30_000) if i % 3 == grp)
+        cells = {}
+        for h, i in rows:
+            cells.setdefault((min(i % 10 * 3 // 9, 2), min(i % 7 * 3 // 6, 2)), []).append((h, i))
+        spread = {x for c in cells.values() for x in c[:4]}
+        want += [i for _, i in sorted(spread) + [r for r in rows if r not in spread][:72 - len(spread)]]
+    assert sorted(r.id for r in got.collect()) == sorted(want) and len(want) == 216
+    assert kept and kept[0] < 1500
