@@ -159,44 +159,46 @@ def _similar(x, lx, y, ly, places, ia, ib, floor: bool, least: float = 0.0) -> n
     The loop runs over the places of the left titles, all pairs at once.
     """
     width, words = x.shape[1], places.shape[2]
-    x, a, b = x[ia], lx[ia], ly[ib]
+    a, b = lx[ia], ly[ib]
+    at_place = np.ascontiguousarray(x.T)[:, ia]     # one row per place: the loop reads and writes whole rows
     one, window = np.uint64(1), np.maximum(0, np.maximum(a, b) // 2 - 1)
     used = np.zeros((len(ia), words), np.uint64)
-    hit = np.zeros((len(ia), width), bool)
+    hit = np.zeros((width, len(ia)), bool)
     first_bit, pairs = np.arange(words) * _WORD, np.arange(len(ia))
     if words == 1:   # reach_at[i, window]: the places that may match place i
         w = np.arange(_WORD)
         i = np.arange(width)[:, None]
         reach_at = _ONES[np.clip(i + w + 1, 0, _WORD)] & ~_ONES[np.clip(i - w, 0, _WORD)]
-        places = places[:, :, 0]
+        masks, row, taken = places.reshape(-1), ib * places.shape[1], used[:, 0]
+    shortest = a.min(initial=width)
     for i in range(int(a.max(initial=0))):
         if words == 1:
-            free = places[ib, x[:, i]] & ~used[:, 0] & reach_at[i][window]
-            free[i >= a] = 0
+            free = masks[row + at_place[i]] & ~taken & reach_at[i][window]
+            if i >= shortest:
+                free[i >= a] = 0
             first = free & (~free + one)        # the first free place
-            used[:, 0] |= first
+            taken |= first
         else:
             lo, hi = np.maximum(i - window, 0), i + window + 1
             reach = (_ONES[np.clip(hi[:, None] - first_bit, 0, _WORD)]
                      & ~_ONES[np.clip(lo[:, None] - first_bit, 0, _WORD)])
-            free = places[ib, x[:, i]] & ~used & reach
+            free = places[ib, at_place[i]] & ~used & reach
             free[i >= a] = 0
             word = (free != 0).argmax(1)
             at = free[pairs, word]
             first = at & (~at + one)
             used[pairs, word] |= first
-        hit[:, i] = first != 0
-    m = hit.sum(1)
+        hit[i] = first != 0
+    m = hit.sum(0)
     out = np.zeros(len(ia))
     # without any transposition a pair has (m / |x| + m / |y| + 1) / 3
     live = np.flatnonzero((m > 0) & (m * (a + b) >= (3.0 * least - 1.0 - _SLACK) * a * b))
-    x, a, b, m, used, hit = x[live], a[live], b[live], m[live], used[live], hit[live]
+    a, b, m, used = a[live], b[live], m[live], used[live]
     place = np.arange(width)
     taken = (used[:, place // _WORD] >> (place % _WORD).astype(np.uint64)) & one == one
-    # matched characters of both sides in their order, side by side
-    order_x, order_y = np.argsort(~hit, axis=1, kind="stable"), np.argsort(~taken, axis=1, kind="stable")
-    same = np.take_along_axis(x, order_x, 1) == np.take_along_axis(y[ib[live]], order_y, 1)
-    k = (~same & (place < m[:, None])).sum(1)
+    # matched characters of both sides in their order, pair after pair: m of either side
+    differ = x[ia[live]][hit.T[live]] != y[ib[live]][taken]
+    k = np.bincount(np.repeat(np.arange(len(live)), m)[differ], minlength=len(live))
     t = k // 2 if floor else k / 2.0
     out[live] = (m / a + m / b + (m - t) / m) / 3.0
     return out

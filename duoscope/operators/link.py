@@ -326,8 +326,11 @@ def close_pairs(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX_DIST
         "blk", "band", F.ceil(c("na") / cell_rows).cast("int").alias("sa"),
         F.ceil(c("nb") / cell_rows).cast("int").alias("sb"),
         (c("na") * F.ceil(c("nb") / cell_rows) + c("nb") * F.ceil(c("na") / cell_rows)).alias("rows")))
-    known = grid.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).first()
+    known = grid.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows"),
+                     F.sum(c("sa").cast("long") * c("sb")).alias("cells")).first()
     groups = max(4 * n, -(-(known["rows"] or 0) // (2 * cell_rows)))
+    # a cell is few bytes and much work: as many tasks as asked for, which Spark would merge by their bytes
+    tasks = max(1, min(n, known["cells"] or 0))
 
     def celled(side: DataFrame, own: str, mine: str, other: str, t: str) -> DataFrame:
         cells = grid.select(c("blk").alias("g_blk"), c("band").alias("g_band"), "sa", "sb")
@@ -337,7 +340,7 @@ def close_pairs(u_keys: DataFrame, b_keys: DataFrame, max_dist: float = MAX_DIST
                  .withColumn(own, F.pmod(F.xxhash64(t), c(mine)).cast("int"))
                  .withColumn("j" if own == "i" else "i", F.explode(F.sequence(F.lit(0), c(other) - 1))))
         cell = F.pmod(F.xxhash64("blk", "band", "i", "j"), F.lit(groups))
-        return dealt.select(*[c(x).alias(x) for x in (*side.columns, "i", "j")], cell.alias("cell"))
+        return dealt.select(*[c(x).alias(x) for x in (*side.columns, "i", "j")], cell.alias("cell")).repartition(tasks, "cell")
 
     left = celled(la, "i", "sa", "sb", "a_t")
     right = celled(lb, "j", "sb", "sa", "b_t")

@@ -280,3 +280,16 @@ def test_a_hot_exact_key_is_dealt_over_cells(spark):
     assert "_i" in plan.split("Join Inner")[1].split("\n")[0] and "approx_top_k" in plan
     none = spark.createDataFrame([], A_SCHEMA)
     assert J.exact_link(none, b, "year", "release_year").count() == 0
+
+
+def test_cells_are_not_merged_by_their_bytes(spark):
+    """Cells are few bytes and much work: every one may have its task."""
+    from pyspark.sql import functions as F
+
+    titles = [f"the {w} of {v} night {i}" for i, (w, v) in enumerate((w, v) for w in ("end", "start", "edge") for v in ("this", "that", "every"))]
+    u = spark.createDataFrame([(t, y) for t in titles for y in range(40)], "a_t string, blk int")
+    b = spark.createDataFrame([(t + "s", y, i) for i, t in enumerate(titles) for y in range(40)], "b_t string, blk int, b_ord long")
+    close = J.close_pairs(u, b, cell_rows=4)
+    assert close.where("dist < 0.12").count() >= 360
+    found = close.withColumn("p", F.spark_partition_id()).select("p").distinct().count()
+    assert found > 1
