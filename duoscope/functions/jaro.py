@@ -169,15 +169,17 @@ def _similar(x, lx, y, ly, places, ia, ib, floor: bool, least: float = 0.0) -> n
         w = np.arange(_WORD)
         i = np.arange(width)[:, None]
         reach_at = _ONES[np.clip(i + w + 1, 0, _WORD)] & ~_ONES[np.clip(i - w, 0, _WORD)]
-        masks, row, taken = places.reshape(-1), ib * places.shape[1], used[:, 0]
+        masks, mask_at, free_at = places.reshape(-1), at_place + ib * places.shape[1], ~used[:, 0]
     shortest = a.min(initial=width)
     for i in range(int(a.max(initial=0))):
         if words == 1:
-            free = masks[row + at_place[i]] & ~taken & reach_at[i][window]
+            free = masks.take(mask_at[i])
+            free &= free_at
+            free &= reach_at[i].take(window)
             if i >= shortest:
                 free[i >= a] = 0
             first = free & (~free + one)        # the first free place
-            taken |= first
+            free_at ^= first
         else:
             lo, hi = np.maximum(i - window, 0), i + window + 1
             reach = (_ONES[np.clip(hi[:, None] - first_bit, 0, _WORD)]
@@ -189,6 +191,8 @@ def _similar(x, lx, y, ly, places, ia, ib, floor: bool, least: float = 0.0) -> n
             first = at & (~at + one)
             used[pairs, word] |= first
         hit[i] = first != 0
+    if words == 1:
+        used = ~free_at[:, None]
     m = hit.sum(0)
     out = np.zeros(len(ia))
     # without any transposition a pair has (m / |x| + m / |y| + 1) / 3
@@ -235,8 +239,8 @@ def _bits(text: np.ndarray, token: np.ndarray, n: int, n_tokens: int) -> np.ndar
     return np.ascontiguousarray(out.view(np.uint64).T)
 
 
-#: So many pairs of a cell are compared at once.
-_PAIRS = 1 << 22
+#: So many pairs of a cell are compared at once, and so many in the kernel (whose arrays then stay in the CPU's cache).
+_PAIRS, _BATCH = 1 << 22, 1 << 12
 
 
 def close_in_cell(xs: list[str], ys: list[str], max_dist: float, floor: bool = False,
@@ -298,8 +302,8 @@ def close_in_cell(xs: list[str], ys: list[str], max_dist: float, floor: bool = F
             sim[x_name[a] == y_name[b]] = 1.0
             return np.round(1.0 - sim, digits) if digits is not None else 1.0 - sim
     keep, dist = [], []
-    for at in range(0, len(ia), 1 << 15):
-        a, b = ia[at:at + (1 << 15)], ib[at:at + (1 << 15)]
+    for at in range(0, len(ia), _BATCH):
+        a, b = ia[at:at + _BATCH], ib[at:at + _BATCH]
         d = kernel(a, b) if kernel else batch_distance([xs[i] for i in a], [ys[i] for i in b], floor, digits)
         near = d < max_dist
         keep.append(at + np.flatnonzero(near))
