@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from duoscope.llm import words as W
-from duoscope.llm.common import blocks, cut, measured, pick, prepare, runs, utf8
+from duoscope.llm.common import blocks, cut, measured, pick, prepare, utf8, whole
 
 K, WINDOW, GAP = 4, 5, 0.15
 #: Runs of so many neighbouring seeds are seeds too, thinned to the minima of RUN_WINDOW neighbours.
@@ -34,6 +34,8 @@ RUN_SEEDS, RUN_WINDOW = (5,), 6
 MIN_WORDS, IDENTITY = 50, 0.7
 MIN_SEEDS, MIN_SPAN = 2, 20     # of a chain, before it is aligned
 MARGIN = 48                     # words fetched on either side of a chain
+FEW = 32                        # texts that hold a seed, up to which all are linked with one another
+JOINT, _STEP, _SPAN = (16, 40), 24, 128     # words between two seeds that are joined
 _HELD = 1 << 21                 # seeds a task holds before it sorts them
 _OFTEN = 64                     # places of a seed among those, beyond which they are linked there
 
@@ -69,40 +71,63 @@ def seeds(column: pa.Array, k: int, w: int):
 def _link(h: np.ndarray, doc: np.ndarray, pos: np.ndarray):
     """Sorted by seed, document, place: (order, whether first of its seed, the first's row)."""
     order = np.lexsort((pos, doc, h))
-    hs = h[order]
+    return order, *_heads(h[order])
+
+
+def _heads(hs: np.ndarray):
     first = np.ones(len(hs), bool)
     first[1:] = hs[1:] != hs[:-1]
-    head = np.maximum.accumulate(np.where(first, np.arange(len(hs)), 0))
-    return order, first, head
+    return first, np.maximum.accumulate(np.where(first, np.arange(len(hs)), 0))
 
 
-def seed_links(docs: DataFrame, k: int, w: int) -> DataFrame:
-    """a, x, b, y: word x of document a and word y of document b < a begin one seed."""
-    schema = "h long, a long, x long, b long, y long"
-    names = ["h", "a", "x", "b", "y"]
+def _texts(h: np.ndarray, doc: np.ndarray, own: np.ndarray, first: np.ndarray):
+    """(whether the first place of a document's own text, how many of the row's seed) of sorted rows."""
+    new = own.copy()
+    rows = np.flatnonzero(own)
+    new[rows[1:]] = (h[rows[1:]] != h[rows[:-1]]) | (doc[rows[1:]] != doc[rows[:-1]])
+    if not len(h):
+        return new, np.zeros(0, np.int64)
+    start = np.flatnonzero(first)
+    return new, np.repeat(np.add.reduceat(new.astype(np.int64), start), np.diff(np.append(start, len(h))))
+
+
+def linked(rows: DataFrame, places) -> DataFrame:
+    """a, x, b, y: place x of document a and place y of document b < a hold one seed.
+
+    ``places`` makes (seed, document, place, whether not a copy) arrays of a batch. Every place is
+    linked to the seed's first; where at most ``FEW`` documents that are no copies hold the seed, their
+    first places are linked with one another. Of seeds in more of them, each such place is also
+    given out, with b = a and the seed as y.
+    """
+    schema = "h long, a long, x long, b long, y long, s long"
+    names = ["h", "a", "x", "b", "y", "s"]
+    COPY, COPY_OF_MANY = 0, 1       # s: these, the seed if it is in more than FEW here, null otherwise
 
     def inside(batches):
         held: list[tuple] = []
         n = 0
 
         def out():
-            h, doc, pos = (np.concatenate(x) for x in zip(*held))
+            h, doc, pos, own = (np.concatenate(x) for x in zip(*held))
             order, first, head = _link(h, doc, pos)
-            h, doc, pos = h[order], doc[order], pos[order]
+            h, doc, pos, own = h[order], doc[order], pos[order], own[order]
             # of a seed with many places only the first goes to the seed's task, the others' links to any
             size = np.diff(np.append(np.flatnonzero(first), len(h)))
-            alone = first | (np.repeat(size, size) <= _OFTEN)
+            new, texts = _texts(h, doc, own, first)
+            many = texts > FEW
+            alone = first | (np.repeat(size, size) <= _OFTEN) | (new & ~many)
             keep = alone | (doc[head] != doc)
             to = np.where(alone, h, W.mix(doc.astype(np.uint64) + pos.astype(np.uint64)).view(np.int64))
-            cols = [to, doc, pos, doc[head], pos[head]]
-            hide = alone[keep]
+            s = np.where(many & new, h, np.where(many & first, COPY_OF_MANY, COPY))
+            told = (alone & ~own) | (many & new)
+            cols = [to, doc, pos, doc[head], pos[head], s]
+            hide = {"b": alone, "y": alone, "s": ~told}
             return pa.RecordBatch.from_arrays(
-                [pa.array(c[keep]) if i < 3 else pa.array(c[keep], mask=hide) for i, c in enumerate(cols)], names)
+                [pa.array(c[keep], mask=hide[k][keep] if k in hide else None) for k, c in zip(names, cols)], names)
 
         for batch in batches:
-            ids = batch["id"].to_numpy(zero_copy_only=False)
-            for text, pos, h in seeds(batch["text"], k, w):
-                held.append((h, ids[text], pos))
+            for h, doc, pos, own in places(batch):
+                held.append((h, doc, pos, own))
                 n += len(h)
             if n > _HELD:
                 yield out()
@@ -110,35 +135,81 @@ def seed_links(docs: DataFrame, k: int, w: int) -> DataFrame:
         if n:
             yield out()
 
+    def batch_of(*cols):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names[1:5])
+
     def across(batches):
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            linked = np.asarray(batch["b"].is_valid())
-            old = batch.filter(pa.array(linked)).select(names[1:])
-            if old.num_rows:
-                yield old
-            h, a, x = (batch[c].to_numpy()[~linked] for c in names[:3])
+        for table in whole(batches, ["h"]):
+            h, a, x = (table[c].to_numpy() for c in names[:3])
+            told = np.asarray(table["s"].is_valid())
+            s = table["s"].fill_null(0).to_numpy()
+            old = np.asarray(table["b"].is_valid())
+            if old.any():
+                yield batch_of(a[old], x[old], *(table[c].fill_null(0).to_numpy()[old] for c in ("b", "y")))
+                of_many = old & told
+                yield batch_of(a[of_many], x[of_many], a[of_many], s[of_many])
+                h, a, x, told, s = (c[~old] for c in (h, a, x, told, s))
             if not len(h):
                 continue
-            first = np.ones(len(h), bool)
-            first[1:] = h[1:] != h[:-1]
-            first[0] = last is None or last[0] != h[0]
-            at = np.maximum.accumulate(np.where(first, np.arange(len(h)), -1))
-            at0 = np.maximum(at, 0)
-            b = np.where(at >= 0, a[at0], last[1] if last else 0)
-            y = np.where(at >= 0, x[at0], last[2] if last else 0)
-            last = (h[-1], b[-1], y[-1])
-            keep = ~first & (a != b)
-            if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (a, x, b, y)], names[1:])
-
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (docs.mapInArrow(inside, schema).repartition(parts, "h").sortWithinPartitions("h", "a", "x")
+            first, head = _heads(h)
+            keep = a != a[head]
+            yield batch_of(a[keep], x[keep], a[head][keep], x[head][keep])
+            start = np.flatnonzero(first)
+            new, texts = _texts(h, a, ~told | (s != COPY) & (s != COPY_OF_MANY), first)
+            many = (texts > FEW) | np.repeat(np.logical_or.reduceat(told & (s != COPY), start), np.diff(np.append(start, len(h))))
+            yield batch_of(a[many & new], x[many & new], a[many & new], h[many & new])
+            few = np.flatnonzero(new & ~many & (texts > 1))
+            for n in range(1, FEW):
+                i, j = few[:-n], few[n:]
+                same = h[i] == h[j]
+                if not same.any():
+                    break
+                same &= ~first[i]           # linked to the first above
+                yield batch_of(a[j][same], x[j][same], a[i][same], x[i][same])
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.mapInArrow(inside, schema).repartition(parts, "h").sortWithinPartitions("h", "a", "x")
             .mapInArrow(across, "a long, x long, b long, y long"))
 
 
+def seed_links(docs: DataFrame, k: int, w: int) -> DataFrame:
+    """``linked`` for the seeds of texts; a place is a word. ``copy`` (if any) tells copies of other texts."""
+    if "copy" not in docs.columns:
+        docs = docs.withColumn("copy", F.lit(False))
+
+    def places(batch):
+        ids = batch["id"].to_numpy(zero_copy_only=False)
+        own = ~batch["copy"].to_numpy(zero_copy_only=False).astype(bool)
+        for text, pos, h in seeds(batch["text"], k, w):
+            yield h, ids[text], pos, own[text]
+
+    return linked(docs.select("id", "text", "copy"), places)
+
+
+def joint_links(often: DataFrame, k: int) -> DataFrame:
+    """a, a0, a1, b, b0, b1: word ranges between two seeds, each in many texts, that both documents hold.
+
+    A seed is joined with the next such seed at least ``JOINT`` words on. Few texts hold both even
+    if many hold either; where many hold both, each is linked to the first.
+    """
+
+    def places(batch):
+        for doc, rest in zip(batch["a"].to_pylist(), batch["often"].to_pylist()):
+            x, h = np.frombuffer(rest, np.int64).reshape(2, -1)
+            for far in JOINT:
+                j = np.searchsorted(x, x + far)
+                i = np.flatnonzero(j < len(x))
+                i = i[x[j[i]] - x[i] < far + _STEP]
+                j = j[i]
+                both = W.mix(h[i].view(np.uint64) * np.uint64(3) + W.mix(h[j].view(np.uint64))).view(np.int64)
+                yield both, np.full(len(i), doc, np.int64), x[i] * _SPAN + (x[j] - x[i]), np.ones(len(i), bool)
+
+    found = linked(often.select("a", "often"), places).where("a <> b")
+    return found.select(
+        "a", F.expr(f"x div {_SPAN}").alias("a0"), F.expr(f"x div {_SPAN} + x % {_SPAN} + {k}").alias("a1"),
+        "b", F.expr(f"y div {_SPAN}").alias("b0"), F.expr(f"y div {_SPAN} + y % {_SPAN} + {k}").alias("b1"))
+
+
 class Fenwick:
     """Prefix maxima of (value, row)."""
 
@@ -165,8 +236,18 @@ class Fenwick:
 def chains(x: list[int], y: list[int], k: int, gap: float) -> list[list[int]]:
     """Rows of each chain of the links (x[i], y[i]), best first, no link in two chains."""
     rows = sorted(range(len(x)), key=lambda i: (x[i], -y[i]))
-    ys = sorted(set(y))
-    tree, score, before = Fenwick(len(ys)), [0.0] * len(x), [-1] * len(x)
+    score, before = [0.0] * len(x), [-1] * len(x)
+    if all(x[i] < x[j] and y[i] < y[j] for i, j in zip(rows, rows[1:])):
+        # one rising line: the link before is the best predecessor, if any is
+        for j, i in zip([-1, *rows], rows):
+            joined = score[j] + gap * (x[j] + y[j]) - gap * (x[i] + y[i]) if j >= 0 else 0.0
+            score[i] = float(k)
+            if joined > 0:
+                new = min(k, x[i] - x[j], y[i] - y[j])
+                score[i], before[i] = joined + new + gap * 2 * new, j
+        rows = []
+    ys = sorted(set(y)) if rows else []
+    tree = Fenwick(len(ys))
     for i in rows:
         at = bisect_left(ys, y[i])
         value, j = tree.top(at)
@@ -191,29 +272,83 @@ def chains(x: list[int], y: list[int], k: int, gap: float) -> list[list[int]]:
 
 
 def pair_chains(links: DataFrame, k: int, gap: float) -> DataFrame:
-    """a, a0, a1, b, b0, b1: word ranges of the chains worth aligning."""
+    """a, a0, a1, b, b0, b1: word ranges of the chains worth aligning.
+
+    For a document with seeds in many texts also a row with b = a and those, by place, in ``often``.
+    """
+    names = ["a", "a0", "a1", "b", "b0", "b1"]
 
     def run(batches):
-        for group in runs(batches, ["a", "b"]):
-            if group.num_rows < MIN_SEEDS:
-                continue
-            x, y = group["x"].to_pylist(), group["y"].to_pylist()
-            if max(x) - min(x) + k < MIN_SPAN:
-                continue
-            rows = []
-            for c in chains(x, y, k, gap):
-                if len(c) >= MIN_SEEDS and x[c[-1]] - x[c[0]] + k >= MIN_SPAN:
-                    rows.append((x[c[0]], x[c[-1]] + k, y[c[0]], y[c[-1]] + k))
-            if rows:
-                a, b = group["a"][0].as_py(), group["b"][0].as_py()
-                cols = list(zip(*rows))
-                yield pa.RecordBatch.from_pydict({
-                    "a": pa.array([a] * len(rows), pa.int64()), "a0": pa.array(cols[0], pa.int64()),
-                    "a1": pa.array(cols[1], pa.int64()), "b": pa.array([b] * len(rows), pa.int64()),
-                    "b0": pa.array(cols[2], pa.int64()), "b1": pa.array(cols[3], pa.int64())})
+        for table in whole(batches, ["a", "b"]):
+            a, x, b, y = (table[c].to_numpy() for c in ("a", "x", "b", "y"))
+            # a seed and a run of seeds may begin at one word
+            once = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
+            a, x, b, y = a[once], x[once], b[once], y[once]
+            start = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            end = np.append(start[1:], len(a))
+            wide = (end - start >= MIN_SEEDS) & (x[end - 1] - x[start] + k >= MIN_SPAN)       # sorted by x
+            rows, often = [], []
+            for i, j in zip(start[wide].tolist(), end[wide].tolist()):
+                if a[i] == b[i]:
+                    h, at = np.unique(y[i:j], return_index=True)
+                    at = np.sort(at)                # the first place of each seed
+                    often.append((int(a[i]), np.concatenate([x[i:j][at], y[i:j][at]]).tobytes()))
+                    continue
+                xs, ys = x[i:j].tolist(), y[i:j].tolist()
+                for c in chains(xs, ys, k, gap):
+                    if len(c) >= MIN_SEEDS and xs[c[-1]] - xs[c[0]] + k >= MIN_SPAN:
+                        rows.append((a[i], xs[c[0]], xs[c[-1]] + k, b[i], ys[c[0]], ys[c[-1]] + k))
+            docs = pa.array([d for d, _ in often], pa.int64())
+            none = pa.nulls(len(often), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([pa.array([r[n] for r in rows], pa.int64()), docs if c in "ab" else none])
+                 for n, c in enumerate(names)]
+                + [pa.concat_arrays([pa.nulls(len(rows), pa.binary()), pa.array([o for _, o in often], pa.binary())])],
+                [*names, "often"])
 
     parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (links.repartition(parts, "a", "b").sortWithinPartitions("a", "b", "x", "y")
+            .mapInArrow(run, "a long, a0 long, a1 long, b long, b0 long, b1 long, often binary"))
+
+
+def joined(found: DataFrame, k: int) -> DataFrame:
+    """The chains of ``pair_chains`` and, where no chain holds them, the ranges of ``joint_links``."""
+    names = ["a", "a0", "a1", "b", "b0", "b1"]
+    chained = found.where("often IS NULL").select(*names, F.lit(0).alias("way"))
+    joint = joint_links(found.where("often IS NOT NULL"), k).withColumn("way", F.lit(1))
+
+    def run(batches):
+        for table in whole(batches, ["a", "b"]):
+            out: list[list] = []
+            pair, mine, chained_to = None, 0, 0
+            cols = [table[c].to_numpy() for c in [*names, "way"]]
+            a, a0, a1, b, b0, b1, way = cols
+            # ranges of one line are one
+            on = np.append(False, (a[1:] == a[:-1]) & (b[1:] == b[:-1]) & (way[:-1] == 1) & (a0[1:] <= a1[:-1]) & (b0[1:] <= b1[:-1])
+                           & (np.abs(a0[1:] - b0[1:] - a0[:-1] + b0[:-1]) <= _STEP) & (b0[1:] >= b0[:-1]))
+            start = np.flatnonzero(~on)
+            cols = [c[start] for c in cols]
+            cols[2], cols[5] = np.maximum.reduceat(a1, start), np.maximum.reduceat(b1, start)
+            for a, a0, a1, b, b0, b1, way in zip(*(c.tolist() for c in cols)):
+                if pair != (a, b):
+                    pair, mine, chained_to = (a, b), len(out), len(out)
+                if not way:
+                    out.append([a, a0, a1, b, b0, b1])
+                    chained_to = len(out)
+                    continue
+                if any(c0 - MARGIN <= a0 and a1 <= c1 + MARGIN and d0 - MARGIN <= b0 and b1 <= d1 + MARGIN
+                       for _, c0, c1, _, d0, d1 in out[mine:]):
+                    continue
+                for r in out[chained_to:]:          # goes on where an earlier range ends
+                    if a0 <= r[2] + MARGIN and b0 <= r[5] + MARGIN and abs(a1 - b1 - r[2] + r[5]) <= _STEP:
+                        r[2], r[5] = max(r[2], a1), max(r[5], b1)
+                        break
+                else:
+                    out.append([a, a0, a1, b, b0, b1])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 6)], names)
+
+    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (chained.union(joint).repartition(parts, "a", "b").sortWithinPartitions("a", "b", "way", "a0", "a1", "b0", "b1")
             .mapInArrow(run, "a long, a0 long, a1 long, b long, b0 long, b1 long"))
 
 
@@ -330,56 +465,115 @@ def align(p: list, q: list) -> tuple[int, int, int, int, int]:
 
 
 def aligned(found: DataFrame, docs: DataFrame, min_words: int, identity: float) -> DataFrame:
-    found = found.withColumn("chain", F.monotonically_increasing_id())
+    names = ["a", "a0", "a1", "b", "b0", "b1"]
     found = cut(found)
-    sides = found.select("chain", F.lit(0).alias("side"), F.col("a").alias("id"), F.col("a0").alias("lo"), F.col("a1").alias("hi"))
-    sides = sides.union(found.select("chain", F.lit(1), "b", "b0", "b1"))
+    # chains meet the words of their documents in groups: those whose earlier documents lead to one first
+    # document, so that words of texts that are all alike travel once, not once for each pair
+    low = found.groupBy("a").agg(F.min("b").alias("low")).withColumnRenamed("a", "of")
+    found = found.join(low, found["b"] == low["of"], "left").withColumn("root", F.coalesce("low", "b"))
+    size = found.groupBy("root").agg(F.ceil(F.count("*") / 256).alias("parts"))
+    found = cut(found.join(size, "root").select(
+        F.xxhash64("root", F.pmod(F.xxhash64("a"), "parts")).alias("g"), *names))
+    sides = found.select("g", F.col("a").alias("id"), F.col("a0").alias("lo"), F.col("a1").alias("hi"))
+    sides = sides.union(found.select("g", "b", "b0", "b1")).distinct()
     # at most about 64 ranges travel with one copy of a document's text
     many = sides.groupBy("id").agg(F.ceil(F.count("*") / 64).alias("parts"))
-    wanted = (sides.join(many, "id").withColumn("part", F.pmod(F.xxhash64("chain"), F.col("parts")))
-              .groupBy("id", "part").agg(F.collect_list(F.struct("chain", "side", "lo", "hi")).alias("ranges")))
+    wanted = (sides.join(many, "id").withColumn("part", F.pmod(F.xxhash64("g"), F.col("parts")))
+              .groupBy("id", "part").agg(F.collect_list(F.struct("g", "lo", "hi")).alias("ranges")))
     wanted = measured(wanted.withColumnRenamed("id", "at"), 100_000)
 
     def fetch(batches):
         for batch in batches:
-            out = {"chain": [], "side": [], "lo": [], "words": []}
+            out: list[tuple] = []
             for i, j in blocks(batch["text"]):
                 raw, off = utf8(batch["text"].slice(i, j - i))
                 w = W.split_words(raw, off, W.SPACED, lower=True)
+                ids = batch["id"].slice(i, j - i).to_pylist()
                 for d, ranges in enumerate(batch["ranges"].slice(i, j - i).to_pylist()):
                     a, b = int(w.of[d]), int(w.of[d + 1])
-                    for r in ranges:
+                    spans: list[list] = []          # the ranges of one group that touch are one
+                    for r in sorted(ranges, key=lambda r: (r["g"], r["lo"])):
                         lo, hi = max(0, r["lo"] - MARGIN), min(b - a, r["hi"] + MARGIN)
-                        out["chain"].append(r["chain"])
-                        out["side"].append(r["side"])
-                        out["lo"].append(lo)
-                        out["words"].append(b" ".join(w.list_of(a + lo, a + hi)))
-            yield pa.RecordBatch.from_pydict({
-                "chain": pa.array(out["chain"], pa.int64()), "side": pa.array(out["side"], pa.int32()),
-                "lo": pa.array(out["lo"], pa.int64()), "words": pa.array(out["words"], pa.binary())})
-
-    words = (docs.join(wanted, docs["id"] == wanted["at"]).select("text", "ranges")
-             .mapInArrow(fetch, "chain long, side int, lo long, words binary"))
-    # a document id that repeats brings several texts; the first by content is taken for each side
-    two = (words.groupBy("chain").agg(*[F.min(F.when(F.col("side") == s, F.struct("words", "lo"))).alias(n)
-                                        for s, n in ((0, "p"), (1, "q"))])
-           .where("p IS NOT NULL AND q IS NOT NULL"))
-    two = two.join(found.select("chain", "a", "b"), "chain")
+                        if spans and spans[-1][0] == r["g"] and lo <= spans[-1][2]:
+                            spans[-1][2] = max(spans[-1][2], hi)
+                        else:
+                            spans.append([r["g"], lo, hi])
+                    out.extend((g, ids[d], lo, b" ".join(w.list_of(a + lo, a + hi))) for g, lo, hi in spans)
+            cols = list(zip(*out)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())],
+                                             ["g", "a", "a0", "words"])
+
+    spans = (docs.join(wanted, docs["id"] == wanted["at"]).select("id", "text", "ranges")
+             .mapInArrow(fetch, "g long, a long, a0 long, words binary"))
+    zero = F.lit(0).cast("long")
+    rows = found.select("g", *names, F.lit(None).cast("binary").alias("words")).union(
+        spans.select("g", "a", "a0", zero, zero, zero, zero, "words"))
+
+    def passage(p, q, a0, b0):
+        i0, i1, j0, j1, same = align(p, q)
+        if min(i1 - i0, j1 - j0) >= min_words and same >= identity * max(i1 - i0, j1 - j0):
+            return a0 + i0, a0 + i1, b0 + j0, b0 + j1, same
+        return None
+
+    def run(batches):
+        for table in whole(batches, ["g"], 1 << 12):
+            texts: dict = {}
+            spoken = table.filter(table["words"].is_valid())
+            for g, a, a0, w in zip(*(spoken[c].to_pylist() for c in ("g", "a", "a0", "words"))):
+                # a document id that repeats brings several texts; the first by content is taken
+                of = texts.setdefault((g, a), {})
+                of[a0] = min(of.get(a0, w), w)
+            texts = {k: [(lo, w.split(b" ") if w else []) for lo, w in of.items()] for k, of in texts.items()}
+
+            def words_of(g, doc, lo, hi):
+                for begin, w in texts.get((g, doc), ()):
+                    if begin <= lo < begin + len(w):
+                        return w[lo - begin:hi - begin]
+                return []
+
+            out = []
+            chains_of = table.filter(table["words"].is_null())
+            for g, a, a0, a1, b, b0, b1 in zip(*(chains_of[c].to_pylist() for c in ["g", *names])):
+                lo, lo_b = max(0, a0 - MARGIN), max(0, b0 - MARGIN)
+                p, q = words_of(g, a, lo, a1 + MARGIN), words_of(g, b, lo_b, b1 + MARGIN)
+                if min(len(p), len(q)) < min_words:
+                    continue
+                # in texts that repeat themselves the words around may lead astray
+                got = passage(p, q, lo, lo_b) or (min(a1 - a0, b1 - b0) >= min_words and passage(
+                    p[a0 - lo:a1 - lo], q[b0 - lo_b:b1 - lo_b], a0, b0))
+                if got:
+                    out.append((a, *got[:2], b, *got[2:]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 7)], [*names, "same"])
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(
+        run, "a long, a0 long, a1 long, b long, b0 long, b1 long, same long")
+
+
+def told_copies(docs: DataFrame) -> DataFrame:
+    """With ``first``, the smallest document of the same text, and ``copy``, whether that is another one."""
+    docs = docs.withColumn("key", F.md5(F.col("text").cast("binary")))
+    same = (docs.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+            .where("first < last").select(F.col("key").alias("of"), "first"))
+    docs = docs.join(measured(same, 1_000_000), docs["key"] == F.col("of"), "left")
+    return docs.select("id", "text", "first", F.coalesce(F.col("first") < F.col("id"), F.lit(False)).alias("copy"))
+
+
+def members(docs: DataFrame, min_words: int) -> DataFrame:
+    """A passage of all words for each copy of another document's text."""
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                p, q = r["p"]["words"].split(b" "), r["q"]["words"].split(b" ")
-                a0, a1, b0, b1, same = align(p, q)
-                if min(a1 - a0, b1 - b0) >= min_words and same >= identity * max(a1 - a0, b1 - b0):
-                    x, y = r["p"]["lo"], r["q"]["lo"]
-                    rows.append((r["a"], x + a0, x + a1, r["b"], y + b0, y + b1, same))
-            cols = list(zip(*rows)) or [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                             ["a", "a0", "a1", "b", "b0", "b1", "same"])
-
-    return two.select("chain", "a", "b", "p", "q").mapInArrow(
+            for i, j in blocks(batch["text"]):
+                raw, off = utf8(batch["text"].slice(i, j - i))
+                n = np.diff(W.split_words(raw, off, W.SPACED, lower=True).of)
+                long = n >= min_words
+                n, zero = n[long], np.zeros(int(long.sum()), np.int64)
+                a, b = (batch[c].slice(i, j - i).to_numpy()[long] for c in ("id", "first"))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, zero, n, b, zero, n, n)],
+                                                 ["a", "a0", "a1", "b", "b0", "b1", "same"])
+
+    return docs.where("copy").select("id", "text", "first").mapInArrow(
         run, "a long, a0 long, a1 long, b long, b0 long, b1 long, same long")
 
 
@@ -399,8 +593,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     prepare(docs.sparkSession)
     docs = pick(docs, id=id_col, text=text_col).where("id IS NOT NULL AND text IS NOT NULL").withColumn(
         "id", F.col("id").cast("long"))
-    found = pair_chains(seed_links(docs, k, window), k, gap)
-    out = aligned(found, docs, min_words, identity).distinct()
+    docs = told_copies(docs)
+    found = cut(pair_chains(seed_links(docs, k, window), k, gap))
+    out = aligned(joined(found, k), docs.select("id", "text"), min_words, identity)
+    out = out.union(members(docs, min_words)).distinct()
     return out.select(F.col("a").alias(id_col), F.col("a0").alias("first_word"), F.col("a1").alias("end_word"),
                       F.col("b").alias(f"other_{id_col}"), F.col("b0").alias("other_first_word"), F.col("b1").alias("other_end_word"),
                       F.col("same").alias("n_equal"),

@@ -144,3 +144,31 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
                 rest.append(table.slice(a, b - a))
     if rest:
         yield pa.concat_tables(rest)
+
+
+def whole(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 1 << 16) -> Iterator[pa.Table]:
+    """Of batches whose rows are sorted by ``keys`` (integers): tables of about ``rows`` rows that cut no key.
+
+    Holds so many rows, or one key's if these are more.
+    """
+    held: list[pa.RecordBatch] = []
+    n, enough = 0, rows
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n < enough:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        last = np.ones(n, bool)
+        for k in keys:
+            column = table[k].to_numpy()
+            last &= column == column[-1]
+        begin = int(np.argmax(last))
+        if begin:
+            yield table.slice(0, begin)
+        held, n = table.slice(begin).to_batches(), n - begin
+        enough = max(rows, 2 * n)
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()

@@ -170,3 +170,74 @@ def test_result_does_not_depend_on_the_partitions(spark):
     one = sorted(map(tuple, C.repeated_passages(docs.coalesce(1)).collect()))
     many = sorted(map(tuple, C.repeated_passages(docs.repartition(9)).collect()))
     assert one == many and len(one) > 40
+
+
+def overlapping(rng, copies, size=60, part=30):
+    """Earlier documents hold parts of a passage, as many of each as ``copies``; two later ones hold all of it."""
+    p = prose(rng, size, 10**6)
+    texts = [prose(rng, 80, 10**6) + p[at:at + part] + prose(rng, 80, 10**6)
+             for at in range(0, size - part + 1, part // 2) for _ in range(copies)]
+    texts += [prose(rng, 90, 10**6) + p + prose(rng, 90, 10**6) for _ in range(2)]
+    return texts
+
+
+@pytest.mark.parametrize("copies", [1, 3, C.FEW + 8])
+def test_links_whose_seeds_all_occur_in_earlier_documents(spark, copies):
+    rng = random.Random(copies)
+    rows, pairs = [], set()
+    for _ in range(6):
+        texts = overlapping(rng, copies)
+        rows += [(len(rows) + i, " ".join(t), "en", "s") for i, t in enumerate(texts)]
+        pairs.add((len(rows) - 1, len(rows) - 2))
+    got = {(r.doc_id, r.other_doc_id): r for r in C.repeated_passages(frame(spark, rows)).collect()}
+    assert set(got) == pairs
+    assert all(r.end_word - r.first_word >= 60 and r.identity > 0.95 for r in got.values())
+
+
+def test_a_copy_leads_to_the_first_of_its_text(spark):
+    """Also where its parts stand in earlier documents, however often the text occurs."""
+    rng = random.Random(11)
+    p = prose(rng, 60, 10**6)
+    texts = [prose(rng, 50, 10**6) + p[at:at + 30] for at in (0, 15, 30)] + [p] * (C.FEW + 8) + [prose(rng, 50, 10**6) + p]
+    rows = [(i, " ".join(t), "en", "s") for i, t in enumerate(texts)]
+    got = {(r.doc_id, r.first_word, r.end_word, r.other_doc_id) for r in C.repeated_passages(frame(spark, rows)).collect()}
+    copies = range(4, 3 + C.FEW + 8)
+    assert {(i, 0, 60, 3) for i in copies} <= got
+    assert (len(rows) - 1, 50, 110, 3) in got
+
+
+def test_few_texts_are_all_linked_and_seeds_of_many_are_given_out():
+    import pyarrow as pa
+
+    class Rows:             # runs the two steps of linked as Spark would, in one task
+        sparkSession = type("S", (), {"conf": type("C", (), {"get": staticmethod(lambda k: "1")})})
+
+        def __init__(self, batches):
+            self.batches = batches
+
+        def mapInArrow(self, step, schema):
+            return Rows([b for b in step(iter(self.batches)) if b.num_rows])
+
+        def repartition(self, *_):
+            return self
+
+        def sortWithinPartitions(self, *keys):
+            t = pa.Table.from_batches(self.batches).sort_by([(k, "ascending") for k in keys])
+            return Rows(t.to_batches(max_chunksize=7))
+
+    rng = random.Random(4)
+    places = sorted({(rng.choice([1, 2, 3, 4, 5]), rng.randrange(1, 9 if h % 2 else 60), rng.randrange(20)) for h in range(400)})
+    own = {d: rng.random() < 0.8 for _, d, _ in places}
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (*zip(*places), [own[d] for _, d, _ in places])], ["h", "d", "x", "own"])
+    out = C.linked(Rows([batch]), lambda b: [tuple(b[c].to_numpy(zero_copy_only=False) for c in b.schema.names)])
+    got = {r for b in out.batches for r in zip(*(c.to_pylist() for c in b.columns))}
+    want = set()
+    for h in range(1, 6):
+        of = [(d, x) for s, d, x in places if s == h]
+        first = {d: min(x for e, x in of if e == d) for d, _ in of if own[d]}
+        want |= {(*p, *of[0]) for p in of if p[0] != of[0][0]}
+        if len(first) <= C.FEW:
+            want |= {(d, x, e, y) for d, x in first.items() for e, y in first.items() if e < d}
+        else:
+            want |= {(d, x, d, h) for d, x in first.items()}
+    assert got == want
