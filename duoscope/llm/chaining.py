@@ -1,20 +1,24 @@
 """Fuzzy repeated passages by collinear chaining of shared k-mers.
 
 1. Seeds: hashes of k-word runs that are the minimum of ``w`` neighbours (any shared run of
-   k + w - 1 words holds one), and hashes of 4 and of 8 neighbouring seeds. Every place of a seed is
-   linked to the seed's first place (smallest document), so links grow with the rows, not with
-   the square of a repeated seed's places. Where phrases of a passage stand one by one in other,
-   earlier documents, its single seeds lead there; its runs of seeds do not, and lead to the
-   first document that holds the passage. A seed with very many places in one task is linked there
+   k + w - 1 words holds one), and hashes of runs of 5 neighbouring seeds. Every place of a seed is
+   linked to the seed's first place (smallest document). Where at most ``FEW`` different texts hold a
+   seed, all of them are linked with one another, so links grow with the rows, not with the square of
+   a repeated seed's places. A seed with very many places in one task is linked there
    to the task's first, so a seed found everywhere sends one row per task; all others are linked
    over all rows alike, however these are dealt out.
 2. Links are grouped by the pair of documents and chained: a chain goes forward in both texts;
    its score is the words its seeds cover less ``GAP`` for every word moved on in either text. The
    best predecessor of each link comes from a Fenwick tree over the places in the second text
    that holds prefix maxima, so a pair of documents with n links costs n log n.
-3. The words around each chain of some length are fetched and aligned (equal runs between
-   anchors that occur once in either text); ends are trimmed or extended to where words agree. Passages of
-   ``MIN_WORDS`` or more whose words agree to ``IDENTITY`` are the result.
+3. Seeds in more than ``FEW`` texts are joined, within a text, with the next such seed 16 and 40 words on. Each
+   joint is a seed again: few texts hold both ends of a passage although many hold either. Texts that share
+   a joint that more than ``FEW`` hold have the class of that joint: each is linked to its first.
+4. The words around each chain of some length, and around joints that no chain holds, are fetched and
+   aligned (equal runs between anchors that occur once in either text); ends are trimmed or extended to
+   where words agree. Passages of ``MIN_WORDS`` or more whose words agree to ``IDENTITY`` are the result.
+5. A copy of another document's whole text gets a passage of all its words in the first such document;
+   the links of that one hold for it.
 """
 
 from __future__ import annotations
@@ -376,29 +380,20 @@ def _anchors(p: list, q: list, k: int) -> list[tuple[int, int]]:
         return []
     if k == 1 and len(p) == len(q) == 1:
         return [(0, 0)] if p == q else []
-    if len(p) + len(q) < 200:       # NumPy pays off for long lists only
-        places = []
-        for words in (p, q):
-            at: dict = {}
-            for i in range(len(words) - k + 1):
-                run = tuple(words[i:i + k]) if k > 1 else words[i]
-                at[run] = -1 if run in at else i
-            places.append(at)
-        mine, theirs = places
-        return _increasing([(i, theirs[run]) for run, i in mine.items() if i >= 0 and theirs.get(run, -1) >= 0])
-    ids: dict = {}
-    once = []
+    places = []
     for words in (p, q):
-        n = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.uint64, len(words))
-        runs_of, at, times = np.unique(W.grams(n, k) if k > 1 else n, return_index=True, return_counts=True)
-        once.append((runs_of[times == 1], at[times == 1]))
-    (u, at_p), (v, at_q) = once
-    _, x, y = np.intersect1d(u, v, assume_unique=True, return_indices=True)
-    i, j = at_p[x], at_q[y]
-    order = np.argsort(i)
-    i, j = i[order], j[order]
-    pairs = list(zip(i.tolist(), j.tolist()))
-    return pairs if len(j) < 2 or (j[1:] > j[:-1]).all() else _increasing(pairs)
+        runs_of = list(zip(*(words[n:] for n in range(k)))) if k > 1 else words
+        at = dict(zip(runs_of, range(len(runs_of))))
+        if len(at) < len(runs_of):
+            seen: set = set()
+            for run in runs_of:
+                if run in seen:
+                    at[run] = -1
+                seen.add(run)
+        places.append(at)
+    mine, theirs = places
+    pairs = sorted((i, theirs[run]) for run, i in mine.items() if i >= 0 and theirs.get(run, -1) >= 0)
+    return pairs if all(u[1] < v[1] for u, v in zip(pairs, pairs[1:])) else _increasing(pairs)
 
 
 def _numbered(words: list) -> list:
@@ -417,6 +412,8 @@ def equal_blocks(p: list, q: list, k: int = 3) -> list[tuple[int, int, int]]:
     words agree, and the gaps between are treated alike with single words. Where nothing
     occurs once (texts that repeat themselves), words are told apart by their running number.
     """
+    if k == 1 and set(p).isdisjoint(q):
+        return []
     anchors = _anchors(p, q, k)
     if not anchors:
         if k > 1:
@@ -587,8 +584,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     or null text, and texts without words, have no passages. Rows that share an id are one
     document with several texts, never compared with one another. Passages inside one document are not
     reported. Very long texts have their seeds cut whole; of their words only those around a chain are aligned.
-    Of several places of a seed the smallest (document, word) is linked to. Other columns are not read. An
-    empty table gives no rows.
+    Of several places of a seed the smallest (document, word) is linked to, and of each text that is no copy its
+    first. Copies are told by the MD5 of the text. Other columns are not read. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     docs = pick(docs, id=id_col, text=text_col).where("id IS NOT NULL AND text IS NOT NULL").withColumn(
