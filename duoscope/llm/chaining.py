@@ -484,7 +484,7 @@ def aligned(found: DataFrame, docs: DataFrame, min_words: int, identity: float)
             out: list[tuple] = []
             for i, j in blocks(batch["text"]):
                 raw, off = utf8(batch["text"].slice(i, j - i))
-                w = W.split_words(raw, off, W.SPACED, lower=True)
+                w = W.split_words(raw, off, W.SPACED, lower=True, hashed=False)
                 ids = batch["id"].slice(i, j - i).to_pylist()
                 for d, ranges in enumerate(batch["ranges"].slice(i, j - i).to_pylist()):
                     a, b = int(w.of[d]), int(w.of[d + 1])
@@ -563,7 +563,7 @@ def members(docs: DataFrame, min_words: int) -> DataFrame:
         for batch in batches:
             for i, j in blocks(batch["text"]):
                 raw, off = utf8(batch["text"].slice(i, j - i))
-                n = np.diff(W.split_words(raw, off, W.SPACED, lower=True).of)
+                n = np.diff(W.split_words(raw, off, W.SPACED, lower=True, hashed=False).of)
                 long = n >= min_words
                 n, zero = n[long], np.zeros(int(long.sum()), np.int64)
                 a, b = (batch[c].slice(i, j - i).to_numpy()[long] for c in ("id", "first"))

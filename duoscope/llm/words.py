@@ -45,8 +45,8 @@ class Words:
         return [self.raw[s:e].tobytes() for s, e in zip(self.start[a:b], self.end[a:b])]
 
 
-def split_words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bool) -> Words:
-    """Words of the texts raw[offsets[i]:offsets[i+1]]; no word crosses two texts."""
+def split_words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bool, hashed: bool = True) -> Words:
+    """Words of the texts raw[offsets[i]:offsets[i+1]]; no word crosses two texts. Hashes only if asked for."""
     if lower:
         raw = LOWER[raw]
     n = len(raw)
@@ -58,7 +58,8 @@ def split_words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower:
         first[1:] &= ~inside[:-1] | edge[1:n]
         last[:-1] &= ~inside[1:] | edge[1:n]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return Words(raw, start, end, np.searchsorted(start, offsets), _hashes(raw, start, end))
+    return Words(raw, start, end, np.searchsorted(start, offsets),
+                 _hashes(raw, start, end) if hashed else np.zeros(0, np.uint64))
 
 
 def _hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
