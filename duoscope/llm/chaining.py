@@ -27,6 +27,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from duoscope.llm import words as W
@@ -57,7 +58,7 @@ def seeds(column: pa.Array, k: int, w: int):
         h, pos = g[at], at - words.of[text]
         # the n-th place of a seed in one text (n > 0) is also a seed of its own: places of
         # texts that repeat themselves then meet in order, not all at the first place
-        order = np.lexsort((pos, h, text))
+        order = np.lexsort((h, text))       # stable, and places rise within a text
         new = np.ones(len(order), bool)
         new[1:] = (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])
         rank = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
@@ -74,8 +75,12 @@ def seeds(column: pa.Array, k: int, w: int):
 
 def _link(h: np.ndarray, doc: np.ndarray, pos: np.ndarray):
     """Sorted by seed, document, place: (order, whether first of its seed, the first's row)."""
-    order = np.lexsort((pos, doc, h))
-    return order, *_heads(h[order])
+    order = np.argsort(h)
+    first, head = _heads(h[order])
+    many = ~first | ~np.append(first[1:], True)         # seeds with several rows
+    rows = order[many]
+    order[many] = rows[np.lexsort((pos[rows], doc[rows], h[rows]))]
+    return order, first, head
 
 
 def _heads(hs: np.ndarray):
@@ -153,8 +158,14 @@ def linked(rows: DataFrame, places) -> DataFrame:
                 of_many = old & told
                 yield batch_of(a[of_many], x[of_many], a[of_many], s[of_many])
                 h, a, x, told, s = (c[~old] for c in (h, a, x, told, s))
+            # Spark sorts by the seed alone; seeds with one place lead nowhere, the others' places are sorted here
+            first = np.append(True, h[1:] != h[:-1])[:len(h)]
+            keep = ~first | ~np.append(first[1:], True)[:len(h)] | (s != COPY)
+            h, a, x, told, s = (c[keep] for c in (h, a, x, told, s))
             if not len(h):
                 continue
+            order = np.lexsort((x, a, h))
+            h, a, x, told, s = (c[order] for c in (h, a, x, told, s))
             first, head = _heads(h)
             keep = a != a[head]
             yield batch_of(a[keep], x[keep], a[head][keep], x[head][keep])
@@ -172,7 +183,7 @@ def linked(rows: DataFrame, places) -> DataFrame:
                 yield batch_of(a[j][same], x[j][same], a[i][same], x[i][same])
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.mapInArrow(inside, schema).repartition(parts, "h").sortWithinPartitions("h", "a", "x")
+    return (rows.mapInArrow(inside, schema).repartition(parts, "h").sortWithinPartitions("h")
             .mapInArrow(across, "a long, x long, b long, y long"))
 
 
@@ -283,8 +294,20 @@ def pair_chains(links: DataFrame, k: int, gap: float) -> DataFrame:
     names = ["a", "a0", "a1", "b", "b0", "b1"]
 
     def run(batches):
-        for table in whole(batches, ["a", "b"]):
+        for table in whole(batches, ["a"]):
             a, x, b, y = (table[c].to_numpy() for c in ("a", "x", "b", "y"))
+            # Spark sorts by the document alone; pairs with few links lead nowhere, the others' are sorted here
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            start = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            size = np.diff(np.append(start, len(a)))
+            keep = np.repeat(size >= MIN_SEEDS, size)
+            if not keep.any():
+                continue
+            a, b, order = a[keep], b[keep], order[keep]
+            x, y = x[order], y[order]
+            order = np.lexsort((y, x, b, a))
+            x, y = x[order], y[order]
             # a seed and a run of seeds may begin at one word
             once = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
             a, x, b, y = a[once], x[once], b[once], y[once]
@@ -311,7 +334,7 @@ def pair_chains(links: DataFrame, k: int, gap: float) -> DataFrame:
                 [*names, "often"])
 
     parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (links.repartition(parts, "a", "b").sortWithinPartitions("a", "b", "x", "y")
+    return (links.repartition(parts, "a", "b").sortWithinPartitions("a")
             .mapInArrow(run, "a long, a0 long, a1 long, b long, b0 long, b1 long, often binary"))
 
 
@@ -374,66 +397,152 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def _anchors(p: list, q: list, k: int) -> list[tuple[int, int]]:
-    """Places of runs of k words that either text has once, in the same order in both."""
+def _anchors(p: list, q: list, k: int) -> list[tuple[int, int, int]]:
+    """Places of runs of k words that either text has once, in the same order in both, with 1."""
     if min(len(p), len(q)) < k:
         return []
-    if k == 1 and len(p) == len(q) == 1:
-        return [(0, 0)] if p == q else []
     places = []
     for words in (p, q):
-        runs_of = list(zip(*(words[n:] for n in range(k)))) if k > 1 else words
-        at = dict(zip(runs_of, range(len(runs_of))))
-        if len(at) < len(runs_of):
-            seen: set = set()
-            for run in runs_of:
-                if run in seen:
-                    at[run] = -1
-                seen.add(run)
+        at: dict = {}
+        for i, run in enumerate(zip(*(words[n:] for n in range(k)))):
+            at[run] = -1 if run in at else i
         places.append(at)
     mine, theirs = places
-    pairs = sorted((i, theirs[run]) for run, i in mine.items() if i >= 0 and theirs.get(run, -1) >= 0)
-    return pairs if all(u[1] < v[1] for u, v in zip(pairs, pairs[1:])) else _increasing(pairs)
+    # a dictionary keeps the order of its first entries, so runs that occur once come by place
+    return _rising([(i, theirs[run]) for run, i in mine.items() if i >= 0 and theirs.get(run, -1) >= 0])
 
 
-def _numbered(words: list) -> list:
-    seen: dict = {}
-    out = []
-    for w in words:
-        seen[w] = n = seen.get(w, 0) + 1
-        out.append((w, n))
-    return out
+def _anchors_of_words(p: list, q: list, common: set) -> list[tuple[int, int, int]]:
+    """``_anchors`` of single words; if none occurs once, words are told apart by their running number."""
+    places = []
+    for words in (p, q):
+        at: dict = {}
+        for i, w in enumerate(words):
+            if w in common:
+                at[w] = -1 if w in at else i
+        places.append(at)
+    mine, theirs = places
+    pairs = [(i, theirs[w]) for w, i in mine.items() if i >= 0 and theirs[w] >= 0]
+    if not pairs:
+        places = []
+        for words in (p, q):
+            seen: dict = {}
+            at = {}
+            for i, w in enumerate(words):
+                if w in common:
+                    seen[w] = n = seen.get(w, 0) + 1
+                    at[w, n] = i
+            places.append(at)
+        mine, theirs = places
+        pairs = [(i, theirs[w]) for w, i in mine.items() if w in theirs]
+    return _rising(pairs)
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    if any(u[1] > v[1] for u, v in zip(pairs, pairs[1:])):
+        pairs = _increasing(pairs)
+    return [(i, j, 1) for i, j in pairs]
+
+
+class Coded:
+    """Texts as numbers: equal words, and equal runs of ``k`` words, have equal numbers.
+
+    ``texts`` is a binary column of words with one space between two. Anchors are found by writing the
+    places of one text's runs to a table with an entry for each run, and reading the other's there.
+    """
 
+    def __init__(self, texts: pa.Array, k: int = 3):
+        split = pa.compute.split_pattern(texts, b" ")
+        self.start = split.offsets.to_numpy()[:-1].astype(np.int64)
+        self.size = np.where(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False) > 0, np.diff(split.offsets.to_numpy()), 0)
+        coded = split.values.dictionary_encode()
+        word, self.k = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), k
+        n = max(1, len(coded.dictionary))
+        run, kinds = word, n
+        for j in range(1, k):
+            if kinds * n >= 1 << 62:
+                run, kinds = self._dense(run)
+            run, kinds = run[:-1] * n + word[j:j + max(0, len(run) - 1)], kinds * n
+        self.words = word.tolist()
+        self.run, kinds = self._dense(run)
+        self.mine, self.theirs = np.zeros(kinds, np.int64), np.full(kinds, -1, np.int64)
+
+    @staticmethod
+    def _dense(x: np.ndarray) -> tuple[np.ndarray, int]:
+        coded = pa.array(x).dictionary_encode()
+        return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
+
+    def _once(self, table: np.ndarray, run: np.ndarray) -> None:
+        """The place of each run in ``table``, -1 if it occurs twice."""
+        place = np.arange(len(run))
+        table[run] = place
+        other = table[run] != place
+        if other.any():
+            table[run[other]] = -1
+
+    def anchors(self, a: int, b: int, c: int, d: int) -> list[tuple[int, int, int]]:
+        """As ``_anchors`` of the words a .. b and c .. d, with the number of neighbours on one line."""
+        if min(b - a, d - c) < self.k:
+            return []
+        mine, theirs = self.run[a:b - self.k + 1], self.run[c:d - self.k + 1]
+        self._once(self.theirs, theirs)
+        j = self.theirs[mine]
+        self.theirs[theirs] = -1
+        i = np.flatnonzero(j >= 0)
+        j = j[i]
+        if (j[1:] <= j[:-1]).any():         # out of order, or a run that the first text has twice
+            self._once(self.mine, mine)
+            once = self.mine[mine[i]] >= 0
+            i, j = i[once], j[once]
+            if (j[1:] < j[:-1]).any():
+                i, j = np.array(_increasing(list(zip(i.tolist(), j.tolist())))).T
+        if not len(i):
+            return []
+        first = [0, *(np.flatnonzero((i[1:] - i[:-1] != 1) | (j[1:] - j[:-1] != 1)) + 1).tolist()]
+        return [(x, y, n - m) for x, y, m, n in zip(i[first].tolist(), j[first].tolist(), first, [*first[1:], len(i)])]
 
-def equal_blocks(p: list, q: list, k: int = 3) -> list[tuple[int, int, int]]:
+    def align(self, a: int, b: int, c: int, d: int) -> tuple[int, int, int, int, int]:
+        """``align`` of the words a .. b and c .. d."""
+        p, q = self.words[a:b], self.words[c:d]
+        return (0, b - a, 0, d - c, b - a) if p == q else align(p, q, self.anchors(a, b, c, d))
+
+
+def equal_blocks(p: list, q: list, k: int = 3, anchors: list[tuple[int, int, int]] | None = None) -> list[tuple[int, int, int]]:
     """(place in p, place in q, size) of equal runs of words, in order, apart in both.
 
-    Runs of k words that occur once in either text are the anchors; each is extended while
-    words agree, and the gaps between are treated alike with single words. Where nothing
+    Runs of k words that occur once in either text are the anchors (found here unless given); each is
+    extended while words agree, and the gaps between are treated alike with single words. Where nothing
     occurs once (texts that repeat themselves), words are told apart by their running number.
     """
-    if k == 1 and set(p).isdisjoint(q):
-        return []
-    anchors = _anchors(p, q, k)
-    if not anchors:
-        if k > 1:
-            return equal_blocks(p, q, 1)
-        anchors = _anchors(_numbered(p), _numbered(q), 1)
-        if not anchors:
+    if k == 1:
+        if len(p) == 1:                 # its first place, whether there are more or not
+            return [(0, q.index(p[0]), 1)] if p[0] in q else []
+        if len(q) == 1:
+            return [(p.index(q[0]), 0, 1)] if q[0] in p else []
+        common = set(p).intersection(q)
+        if not common:
             return []
+        anchors = _anchors_of_words(p, q, common)
+    elif anchors is None:
+        anchors = _anchors(p, q, k)
+    if not anchors:
+        return equal_blocks(p, q, 1)
     out, a, b = [], 0, 0           # what lies before a and b is done
 
     def gap(hi_a, hi_b):
-        if k > 1 and hi_a > a and hi_b > b:
-            out.extend((a + x, b + y, n) for x, y, n in equal_blocks(p[a:hi_a], q[b:hi_b], 1))
+        # the words after a block differ, so of one and one nothing is equal
+        if k > 1 and hi_a > a and hi_b > b and hi_a - a + hi_b - b > 2:
+            out.extend([(a + x, b + y, n) for x, y, n in equal_blocks(p[a:hi_a], q[b:hi_b], 1)])
 
-    for i, j in anchors:
-        if i < a or j < b:
+    for i, j, on in anchors:
+        done = max(0, a - i, b - j)
+        if done >= on:
             continue
+        i, j, end = i + done, j + done, i + on + k - 1      # words are equal as far as there
         while i > a and j > b and p[i - 1] == q[j - 1]:
             i, j = i - 1, j - 1
         gap(i, j)
-        n = 0
+        n = end - i
         while i + n < len(p) and j + n < len(q) and p[i + n] == q[j + n]:
             n += 1
         if n:
@@ -443,7 +552,7 @@ def equal_blocks(p: list, q: list, k: int = 3) -> list[tuple[int, int, int]]:
     return out
 
 
-def align(p: list, q: list) -> tuple[int, int, int, int, int]:
+def align(p: list, q: list, anchors: list[tuple[int, int, int]] | None = None) -> tuple[int, int, int, int, int]:
     """(begin, end in p, begin, end in q, agreeing words) of the best run of equal blocks.
 
     Blocks are joined while the words between them cost less than the blocks bring.
@@ -451,7 +560,7 @@ def align(p: list, q: list) -> tuple[int, int, int, int, int]:
     if p == q:
         return 0, len(p), 0, len(q), len(p)
     best, now = (0.0, 0, 0, 0, 0, 0), None
-    for a, b, n in equal_blocks(p, q):
+    for a, b, n in equal_blocks(p, q, anchors=anchors):
         if now:
             value = now[0] - max(a - now[2], b - now[4])
             now = (value + n, now[1], a + n, now[3], b + n, now[5] + n) if value > 0 else None
@@ -482,10 +591,12 @@ def aligned(found: DataFrame, docs: DataFrame, min_words: int, identity: float)
     def fetch(batches):
         for batch in batches:
             out: list[tuple] = []
+            words: list[bytes] = []
             for i, j in blocks(batch["text"]):
                 raw, off = utf8(batch["text"].slice(i, j - i))
                 w = W.split_words(raw, off, W.SPACED, lower=True, hashed=False)
                 ids = batch["id"].slice(i, j - i).to_pylist()
+                cuts: list[tuple[int, int]] = []
                 for d, ranges in enumerate(batch["ranges"].slice(i, j - i).to_pylist()):
                     a, b = int(w.of[d]), int(w.of[d + 1])
                     spans: list[list] = []          # the ranges of one group that touch are one
@@ -495,9 +606,11 @@ def aligned(found: DataFrame, docs: DataFrame, min_words: int, identity: float)
                             spans[-1][2] = max(spans[-1][2], hi)
                         else:
                             spans.append([r["g"], lo, hi])
-                    out.extend((g, ids[d], lo, b" ".join(w.list_of(a + lo, a + hi))) for g, lo, hi in spans)
-            cols = list(zip(*out)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())],
+                    out.extend((g, ids[d], lo) for g, lo, _ in spans)
+                    cuts.extend((a + lo, a + hi) for _, lo, hi in spans)
+                words.extend(w.joined(cuts))
+            cols = list(zip(*out)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), pa.array(words, pa.binary())],
                                              ["g", "a", "a0", "words"])
 
     spans = (docs.join(wanted, docs["id"] == wanted["at"]).select("id", "text", "ranges")
@@ -506,38 +619,41 @@ def aligned(found: DataFrame, docs: DataFrame, min_words: int, identity: float)
     rows = found.select("g", *names, F.lit(None).cast("binary").alias("words")).union(
         spans.select("g", "a", "a0", zero, zero, zero, zero, "words"))
 
-    def passage(p, q, a0, b0):
-        i0, i1, j0, j1, same = align(p, q)
-        if min(i1 - i0, j1 - j0) >= min_words and same >= identity * max(i1 - i0, j1 - j0):
-            return a0 + i0, a0 + i1, b0 + j0, b0 + j1, same
-        return None
-
     def run(batches):
         for table in whole(batches, ["g"], 1 << 12):
-            texts: dict = {}
             spoken = table.filter(table["words"].is_valid())
-            for g, a, a0, w in zip(*(spoken[c].to_pylist() for c in ("g", "a", "a0", "words"))):
+            words = spoken["words"].cast(pa.large_binary()).combine_chunks()
+            coded = Coded(words)
+            texts: dict = {}
+            for n, (g, a, a0) in enumerate(zip(*(spoken[c].to_pylist() for c in ("g", "a", "a0")))):
                 # a document id that repeats brings several texts; the first by content is taken
                 of = texts.setdefault((g, a), {})
-                of[a0] = min(of.get(a0, w), w)
-            texts = {k: [(lo, w.split(b" ") if w else []) for lo, w in of.items()] for k, of in texts.items()}
+                if a0 not in of or words[n].as_py() < words[of[a0]].as_py():
+                    of[a0] = n
+            texts = {k: [(lo, int(coded.start[n]), int(coded.size[n])) for lo, n in of.items()] for k, of in texts.items()}
 
             def words_of(g, doc, lo, hi):
-                for begin, w in texts.get((g, doc), ()):
-                    if begin <= lo < begin + len(w):
-                        return w[lo - begin:hi - begin]
-                return []
+                for begin, start, n in texts.get((g, doc), ()):
+                    if begin <= lo < begin + n:
+                        return start + lo - begin, start + min(n, hi - begin)
+                return 0, 0
+
+            def passage(p0, p1, q0, q1, a0, b0):
+                i0, i1, j0, j1, same = coded.align(p0, p1, q0, q1)
+                if min(i1 - i0, j1 - j0) >= min_words and same >= identity * max(i1 - i0, j1 - j0):
+                    return a0 + i0, a0 + i1, b0 + j0, b0 + j1, same
+                return None
 
             out = []
             chains_of = table.filter(table["words"].is_null())
             for g, a, a0, a1, b, b0, b1 in zip(*(chains_of[c].to_pylist() for c in ["g", *names])):
                 lo, lo_b = max(0, a0 - MARGIN), max(0, b0 - MARGIN)
-                p, q = words_of(g, a, lo, a1 + MARGIN), words_of(g, b, lo_b, b1 + MARGIN)
-                if min(len(p), len(q)) < min_words:
+                (p0, p1), (q0, q1) = words_of(g, a, lo, a1 + MARGIN), words_of(g, b, lo_b, b1 + MARGIN)
+                if min(p1 - p0, q1 - q0) < min_words:
                     continue
                 # in texts that repeat themselves the words around may lead astray
-                got = passage(p, q, lo, lo_b) or (min(a1 - a0, b1 - b0) >= min_words and passage(
-                    p[a0 - lo:a1 - lo], q[b0 - lo_b:b1 - lo_b], a0, b0))
+                got = passage(p0, p1, q0, q1, lo, lo_b) or (min(a1 - a0, b1 - b0) >= min_words and passage(
+                    min(p1, p0 + a0 - lo), min(p1, p0 + a1 - lo), min(q1, q0 + b0 - lo_b), min(q1, q0 + b1 - lo_b), a0, b0))
                 if got:
                     out.append((a, *got[:2], b, *got[2:]))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 7)], [*names, "same"])
@@ -590,10 +706,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     prepare(docs.sparkSession)
     docs = pick(docs, id=id_col, text=text_col).where("id IS NOT NULL AND text IS NOT NULL").withColumn(
         "id", F.col("id").cast("long"))
-    docs = told_copies(docs)
-    found = cut(pair_chains(seed_links(docs, k, window), k, gap))
-    out = aligned(joined(found, k), docs.select("id", "text"), min_words, identity)
-    out = out.union(members(docs, min_words)).distinct()
+    told = told_copies(docs)
+    found = cut(pair_chains(seed_links(told, k, window), k, gap))
+    out = aligned(joined(found, k), docs, min_words, identity)
+    out = out.union(members(told, min_words)).distinct()
     return out.select(F.col("a").alias(id_col), F.col("a0").alias("first_word"), F.col("a1").alias("end_word"),
                       F.col("b").alias(f"other_{id_col}"), F.col("b0").alias("other_first_word"), F.col("b1").alias("other_end_word"),
                       F.col("same").alias("n_equal"),

@@ -44,6 +44,15 @@ class Words:
     def list_of(self, a: int, b: int) -> list[bytes]:
         return [self.raw[s:e].tobytes() for s, e in zip(self.start[a:b], self.end[a:b])]
 
+    def joined(self, ranges: list[tuple[int, int]]) -> list[bytes]:
+        """Of each (a, b) the words a .. b of one text, with one space between two."""
+        gap = self.start[1:] - self.end[:-1]
+        raw = self.raw.copy()
+        raw[self.end[:-1][gap == 1]] = 0x20
+        wide = np.append(0, np.cumsum(gap != 1))
+        return [b"" if a >= b else raw[self.start[a]:self.end[b - 1]].tobytes() if wide[a] == wide[b - 1]
+                else b" ".join(self.list_of(a, b)) for a, b in ranges]
+
 
 def split_words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bool, hashed: bool = True) -> Words:
     """Words of the texts raw[offsets[i]:offsets[i+1]]; no word crosses two texts. Hashes only if asked for."""
@@ -65,18 +74,22 @@ def split_words(raw: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower:
 def _hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     size = end - start
     out = size.astype(np.uint64) + np.uint64(1)
-    live = np.flatnonzero(size <= LONG)
-    at, h, left = start[live], out[live], size[live]
-    j = 0
-    while len(live):
-        h = (h ^ raw[at + j]) * _MUL
-        h ^= h >> np.uint64(29)
-        j += 1
-        done = left == j
-        if done.any():
-            out[live[done]] = h[done]
-            keep = ~done
-            live, at, h, left = live[keep], at[keep], h[keep], left[keep]
+    # by size, so that the words with a further byte are always the last ones
+    short = np.minimum(size, LONG + 1).astype(np.uint8)
+    order = np.argsort(short, kind="stable")
+    upto = np.searchsorted(short[order], np.arange(LONG + 1, dtype=np.uint8), "right")
+    n = int(upto[LONG])
+    order = order[:n]
+    at, h = start[order], out[order]
+    for lo in upto[:LONG].tolist():
+        if lo == n:
+            break
+        part = h[lo:]
+        part ^= raw[at[lo:]]
+        part *= _MUL
+        part ^= part >> np.uint64(29)
+        at[lo:] += 1
+    out[order] = h
     for i in np.flatnonzero(size > LONG):
         digest = hashlib.blake2b(raw[start[i]:end[i]].tobytes(), digest_size=8).digest()
         out[i] = np.frombuffer(digest, np.uint64)[0]

@@ -51,6 +51,37 @@ def test_equal_blocks_are_equal_and_in_order(p, q):
         a, b = i + n, j + n
 
 
+def coded_align(p, q):
+    import pyarrow as pa
+    texts = [" ".join(w).encode() for w in (q, p, [], q)]
+    c = C.Coded(pa.array(texts, pa.large_binary()))
+    assert c.size.tolist() == [len(q), len(p), 0, len(q)]
+    return c.align(int(c.start[1]), int(c.start[1]) + len(p), int(c.start[3]), int(c.start[3]) + len(q))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("abcdefgh"), max_size=30), st.lists(st.sampled_from("abcdefgh"), max_size=30), st.integers(0, 30))
+def test_coded_texts_align_as_lists_of_words(p, q, at):
+    """Also where texts repeat themselves, or hold the same runs in another order."""
+    assert coded_align(p, q) == C.align(p, q)
+    q = q[:5] + p[at:] + q[5:] + p[:at]
+    assert coded_align(p, q) == C.align(p, q)
+    assert coded_align(p, p) == (0, len(p), 0, len(p), len(p))
+
+
+def test_coded_edited_copies_have_one_anchor_for_each_run():
+    """Anchors and the alignment cost by runs that agree, not by words."""
+    import pyarrow as pa
+    rng = random.Random(6)
+    p = prose(rng, 300, 10**6)
+    q = [f"other{i}" if i % 20 == 10 else w for i, w in enumerate(p)]
+    c = C.Coded(pa.array([" ".join(w).encode() for w in (p, q)], pa.large_binary()))
+    assert len(c.anchors(0, 300, 300, 600)) == 16
+    assert coded_align(p, q) == C.align(p, q) == (0, 300, 0, 300, 285)
+    none = C.Coded(pa.array([], pa.large_binary()))
+    assert not len(none.size) and none.anchors(0, 0, 0, 0) == []
+
+
 def test_alignment_of_edited_copies():
     rng = random.Random(5)
     p = prose(rng, 300, 60)

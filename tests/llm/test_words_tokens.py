@@ -23,6 +23,8 @@ def test_words_equal_the_patterns(ts):
         w = W.split_words(raw, off, table, lower=True)
         got = [[x.decode() for x in w.list_of(a, b)] for a, b in zip(w.of[:-1], w.of[1:])]
         assert got == [expected(t) for t in ts]
+        ranges = [(a, b) for lo, hi in zip(w.of[:-1], w.of[1:]) for a in range(lo, hi + 1) for b in (a, hi)]
+        assert w.joined(ranges) == [b" ".join(w.list_of(a, b)) for a, b in ranges]
 
 
 def test_equal_words_have_equal_hashes_and_others_do_not():
@@ -32,6 +34,19 @@ def test_equal_words_have_equal_hashes_and_others_do_not():
     assert h[0] == h[-1] and len(set(h.tolist())) == len(ws) - 1
 
 
+def test_a_hash_depends_on_the_word_alone():
+    ws = [b"x" * n for n in range(1, W.LONG + 1)] + [b"abc", "é".encode()]
+    raw, off = utf8(pa.array([b" ".join(ws)]))
+    want = []
+    for word in ws:
+        h = len(word) + 1
+        for byte in word:
+            h = (h ^ byte) * int(W._MUL) % 2**64
+            h ^= h >> 29
+        want.append(h)
+    assert W.split_words(raw, off, W.SPACED, lower=False).hash.tolist() == W.mix(np.array(want, np.uint64)).tolist()
+
+
 def test_winnow_picks_a_minimum_of_every_window():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 50, 300).astype(np.uint64)
